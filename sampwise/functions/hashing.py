@@ -14,11 +14,15 @@ HASH_HEX_DIGITS = 8
 HASH_SCALE = 4294967296.0
 
 
-def uniform(key: str | Column | Sequence[str | Column], seed: int) -> Column:
-    """A double in [0, 1) that depends only on (seed, key), not on partitioning."""
+def uniform(key: str | Column | Sequence[str | Column], seed: int | Column) -> Column:
+    """A double in [0, 1) that depends only on (seed, key), not on partitioning.
+
+    ``seed`` may be a column, so one pass can evaluate several seeded splits.
+    """
     keys = [key] if isinstance(key, (str, Column)) else list(key)
     cols = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *cols))
+    seed_col = seed.cast("string") if isinstance(seed, Column) else F.lit(str(int(seed)))
+    digest = F.md5(F.concat_ws("|", seed_col, *cols))
     word = F.conv(F.substring(digest, 1, HASH_HEX_DIGITS), 16, 10).cast("long")
     return word / F.lit(HASH_SCALE)
 
