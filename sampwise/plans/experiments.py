@@ -153,7 +153,7 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
                               numeric, categorical)
             return (i + 1, off, n, n_train, n_test, acc, err)
 
-        rows = _run_all(one, len(offsets), parallelism)
+        rows = _run_all(spark, one, len(offsets), parallelism)
     finally:
         work.unpersist()
     return spark.createDataFrame(rows, RESULT_SCHEMA)
@@ -202,17 +202,18 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
                               categorical)
             return (p, n, n_train, n_test, acc, err)
 
-        rows = _run_all(one, n_parts, parallelism)
+        rows = _run_all(spark, one, n_parts, parallelism)
     finally:
         parted.unpersist()
     return spark.createDataFrame(rows, PART_RESULT_SCHEMA)
 
 
-def _run_all(fn, n: int, parallelism: int) -> list[tuple]:
+def _run_all(spark, fn, n: int, parallelism: int) -> list[tuple]:
+    """Run ``fn(0..n-1)`` as concurrent Spark jobs; results in index order."""
     if parallelism <= 1 or n <= 1:
         return [fn(i) for i in range(n)]
     with ThreadPoolExecutor(max_workers=min(parallelism, n)) as pool:
-        return list(pool.map(inheritable_thread_target(fn), range(n)))
+        return list(pool.map(inheritable_thread_target(spark)(fn), range(n)))
 
 
 def summarise(results: DataFrame) -> DataFrame:

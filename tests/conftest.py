@@ -1,0 +1,30 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+SF_SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    spark = (SparkSession.builder.master("local[*]")
+             .config("spark.sql.shuffle.partitions", "8")
+             .config("spark.ui.enabled", "false")
+             .config("spark.sql.session.timeZone", "UTC")
+             .getOrCreate())
+    spark.sparkContext.setLogLevel("ERROR")
+    if not spark.sparkContext.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="sw-ckpt-"))
+    yield spark
+
+
+@pytest.fixture()
+def tmp_dir():
+    return tempfile.mkdtemp(prefix="sw-test-")

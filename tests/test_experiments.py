@@ -1,0 +1,79 @@
+import pytest
+
+from sampwise.operators.models import decision_tree, linear_svm, random_forest
+from sampwise.plans.experiments import (RESULT_SCHEMA, finished, run_experiments,
+                                        run_per_part, summarise)
+from sampwise.sources.delimited import clean_column_names, read_delimited
+from tests.fixtures import BANK_CATEGORICAL, IRIS_SCHEMA, bank_csv_text, iris_like_rows
+
+NUMERIC = ["age", "duration", "campaign", "pdays", "previous", "emp_var_rate",
+           "cons_price_idx", "cons_conf_idx", "euribor3m", "nr_employed"]
+
+
+def bank(spark, tmp_dir, name="bank.csv", **kw):
+    path = f"{tmp_dir}/{name}"
+    with open(path, "w") as fh:
+        fh.write(bank_csv_text(**kw))
+    raw = read_delimited(spark, path, sep=";", header=True, infer_schema=True)
+    return clean_column_names(raw)
+
+
+def test_summary_fixture(spark):
+    rows = [(1, 0, 100, 90, 10, 0.90, None), (2, 3, 100, 80, 20, 0.80, None),
+            (3, 3, 0, 0, 0, None, "empty sample")]
+    res = spark.createDataFrame(rows, RESULT_SCHEMA)
+    s = summarise(res).first()
+    assert (s["planned"], s["finished"]) == (3, 2)
+    assert s["avg_accuracy"] == pytest.approx(0.85)
+    assert (s["min_accuracy"], s["max_accuracy"]) == (0.80, 0.90)
+    assert finished(res).count() == 2
+
+
+def test_bank_csv_decision_tree(spark, tmp_dir):
+    df = bank(spark, tmp_dir)
+    assert "emp_var_rate" in df.columns
+    res = run_experiments(df, decision_tree(max_depth=10, seed=42), label="y",
+                          numeric=NUMERIC, categorical=list(BANK_CATEGORICAL),
+                          n_experiments=5, step=5, offset_seed=3)
+    rows = res.orderBy("experiment_id").collect()
+    assert [r["experiment_id"] for r in rows] == [1, 2, 3, 4, 5]
+    for r in rows:
+        assert r["num_samples"] == 40 and r["num_train"] + r["num_test"] == 40
+        # the level seen in one row only never breaks a run (kept as 'unseen')
+        assert r["accuracy"] is not None, r["error"]
+    again = run_experiments(df, decision_tree(max_depth=10, seed=42), label="y",
+                            numeric=NUMERIC, categorical=list(BANK_CATEGORICAL),
+                            n_experiments=5, step=5, offset_seed=3)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, rows))
+
+
+def test_tiny_file_gives_empty_samples(spark, tmp_dir):
+    df = bank(spark, tmp_dir, "tiny.csv", n=3)
+    res = run_experiments(df, decision_tree(), label="y", numeric=NUMERIC,
+                          categorical=list(BANK_CATEGORICAL), offsets=[0, 3, 4, 1, 2],
+                          step=5).orderBy("experiment_id").collect()
+    assert [r["num_samples"] for r in res] == [1, 0, 0, 1, 1]
+    assert res[1]["accuracy"] is None and res[1]["error"] == "empty sample"
+    assert res[0]["accuracy"] is None  # one row cannot be both train and test
+
+
+def test_svm_three_labels_isolated(spark, tmp_dir):
+    df = bank(spark, tmp_dir, "three.csv", labels=("a", "b", "c"))
+    res = run_experiments(df, linear_svm(max_iter=5), label="y", numeric=NUMERIC,
+                          categorical=list(BANK_CATEGORICAL), offsets=[0, 1], step=5).collect()
+    assert len(res) == 2
+    for r in res:
+        assert r["accuracy"] is None and "exactly 2" in r["error"]
+
+
+def test_random_forest_and_parts(spark):
+    df = spark.createDataFrame(iris_like_rows(), IRIS_SCHEMA).coalesce(1)
+    res = run_per_part(df, decision_tree(), label="species",
+                       numeric=["sepal_length", "sepal_width", "petal_length", "petal_width"],
+                       n_parts=3).orderBy("part").collect()
+    assert [r["num_samples"] for r in res] == [50, 50, 50]
+    assert all(r["accuracy"] is not None and r["accuracy"] >= 0.8 for r in res)
+    rf = run_experiments(df, random_forest(num_trees=10, seed=42), label="species",
+                         numeric=["sepal_length", "petal_length"], offsets=[0, 2], step=3,
+                         parallelism=2).collect()
+    assert all(r["num_samples"] == 50 for r in rf)
