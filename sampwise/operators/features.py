@@ -53,16 +53,26 @@ def vector_columns(df: DataFrame, vector_col: str, names: Sequence[str]) -> Data
 
 def scale_columns(df: DataFrame, input_cols: Sequence[str], output_cols: Sequence[str], *,
                   with_std: bool = True, with_mean: bool = False) -> DataFrame:
-    """StandardScaler over several columns: ``x / stddev_samp(x)`` by default.
+    """StandardScaler semantics on plain columns: ``x / stddev_samp(x)`` by default.
 
-    A zero-variance column scales to 0.0.  One pass to fit (Summarizer
-    aggregate), one to transform.
+    Fit is one global aggregate (map-side partials, one row to the driver);
+    transform is column arithmetic inside whole-stage codegen.  A column with
+    zero variance (or a single row) scales to 0.0, as StandardScaler does.
     """
-    vec, scaled = "_sw_vec", "_sw_scaled"
-    staged = assemble(df, input_cols, vec)
-    model = StandardScaler(inputCol=vec, outputCol=scaled, withStd=with_std,
-                           withMean=with_mean).fit(staged)
-    return vector_columns(model.transform(staged).drop(vec), scaled, output_cols)
+    aggs = []
+    for i, c in enumerate(input_cols):
+        aggs += [F.stddev_samp(c).alias(f"s{i}"), F.avg(c).alias(f"m{i}")]
+    stats = df.agg(*aggs).first()
+    outs = {}
+    for i, (c, o) in enumerate(zip(input_cols, output_cols)):
+        x = F.col(c).cast("double")
+        if with_mean:
+            x = x - F.lit(stats[f"m{i}"] or 0.0)
+        std = stats[f"s{i}"]
+        if with_std:
+            x = x / F.lit(std) if std else x * F.lit(0.0)
+        outs[o] = x
+    return df.withColumns(outs)
 
 
 def feature_pipeline(label: str, numeric: Sequence[str], categorical: Sequence[str], *,

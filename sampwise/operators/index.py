@@ -237,3 +237,8 @@ def _ranged_index(df: DataFrame, keys: list[str], base: int, name: str,
               .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys], F.col(tie)))
     stored = ranged.checkpoint(eager=True)
     return _scan_order_index(stored.select(*cols), base, name)
+
+
+def with_unique_id(df: DataFrame, name: str = "uid") -> DataFrame:
+    """Unique, increasing but not consecutive id (split index << 33 | position)."""
+    return df.select(F.monotonically_increasing_id().alias(name), *df.columns)

@@ -20,6 +20,7 @@ fails, gets a NULL accuracy and a message; the others are unaffected.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -66,8 +67,21 @@ def _train_flag(key_col: str, seed, train_fraction: float):
     return uniform(key_col, seed) < F.lit(float(train_fraction))
 
 
+# Rows per task when fitting: iterative learners run one Spark job per
+# iteration, so a small sample spread over many tasks pays the task overhead
+# on every iteration.  Large samples keep (at least) their partitioning.
+ROWS_PER_FIT_PARTITION = 250_000
+DEFAULT_PARALLELISM = 8
+
+
+def right_size(df: DataFrame, n_rows: int) -> DataFrame:
+    """Merge partitions (no shuffle) down to about ``ROWS_PER_FIT_PARTITION`` rows each."""
+    return df.coalesce(max(1, math.ceil(n_rows / ROWS_PER_FIT_PARTITION)))
+
+
 def _score(train: DataFrame, test: DataFrame, spec: ModelSpec, label, numeric,
-           categorical) -> tuple[float | None, str | None]:
+           categorical, n_train: int, n_test: int) -> tuple[float | None, str | None]:
+    train, test = right_size(train, n_train), right_size(test, n_test)
     try:
         score = train_and_score(train, test, spec, label=label, numeric=numeric,
                                 categorical=categorical)
@@ -114,7 +128,7 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
                     n_experiments: int = 5, step: int = 5, offset_seed: int | None = None,
                     offsets: Sequence[int] | None = None, split_seed_base: int = 42,
                     train_fraction: float = 0.8, replace: bool = True,
-                    parallelism: int = 2) -> DataFrame:
+                    parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
     """One result row per experiment (``RESULT_SCHEMA``), ``experiment_id`` from 1.
 
     ``key`` orders the index and seeds the train/test hash; without it rows are
@@ -150,7 +164,7 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
             sample = work.filter(F.col("_sw_part") == off)
             flag = _train_flag(split_key, seed, train_fraction)
             acc, err = _score(sample.filter(flag), sample.filter(~flag), spec, label,
-                              numeric, categorical)
+                              numeric, categorical, n_train, n_test)
             return (i + 1, off, n, n_train, n_test, acc, err)
 
         rows = _run_all(spark, one, len(offsets), parallelism)
@@ -162,7 +176,7 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
 def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequence[str],
                  categorical: Sequence[str] = (), key: str | None = None, n_parts: int = 3,
                  method: str = "systematic", split_seed: int = 1, part_seed: int = 42,
-                 train_fraction: float = 0.8, parallelism: int = 2) -> DataFrame:
+                 train_fraction: float = 0.8, parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
     """Cut the table into ``n_parts`` disjoint parts, one model per part.
 
     ``method="systematic"``: part = index mod n_parts.  ``"random"``: equal-weight
@@ -199,7 +213,7 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
                 return (p, n, n_train, n_test, None, "empty train or test part")
             part = parted.filter(F.col("_sw_part") == p)
             acc, err = _score(part.filter(flag), part.filter(~flag), spec, label, numeric,
-                              categorical)
+                              categorical, n_train, n_test)
             return (p, n, n_train, n_test, acc, err)
 
         rows = _run_all(spark, one, n_parts, parallelism)

@@ -1,0 +1,7 @@
+"""Streaming: nothing here on purpose.
+
+The workload this package rebuilds is batch only: no stream source or sink,
+watermark, event-time window or stateful operator appears in it, so none is
+offered.  The counting operators are plain DataFrame transformations and
+run unchanged on a DataFrame from ``spark.readStream`` should a caller need it.
+"""

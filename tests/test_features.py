@@ -59,3 +59,19 @@ def test_to_typed(spark):
     out = to_typed(df, {"val": ("a", "double"), "name": ("b", "string")})
     assert out.dtypes == [("val", "double"), ("name", "string")]
     assert out.first()["val"] == 1.5
+
+
+def test_scale_columns_equals_ml_standard_scaler(spark):
+    from pyspark.ml.feature import StandardScaler
+    from pyspark.ml.functions import vector_to_array
+
+    rows = [(float((i * 37) % 101), float((i * 11) % 7) * 0.5) for i in range(300)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    vec = assemble(df, ["a", "b"], "v")
+    ml = StandardScaler(inputCol="v", outputCol="s", withStd=True, withMean=False).fit(vec)
+    want = sorted(tuple(r[0]) for r in
+                  ml.transform(vec).select(vector_to_array("s")).collect())
+    got = sorted((r["a_s"], r["b_s"]) for r in
+                 scale_columns(df, ["a", "b"], ["a_s", "b_s"]).collect())
+    for w, g in zip(want, got):
+        assert g == pytest.approx(w, rel=1e-12)
