@@ -18,6 +18,10 @@ one task (``Exchange SinglePartition``).  Here the index is
   plus a scan-position tie-break, checkpoint to the shared checkpoint folder,
   then number the checkpoint in scan order.
 
+Below ``rows_per_bucket`` rows (checked with a count) a key-order index is one
+plain ``row_number`` window: a single bounded task is cheaper than the extra
+sampling and offset jobs.
+
 Both counting passes read only the columns they need.  The broadcast sides hold
 one row per group and the group count is bounded by ``max_buckets`` (key order)
 or by the number of input splits (scan order); past ``BROADCAST_GROUP_LIMIT``
@@ -60,7 +64,7 @@ _NUMERIC = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, D
 def with_row_index(df: DataFrame, order_by: str | Sequence[str] | None = None, *,
                    base: int = 0, name: str = "row_index",
                    deterministic_input: bool = True,
-                   rows_per_bucket: int = 1 << 20, max_buckets: int = 1 << 14,
+                   rows_per_bucket: int = 1 << 20, max_buckets: int = 1 << 16,
                    sample_per_bucket: int = 64, seed: int = 17) -> DataFrame:
     """``df`` with a consecutive ``name`` column first, starting at ``base``.
 
@@ -98,12 +102,16 @@ def _materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _bucket_count(df: DataFrame, n: int, rows_per_bucket: int, max_buckets: int) -> int:
-    """Ranges to cut ``n`` rows into: enough for size, and for every core when n allows."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    by_size = math.ceil(n / max(1, rows_per_bucket))
-    by_cores = min(cores, n // 8192)
-    return int(max(1, min(max_buckets, max(by_size, by_cores))))
+def _bucket_count(n: int, rows_per_bucket: int, max_buckets: int) -> int:
+    """Key ranges to cut ``n`` rows into (at least one)."""
+    return int(max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket)))))
+
+
+def _small_index(df: DataFrame, keys: Sequence[str], base: int, name: str) -> DataFrame:
+    """One ``row_number`` window; only called when the row count is known to be small."""
+    w = Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
+    return df.select((F.row_number().over(w) - 1 + F.lit(base)).cast("long").alias(name),
+                     *df.columns)
 
 
 def _offsets(counts: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -140,15 +148,14 @@ def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_buck
     cols = df.columns
     key_type = df.schema[key].dataType
     n = df.count()
-    nb = _bucket_count(df, n, rows_per_bucket, max_buckets)
+    nb = _bucket_count(n, rows_per_bucket, max_buckets)
+    if nb == 1:
+        return _small_index(df, [key], base, name)
 
-    splits: list[float] = [-math.inf, math.inf]
-    hot_rows: list[tuple] = []
-    null_width = 1
-    if nb > 1:
-        frac = min(1.0, sample_per_bucket * nb / max(n, 1))
-        sample = df.select(F.col(key).alias("k")).sample(False, frac, seed).toArrow()
-        splits, hot_rows, null_width = _plan_ranges(sample.column("k"), nb, sample_per_bucket)
+    # bounded sample of the key (about sample_per_bucket x nb values) to the driver
+    frac = min(1.0, sample_per_bucket * nb / max(n, 1))
+    sample = df.select(F.col(key).alias("k")).sample(False, frac, seed).toArrow()
+    splits, hot_rows, null_width = _plan_ranges(sample.column("k"), nb, sample_per_bucket)
 
     tagged = df.withColumn(_MID, F.monotonically_increasing_id()).withColumn(
         _KEYD, F.coalesce(F.col(key).cast("double"), F.lit(0.0)))
@@ -229,7 +236,9 @@ def _ranged_index(df: DataFrame, keys: list[str], base: int, name: str,
                   rows_per_bucket: int, max_buckets: int) -> DataFrame:
     cols = df.columns
     n = df.count()
-    nb = _bucket_count(df, n, rows_per_bucket, max_buckets)
+    nb = _bucket_count(n, rows_per_bucket, max_buckets)
+    if nb == 1:
+        return _small_index(df, keys, base, name)
     checkpoint_dir(df.sparkSession)
     tie = "_sw_tie"
     ranged = (df.withColumn(tie, F.monotonically_increasing_id())
