@@ -8,13 +8,13 @@ one task (``Exchange SinglePartition``).  Here the index is
   is the input split, the position comes from ``monotonically_increasing_id``.
   No data shuffle; per-split counts (one row per split) are summed into offsets
   and broadcast back.
-* **numeric key order**: groups are key ranges whose bounds are literals taken
+* **numeric, date or timestamp key order**: groups are key ranges whose bounds are literals taken
   from a bounded sample, so the count pass and the data pass agree by
   construction (nothing is materialised, a lost executor recomputes the same
   values).  A key value that would overfill a range (a hot or duplicated key,
   or NULL) gets its own range, spread over several groups by the row's scan
   position; ties have no order, so this keeps the index exact.
-* **other keys** (strings, dates, several columns): range-partition on the key
+* **other keys** (strings, several columns): range-partition on the key
   plus a scan-position tie-break, checkpoint to the shared checkpoint folder,
   then number the checkpoint in scan order.
 
@@ -39,8 +39,10 @@ import pyarrow.compute as pc
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ByteType, DecimalType, DoubleType, FloatType, IntegerType,
-                               LongType, ShortType, StructField, StructType)
+from pyspark.sql import Column
+from pyspark.sql.types import (ByteType, DateType, DecimalType, DoubleType, FloatType,
+                               IntegerType, LongType, ShortType, StructField, StructType,
+                               TimestampNTZType, TimestampType)
 
 from ..session import checkpoint_dir
 
@@ -88,7 +90,7 @@ def with_row_index(df: DataFrame, order_by: str | Sequence[str] | None = None, *
     for k in keys:
         if k not in df.columns:
             raise ValueError(f"order_by column {k!r} not in {df.columns}")
-    if len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, _NUMERIC):
+    if len(keys) == 1 and _projection(df, keys[0]) is not None:
         src = df if deterministic_input else _materialize(df)
         return _bucketed_index(src, keys[0], base, name, rows_per_bucket, max_buckets,
                                sample_per_bucket, seed)
@@ -102,6 +104,28 @@ def _materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _projection(df: DataFrame, key: str) -> Column | None:
+    """A double that never decreases as the key increases, or None for other types.
+
+    Ties are allowed (e.g. longs beyond 2^53); the exact key still orders rows
+    within a range.  TIMESTAMP_NTZ is projected from its date and time-of-day
+    fields, never through a session time zone (DST gaps would break the order).
+    """
+    t = df.schema[key].dataType
+    c = F.col(key)
+    if isinstance(t, _NUMERIC):
+        return c.cast("double")
+    if isinstance(t, DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(t, TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(t, TimestampNTZType):
+        day = F.unix_date(F.to_date(c)).cast("double") * F.lit(86400.0)
+        clock = (F.hour(c) * 3600 + F.minute(c) * 60).cast("double")
+        return day + clock + F.date_part(F.lit("SECOND"), c).cast("double")
+    return None
+
+
 def _bucket_count(n: int, rows_per_bucket: int, max_buckets: int) -> int:
     """Key ranges to cut ``n`` rows into (at least one)."""
     return int(max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket)))))
@@ -153,12 +177,14 @@ def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_buck
         return _small_index(df, [key], base, name)
 
     # bounded sample of the key (about sample_per_bucket x nb values) to the driver
+    proj = _projection(df, key)
     frac = min(1.0, sample_per_bucket * nb / max(n, 1))
-    sample = df.select(F.col(key).alias("k")).sample(False, frac, seed).toArrow()
-    splits, hot_rows, null_width = _plan_ranges(sample.column("k"), nb, sample_per_bucket)
+    sample = (df.select(F.col(key).alias("k"), proj.alias("d"))
+              .sample(False, frac, seed).toArrow())
+    splits, hot_rows, null_width = _plan_ranges(sample, nb, sample_per_bucket)
 
     tagged = df.withColumn(_MID, F.monotonically_increasing_id()).withColumn(
-        _KEYD, F.coalesce(F.col(key).cast("double"), F.lit(0.0)))
+        _KEYD, F.coalesce(proj, F.lit(0.0)))
     if len(splits) > 2:
         tagged = Bucketizer(splits=splits, inputCol=_KEYD, outputCol=_BKT,
                             handleInvalid="keep").transform(tagged)
@@ -193,36 +219,34 @@ def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_buck
     return joined.select((F.col(_OFF) + F.col(_RN) - 1 + F.lit(base)).alias(name), *cols)
 
 
-def _plan_ranges(keys: pa.ChunkedArray, nb: int, per_bucket: int):
+def _plan_ranges(sample: pa.Table, nb: int, per_bucket: int):
     """Split points and hot values from a key sample (driver side, bounded size).
 
-    Returns Bucketizer splits (strictly increasing, infinite ends), rows
+    ``sample`` has the exact key ``k`` and its projection ``d``.  Returns
+    Bucketizer splits (strictly increasing, infinite ends), rows
     ``(bucket, hot_value, width)`` for values that alone fill two or more
     ranges, and how many groups the NULL keys are spread over.
     """
+    keys = sample.column("k")
     null_count = keys.null_count
     null_width = max(1, math.ceil(null_count / per_bucket)) if null_count >= 2 * per_bucket else 1
-    valid = pc.drop_null(keys)
-    as_float = pc.cast(valid, pa.float64(), safe=False).to_numpy(zero_copy_only=False)
-    finite = np.isfinite(as_float)
-    ordered = np.sort(as_float[finite])
+    valid = sample.filter(pc.is_valid(sample.column("k")))
+    proj = pc.cast(valid.column("d"), pa.float64()).to_numpy(zero_copy_only=False)
+    ordered = np.sort(proj[np.isfinite(proj)])
     points: set[float] = set()
     if len(ordered):
         for i in range(1, nb):
             points.add(float(ordered[min(len(ordered) - 1, (i * len(ordered)) // nb)]))
     hot_values: list[tuple[object, float, int]] = []
-    if len(valid):
-        vc = pc.value_counts(valid)
-        values = vc.field("values").to_pylist()
-        counts = vc.field("counts").to_pylist()
-        for v, c in zip(values, counts):
-            if c < 2 * per_bucket:
-                continue
-            d = float(v)
-            if not math.isfinite(d):
+    if valid.num_rows:
+        grouped = valid.group_by("k").aggregate([("k", "count"), ("d", "min")])
+        for row in grouped.filter(pc.greater_equal(grouped.column("k_count"),
+                                                   2 * per_bucket)).to_pylist():
+            d = row["d_min"]
+            if d is None or not math.isfinite(d):
                 continue
-            hot_values.append((v, d, math.ceil(c / per_bucket)))
-            points.add(d)
+            hot_values.append((row["k"], float(d), math.ceil(row["k_count"] / per_bucket)))
+            points.add(float(d))
             points.add(float(np.nextafter(d, math.inf)))
     splits = [-math.inf] + sorted(p for p in points if math.isfinite(p)) + [math.inf]
     hot_rows = []

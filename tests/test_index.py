@@ -119,3 +119,37 @@ def test_no_single_partition_exchange_over_data(spark):
 def test_existing_name_rejected(spark):
     with pytest.raises(ValueError):
         with_row_index(spark.range(3).withColumnRenamed("id", "row_index"))
+
+
+def test_timestamp_ntz_and_date_keys_use_ranges(spark):
+    import datetime as dt
+
+    base = dt.datetime(2024, 3, 10, 1, 0, 0)
+    stamps = [base + dt.timedelta(minutes=7 * ((i * 7919) % 700), microseconds=i)
+              for i in range(700)]
+    df = spark.createDataFrame([(s, s.date(), i) for i, s in enumerate(stamps)],
+                               "ts timestamp_ntz, d date, i long")
+    for key, conv in (("ts", lambda s: s), ("d", lambda s: s.date())):
+        out = with_row_index(df, key, rows_per_bucket=50, sample_per_bucket=8).collect()
+        rows = sorted(out, key=lambda r: r["row_index"])
+        assert [r["row_index"] for r in rows] == list(range(700))
+        assert [r[key] for r in rows] == sorted(conv(s) for s in stamps)
+        indexed = with_row_index(df, key, rows_per_bucket=50)
+        plan = indexed._jdf.queryExecution().optimizedPlan().toString()
+        assert "_sw_b" in plan  # key ranges, not the checkpointed fallback
+
+
+def test_timestamp_key_with_session_zone(spark):
+    import datetime as dt
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        base = dt.datetime(2024, 3, 10, 1, 30, 0)  # spans the spring-forward gap
+        stamps = [base + dt.timedelta(minutes=3 * i) for i in range(400)]
+        df = spark.createDataFrame([(s,) for s in reversed(stamps)], "ts timestamp_ntz")
+        rows = sorted(with_row_index(df, "ts", rows_per_bucket=40,
+                                     sample_per_bucket=8).collect(),
+                      key=lambda r: r["row_index"])
+        assert [r["ts"] for r in rows] == stamps
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
