@@ -18,9 +18,9 @@ one task (``Exchange SinglePartition``).  Here the index is
   plus a scan-position tie-break, checkpoint to the shared checkpoint folder,
   then number the checkpoint in scan order.
 
-Below ``rows_per_bucket`` rows (checked with a count) a key-order index is one
-plain ``row_number`` window: a single bounded task is cheaper than the extra
-sampling and offset jobs.
+Up to ``rows_per_bucket`` rows the key ranges are equal-width slices of
+``[min, max]`` (one per core, from one count/min/max aggregate) instead of
+sampled quantiles: no sampling job, and still no task sees the whole table.
 
 Both counting passes read only the columns they need.  The broadcast sides hold
 one row per group and the group count is bounded by ``max_buckets`` (key order)
@@ -48,6 +48,7 @@ from ..session import checkpoint_dir
 
 POS_BITS = 33  # monotonically_increasing_id = split index << 33 | position in split
 BROADCAST_GROUP_LIMIT = 2_000_000
+SMALL_RANGE_ROWS = 4096  # small inputs: at least this many rows per key range
 
 _MID = "_sw_mid"
 _GRP = "_sw_grp"
@@ -131,13 +132,6 @@ def _bucket_count(n: int, rows_per_bucket: int, max_buckets: int) -> int:
     return int(max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket)))))
 
 
-def _small_index(df: DataFrame, keys: Sequence[str], base: int, name: str) -> DataFrame:
-    """One ``row_number`` window; only called when the row count is known to be small."""
-    w = Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
-    return df.select((F.row_number().over(w) - 1 + F.lit(base)).cast("long").alias(name),
-                     *df.columns)
-
-
 def _offsets(counts: DataFrame, order: Sequence[str]) -> DataFrame:
     """Exclusive running sum of ``_sw_n`` in ``order``: one row per group.
 
@@ -171,25 +165,45 @@ def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_buck
     spark = df.sparkSession
     cols = df.columns
     key_type = df.schema[key].dataType
-    n = df.count()
+    proj = _projection(df, key)
+    stats = df.agg(F.count(F.lit(1)).alias("n"), F.min(proj).alias("lo"),
+                   F.max(proj).alias("hi")).first()
+    n = stats["n"]
     nb = _bucket_count(n, rows_per_bucket, max_buckets)
+    tagged = df.withColumn(_MID, F.monotonically_increasing_id())
+    hot_rows: list[tuple] = []
+    null_width = 1
     if nb == 1:
-        return _small_index(df, [key], base, name)
-
-    # bounded sample of the key (about sample_per_bucket x nb values) to the driver
-    proj = _projection(df, key)
-    frac = min(1.0, sample_per_bucket * nb / max(n, 1))
-    sample = (df.select(F.col(key).alias("k"), proj.alias("d"))
-              .sample(False, frac, seed).toArrow())
-    splits, hot_rows, null_width = _plan_ranges(sample, nb, sample_per_bucket)
-
-    tagged = df.withColumn(_MID, F.monotonically_increasing_id()).withColumn(
-        _KEYD, F.coalesce(proj, F.lit(0.0)))
-    if len(splits) > 2:
-        tagged = Bucketizer(splits=splits, inputCol=_KEYD, outputCol=_BKT,
-                            handleInvalid="keep").transform(tagged)
+        # small input: equal-width ranges; an uneven split still holds <= n rows
+        cores = spark.sparkContext.defaultParallelism
+        parts = max(1, min(cores, n // SMALL_RANGE_ROWS))
+        lo, hi = stats["lo"], stats["hi"]
+        if lo is None or hi is None or not (math.isfinite(lo) and math.isfinite(hi)) \
+                or hi <= lo:
+            parts = 1
+        if parts == 1:
+            slot = F.lit(0)
+        else:
+            scaled = F.floor((proj - F.lit(lo)) * F.lit(float(parts)) / F.lit(hi - lo))
+            slot = F.least(F.lit(parts - 1), scaled.cast("int"))
+        slot = F.when(F.isnan(proj), F.lit(parts)).otherwise(slot) \
+            if isinstance(df.schema[key].dataType, (FloatType, DoubleType)) else slot
+        tagged = tagged.withColumn(_BKT, slot.cast("double"))
+        bound = parts + 2
     else:
-        tagged = tagged.withColumn(_BKT, F.lit(0.0))
+        # bounded sample of the key (about sample_per_bucket x nb values) to the driver
+        frac = min(1.0, sample_per_bucket * nb / max(n, 1))
+        sample = (df.select(F.col(key).alias("k"), proj.alias("d"))
+                  .sample(False, frac, seed).toArrow())
+        splits, hot_rows, null_width = _plan_ranges(sample, nb, sample_per_bucket)
+        tagged = tagged.withColumn(_KEYD, F.coalesce(proj, F.lit(0.0)))
+        if len(splits) > 2:
+            tagged = Bucketizer(splits=splits, inputCol=_KEYD, outputCol=_BKT,
+                                handleInvalid="keep").transform(tagged)
+        else:
+            tagged = tagged.withColumn(_BKT, F.lit(0.0))
+        bound = (len(splits) + 2 * len(hot_rows) + sum(r[2] for r in hot_rows)
+                 + null_width + 1)
     spread = F.pmod(F.xxhash64(F.col(_MID)), F.col(_WID))
     k = F.col(key)
     if hot_rows:
@@ -212,7 +226,6 @@ def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_buck
 
     counts = grouped.groupBy(_BKT, _TIE).agg(F.count(F.lit(1)).alias(_CNT))
     offsets = _offsets(counts, [_BKT, _TIE])
-    bound = len(splits) + 2 * len(hot_rows) + sum(r[2] for r in hot_rows) + null_width + 1
     w = Window.partitionBy(_BKT, _TIE).orderBy(k.asc_nulls_first())
     numbered = grouped.withColumn(_RN, F.row_number().over(w))
     joined = _join_offsets(numbered, offsets, [_BKT, _TIE], bound)
@@ -260,9 +273,8 @@ def _ranged_index(df: DataFrame, keys: list[str], base: int, name: str,
                   rows_per_bucket: int, max_buckets: int) -> DataFrame:
     cols = df.columns
     n = df.count()
-    nb = _bucket_count(n, rows_per_bucket, max_buckets)
-    if nb == 1:
-        return _small_index(df, keys, base, name)
+    nb = max(_bucket_count(n, rows_per_bucket, max_buckets),
+             min(df.sparkSession.sparkContext.defaultParallelism, n // SMALL_RANGE_ROWS))
     checkpoint_dir(df.sparkSession)
     tie = "_sw_tie"
     ranged = (df.withColumn(tie, F.monotonically_increasing_id())

@@ -153,3 +153,29 @@ def test_timestamp_key_with_session_zone(spark):
         assert [r["ts"] for r in rows] == stamps
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("kind", ["long", "double"])
+def test_small_input_equal_width_ranges(spark, kind):
+    n = 20000
+    k = (F.when(F.col("id") % 5 == 0, F.lit(3)).when(F.col("id") % 11 == 0, F.lit(None))
+         .otherwise((F.col("id") * 7919) % 100003 - 50000))
+    df = spark.range(0, n, 1, 3).select(k.cast(kind).alias("k"), F.col("id"))
+    if kind == "double":
+        df = df.withColumn("k", F.when(F.col("id") == 17, F.lit(float("nan")))
+                           .otherwise(F.col("k")))
+    out = with_row_index(df, "k")  # default size: the equal-width path
+    text, inputs = single_partition_inputs(out)
+    for line in inputs:
+        assert all(c.split("#")[0].startswith("_sw_") for c in
+                   line.split("[", 2)[2].rstrip("]").split(", ")), line
+    rows = sorted(out.collect(), key=lambda r: r["row_index"])
+    assert [r["row_index"] for r in rows] == list(range(n))
+    keys = [r["k"] for r in rows]
+    nulls = sum(1 for x in keys if x is None)
+    assert all(x is None for x in keys[:nulls])
+    rest = keys[nulls:]
+    if kind == "double":
+        assert rest[-1] != rest[-1]  # NaN last
+        rest = rest[:-1]
+    assert rest == sorted(rest)
