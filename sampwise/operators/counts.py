@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WHITESPACE_RUN, field_at
+from ..session import default_parallelism, num_splits
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -23,8 +24,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     shuffle); a one-file input is spread so the per-row work runs on every core.
     Only for order-free operators: it discards the file order.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    target = min_partitions or default_parallelism(df.sparkSession)
+    splits = num_splits(df)
+    return df.repartition(target) if splits is not None and splits < target else df
 
 
 def tokenize(df: DataFrame, col: str = "value", *, lower: bool = True,

@@ -44,7 +44,7 @@ from pyspark.sql.types import (ByteType, DateType, DecimalType, DoubleType, Floa
                                IntegerType, LongType, ShortType, StructField, StructType,
                                TimestampNTZType, TimestampType)
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, default_parallelism, num_splits
 
 POS_BITS = 33  # monotonically_increasing_id = split index << 33 | position in split
 BROADCAST_GROUP_LIMIT = 2_000_000
@@ -154,8 +154,9 @@ def _scan_order_index(df: DataFrame, base: int, name: str) -> DataFrame:
               .withColumn(_GRP, F.shiftright(F.col(_MID), POS_BITS)))
     counts = tagged.groupBy(_GRP).agg(F.count(F.lit(1)).alias(_CNT))
     offsets = _offsets(counts, [_GRP])
-    splits = df.rdd.getNumPartitions()
-    joined = _join_offsets(tagged, offsets, [_GRP], splits)
+    splits = num_splits(df)
+    joined = _join_offsets(tagged, offsets, [_GRP],
+                           BROADCAST_GROUP_LIMIT + 1 if splits is None else splits)
     pos = F.col(_MID).bitwiseAND(F.lit((1 << POS_BITS) - 1))
     return joined.select((F.col(_OFF) + pos + F.lit(base)).alias(name), *cols)
 
@@ -175,7 +176,7 @@ def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_buck
     null_width = 1
     if nb == 1:
         # small input: equal-width ranges; an uneven split still holds <= n rows
-        cores = spark.sparkContext.defaultParallelism
+        cores = default_parallelism(spark)
         parts = max(1, min(cores, n // SMALL_RANGE_ROWS))
         lo, hi = stats["lo"], stats["hi"]
         if lo is None or hi is None or not (math.isfinite(lo) and math.isfinite(hi)) \
@@ -274,7 +275,7 @@ def _ranged_index(df: DataFrame, keys: list[str], base: int, name: str,
     cols = df.columns
     n = df.count()
     nb = max(_bucket_count(n, rows_per_bucket, max_buckets),
-             min(df.sparkSession.sparkContext.defaultParallelism, n // SMALL_RANGE_ROWS))
+             min(default_parallelism(df.sparkSession), n // SMALL_RANGE_ROWS))
     checkpoint_dir(df.sparkSession)
     tie = "_sw_tie"
     ranged = (df.withColumn(tie, F.monotonically_increasing_id())

@@ -16,6 +16,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or n))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -48,3 +49,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder (HDFS/S3/...) for it")
     return sc.getCheckpointDir()
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores the cluster offers (falls back to the shuffle partition count)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # no SparkContext on this client
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+
+
+def num_splits(df) -> int | None:
+    """Partitions the physical plan of ``df`` produces, or None if unknown here."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # no RDD access on this client
+        return None
