@@ -49,6 +49,8 @@ from ..session import checkpoint_dir, default_parallelism, num_splits
 POS_BITS = 33  # monotonically_increasing_id = split index << 33 | position in split
 BROADCAST_GROUP_LIMIT = 2_000_000
 SMALL_RANGE_ROWS = 4096  # small inputs: at least this many rows per key range
+RANGES_PER_CORE = 4  # several ranges per core so uneven ranges still balance
+MAX_INDEX_PARTITIONS = 1 << 17
 
 _MID = "_sw_mid"
 _GRP = "_sw_grp"
@@ -57,7 +59,8 @@ _TIE = "_sw_t"
 _KEYD = "_sw_kd"
 _CNT = "_sw_n"
 _OFF = "_sw_off"
-_RN = "_sw_rn"
+_PID = "_sw_pid"
+_START = "_sw_start"
 _HOT = "_sw_h"
 _WID = "_sw_w"
 
@@ -128,10 +131,15 @@ def _projection(df: DataFrame, key: str) -> Column | None:
 
 
 def _bucket_count(n: int, rows_per_bucket: int, max_buckets: int) -> int:
-    """Key ranges to cut ``n`` rows into (at least one)."""
+    """Key ranges needed for size alone (at least one)."""
     return int(max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket)))))
 
 
+def _ranges_for_cores(spark, n: int) -> int:
+    """Ranges that keep every core busy: a few per core, each with enough rows."""
+    return max(1, min(RANGES_PER_CORE * default_parallelism(spark), n // SMALL_RANGE_ROWS))
+
+
 def _offsets(counts: DataFrame, order: Sequence[str]) -> DataFrame:
     """Exclusive running sum of ``_sw_n`` in ``order``: one row per group.
 
@@ -171,13 +179,14 @@ def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_buck
                    F.max(proj).alias("hi")).first()
     n = stats["n"]
     nb = _bucket_count(n, rows_per_bucket, max_buckets)
+    if nb > 1:
+        nb = min(max_buckets, max(nb, _ranges_for_cores(spark, n)))
     tagged = df.withColumn(_MID, F.monotonically_increasing_id())
     hot_rows: list[tuple] = []
     null_width = 1
     if nb == 1:
         # small input: equal-width ranges; an uneven split still holds <= n rows
-        cores = default_parallelism(spark)
-        parts = max(1, min(cores, n // SMALL_RANGE_ROWS))
+        parts = _ranges_for_cores(spark, n)
         lo, hi = stats["lo"], stats["hi"]
         if lo is None or hi is None or not (math.isfinite(lo) and math.isfinite(hi)) \
                 or hi <= lo:
@@ -221,16 +230,45 @@ def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_buck
     null_tie = (F.pmod(F.xxhash64(F.col(_MID)), F.lit(null_width)) if null_width > 1
                 else F.lit(0).cast("long"))
     grouped = tagged.select(
-        *cols, _MID,
+        *cols,
         F.when(k.isNull(), F.lit(-1)).otherwise(F.col(_BKT).cast("int")).alias(_BKT),
         F.when(k.isNull(), null_tie).otherwise(tie).cast("long").alias(_TIE))
+    return _number_groups(grouped, cols, k, base, name, bound)
+
 
-    counts = grouped.groupBy(_BKT, _TIE).agg(F.count(F.lit(1)).alias(_CNT))
-    offsets = _offsets(counts, [_BKT, _TIE])
-    w = Window.partitionBy(_BKT, _TIE).orderBy(k.asc_nulls_first())
-    numbered = grouped.withColumn(_RN, F.row_number().over(w))
-    joined = _join_offsets(numbered, offsets, [_BKT, _TIE], bound)
-    return joined.select((F.col(_OFF) + F.col(_RN) - 1 + F.lit(base)).alias(name), *cols)
+def _number_groups(grouped: DataFrame, cols: Sequence[str], k, base: int, name: str,
+                   groups: int) -> DataFrame:
+    """Index rows whose group ``(_sw_b, _sw_t)`` is a deterministic, ordered key range.
+
+    Every group lands whole in one partition of a hash repartition on the
+    group; each partition is sorted by (group, key), so a row's index is
+    ``rows in earlier groups + position in its partition - rows of earlier
+    groups in the same partition``.  The position comes from
+    ``monotonically_increasing_id`` (split index << 33 | position).  The count
+    pass repeats the same repartition, hence sees the same layout; the final
+    projection checks the partition of each row and fails rather than number
+    rows wrongly should the two ever differ.
+    """
+    parts = max(1, min(groups, MAX_INDEX_PARTITIONS))
+    keys = [_BKT, _TIE]
+    placed = grouped.repartition(parts, *keys)
+    counts = (placed.groupBy(F.spark_partition_id().alias(_PID), *keys)
+              .agg(F.count(F.lit(1)).alias(_CNT)))
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    before_here = (Window.partitionBy(_PID).orderBy(*keys)
+                   .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(
+        _PID, *keys,
+        F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF),
+        F.coalesce(F.sum(_CNT).over(before_here), F.lit(0)).alias(_START))
+    ordered = (placed.sortWithinPartitions(*keys, k.asc_nulls_first())
+               .withColumn(_MID, F.monotonically_increasing_id()))
+    joined = _join_offsets(ordered, offsets, keys, groups)
+    pos = F.col(_MID).bitwiseAND(F.lit((1 << POS_BITS) - 1))
+    same_split = F.shiftright(F.col(_MID), POS_BITS) == F.col(_PID)
+    index = F.when(same_split, F.col(_OFF) + pos - F.col(_START) + F.lit(base)).otherwise(
+        F.raise_error(F.lit("row index: partition layout differs between passes")))
+    return joined.select(index.cast("long").alias(name), *cols)
 
 
 def _plan_ranges(sample: pa.Table, nb: int, per_bucket: int):
@@ -274,8 +312,8 @@ def _ranged_index(df: DataFrame, keys: list[str], base: int, name: str,
                   rows_per_bucket: int, max_buckets: int) -> DataFrame:
     cols = df.columns
     n = df.count()
-    nb = max(_bucket_count(n, rows_per_bucket, max_buckets),
-             min(default_parallelism(df.sparkSession), n // SMALL_RANGE_ROWS))
+    nb = min(max_buckets, max(_bucket_count(n, rows_per_bucket, max_buckets),
+                              _ranges_for_cores(df.sparkSession, n)))
     checkpoint_dir(df.sparkSession)
     tie = "_sw_tie"
     ranged = (df.withColumn(tie, F.monotonically_increasing_id())
