@@ -50,7 +50,6 @@ POS_BITS = 33  # monotonically_increasing_id = split index << 33 | position in s
 BROADCAST_GROUP_LIMIT = 2_000_000
 SMALL_RANGE_ROWS = 4096  # small inputs: at least this many rows per key range
 RANGES_PER_CORE = 4  # several ranges per core so uneven ranges still balance
-MAX_INDEX_PARTITIONS = 1 << 17
 
 _MID = "_sw_mid"
 _GRP = "_sw_grp"
@@ -59,8 +58,7 @@ _TIE = "_sw_t"
 _KEYD = "_sw_kd"
 _CNT = "_sw_n"
 _OFF = "_sw_off"
-_PID = "_sw_pid"
-_START = "_sw_start"
+_RN = "_sw_rn"
 _HOT = "_sw_h"
 _WID = "_sw_w"
 
@@ -240,35 +238,18 @@ def _number_groups(grouped: DataFrame, cols: Sequence[str], k, base: int, name:
                    groups: int) -> DataFrame:
     """Index rows whose group ``(_sw_b, _sw_t)`` is a deterministic, ordered key range.
 
-    Every group lands whole in one partition of a hash repartition on the
-    group; each partition is sorted by (group, key), so a row's index is
-    ``rows in earlier groups + position in its partition - rows of earlier
-    groups in the same partition``.  The position comes from
-    ``monotonically_increasing_id`` (split index << 33 | position).  The count
-    pass repeats the same repartition, hence sees the same layout; the final
-    projection checks the partition of each row and fails rather than number
-    rows wrongly should the two ever differ.
+    ``row_number`` per group (one hash exchange on the group, a sort by key
+    inside it) plus the group's offset: the rows of all earlier groups, from a
+    per-group count table broadcast back (``groups`` bounds its size).
     """
-    parts = max(1, min(groups, MAX_INDEX_PARTITIONS))
     keys = [_BKT, _TIE]
-    placed = grouped.repartition(parts, *keys)
-    counts = (placed.groupBy(F.spark_partition_id().alias(_PID), *keys)
-              .agg(F.count(F.lit(1)).alias(_CNT)))
-    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    before_here = (Window.partitionBy(_PID).orderBy(*keys)
-                   .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(
-        _PID, *keys,
-        F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF),
-        F.coalesce(F.sum(_CNT).over(before_here), F.lit(0)).alias(_START))
-    ordered = (placed.sortWithinPartitions(*keys, k.asc_nulls_first())
-               .withColumn(_MID, F.monotonically_increasing_id()))
-    joined = _join_offsets(ordered, offsets, keys, groups)
-    pos = F.col(_MID).bitwiseAND(F.lit((1 << POS_BITS) - 1))
-    same_split = F.shiftright(F.col(_MID), POS_BITS) == F.col(_PID)
-    index = F.when(same_split, F.col(_OFF) + pos - F.col(_START) + F.lit(base)).otherwise(
-        F.raise_error(F.lit("row index: partition layout differs between passes")))
-    return joined.select(index.cast("long").alias(name), *cols)
+    counts = grouped.groupBy(*keys).agg(F.count(F.lit(1)).alias(_CNT))
+    offsets = _offsets(counts, keys)
+    w = Window.partitionBy(*keys).orderBy(k.asc_nulls_first())
+    numbered = grouped.withColumn(_RN, F.row_number().over(w))
+    joined = _join_offsets(numbered, offsets, keys, groups)
+    return joined.select((F.col(_OFF) + F.col(_RN) - 1 + F.lit(base)).cast("long").alias(name),
+                         *cols)
 
 
 def _plan_ranges(sample: pa.Table, nb: int, per_bucket: int):
