@@ -8,9 +8,9 @@ one task (``Exchange SinglePartition``).  Here the index is
   is the input split, the position comes from ``monotonically_increasing_id``.
   No data shuffle; per-split counts (one row per split) are summed into offsets
   and broadcast back.
-* **numeric, date or timestamp key order**: groups are key ranges whose bounds are literals taken
-  from a bounded sample, so the count pass and the data pass agree by
-  construction (nothing is materialised, a lost executor recomputes the same
+* **numeric, date or timestamp key order**: groups are key ranges whose bounds
+  are literals taken from a bounded sample, so the count pass and the data pass
+  agree by construction (nothing is materialised, a lost executor recomputes the same
   values).  A key value that would overfill a range (a hot or duplicated key,
   or NULL) gets its own range, spread over several groups by the row's scan
   position; ties have no order, so this keeps the index exact.
@@ -19,7 +19,7 @@ one task (``Exchange SinglePartition``).  Here the index is
   then number the checkpoint in scan order.
 
 Up to ``rows_per_bucket`` rows the key ranges are equal-width slices of
-``[min, max]`` (one per core, from one count/min/max aggregate) instead of
+``[min, max]`` (a few per core, from one count/min/max aggregate) instead of
 sampled quantiles: no sampling job, and still no task sees the whole table.
 
 Both counting passes read only the columns they need.  The broadcast sides hold
@@ -37,9 +37,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Column
 from pyspark.sql.types import (ByteType, DateType, DecimalType, DoubleType, FloatType,
                                IntegerType, LongType, ShortType, StructField, StructType,
                                TimestampNTZType, TimestampType)
@@ -171,34 +170,17 @@ def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_buck
                     max_buckets: int, sample_per_bucket: int, seed: int) -> DataFrame:
     spark = df.sparkSession
     cols = df.columns
-    key_type = df.schema[key].dataType
     proj = _projection(df, key)
     stats = df.agg(F.count(F.lit(1)).alias("n"), F.min(proj).alias("lo"),
                    F.max(proj).alias("hi")).first()
     n = stats["n"]
     nb = _bucket_count(n, rows_per_bucket, max_buckets)
-    if nb > 1:
-        nb = min(max_buckets, max(nb, _ranges_for_cores(spark, n)))
     tagged = df.withColumn(_MID, F.monotonically_increasing_id())
-    hot_rows: list[tuple] = []
-    null_width = 1
     if nb == 1:
-        # small input: equal-width ranges; an uneven split still holds <= n rows
-        parts = _ranges_for_cores(spark, n)
-        lo, hi = stats["lo"], stats["hi"]
-        if lo is None or hi is None or not (math.isfinite(lo) and math.isfinite(hi)) \
-                or hi <= lo:
-            parts = 1
-        if parts == 1:
-            slot = F.lit(0)
-        else:
-            scaled = F.floor((proj - F.lit(lo)) * F.lit(float(parts)) / F.lit(hi - lo))
-            slot = F.least(F.lit(parts - 1), scaled.cast("int"))
-        slot = F.when(F.isnan(proj), F.lit(parts)).otherwise(slot) \
-            if isinstance(df.schema[key].dataType, (FloatType, DoubleType)) else slot
-        tagged = tagged.withColumn(_BKT, slot.cast("double"))
-        bound = parts + 2
+        tagged, bound = _equal_width_ranges(df, tagged, key, proj, n, stats["lo"], stats["hi"])
+        hot_rows, null_width = [], 1
     else:
+        nb = min(max_buckets, max(nb, _ranges_for_cores(spark, n)))
         # bounded sample of the key (about sample_per_bucket x nb values) to the driver
         frac = min(1.0, sample_per_bucket * nb / max(n, 1))
         sample = (df.select(F.col(key).alias("k"), proj.alias("d"))
@@ -212,19 +194,20 @@ def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_buck
             tagged = tagged.withColumn(_BKT, F.lit(0.0))
         bound = (len(splits) + 2 * len(hot_rows) + sum(r[2] for r in hot_rows)
                  + null_width + 1)
-    spread = F.pmod(F.xxhash64(F.col(_MID)), F.col(_WID))
     k = F.col(key)
+    tie = F.lit(0).cast("long")
     if hot_rows:
+        # rows of a hot value: spread over `width` groups by scan position; other
+        # rows of the same range go before (-1) or after (width) them
         hot = spark.createDataFrame(hot_rows, StructType([
-            StructField(_BKT, DoubleType(), False), StructField(_HOT, key_type, False),
+            StructField(_BKT, DoubleType(), False),
+            StructField(_HOT, df.schema[key].dataType, False),
             StructField(_WID, LongType(), False)]))
         tagged = tagged.join(F.broadcast(hot), [_BKT], "left")
         tie = (F.when(F.col(_HOT).isNull(), F.lit(0))
                .when(k < F.col(_HOT), F.lit(-1))
                .when(k > F.col(_HOT), F.col(_WID))
-               .otherwise(spread))
-    else:
-        tie = F.lit(0).cast("long")
+               .otherwise(F.pmod(F.xxhash64(F.col(_MID)), F.col(_WID))))
     null_tie = (F.pmod(F.xxhash64(F.col(_MID)), F.lit(null_width)) if null_width > 1
                 else F.lit(0).cast("long"))
     grouped = tagged.select(
@@ -234,6 +217,22 @@ def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_buck
     return _number_groups(grouped, cols, k, base, name, bound)
 
 
+def _equal_width_ranges(df: DataFrame, tagged: DataFrame, key: str, proj: Column, n: int,
+                        lo: float | None, hi: float | None) -> tuple[DataFrame, int]:
+    """Small input: ``_sw_b`` = slice of ``[lo, hi]``; an uneven slice holds <= n rows."""
+    parts = _ranges_for_cores(df.sparkSession, n)
+    if lo is None or hi is None or not (math.isfinite(lo) and math.isfinite(hi)) or hi <= lo:
+        parts = 1
+    if parts == 1:
+        slot = F.lit(0)
+    else:
+        scaled = F.floor((proj - F.lit(lo)) * F.lit(float(parts)) / F.lit(hi - lo))
+        slot = F.least(F.lit(parts - 1), scaled.cast("int"))
+    if isinstance(df.schema[key].dataType, (FloatType, DoubleType)):
+        slot = F.when(F.isnan(proj), F.lit(parts)).otherwise(slot)  # NaN sorts last
+    return tagged.withColumn(_BKT, slot.cast("double")), parts + 2
+
+
 def _number_groups(grouped: DataFrame, cols: Sequence[str], k, base: int, name: str,
                    groups: int) -> DataFrame:
     """Index rows whose group ``(_sw_b, _sw_t)`` is a deterministic, ordered key range.
