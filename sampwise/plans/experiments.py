@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
-from ..functions.hashing import uniform
+from ..functions.hashing import bucket_of, uniform
 from ..operators.models import ModelSpec, train_and_score
 from ..operators.sampling import draw_offsets, systematic_partition
 
@@ -176,7 +176,8 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
 def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequence[str],
                  categorical: Sequence[str] = (), key: str | None = None, n_parts: int = 3,
                  method: str = "systematic", split_seed: int = 1, part_seed: int = 42,
-                 train_fraction: float = 0.8, parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
+                 train_fraction: float = 0.8,
+                 parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
     """Cut the table into ``n_parts`` disjoint parts, one model per part.
 
     ``method="systematic"``: part = index mod n_parts.  ``"random"``: equal-weight
@@ -191,7 +192,6 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
     elif method == "random":
         if key is None:
             raise ValueError("random parts need a key")
-        from ..functions.hashing import bucket_of
         parted = narrow.withColumn("_sw_part", bucket_of(uniform(key, part_seed),
                                                          [1.0] * n_parts))
         split_key = key

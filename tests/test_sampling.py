@@ -3,7 +3,6 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from sampwise.operators.index import with_row_index
 from sampwise.operators.sampling import (draw_offsets, hash_split, interval_sample,
                                          random_split, sampling_interval, systematic_partition,
                                          systematic_sample, train_test_split)
