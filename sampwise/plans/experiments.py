@@ -8,8 +8,11 @@ Data flow:
 
 * only the key, label and feature columns are read (column pruning);
 * the index is computed once; rows tagged with their residue class ``part``
-  are persisted (memory, spilling to disk) for the experiments that need them;
-  the index is deterministic, so a lost cached block is recomputed identically;
+  are kept for the experiments that need them: persisted (memory, spilling to
+  disk; the index is deterministic, so a lost block is recomputed identically)
+  for small inputs, written as a table partitioned by ``part`` under
+  ``spark.checkpoint.dir`` for large ones, so hours of model fitting never
+  depend on lineage and each experiment reads only its own partition;
 * all sample/train/test sizes come from ONE grouped aggregate over ``part``;
 * experiments run as concurrent Spark jobs from a small driver thread pool;
   results do not depend on the order they finish in.
@@ -21,6 +24,8 @@ fails, gets a NULL accuracy and a message; the others are unaffected.
 from __future__ import annotations
 
 import math
+import os
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -33,6 +38,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
 from ..functions.hashing import bucket_of, uniform
 from ..operators.models import ModelSpec, train_and_score
 from ..operators.sampling import draw_offsets, systematic_partition
+from ..session import checkpoint_dir
 
 RESULT_SCHEMA = StructType([
     StructField("experiment_id", IntegerType(), False),
@@ -72,6 +78,34 @@ def _train_flag(key_col: str, seed, train_fraction: float):
 # on every iteration.  Large samples keep (at least) their partitioning.
 ROWS_PER_FIT_PARTITION = 250_000
 DEFAULT_PARALLELISM = 8
+# Inputs above this many rows keep their samples as a written table.
+TABLE_ROWS = 50_000_000
+
+
+def choose_keep(source: DataFrame, how: str = "auto") -> str:
+    """``"auto"`` -> ``"table"`` when ``source`` (a cheap-to-count input) has more
+    than ``TABLE_ROWS`` rows, else ``"persist"``; other values pass through."""
+    if how != "auto":
+        return how
+    return "table" if source.count() > TABLE_ROWS else "persist"
+
+
+def keep(df: DataFrame, part_col: str, how: str) -> tuple[DataFrame, callable]:
+    """Keep ``df`` for repeated use; returns the kept frame and a release function.
+
+    ``how="persist"``: cache (memory, spilling to disk).  ``"table"``: write
+    parquet partitioned by ``part_col`` under the shared checkpoint folder and
+    read it back (lineage cut; filters on ``part_col`` prune partitions).
+    """
+    if how == "persist":
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        return kept, kept.unpersist
+    if how != "table":
+        raise ValueError("how must be 'persist' or 'table'")
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), f"sampwise-samples-{uuid.uuid4().hex}")
+    df.write.partitionBy(part_col).parquet(path)
+    return spark.read.parquet(path), (lambda: None)
 
 
 def right_size(df: DataFrame, n_rows: int) -> DataFrame:
@@ -128,11 +162,13 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
                     n_experiments: int = 5, step: int = 5, offset_seed: int | None = None,
                     offsets: Sequence[int] | None = None, split_seed_base: int = 42,
                     train_fraction: float = 0.8, replace: bool = True,
-                    parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
+                    parallelism: int = DEFAULT_PARALLELISM,
+                    materialize: str = "auto") -> DataFrame:
     """One result row per experiment (``RESULT_SCHEMA``), ``experiment_id`` from 1.
 
     ``key`` orders the index and seeds the train/test hash; without it rows are
     numbered in input order and the index itself is the split key.
+    ``materialize`` is passed to :func:`keep`.
     """
     spark = df.sparkSession
     if offsets is None:
@@ -146,8 +182,9 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
     indexed = systematic_partition(narrow, step, order_by=key, index_col="_sw_idx",
                                    part_col="_sw_part")
     split_key = key or "_sw_idx"
-    work = indexed.filter(F.col("_sw_part").isin(sorted(set(offsets))))
-    work = work.persist(StorageLevel.MEMORY_AND_DISK)
+    how = choose_keep(narrow, materialize)
+    work, release = keep(indexed.filter(F.col("_sw_part").isin(sorted(set(offsets)))),
+                         "_sw_part", how)
     try:
         plan = experiment_table(spark, offsets, seeds)
         sizes = {r["experiment_id"]: (r["num_samples"], r["num_train"], r["num_test"])
@@ -169,7 +206,7 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
 
         rows = _run_all(spark, one, len(offsets), parallelism)
     finally:
-        work.unpersist()
+        release()
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
@@ -177,7 +214,8 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
                  categorical: Sequence[str] = (), key: str | None = None, n_parts: int = 3,
                  method: str = "systematic", split_seed: int = 1, part_seed: int = 42,
                  train_fraction: float = 0.8,
-                 parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
+                 parallelism: int = DEFAULT_PARALLELISM,
+                 materialize: str = "auto") -> DataFrame:
     """Cut the table into ``n_parts`` disjoint parts, one model per part.
 
     ``method="systematic"``: part = index mod n_parts.  ``"random"``: equal-weight
@@ -197,7 +235,7 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
         split_key = key
     else:
         raise ValueError("method must be 'systematic' or 'random'")
-    parted = parted.persist(StorageLevel.MEMORY_AND_DISK)
+    parted, release = keep(parted, "_sw_part", choose_keep(narrow, materialize))
     try:
         flag = _train_flag(split_key, split_seed, train_fraction)
         sizes = {r["_sw_part"]: (int(r["n"]), int(r["t"] or 0)) for r in
@@ -218,7 +256,7 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
 
         rows = _run_all(spark, one, n_parts, parallelism)
     finally:
-        parted.unpersist()
+        release()
     return spark.createDataFrame(rows, PART_RESULT_SCHEMA)
 
 

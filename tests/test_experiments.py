@@ -77,3 +77,13 @@ def test_random_forest_and_parts(spark):
                          numeric=["sepal_length", "petal_length"], offsets=[0, 2], step=3,
                          parallelism=2).collect()
     assert all(r["num_samples"] == 50 for r in rf)
+
+
+def test_table_materialisation_same_results(spark):
+    df = spark.createDataFrame(iris_like_rows(), IRIS_SCHEMA).coalesce(1)
+    kw = dict(label="species", numeric=["sepal_length", "petal_length"], offsets=[0, 2],
+              step=3, parallelism=1)
+    cached = run_experiments(df, decision_tree(seed=1), materialize="persist", **kw).collect()
+    table = run_experiments(df, decision_tree(seed=1), materialize="table", **kw).collect()
+    assert [tuple(r)[:5] for r in cached] == [tuple(r)[:5] for r in table]
+    assert all(r["accuracy"] is not None for r in table)
