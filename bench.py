@@ -35,6 +35,7 @@ def main(argv: list[str]) -> int:
                                                               F.lit("a b")).alias("t"))
          .select("k", F.explode(F.split("t", " ")).alias("w"))
          .groupBy("k", "w").count().write.format("noop").mode("overwrite").save())
+        spark.createDataFrame([(1, "a"), (2, "b")], "i int, s string").collect()
     names = argv[1:] or list(QUERIES)
     timings: dict[str, float] = {}
     errors: dict[str, str] = {}
