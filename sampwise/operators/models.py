@@ -48,6 +48,11 @@ def linear_svm(max_iter: int = 100, reg_param: float = 0.1,
                                     "standardization": standardization})
 
 
+# Trees need maxBins >= the levels of every categorical feature; beyond this many
+# levels the feature should be encoded differently, so the fit is refused.
+MAX_TREE_BINS = 10_000
+
+
 def _estimator(spec: ModelSpec, label_col: str, features_col: str, min_bins: int):
     params = {k: v for k, v in spec.params.items() if v is not None}
     if spec.kind == "decision_tree":
@@ -82,7 +87,11 @@ def train_and_score(train: DataFrame, test: DataFrame, spec: ModelSpec, *, label
     if spec.kind == "linear_svm" and classes != 2:
         raise ValueError(f"linear SVM needs exactly 2 label values, training rows have {classes}")
     feat_col = "scaledFeatures" if scale else "features"
-    estimator = _estimator(spec, "label", feat_col, max_category_levels(features))
+    levels = max_category_levels(features)
+    if spec.kind != "linear_svm" and levels > MAX_TREE_BINS:
+        raise ValueError(f"a categorical feature has {levels} levels; trees accept at most "
+                         f"{MAX_TREE_BINS} (maxBins)")
+    estimator = _estimator(spec, "label", feat_col, levels)
     train_f = features.transform(train)
     model = estimator.fit(train_f)
     if on_fitted is not None:

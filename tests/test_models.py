@@ -72,3 +72,16 @@ def test_accuracy_equals_evaluator(spark):
 def test_accuracy_empty_is_null(spark):
     empty = spark.createDataFrame([], "label double, prediction double")
     assert accuracy_value(empty) is None
+
+
+def test_too_many_levels_refused(spark, monkeypatch):
+    import sampwise.operators.models as M
+
+    monkeypatch.setattr(M, "MAX_TREE_BINS", 10)
+    rows = [(f"c{i % 40}", float(i % 2), "yes" if i % 2 else "no") for i in range(200)]
+    df = with_row_index(spark.createDataFrame(rows, "cat string, x double, y string")
+                        .coalesce(1), name="rid")
+    train, test = train_test_split(df, 0.8, 1, "rid")
+    with pytest.raises(ValueError, match="levels"):
+        train_and_score(train, test, decision_tree(), label="y", numeric=["x"],
+                        categorical=["cat"])
