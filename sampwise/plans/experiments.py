@@ -105,7 +105,17 @@ def keep(df: DataFrame, part_col: str, how: str) -> tuple[DataFrame, callable]:
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), f"sampwise-samples-{uuid.uuid4().hex}")
     df.write.partitionBy(part_col).parquet(path)
-    return spark.read.parquet(path), (lambda: None)
+    return spark.read.parquet(path), (lambda: _delete_path(spark, path))
+
+
+def _delete_path(spark, path: str) -> None:
+    """Remove a folder this module wrote, on whatever file system holds it."""
+    try:
+        jvm = spark._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+    except Exception:  # cleanup is best effort; the folder is under the checkpoint dir
+        pass
 
 
 def right_size(df: DataFrame, n_rows: int) -> DataFrame:

@@ -87,3 +87,20 @@ def test_table_materialisation_same_results(spark):
     table = run_experiments(df, decision_tree(seed=1), materialize="table", **kw).collect()
     assert [tuple(r)[:5] for r in cached] == [tuple(r)[:5] for r in table]
     assert all(r["accuracy"] is not None for r in table)
+
+
+def test_table_materialisation_is_removed(spark):
+    import glob
+    import os
+
+    from sampwise.plans.experiments import keep
+    from sampwise.session import checkpoint_dir
+
+    df = spark.range(100).selectExpr("id", "id % 3 AS p")
+    kept, release = keep(df, "p", "table")
+    assert kept.filter("p = 1").count() == 33
+    root = checkpoint_dir(spark).replace("file:", "")
+    before = set(glob.glob(os.path.join(root, "sampwise-samples-*")))
+    release()
+    after = set(glob.glob(os.path.join(root, "sampwise-samples-*")))
+    assert len(before - after) == 1
