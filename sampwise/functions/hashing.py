@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .columns import col as col_of
+
 # u = first 8 hex digits of md5('<seed>|<key>') read as an
 # unsigned 32-bit integer, divided by 2^32.  Any SQL engine with md5 can
 # reproduce it, so a split is checkable outside Spark.
@@ -20,7 +22,7 @@ def uniform(key: str | Column | Sequence[str | Column], seed: int | Column) -> C
     ``seed`` may be a column, so one pass can evaluate several seeded splits.
     """
     keys = [key] if isinstance(key, (str, Column)) else list(key)
-    cols = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
+    cols = [(col_of(k) if isinstance(k, str) else k).cast("string") for k in keys]
     seed_col = seed.cast("string") if isinstance(seed, Column) else F.lit(str(int(seed)))
     digest = F.md5(F.concat_ws("|", seed_col, *cols))
     word = F.conv(F.substring(digest, 1, HASH_HEX_DIGITS), 16, 10).cast("long")

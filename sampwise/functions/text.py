@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .columns import col as col_of
+
 # The characters Python's str.split() treats as whitespace.
 # All Unicode separators (category Z: Zs, Zl, Zp) plus these controls:
 # \t \n \x0b \x0c \r \x1c \x1d \x1e \x1f \x85.
@@ -14,7 +16,7 @@ WHITESPACE_RUN = WHITESPACE_CLASS + "+"
 
 
 def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    return col_of(c) if isinstance(c, str) else c
 
 
 def literal_regex(sep: str) -> str:

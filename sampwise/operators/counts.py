@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import col as col_of
 from ..functions.text import WHITESPACE_RUN, field_at
 from ..session import default_parallelism, num_splits
 
@@ -32,7 +33,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 def tokenize(df: DataFrame, col: str = "value", *, lower: bool = True,
              name: str = "word") -> DataFrame:
     """One row per whitespace token of ``col`` (``str.split()`` semantics), lower-cased."""
-    text = F.lower(F.col(col)) if lower else F.col(col)
+    text = F.lower(col_of(col)) if lower else col_of(col)
     words = df.select(F.explode(F.split(text, WHITESPACE_RUN)).alias(name))
     return words.filter(F.col(name) != "")
 

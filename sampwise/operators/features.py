@@ -15,6 +15,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import col as col_of, cols as by_name
+
 
 def indexed_name(col: str) -> str:
     return f"{col}_indexed"
@@ -46,7 +48,7 @@ def vector_columns(df: DataFrame, vector_col: str, names: Sequence[str]) -> Data
     """Unpack an ML vector into named double columns (vector dropped)."""
     arr = "_sw_arr"
     out = df.withColumn(arr, vector_to_array(F.col(vector_col)))
-    out = out.select(*[c for c in df.columns if c != vector_col],
+    out = out.select(*by_name([c for c in df.columns if c != vector_col]),
                      *[F.col(arr)[i].alias(n) for i, n in enumerate(names)])
     return out
 
@@ -65,7 +67,7 @@ def scale_columns(df: DataFrame, input_cols: Sequence[str], output_cols: Sequenc
     stats = df.agg(*aggs).first()
     outs = {}
     for i, (c, o) in enumerate(zip(input_cols, output_cols)):
-        x = F.col(c).cast("double")
+        x = col_of(c).cast("double")
         if with_mean:
             x = x - F.lit(stats[f"m{i}"] or 0.0)
         std = stats[f"s{i}"]

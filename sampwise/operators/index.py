@@ -43,6 +43,7 @@ from pyspark.sql.types import (ByteType, DateType, DecimalType, DoubleType, Floa
                                IntegerType, LongType, ShortType, StructField, StructType,
                                TimestampNTZType, TimestampType)
 
+from ..functions.columns import col as col_of, cols as by_name
 from ..session import checkpoint_dir, default_parallelism, num_splits
 
 POS_BITS = 33  # monotonically_increasing_id = split index << 33 | position in split
@@ -113,7 +114,7 @@ def _projection(df: DataFrame, key: str) -> Column | None:
     fields, never through a session time zone (DST gaps would break the order).
     """
     t = df.schema[key].dataType
-    c = F.col(key)
+    c = col_of(key)
     if isinstance(t, _NUMERIC):
         return c.cast("double")
     if isinstance(t, DateType):
@@ -163,7 +164,7 @@ def _scan_order_index(df: DataFrame, base: int, name: str) -> DataFrame:
     joined = _join_offsets(tagged, offsets, [_GRP],
                            BROADCAST_GROUP_LIMIT + 1 if splits is None else splits)
     pos = F.col(_MID).bitwiseAND(F.lit((1 << POS_BITS) - 1))
-    return joined.select((F.col(_OFF) + pos + F.lit(base)).alias(name), *cols)
+    return joined.select((F.col(_OFF) + pos + F.lit(base)).alias(name), *by_name(cols))
 
 
 def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_bucket: int,
@@ -183,7 +184,7 @@ def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_buck
         nb = min(max_buckets, max(nb, _ranges_for_cores(spark, n)))
         # bounded sample of the key (about sample_per_bucket x nb values) to the driver
         frac = min(1.0, sample_per_bucket * nb / max(n, 1))
-        sample = (df.select(F.col(key).alias("k"), proj.alias("d"))
+        sample = (df.select(col_of(key).alias("k"), proj.alias("d"))
                   .sample(False, frac, seed).toArrow())
         splits, hot_rows, null_width = _plan_ranges(sample, nb, sample_per_bucket)
         tagged = tagged.withColumn(_KEYD, F.coalesce(proj, F.lit(0.0)))
@@ -194,7 +195,7 @@ def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_buck
             tagged = tagged.withColumn(_BKT, F.lit(0.0))
         bound = (len(splits) + 2 * len(hot_rows) + sum(r[2] for r in hot_rows)
                  + null_width + 1)
-    k = F.col(key)
+    k = col_of(key)
     tie = F.lit(0).cast("long")
     if hot_rows:
         # rows of a hot value: spread over `width` groups by scan position; other
@@ -211,7 +212,7 @@ def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_buck
     null_tie = (F.pmod(F.xxhash64(F.col(_MID)), F.lit(null_width)) if null_width > 1
                 else F.lit(0).cast("long"))
     grouped = tagged.select(
-        *cols,
+        *by_name(cols),
         F.when(k.isNull(), F.lit(-1)).otherwise(F.col(_BKT).cast("int")).alias(_BKT),
         F.when(k.isNull(), null_tie).otherwise(tie).cast("long").alias(_TIE))
     return _number_groups(grouped, cols, k, base, name, bound)
@@ -248,7 +249,7 @@ def _number_groups(grouped: DataFrame, cols: Sequence[str], k, base: int, name:
     numbered = grouped.withColumn(_RN, F.row_number().over(w))
     joined = _join_offsets(numbered, offsets, keys, groups)
     return joined.select((F.col(_OFF) + F.col(_RN) - 1 + F.lit(base)).cast("long").alias(name),
-                         *cols)
+                         *by_name(cols))
 
 
 def _plan_ranges(sample: pa.Table, nb: int, per_bucket: int):
@@ -297,12 +298,12 @@ def _ranged_index(df: DataFrame, keys: list[str], base: int, name: str,
     checkpoint_dir(df.sparkSession)
     tie = "_sw_tie"
     ranged = (df.withColumn(tie, F.monotonically_increasing_id())
-              .repartitionByRange(nb, *[F.col(k).asc_nulls_first() for k in keys], F.col(tie))
-              .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys], F.col(tie)))
+              .repartitionByRange(nb, *[col_of(k).asc_nulls_first() for k in keys], F.col(tie))
+              .sortWithinPartitions(*[col_of(k).asc_nulls_first() for k in keys], F.col(tie)))
     stored = ranged.checkpoint(eager=True)
-    return _scan_order_index(stored.select(*cols), base, name)
+    return _scan_order_index(stored.select(*by_name(cols)), base, name)
 
 
 def with_unique_id(df: DataFrame, name: str = "uid") -> DataFrame:
     """Unique, increasing but not consecutive id (split index << 33 | position)."""
-    return df.select(F.monotonically_increasing_id().alias(name), *df.columns)
+    return df.select(F.monotonically_increasing_id().alias(name), *by_name(df.columns))

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
+from ..functions.columns import cols as by_name
 from ..functions.hashing import bucket_of, uniform
 from ..operators.models import ModelSpec, train_and_score
 from ..operators.sampling import draw_offsets, systematic_partition
@@ -66,7 +67,7 @@ def _needed(df: DataFrame, key: str | None, label: str, numeric, categorical) ->
     for c in cols:
         if c not in seen:
             seen.append(c)
-    return df.select(*seen)
+    return df.select(*by_name(seen))
 
 
 def _train_flag(key_col: str, seed, train_fraction: float):

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.columns import col as col_of
+
 
 def read_delimited(spark: SparkSession, path: str | list[str], *, sep: str = ",",
                    header: bool = True, schema: StructType | str | None = None,
@@ -49,7 +51,7 @@ def clean_column_names(df: DataFrame, mapping: Mapping[str, str] | None = None)
 
 def to_typed(df: DataFrame, spec: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Project to named, typed columns: ``{new_name: (source_column, spark_type)}``."""
-    return df.select([F.col(src).cast(typ).alias(new) for new, (src, typ) in spec.items()])
+    return df.select([col_of(src).cast(typ).alias(new) for new, (src, typ) in spec.items()])
 
 
 # The iris CSV header names and the names the models use.

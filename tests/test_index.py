@@ -179,3 +179,12 @@ def test_small_input_equal_width_ranges(spark, kind):
         assert rest[-1] != rest[-1]  # NaN last
         rest = rest[:-1]
     assert rest == sorted(rest)
+
+
+@pytest.mark.parametrize("order_by", [None, "k.v", "s.t"])
+def test_dotted_column_names(spark, order_by):
+    df = spark.range(0, 300, 1, 3).selectExpr("id * 7 % 300 AS `k.v`",
+                                              "cast(id AS string) AS `s.t`", "id AS `a.b`")
+    out = with_row_index(df, order_by)
+    assert out.columns == ["row_index", "k.v", "s.t", "a.b"]
+    assert indexes(out) == list(range(300))
