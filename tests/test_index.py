@@ -188,3 +188,21 @@ def test_dotted_column_names(spark, order_by):
     out = with_row_index(df, order_by)
     assert out.columns == ["row_index", "k.v", "s.t", "a.b"]
     assert indexes(out) == list(range(300))
+
+
+def test_timestamp_with_zone_key(spark):
+    import datetime as dt
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        base = dt.datetime(2024, 11, 3, 0, 0, 0, tzinfo=dt.timezone.utc)
+        stamps = [base + dt.timedelta(minutes=2 * ((i * 37) % 500)) for i in range(500)]
+        df = spark.createDataFrame([(s, i) for i, s in enumerate(stamps)], "ts timestamp, i int")
+        rows = sorted(with_row_index(df, "ts", rows_per_bucket=60,
+                                     sample_per_bucket=8).collect(),
+                      key=lambda r: r["row_index"])
+        assert [r["row_index"] for r in rows] == list(range(500))
+        got = [r["ts"] for r in rows]
+        assert got == sorted(got)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
