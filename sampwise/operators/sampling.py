@@ -10,6 +10,8 @@ Random splits come in two forms:
 * :func:`hash_split` (default): the bucket of a row is a function of
   ``(seed, key)`` only (md5 based), so it is the same on any cluster layout,
   under retries, and in any SQL engine with md5.  No sort, no shuffle.
+  ``hash_fn="xxhash64"`` draws about ten times cheaper per row, reproducible
+  in Spark only.
 * ``method="bernoulli"``: Spark's ``randomSplit``.  It sorts each partition
   to be retry-safe and its draw depends on the partitioning.
 """
@@ -102,21 +104,25 @@ def draw_offsets(step: int, n: int, seed: int | None = None, *,
 
 
 def split_column(key: str | Column | Sequence[str | Column], weights: Sequence[float],
-                 seed: int) -> Column:
+                 seed: int, hash_fn: str = "md5") -> Column:
     """Bucket ``0..len(weights)-1`` of each row, from ``uniform(key, seed)``."""
-    return bucket_of(uniform(key, seed), weights)
+    return bucket_of(uniform(key, seed, hash_fn=hash_fn), weights)
 
 
 def hash_split(df: DataFrame, weights: Sequence[float], seed: int,
-               key: str | Sequence[str], *, name: str = "split") -> DataFrame:
-    """Add ``name`` = the bucket a row falls in; weights need not sum to 1."""
+               key: str | Sequence[str], *, name: str = "split",
+               hash_fn: str = "md5") -> DataFrame:
+    """Add ``name`` = the bucket a row falls in; weights need not sum to 1.
+
+    ``hash_fn`` as in :func:`uniform` (md5: reproducible in SQL; xxhash64: faster).
+    """
     cumulative_bounds(weights)
-    return df.withColumn(name, split_column(key, weights, seed))
+    return df.withColumn(name, split_column(key, weights, seed, hash_fn))
 
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int,
                  key: str | Sequence[str] | None = None, *,
-                 method: str = "hash") -> list[DataFrame]:
+                 method: str = "hash", hash_fn: str = "md5") -> list[DataFrame]:
     """Split into ``len(weights)`` disjoint DataFrames covering ``df``.
 
     ``method="hash"`` needs a ``key`` (unique per row for exact proportions);
@@ -129,14 +135,15 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int,
     if key is None:
         raise ValueError("hash split needs a key column")
     tmp = "_sw_split"
-    tagged = hash_split(df, weights, seed, key, name=tmp)
+    tagged = hash_split(df, weights, seed, key, name=tmp, hash_fn=hash_fn)
     return [tagged.filter(F.col(tmp) == i).drop(tmp) for i in range(len(weights))]
 
 
 def train_test_split(df: DataFrame, train_fraction: float = 0.8, seed: int = 42,
                      key: str | Sequence[str] | None = None, *,
-                     method: str = "hash") -> tuple[DataFrame, DataFrame]:
+                     method: str = "hash",
+                     hash_fn: str = "md5") -> tuple[DataFrame, DataFrame]:
     """``(train, test)`` with about ``train_fraction`` of the rows in train."""
     train, test = random_split(df, [train_fraction, 1.0 - train_fraction], seed, key,
-                               method=method)
+                               method=method, hash_fn=hash_fn)
     return train, test

@@ -119,3 +119,18 @@ def test_bad_step(spark):
         systematic_sample(spark.range(3), 0)
     with pytest.raises(ValueError):
         systematic_partition(spark.range(3), 0)
+
+
+def test_xxhash_split_layout_independent(spark):
+    df = spark.range(0, 20000, 1, 3)
+    kw = dict(name="s", hash_fn="xxhash64")
+    a = {r["id"]: r["s"] for r in hash_split(df, [0.7, 0.3], 5, "id", **kw).collect()}
+    b = {r["id"]: r["s"] for r in hash_split(df.repartition(9), [0.7, 0.3], 5, "id",
+                                             **kw).collect()}
+    assert a == b
+    share = sum(1 for v in a.values() if v == 0) / len(a)
+    assert abs(share - 0.7) < 0.02
+    md5 = {r["id"]: r["s"] for r in hash_split(df, [0.7, 0.3], 5, "id", name="s").collect()}
+    assert md5 != a  # a different, equally valid draw
+    with pytest.raises(ValueError):
+        hash_split(df, [1, 1], 5, "id", hash_fn="crc")
