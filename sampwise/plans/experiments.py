@@ -70,8 +70,8 @@ def _needed(df: DataFrame, key: str | None, label: str, numeric, categorical) ->
     return df.select(*by_name(seen))
 
 
-def _train_flag(key_col: str, seed, train_fraction: float):
-    return uniform(key_col, seed) < F.lit(float(train_fraction))
+def _train_flag(key_col: str, seed, train_fraction: float, hash_fn: str = "md5"):
+    return uniform(key_col, seed, hash_fn=hash_fn) < F.lit(float(train_fraction))
 
 
 # Rows per task when fitting: iterative learners run one Spark job per
@@ -149,7 +149,8 @@ def experiment_table(spark, offsets: Sequence[int], seeds: Sequence[int]) -> Dat
 
 
 def experiment_sizes(indexed: DataFrame, key_col: str, experiments: DataFrame,
-                     train_fraction: float, part_col: str = "part") -> DataFrame:
+                     train_fraction: float, part_col: str = "part",
+                     hash_fn: str = "md5") -> DataFrame:
     """``(experiment_id, start_offset, num_samples, num_train, num_test)`` in one pass.
 
     Each row meets the experiments whose offset equals its residue class (a
@@ -158,7 +159,7 @@ def experiment_sizes(indexed: DataFrame, key_col: str, experiments: DataFrame,
     Experiments with an empty sample keep zero counts.
     """
     tagged = indexed.join(F.broadcast(experiments), F.col(part_col) == F.col("start_offset"))
-    flag = _train_flag(key_col, F.col("seed"), train_fraction).cast("long")
+    flag = _train_flag(key_col, F.col("seed"), train_fraction, hash_fn).cast("long")
     counts = tagged.groupBy("experiment_id").agg(F.count(F.lit(1)).alias("_n"),
                                                  F.sum(flag).alias("_t"))
     n = F.coalesce(F.col("_n"), F.lit(0)).cast("long")
@@ -174,12 +175,13 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
                     offsets: Sequence[int] | None = None, split_seed_base: int = 42,
                     train_fraction: float = 0.8, replace: bool = True,
                     parallelism: int = DEFAULT_PARALLELISM,
-                    materialize: str = "auto") -> DataFrame:
+                    materialize: str = "auto", hash_fn: str = "md5") -> DataFrame:
     """One result row per experiment (``RESULT_SCHEMA``), ``experiment_id`` from 1.
 
     ``key`` orders the index and seeds the train/test hash; without it rows are
     numbered in input order and the index itself is the split key.
-    ``materialize`` is passed to :func:`keep`.
+    ``materialize`` is passed to :func:`keep`; ``hash_fn`` picks the train/test
+    draw (see :func:`uniform`).
     """
     spark = df.sparkSession
     if offsets is None:
@@ -200,7 +202,7 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
         plan = experiment_table(spark, offsets, seeds)
         sizes = {r["experiment_id"]: (r["num_samples"], r["num_train"], r["num_test"])
                  for r in experiment_sizes(work, split_key, plan, train_fraction,
-                                           "_sw_part").collect()}
+                                           "_sw_part", hash_fn).collect()}
 
         def one(i: int) -> tuple:
             off, seed = offsets[i], seeds[i]
@@ -210,7 +212,7 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
             if n_train == 0 or n_test == 0:
                 return (i + 1, off, n, n_train, n_test, None, "empty train or test part")
             sample = work.filter(F.col("_sw_part") == off)
-            flag = _train_flag(split_key, seed, train_fraction)
+            flag = _train_flag(split_key, seed, train_fraction, hash_fn)
             acc, err = _score(sample.filter(flag), sample.filter(~flag), spec, label,
                               numeric, categorical, n_train, n_test)
             return (i + 1, off, n, n_train, n_test, acc, err)
@@ -226,7 +228,7 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
                  method: str = "systematic", split_seed: int = 1, part_seed: int = 42,
                  train_fraction: float = 0.8,
                  parallelism: int = DEFAULT_PARALLELISM,
-                 materialize: str = "auto") -> DataFrame:
+                 materialize: str = "auto", hash_fn: str = "md5") -> DataFrame:
     """Cut the table into ``n_parts`` disjoint parts, one model per part.
 
     ``method="systematic"``: part = index mod n_parts.  ``"random"``: equal-weight
@@ -241,14 +243,14 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
     elif method == "random":
         if key is None:
             raise ValueError("random parts need a key")
-        parted = narrow.withColumn("_sw_part", bucket_of(uniform(key, part_seed),
-                                                         [1.0] * n_parts))
+        parted = narrow.withColumn("_sw_part", bucket_of(
+            uniform(key, part_seed, hash_fn=hash_fn), [1.0] * n_parts))
         split_key = key
     else:
         raise ValueError("method must be 'systematic' or 'random'")
     parted, release = keep(parted, "_sw_part", choose_keep(narrow, materialize))
     try:
-        flag = _train_flag(split_key, split_seed, train_fraction)
+        flag = _train_flag(split_key, split_seed, train_fraction, hash_fn)
         sizes = {r["_sw_part"]: (int(r["n"]), int(r["t"] or 0)) for r in
                  parted.groupBy("_sw_part").agg(F.count(F.lit(1)).alias("n"),
                                                  F.sum(flag.cast("long")).alias("t")).collect()}

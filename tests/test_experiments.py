@@ -104,3 +104,11 @@ def test_table_materialisation_is_removed(spark):
     release()
     after = set(glob.glob(os.path.join(root, "sampwise-samples-*")))
     assert len(before - after) == 1
+
+
+def test_xxhash_draw_in_experiments(spark):
+    df = spark.createDataFrame(iris_like_rows(), IRIS_SCHEMA).coalesce(1)
+    rows = run_experiments(df, decision_tree(seed=1), label="species",
+                           numeric=["sepal_length", "petal_length"], offsets=[0, 1], step=3,
+                           hash_fn="xxhash64").collect()
+    assert all(r["num_samples"] == 50 and r["accuracy"] is not None for r in rows)
