@@ -40,6 +40,7 @@ from ..functions.hashing import bucket_of, uniform
 from ..operators.models import ModelSpec, train_and_score
 from ..operators.sampling import draw_offsets, systematic_partition
 from ..session import checkpoint_dir
+from ..sources.rows import from_literals
 
 RESULT_SCHEMA = StructType([
     StructField("experiment_id", IntegerType(), False),
@@ -145,7 +146,7 @@ EXPERIMENT_SCHEMA = StructType([
 def experiment_table(spark, offsets: Sequence[int], seeds: Sequence[int]) -> DataFrame:
     """``(experiment_id, start_offset, seed)``: one row per planned experiment."""
     rows = [(i + 1, int(o), int(s)) for i, (o, s) in enumerate(zip(offsets, seeds))]
-    return spark.createDataFrame(rows, EXPERIMENT_SCHEMA)
+    return from_literals(spark, rows, EXPERIMENT_SCHEMA)
 
 
 def experiment_sizes(indexed: DataFrame, key_col: str, experiments: DataFrame,

@@ -2,11 +2,11 @@
 
 from .delimited import (IRIS_COLUMNS, clean_column_names, clean_name, read_delimited,
                         read_iris, to_typed)
-from .rows import from_rows
+from .rows import from_literals, from_rows
 from .tables import TABLES, table
 from .text import read_lines
 
 __all__ = [
-    "IRIS_COLUMNS", "TABLES", "clean_column_names", "clean_name", "from_rows",
+    "IRIS_COLUMNS", "TABLES", "clean_column_names", "clean_name", "from_literals", "from_rows",
     "read_delimited", "read_iris", "read_lines", "table", "to_typed",
 ]

@@ -46,3 +46,17 @@ def test_from_rows_and_unique_id(spark):
 def test_tables_readable(spark):
     for name in TABLES:
         assert table(spark, SF_SMALL, name).columns
+
+
+def test_from_literals(spark):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+    from sampwise.sources.rows import from_literals
+
+    schema = StructType([StructField("a", IntegerType(), False),
+                         StructField("b", StringType(), True)])
+    df = from_literals(spark, [(1, "x"), (2, None)], schema)
+    assert df.schema.fieldNames() == ["a", "b"] and dict(df.dtypes)["a"] == "int"
+    assert sorted(tuple(r) for r in df.collect()) == [(1, "x"), (2, None)]
+    assert df.rdd.getNumPartitions() == 1
+    assert from_literals(spark, [], schema).count() == 0
