@@ -45,6 +45,7 @@ from pyspark.sql.types import (ByteType, DateType, DecimalType, DoubleType, Floa
 
 from ..functions.columns import col as col_of, cols as by_name
 from ..session import checkpoint_dir, default_parallelism, num_splits
+from ..sources.rows import from_literals
 
 POS_BITS = 33  # monotonically_increasing_id = split index << 33 | position in split
 BROADCAST_GROUP_LIMIT = 2_000_000
@@ -200,7 +201,7 @@ def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_buck
     if hot_rows:
         # rows of a hot value: spread over `width` groups by scan position; other
         # rows of the same range go before (-1) or after (width) them
-        hot = spark.createDataFrame(hot_rows, StructType([
+        hot = from_literals(spark, hot_rows, StructType([
             StructField(_BKT, DoubleType(), False),
             StructField(_HOT, df.schema[key].dataType, False),
             StructField(_WID, LongType(), False)]))
