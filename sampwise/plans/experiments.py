@@ -165,7 +165,8 @@ def experiment_sizes(indexed: DataFrame, key_col: str, experiments: DataFrame,
                                                  F.sum(flag).alias("_t"))
     n = F.coalesce(F.col("_n"), F.lit(0)).cast("long")
     t = F.coalesce(F.col("_t"), F.lit(0)).cast("long")
-    return (experiments.join(counts, "experiment_id", "left")
+    # counts has at most one row per experiment: a bounded broadcast
+    return (experiments.join(F.broadcast(counts), "experiment_id", "left")
             .select("experiment_id", "start_offset", n.alias("num_samples"),
                     t.alias("num_train"), (n - t).alias("num_test")))
 
