@@ -222,7 +222,7 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
         rows = _run_all(spark, one, len(offsets), parallelism)
     finally:
         release()
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
+    return from_literals(spark, rows, RESULT_SCHEMA)
 
 
 def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequence[str],
@@ -272,7 +272,7 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
         rows = _run_all(spark, one, n_parts, parallelism)
     finally:
         release()
-    return spark.createDataFrame(rows, PART_RESULT_SCHEMA)
+    return from_literals(spark, rows, PART_RESULT_SCHEMA)
 
 
 def _run_all(spark, fn, n: int, parallelism: int) -> list[tuple]:
