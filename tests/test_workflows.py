@@ -63,3 +63,18 @@ def test_cli(spark, tmp_dir, capsys):
     back = spark.read.option("header", True).csv(out_dir)
     assert back.count() == 11
     assert SPECIES  # fixture import used by other tests in this module
+
+
+def test_cli_other_jobs(spark, tmp_dir, capsys):
+    lines = "\n".join(f"{i},c,{i},K{i % 2}" for i in range(10)) + "\n"
+    assert main(["top-fields", write(tmp_dir, "o.txt", lines), "--k", "2"]) == 0
+    assert "K0" in capsys.readouterr().out
+    bank = write(tmp_dir, "b.csv", bank_csv_text(60))
+    assert main(["sample", bank, "--seed", "2", "--show", "3"]) == 0
+    out = capsys.readouterr().out
+    assert "start offset" in out and "row_index" in out
+    assert main(["iris", write(tmp_dir, "i.csv", iris_csv_text())]) == 0
+    assert "accuracy" in capsys.readouterr().out
+    assert main(["experiments", bank, "--model", "dt", "--seed", "4"]) == 0
+    out = capsys.readouterr().out
+    assert "avg_accuracy" in out and "experiment_id" in out
