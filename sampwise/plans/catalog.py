@@ -240,7 +240,8 @@ def q_per_part_models(spark, sf_dir):
 def q_random_part_models(spark, sf_dir):
     return run_per_part(bank(spark, sf_dir), decision_tree(), label=BANK_LABEL,
                         numeric=BANK_NUMERIC, categorical=BANK_CATEGORICAL, key=BANK_KEY,
-                        n_parts=N_PARTS, method="random", split_seed=1, part_seed=SPLIT3_SEED)
+                        n_parts=N_PARTS, method="random", split_seed=1, part_seed=SPLIT3_SEED,
+                        part_weights=SPLIT3_WEIGHTS)
 
 
 QUERIES: dict[str, Query] = {

@@ -228,13 +228,14 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
 def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequence[str],
                  categorical: Sequence[str] = (), key: str | None = None, n_parts: int = 3,
                  method: str = "systematic", split_seed: int = 1, part_seed: int = 42,
+                 part_weights: Sequence[float] | None = None,
                  train_fraction: float = 0.8,
                  parallelism: int = DEFAULT_PARALLELISM,
                  materialize: str = "auto", hash_fn: str = "md5") -> DataFrame:
     """Cut the table into ``n_parts`` disjoint parts, one model per part.
 
-    ``method="systematic"``: part = index mod n_parts.  ``"random"``: equal-weight
-    hash split seeded by ``part_seed`` (needs ``key``).
+    ``method="systematic"``: part = index mod n_parts.  ``"random"``: hash split
+    seeded by ``part_seed`` with ``part_weights`` (equal by default; needs ``key``).
     """
     spark = df.sparkSession
     narrow = _needed(df, key, label, numeric, categorical)
@@ -245,8 +246,11 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
     elif method == "random":
         if key is None:
             raise ValueError("random parts need a key")
+        weights = list(part_weights) if part_weights is not None else [1.0] * n_parts
+        if len(weights) != n_parts:
+            raise ValueError("part_weights needs one weight per part")
         parted = narrow.withColumn("_sw_part", bucket_of(
-            uniform(key, part_seed, hash_fn=hash_fn), [1.0] * n_parts))
+            uniform(key, part_seed, hash_fn=hash_fn), weights))
         split_key = key
     else:
         raise ValueError("method must be 'systematic' or 'random'")

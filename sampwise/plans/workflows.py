@@ -27,6 +27,7 @@ BANK_CATEGORICAL = ("job", "marital", "education", "default", "housing", "loan",
 BANK_LABEL = "y"
 IRIS_NUMERIC = ("sepal_length", "sepal_width", "petal_length", "petal_width")
 IRIS_LABEL = "species"
+RANDOM_PART_WEIGHTS = (0.33, 0.33, 0.34)
 
 
 def words_in_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -94,16 +95,20 @@ def bank_experiments(spark: SparkSession, path: str | list[str], kind: str = "dt
 
 
 def iris_parts(spark: SparkSession, path: str, *, method: str = "systematic",
-               n_parts: int = 3, split_seed: int = 1, part_seed: int = 42) -> DataFrame:
+               n_parts: int = 3, split_seed: int = 1, part_seed: int = 42,
+               part_weights: Sequence[float] | None = None) -> DataFrame:
     """Iris CSV cut into ``n_parts`` parts, one decision tree per part, accuracy each.
 
-    ``method="random"`` needs a key; the file-order index serves as one.
+    ``method="random"`` needs a key; the file-order index serves as one.  With
+    three parts the random weights default to 0.33 / 0.33 / 0.34.
     """
     df = read_iris(spark, path)
     key = None
     if method == "random":
         df = with_row_index(df, name="row_id")
         key = "row_id"
+        if part_weights is None and n_parts == 3:
+            part_weights = RANDOM_PART_WEIGHTS
     return run_per_part(df, decision_tree(), label=IRIS_LABEL, numeric=IRIS_NUMERIC,
                         key=key, n_parts=n_parts, method=method, split_seed=split_seed,
-                        part_seed=part_seed)
+                        part_seed=part_seed, part_weights=part_weights)

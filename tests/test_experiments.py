@@ -112,3 +112,16 @@ def test_xxhash_draw_in_experiments(spark):
                            numeric=["sepal_length", "petal_length"], offsets=[0, 1], step=3,
                            hash_fn="xxhash64").collect()
     assert all(r["num_samples"] == 50 and r["accuracy"] is not None for r in rows)
+
+
+def test_random_parts_weights(spark):
+    df = spark.range(0, 3000, 1, 3).selectExpr("id", "cast(id % 2 AS string) AS y",
+                                                "cast(id % 2 AS double) AS x")
+    rows = run_per_part(df, decision_tree(), label="y", numeric=["x"], key="id",
+                        n_parts=3, method="random", part_weights=[0.2, 0.3, 0.5]).collect()
+    sizes = [r["num_samples"] for r in sorted(rows, key=lambda r: r["part"])]
+    assert sum(sizes) == 3000
+    assert [round(s / 3000, 1) for s in sizes] == [0.2, 0.3, 0.5]
+    with pytest.raises(ValueError):
+        run_per_part(df, decision_tree(), label="y", numeric=["x"], key="id", n_parts=3,
+                     method="random", part_weights=[1, 1])
