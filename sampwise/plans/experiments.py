@@ -28,6 +28,7 @@ import os
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace as with_changes
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -177,13 +178,15 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
                     offsets: Sequence[int] | None = None, split_seed_base: int = 42,
                     train_fraction: float = 0.8, replace: bool = True,
                     parallelism: int = DEFAULT_PARALLELISM,
-                    materialize: str = "auto", hash_fn: str = "md5") -> DataFrame:
+                    materialize: str = "auto", hash_fn: str = "md5",
+                    seed_models: bool = True) -> DataFrame:
     """One result row per experiment (``RESULT_SCHEMA``), ``experiment_id`` from 1.
 
     ``key`` orders the index and seeds the train/test hash; without it rows are
     numbered in input order and the index itself is the split key.
     ``materialize`` is passed to :func:`keep`; ``hash_fn`` picks the train/test
-    draw (see :func:`uniform`).
+    draw (see :func:`uniform`).  With ``seed_models`` a seeded model (tree,
+    forest) gets its experiment's split seed ``split_seed_base + i``.
     """
     spark = df.sparkSession
     if offsets is None:
@@ -215,7 +218,10 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
                 return (i + 1, off, n, n_train, n_test, None, "empty train or test part")
             sample = work.filter(F.col("_sw_part") == off)
             flag = _train_flag(split_key, seed, train_fraction, hash_fn)
-            acc, err = _score(sample.filter(flag), sample.filter(~flag), spec, label,
+            spec_i = spec
+            if seed_models and "seed" in spec.params:
+                spec_i = with_changes(spec, params={**spec.params, "seed": seed})
+            acc, err = _score(sample.filter(flag), sample.filter(~flag), spec_i, label,
                               numeric, categorical, n_train, n_test)
             return (i + 1, off, n, n_train, n_test, acc, err)
 
