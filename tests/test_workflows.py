@@ -78,3 +78,16 @@ def test_cli_other_jobs(spark, tmp_dir, capsys):
     assert main(["experiments", bank, "--model", "dt", "--seed", "4"]) == 0
     out = capsys.readouterr().out
     assert "avg_accuracy" in out and "experiment_id" in out
+
+
+def test_crlf_and_gzip_text(spark, tmp_dir):
+    import gzip
+
+    crlf = write(tmp_dir, "crlf.txt", "1,a,b,K1\r\n2,a,b,K1\r\n3,a,b,K2\r\n")
+    got = {r["key"]: r["count"] for r in W.top_fields_in_file(spark, crlf).collect()}
+    assert got == {"K1": 2, "K2": 1}  # no '\r' left on the last field
+    gz = f"{tmp_dir}/in.txt.gz"
+    with gzip.open(gz, "wt") as fh:
+        fh.write(D1 * 50)
+    counts = {r["word"]: r["count"] for r in W.words_in_file(spark, gz).collect()}
+    assert counts["spark"] == 100 and len(counts) == 11
