@@ -206,3 +206,13 @@ def test_timestamp_with_zone_key(spark):
         assert got == sorted(got)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("order_by", [None, "k"])
+def test_recomputation_gives_same_index(spark, tmp_dir, order_by):
+    path = f"{tmp_dir}/re_{order_by}"
+    spark.range(0, 20000, 1, 6).selectExpr("(id * 7919) % 20011 AS k", "id").write.parquet(path)
+    out = with_row_index(spark.read.parquet(path), order_by, rows_per_bucket=1500)
+    first = {r["id"]: r["row_index"] for r in out.collect()}
+    second = {r["id"]: r["row_index"] for r in out.collect()}  # a second, full re-run
+    assert first == second and sorted(first.values()) == list(range(20000))
