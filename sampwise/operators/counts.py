@@ -31,10 +31,14 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 def tokenize(df: DataFrame, col: str = "value", *, lower: bool = True,
-             name: str = "word") -> DataFrame:
-    """One row per whitespace token of ``col`` (``str.split()`` semantics), lower-cased."""
+             name: str = "word", keep: Sequence[str] = ()) -> DataFrame:
+    """One row per whitespace token of ``col`` (``str.split()`` semantics), lower-cased.
+
+    ``keep`` names columns carried along with every token (e.g. a document id).
+    """
     text = F.lower(col_of(col)) if lower else col_of(col)
-    words = df.select(F.explode(F.split(text, WHITESPACE_RUN)).alias(name))
+    words = df.select(*[col_of(k) for k in keep],
+                      F.explode(F.split(text, WHITESPACE_RUN)).alias(name))
     return words.filter(F.col(name) != "")
 
 

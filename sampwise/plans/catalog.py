@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import HASH_HEX_DIGITS, HASH_SCALE, cumulative_bounds
 from ..functions.text import WHITESPACE_RUN
-from ..operators.counts import (count_by, field_count, head, row_counts, spread, top_k,
-                                word_count)
+from ..operators.counts import (count_by, field_count, head, row_counts, spread, tokenize,
+                                top_k, word_count)
 from ..operators.features import index_columns, scale_columns, assemble, vector_columns
 from ..operators.index import with_row_index
 from ..operators.metrics import accuracy, confusion
@@ -46,6 +46,7 @@ OFFSET_SEED = 7
 SPLIT_SEED_BASE = 42
 LONG_DOC_CHARS = 200
 TOP_K = 10
+RICH_ACCTBAL = 5000.0
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +75,23 @@ def q_field_count_top10(spark, sf_dir):
     return top_k(counts, TOP_K, "count", tie_break="key")
 
 
+def q_tokens_per_document(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_by(tokenize(spread(docs), "text", keep=["doc_id"]), "doc_id")
+
+
+def customer_lines(customer: DataFrame) -> DataFrame:
+    """Comma lines with 4 fields for rich customers and 3 (segment left out) otherwise."""
+    segment = F.when(F.col("c_acctbal") > RICH_ACCTBAL, F.col("c_mktsegment"))
+    return customer.select(F.concat_ws(",", "c_custkey", "c_name", "c_nationkey", segment)
+                           .alias("value"))
+
+
+def q_field_count_short_lines(spark, sf_dir):
+    return field_count(customer_lines(_t(spark, sf_dir, "customer")), ",", 3,
+                       on_missing="null")
+
+
 def q_custkey_top10(spark, sf_dir):
     counts = count_by(_t(spark, sf_dir, "orders"), "o_custkey")
     return top_k(counts, TOP_K, "count", tie_break="o_custkey")
@@ -248,6 +266,8 @@ QUERIES: dict[str, Query] = {
     "word_count": q_word_count,
     "field_count_top10": q_field_count_top10,
     "custkey_top10": q_custkey_top10,
+    "tokens_per_document": q_tokens_per_document,
+    "field_count_short_lines": q_field_count_short_lines,
     "row_counts": q_row_counts,
     "row_index": q_row_index,
     "row_index_scan_order": q_row_index_scan_order,
@@ -311,6 +331,13 @@ def _oracle() -> dict[str, str]:
     sql["field_count_top10"] = (
         "SELECT o_orderpriority AS key, count(*) AS count FROM orders GROUP BY o_orderpriority "
         f"ORDER BY count DESC, key ASC LIMIT {TOP_K}")
+    sql["tokens_per_document"] = (
+        "SELECT doc_id, count(*) AS count FROM ("
+        f"SELECT doc_id, unnest(regexp_split_to_array(lower(text), '{ws}')) AS word "
+        "FROM documents) WHERE word <> '' GROUP BY doc_id")
+    sql["field_count_short_lines"] = (
+        f"SELECT CASE WHEN c_acctbal > {RICH_ACCTBAL!r} THEN c_mktsegment END AS key, "
+        "count(*) AS count FROM customer GROUP BY 1")
     sql["custkey_top10"] = (
         "SELECT o_custkey, count(*) AS count FROM orders GROUP BY o_custkey "
         f"ORDER BY count DESC, o_custkey ASC LIMIT {TOP_K}")
