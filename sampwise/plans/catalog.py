@@ -207,15 +207,34 @@ def q_scaled(spark, sf_dir):
                       F.round("extendedprice_scaled", 4).alias("extendedprice_scaled"))
 
 
-def rule_predictions(spark, sf_dir) -> DataFrame:
+def rule_predictions(spark, sf_dir, keep_id: bool = False) -> DataFrame:
     """Label = ``labels.quality``; prediction = 1 when a document is long."""
     docs = _t(spark, sf_dir, "documents").select("doc_id", "n_chars")
     labels = _t(spark, sf_dir, "labels").select("doc_id", "quality")
     return docs.join(labels, "doc_id").select(
+        *(["doc_id"] if keep_id else []),
         F.col("quality").cast("double").alias("label"),
         (F.col("n_chars") > LONG_DOC_CHARS).cast("double").alias("prediction"))
 
 
+def q_rule_accuracy_by_part(spark, sf_dir):
+    """The fixed rule scored on each part of a systematic 5-way partition."""
+    preds = rule_predictions(spark, sf_dir, keep_id=True)
+    parts = systematic_partition(preds, SAMPLE_STEP, order_by="doc_id",
+                                 deterministic_input=False)
+    hit = F.col("label") == F.col("prediction")
+    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("num_samples"),
+                                     F.avg(hit.cast("double")).alias("accuracy"))
+
+
+def q_rule_accuracy_summary(spark, sf_dir):
+    """Planned/finished/average/lowest/highest over the per-part accuracies."""
+    per_part = q_rule_accuracy_by_part(spark, sf_dir)
+    s = summarise(per_part)
+    return s.select("planned", "finished", F.round("avg_accuracy", 10).alias("avg_accuracy"),
+                    "min_accuracy", "max_accuracy")
+
+
 def q_accuracy(spark, sf_dir):
     return accuracy(rule_predictions(spark, sf_dir))
 
@@ -286,6 +305,8 @@ QUERIES: dict[str, Query] = {
     "assembled": q_assembled,
     "scaled": q_scaled,
     "accuracy": q_accuracy,
+    "rule_accuracy_by_part": q_rule_accuracy_by_part,
+    "rule_accuracy_summary": q_rule_accuracy_summary,
     "confusion": q_confusion,
     "dt_experiments": q_dt_experiments,
     "rf_experiments": q_rf_experiments,
@@ -415,6 +436,17 @@ def _oracle() -> dict[str, str]:
         "SELECT count(*) AS n, CAST(sum(CASE WHEN label = prediction THEN 1 ELSE 0 END) "
         "AS BIGINT) AS n_correct, avg(CAST(label = prediction AS DOUBLE)) "
         f"AS accuracy FROM ({rule})")
+    by_part = (
+        f"SELECT ri % {SAMPLE_STEP} AS part, count(*) AS num_samples, "
+        "avg(CAST(label = prediction AS DOUBLE)) AS accuracy FROM ("
+        "SELECT label, prediction, row_number() OVER (ORDER BY doc_id ASC NULLS FIRST) - 1 "
+        f"AS ri FROM (SELECT doc_id, {pred} FROM documents JOIN labels USING (doc_id))) "
+        "GROUP BY 1")
+    sql["rule_accuracy_by_part"] = by_part
+    sql["rule_accuracy_summary"] = (
+        "SELECT count(*) AS planned, count(accuracy) AS finished, "
+        "round(avg(accuracy), 10) AS avg_accuracy, min(accuracy) AS min_accuracy, "
+        f"max(accuracy) AS max_accuracy FROM ({by_part})")
     sql["confusion"] = (
         f"SELECT label, prediction, count(*) AS count FROM ({rule}) GROUP BY label, prediction")
     return sql
