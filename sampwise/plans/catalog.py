@@ -18,7 +18,7 @@ from ..functions.text import WHITESPACE_RUN
 from ..operators.counts import (count_by, field_count, head, row_counts, spread, tokenize,
                                 top_k, word_count)
 from ..operators.features import index_columns, scale_columns, assemble, vector_columns
-from ..operators.index import with_row_index
+from ..operators.index import with_row_index, with_unique_id
 from ..operators.metrics import accuracy, confusion
 from ..operators.models import decision_tree, linear_svm, random_forest
 from ..operators.sampling import (draw_offsets, hash_split, interval_sample, systematic_partition,
@@ -115,6 +115,12 @@ def q_row_index_scan_order(spark, sf_dir):
                    F.countDistinct("row_index").alias("distinct_index"))
 
 
+def q_unique_ids(spark, sf_dir):
+    """Unique increasing id (not consecutive); checked by its order-free facts."""
+    ids = with_unique_id(_t(spark, sf_dir, "lineitem").select("l_orderkey"), "uid")
+    return ids.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("uid").alias("distinct_ids"))
+
+
 def q_systematic_sample(spark, sf_dir):
     return systematic_sample(_t(spark, sf_dir, "orders"), SAMPLE_STEP, SAMPLE_START,
                              order_by="o_orderkey")
@@ -290,6 +296,7 @@ QUERIES: dict[str, Query] = {
     "row_counts": q_row_counts,
     "row_index": q_row_index,
     "row_index_scan_order": q_row_index_scan_order,
+    "unique_ids": q_unique_ids,
     "systematic_sample": q_systematic_sample,
     "systematic_sample_1based": q_systematic_sample_1based,
     "sample_head5": q_sample_head5,
@@ -368,6 +375,7 @@ def _oracle() -> dict[str, str]:
     sql["row_index_scan_order"] = (
         "SELECT count(*) AS n, CAST(0 AS BIGINT) AS min_index, CAST(count(*) - 1 AS BIGINT)"
         " AS max_index, count(*) AS distinct_index FROM orders")
+    sql["unique_ids"] = "SELECT count(*) AS n, count(*) AS distinct_ids FROM lineitem"
     sql["systematic_sample"] = (
         f"SELECT * FROM ({_sql_index('orders', 'o_orderkey')}) "
         f"WHERE ((row_index - {SAMPLE_START}) % {SAMPLE_STEP} + {SAMPLE_STEP}) % {SAMPLE_STEP} = 0")
