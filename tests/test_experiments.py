@@ -125,3 +125,18 @@ def test_random_parts_weights(spark):
     with pytest.raises(ValueError):
         run_per_part(df, decision_tree(), label="y", numeric=["x"], key="id", n_parts=3,
                      method="random", part_weights=[1, 1])
+
+
+def test_auto_materialisation_switches_to_table(spark, monkeypatch):
+    import sampwise.plans.experiments as E
+
+    df = spark.range(100)
+    assert E.choose_keep(df, "auto") == "persist"
+    monkeypatch.setattr(E, "TABLE_ROWS", 50)
+    assert E.choose_keep(df, "auto") == "table"
+    assert E.choose_keep(df, "persist") == "persist"
+    iris = spark.createDataFrame(iris_like_rows(), IRIS_SCHEMA).coalesce(1)
+    rows = run_experiments(iris, decision_tree(seed=1), label="species",
+                           numeric=["sepal_length", "petal_length"], offsets=[0], step=3,
+                           parallelism=1).collect()
+    assert rows[0]["num_samples"] == 50 and rows[0]["accuracy"] is not None
