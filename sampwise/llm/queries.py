@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampwise.llm import chat, urls
+from sampwise.llm import chat, exact, urls
 from sampwise.llm.shared import read
 
 #: The rules of the URL query: (host, path, verdict).
@@ -22,6 +22,11 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnRenamed("id", "page_id").drop("n_rules"))
 
 
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (exact.find_copies(read(spark, sf_dir, "documents"))
+            .withColumnRenamed("id", "doc_id"))
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = chat.END + chat.START + "assistant ok"
@@ -44,6 +49,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_url_filters": op5_url_filters,
+    "op6_exact_dedup": op6_exact_dedup,
     "op9_chat_formatting": op9_chat_formatting,
 }
 
@@ -62,6 +68,13 @@ hits AS (
 SELECT page_id, host, path, l[1].rule AS rule, coalesce(l[1].v, 'allow') AS verdict FROM hits
 """.format(rules=", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES))
 
+_COPIES = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""
+
 _CHATS = """
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -86,5 +99,6 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
 
 ORACLE_SQL = {
     "op5_url_filters": _URL_VERDICTS,
+    "op6_exact_dedup": _COPIES,
     "op9_chat_formatting": _CHATS,
 }
