@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampwise.llm import chat, exact, urls
+from sampwise.llm import chat, exact, topk, urls
 from sampwise.llm.shared import read
 
 #: The rules of the URL query: (host, path, verdict).
@@ -47,10 +47,15 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op5_url_filters": op5_url_filters,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_exact_top_k": op10_exact_top_k,
 }
 
 _URL_VERDICTS = """
@@ -97,8 +102,23 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
        sha256(loss) AS loss_sha256, formatted_chars::BIGINT AS formatted_chars FROM g
 """
 
+_TOP_K = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER w AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 5
+"""
+
 ORACLE_SQL = {
     "op5_url_filters": _URL_VERDICTS,
     "op6_exact_dedup": _COPIES,
     "op9_chat_formatting": _CHATS,
+    "op10_exact_top_k": _TOP_K,
 }
