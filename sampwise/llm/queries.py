@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampwise.llm import chat, exact, topk, urls
+from sampwise.llm import chat, exact, mixing, subword, topk, urls
 from sampwise.llm.shared import read
 
 #: The rules of the URL query: (host, path, verdict).
@@ -14,6 +14,40 @@ URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"),
              ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
              ("net", "/fr/", "block"))
 
+#: A score from here on predicts label 1.
+QUALITY_THRESHOLD = 0.3
+#: Target shares of the tokens, in the order of ``mixing.DOMAINS``.
+MIX_SHARES = (0.02, 0.96, 0.02)
+
+
+def held_out():
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> subword.SubwordModel:
+    """Learned from the labelled rows that are not held out; class 1 is good quality."""
+    label = F.when(F.col("quality").isin(0, 1), F.col("quality"))
+    return subword.train(docs, labels, label, 2, where=~held_out())
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = quality_model(docs, read(spark, sf_dir, "labels")).score(docs)
+    score = F.get("p", F.lit(1))
+    return scored.withColumnRenamed("id", "doc_id").select(
+        "doc_id", held_out().alias("held_out"), score.alias("score"),
+        (score >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: posteriors, tokens, the fitted rate and the copies it draws."""
+    rates = mixing.mixing_rates(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"),
+                                MIX_SHARES)
+    return rates.select(
+        F.col("id").alias("doc_id"), "n_words",
+        *[F.get("p", F.lit(k)).alias(f"p_{name}") for k, name in enumerate(mixing.DOMAINS)],
+        "rate", mixing.copies_of(F.col("rate"), F.col("id")).alias("copies"))
+
 
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
@@ -52,6 +86,8 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_source_mixing": op2_source_mixing,
     "op5_url_filters": op5_url_filters,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_chat_formatting": op9_chat_formatting,
