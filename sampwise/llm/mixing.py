@@ -9,10 +9,11 @@ the mix, such that the expected tokens of each domain,
 match the target totals T.  Projected gradient descent on the least-squares misfit
 (A - T)' G^-1 (A - T), with G = sum_i tokens_i p_i p_i' and steps in the token metric,
 starts from r = 1.  G^-1 makes one the safe step length: a step is
-``r_i <- max(0, r_i - p_i . G^-1 (A - T))``.
+``r_i <- max(0, r_i - p_i . G^-1 (A - T))``.  The Gram matrix of only the rows whose rate
+is above zero gives a longer step, which is taken when it lowers the misfit.
 
-The work is distributed: a step needs one aggregate of K sums over the stored
-posteriors.  A document's rate is a fold over the steps' K-vectors, so no rate is ever
+The work is distributed: a step needs one or two aggregates of K + K*K sums over the
+stored posteriors.  A document's rate is a fold over the steps' K-vectors, so no rate is ever
 stored or sent; the driver holds one K-vector per step.
 
 Defined cases: null and empty texts have no tokens and change no total; their rates
@@ -58,31 +59,44 @@ def rate_of(p: Column, steps: list[np.ndarray]) -> Column:
 
 
 def fit_rates(members: DataFrame, shares: tuple[float, ...], total: float | None = None,
-              tolerance: float = 1e-9, max_steps: int = 60) -> list[np.ndarray]:
+              tolerance: float = 1e-7, max_steps: int = 40) -> list[np.ndarray]:
     """Steps that bring the domain totals to ``shares`` of ``total`` tokens (all tokens).
 
     ``members`` has columns p (posteriors) and n_words (tokens).
     """
     k = len(shares)
-    gram = [F.coalesce(F.sum(F.col("n_words") * F.get("p", F.lit(i)) * F.get("p", F.lit(j))), F.lit(0.0))
-            for i in range(k) for j in range(k)]
-    row = members.agg(F.coalesce(F.sum("n_words"), F.lit(0)), *gram).first()
-    if not row[0]:
+    p = [F.get("p", F.lit(i)) for i in range(k)]
+
+    def sums(steps):
+        """Tokens in all, the domain totals A and the Gram matrix over rows with a rate above 0."""
+        own, rate = F.col("n_words"), F.col("rate")
+        live = F.when(rate > 0, own).otherwise(0)
+        row = members.withColumn("rate", rate_of(F.col("p"), steps)).agg(
+            F.sum(own), *[F.sum(own * rate * x) for x in p],
+            *[F.sum(live * x * y) for x in p for y in p]).first()
+        values = np.array([x or 0 for x in row], dtype=float)
+        return values[0], values[1:k + 1], values[k + 1:].reshape(k, k)
+
+    tokens, got, gram = sums([])
+    if not tokens:
         return []
-    metric = np.linalg.pinv(np.array(row[1:], dtype=float).reshape(k, k))
-    target = np.array(shares, dtype=float) / sum(shares) * (row[0] if total is None else total)
-    steps: list[np.ndarray] = []
-    before = None
+    target = np.array(shares, dtype=float) / sum(shares) * (tokens if total is None else total)
+    safe = np.linalg.pinv(gram)
+    steps, miss, active = [], got - target, gram
     for _ in range(max_steps):
-        weight = F.col("n_words") * F.col("r")
-        got = (members.withColumn("r", rate_of(F.col("p"), steps))
-               .agg(*[F.sum(weight * F.get("p", F.lit(i))) for i in range(k)]).first())
-        miss = np.array(got, dtype=float) - target
-        worst = np.abs(miss).sum() / target.sum()
-        if worst <= tolerance or before is not None and abs(before - worst) <= tolerance * 1e-3:
+        misfit = miss @ safe @ miss
+        if np.abs(miss).sum() <= tolerance * target.sum():
             break
-        before = worst
-        steps.append(metric @ miss)
+        # the metric of the rows that still move is the longer step; kept only if it helps
+        for metric in (np.linalg.pinv(active), safe):
+            trial = [*steps, metric @ miss]
+            _, got, gram = sums(trial)
+            after = (got - target) @ safe @ (got - target)
+            if after < misfit:
+                break
+        if after >= misfit * (1 - 1e-6):
+            break  # the least misfit that rates >= 0 allow
+        steps, miss, active = trial, got - target, gram
     return steps
 
 
