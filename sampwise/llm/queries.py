@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampwise.llm import chat, exact, mixing, subword, topk, urls
+from sampwise.llm import chat, exact, mixing, packing, subword, topk, urls
 from sampwise.llm.shared import read
 
 #: The rules of the URL query: (host, path, verdict).
@@ -49,6 +49,11 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rate", mixing.copies_of(F.col("rate"), F.col("id")).alias("copies"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (packing.pack(read(spark, sf_dir, "documents")).drop("ids")
+            .withColumnRenamed("id", "doc_id"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
     rules = spark.sql(f"SELECT * FROM VALUES {values} AS t(host, path, verdict)")
@@ -88,6 +93,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_source_mixing": op2_source_mixing,
+    "op3_packing": op3_packing,
     "op5_url_filters": op5_url_filters,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_chat_formatting": op9_chat_formatting,
