@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampwise.llm import chat, exact, mixing, packing, subword, topk, urls
+from sampwise.llm import chat, exact, html, mixing, packing, subword, topk, urls
 from sampwise.llm.shared import read
 
 #: The rules of the URL query: (host, path, verdict).
@@ -66,6 +66,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnRenamed("id", "doc_id"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = chat.END + chat.START + "assistant ok"
@@ -96,6 +100,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op5_url_filters": op5_url_filters,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_html_extraction": op8_html_extraction,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_exact_top_k": op10_exact_top_k,
 }
