@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampwise.llm import chat, exact, html, mixing, packing, subword, topk, urls
+from sampwise.llm import chat, exact, html, mixing, near, packing, subword, topk, urls
 from sampwise.llm.shared import read
 
 #: The rules of the URL query: (host, path, verdict).
@@ -66,6 +66,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnRenamed("id", "doc_id"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (near.near_classes(read(spark, sf_dir, "documents")).drop("item")
+            .withColumnRenamed("id", "doc_id"))
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
@@ -100,6 +105,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op5_url_filters": op5_url_filters,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_html_extraction": op8_html_extraction,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_exact_top_k": op10_exact_top_k,

@@ -51,6 +51,18 @@ def _hash32(grams: np.ndarray, odd: int) -> np.ndarray:
     return (grams * np.uint32(odd)) >> np.uint32(32 - BITS)
 
 
+def word_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word of a buffer that begins and ends with a space; word starts."""
+    solid = buf != _SPACE
+    starts = np.flatnonzero(solid[1:] & ~solid[:-1]) + 1
+    ends = np.flatnonzero(solid[:-1] & ~solid[1:]) + 1
+    total = np.zeros(len(buf) + 1, dtype=np.uint64)
+    np.cumsum(buf * _powers(int(_BASE), len(buf)), out=total[1:])
+    inverse = _powers(pow(int(_BASE), -1, 1 << 64), len(buf))
+    words = (total[ends] - total[starts]) * inverse[starts]
+    return words ^ (words >> np.uint64(29)), starts
+
+
 def _features(buf: np.ndarray) -> tuple[np.ndarray, ...]:
     """Buckets of 3-grams and 4-grams by position (2**BITS: none), of words and pairs; word starts.
 
@@ -63,13 +75,7 @@ def _features(buf: np.ndarray) -> tuple[np.ndarray, ...]:
     f3 = np.where(solid[1:-1], _hash32(g3, 2654435761), none)
     f4 = np.where(solid[1:-2] & solid[2:-1],
                   _hash32(g3[:-1] | wide[3:] << np.uint32(24), 2246822519), none)
-    starts = np.flatnonzero(solid[1:] & ~solid[:-1]) + 1
-    ends = np.flatnonzero(solid[:-1] & ~solid[1:]) + 1
-    total = np.zeros(len(buf) + 1, dtype=np.uint64)
-    np.cumsum(buf * _powers(int(_BASE), len(buf)), out=total[1:])
-    inverse = _powers(pow(int(_BASE), -1, 1 << 64), len(buf))
-    words = (total[ends] - total[starts]) * inverse[starts]
-    words ^= words >> np.uint64(29)
+    words, starts = word_hashes(buf)
     pairs = np.zeros_like(words)  # of each word with the one before
     pairs[1:] = np.where(words[1:] == words[:-1], np.uint64(1), words[1:] * _BASE + words[:-1])
     shift = np.uint64(64 - BITS)
