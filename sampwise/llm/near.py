@@ -38,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from sampwise.llm.shared import stored, text_or_empty
 from sampwise.llm.subword import word_hashes
@@ -56,21 +57,34 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, shingle hash, weight) sorted by both, and two 64-bit prints of each text's words."""
+def _words(texts: list[bytes]):
+    """Word hashes in order, their document, the words of each document, places in it."""
     buf = np.frombuffer(b" " + b" ".join(texts) + b" ", dtype=np.uint8).copy()
     buf[buf <= 32] = 32
     starts = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
     words, at = word_hashes(buf)
-    words = _mixed(words)
     doc = np.searchsorted(starts, at, side="right") - 1
     n = np.bincount(doc, minlength=len(texts))
-    first = np.cumsum(n) - n
-    position = np.arange(len(words)) - first[doc]
-    prints = np.zeros((len(texts), 2), dtype=np.uint64)
+    return _mixed(words), doc, n, np.arange(len(words)) - (np.cumsum(n) - n)[doc]
+
+
+def _prints(words, doc, position, n_docs) -> np.ndarray:
+    prints = np.zeros((n_docs, 2), dtype=np.uint64)
     for k, odd in enumerate((_MIX1, _MIX2)):
         # position enters the hash, so the sum depends on the words' order
         np.add.at(prints[:, k], doc, _mixed(words ^ (position.astype(np.uint64) + np.uint64(1)) * odd))
+    return prints
+
+
+def word_prints(texts: list[bytes]) -> np.ndarray:
+    words, doc, _, position = _words(texts)
+    return _prints(words, doc, position, len(texts))
+
+
+def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, shingle hash, weight) sorted by both, and two 64-bit prints of each text's words."""
+    words, doc, n, position = _words(texts)
+    prints = _prints(words, doc, position, len(texts))
     run = np.zeros(len(words), dtype=np.uint64)
     for k in range(SHINGLE):  # words beyond the text's end count as none
         inside = (np.arange(len(words)) + k < len(words)) & (position + k < n[doc])
@@ -313,9 +327,39 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     F.col("id").eqNullSafe(F.col("class_id")).alias("kept")))
 
 
+def with_item(docs: DataFrame, text_col: str, name: str) -> DataFrame:
+    """``docs`` with the print of the text's words in one more column."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(low).cast(pa.binary()).to_pylist()
+            prints, at = [], 0
+            while at < len(texts):
+                end, held = at, 0
+                while end < len(texts) and (end == at or held + len(texts[end]) <= PIECE):
+                    held += len(texts[end])
+                    end += 1
+                prints += [p.tobytes() for p in word_prints(texts[at:end])]
+                at = end
+            own = [i for i, c in enumerate(batch.schema.names) if c != low]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in own), pa.array(prints, pa.binary())],
+                names=[*(batch.schema.names[i] for i in own), name])
+    low = name + "_text"
+    schema = StructType([*docs.schema.fields, StructField(name, BinaryType())])
+    return docs.withColumn(low, F.lower(text_or_empty(text_col))).mapInArrow(run, schema)
+
+
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               threshold: float = THRESHOLD) -> DataFrame:
-    """One document of each class, the one with the least id, columns unchanged."""
+    """One document of each class, the one with the least id, columns unchanged.
+
+    Rows that repeat both id and words stay or go together.
+    """
     found = near_classes(docs, id_col, text_col, threshold)
-    gone = found.where("NOT kept").select(F.col("id").alias("_near_id")).distinct()
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["_near_id"]), "left_anti")
+    gone = found.where("NOT kept").select(F.col("id").alias("_near_id"), F.col("item").alias("_near_item")).distinct()
+    name = "near_item"
+    while name in docs.columns or name + "_text" in docs.columns:
+        name += "_"
+    keyed = with_item(docs, text_col, name)
+    match = (keyed[name] == gone["_near_item"]) & keyed[id_col].cast("long").eqNullSafe(gone["_near_id"])
+    return keyed.join(gone, match, "left_anti").drop(name)
