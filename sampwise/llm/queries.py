@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampwise.llm import chat, exact, html, mixing, near, packing, subword, topk, urls
+from sampwise.llm import chat, exact, html, mixing, near, packing, spans, subword, topk, urls
 from sampwise.llm.shared import read
 
 #: The rules of the URL query: (host, path, verdict).
@@ -54,6 +54,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnRenamed("id", "doc_id"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (spans.remove_repeated_spans(read(spark, sf_dir, "documents"))
+            .withColumnRenamed("id", "doc_id"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
     rules = spark.sql(f"SELECT * FROM VALUES {values} AS t(host, path, verdict)")
@@ -103,6 +108,7 @@ QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_source_mixing": op2_source_mixing,
     "op3_packing": op3_packing,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_url_filters": op5_url_filters,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
