@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sampwise.llm import exact, mixing, near, packing
 from sampwise.llm.queries import QUALITY_THRESHOLD, quality_model
-from sampwise.llm.shared import read, stored
+from sampwise.llm.shared import fresh, read, stored
 
 #: Target shares of tokens for (clean, toxic) documents.
 MIX_SHARES = (0.97, 0.03)
@@ -21,9 +21,7 @@ MIX_SHARES = (0.97, 0.03)
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts.  The model learns from the labelled
     rows of this stage's own documents."""
-    p, n = "quality_p", "quality_words"
-    while p in docs.columns or n in docs.columns:
-        p, n = p + "_", n + "_"
+    p, n = fresh(docs, "quality_p", "quality_words")
     scored = quality_model(docs, read(spark, sf_dir, "labels")).annotate(docs, "text", p, n)
     return scored.where(F.get(p, F.lit(1)) >= QUALITY_THRESHOLD).drop(p, n)
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sampwise.llm.shared import stored, text_or_empty
+from sampwise.llm.shared import fresh, stored, text_or_empty
 
 KEY_BITS = 60
 CAPACITY = 2048
@@ -187,10 +187,9 @@ def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the copies, columns unchanged."""
+    sha, keep_id, keep_sha = fresh(docs, "doc_sha", "keep_id", "keep_sha")
     kept = (find_copies(docs, id_col, text_col).where("kept")
-            .select(F.col("id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha")))
-    keyed = docs.withColumn("_doc_sha", F.sha2(text_or_empty(text_col), 256))
-    match = (keyed[id_col].cast("long").eqNullSafe(kept["_keep_id"])
-             & (keyed["_doc_sha"] == kept["_keep_sha"]))
-    return (keyed.join(kept, match, "left_semi")
-            .dropDuplicates([id_col, "_doc_sha"]).drop("_doc_sha"))
+            .select(F.col("id").alias(keep_id), F.col("text_sha256").alias(keep_sha)))
+    keyed = docs.withColumn(sha, F.sha2(text_or_empty(text_col), 256))
+    match = keyed[id_col].cast("long").eqNullSafe(kept[keep_id]) & (keyed[sha] == kept[keep_sha])
+    return keyed.join(kept, match, "left_semi").dropDuplicates([id_col, sha]).drop(sha)

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sampwise.llm.shared import stored
+from sampwise.llm.shared import fresh, stored
 from sampwise.llm.subword import train
 
 DOMAINS = ("low_quality", "clean", "toxic")
@@ -124,9 +124,7 @@ def mix(docs: DataFrame, labels: DataFrame, shares: tuple[float, ...], label: Co
     """
     label = domain_label() if label is None else label
     model = train(docs, labels, label, len(shares), id_col=id_col, text_col=text_col, **TRAINING)
-    p, n = "mix_p", "mix_words"
-    while p in docs.columns or n in docs.columns:
-        p, n = p + "_", n + "_"
+    p, n = fresh(docs, "mix_p", "mix_words")
     scored = stored(model.annotate(docs, text_col, p, n), "mixing-rows")
     members = scored.select(F.col(p).alias("p"), F.col(n).alias("n_words"))
     copies = copies_of(rate_of(F.col(p), fit_rates(members, shares)), F.col(id_col))

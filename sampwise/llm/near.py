@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from sampwise.llm.shared import stored, text_or_empty
+from sampwise.llm.shared import fresh, stored, text_or_empty
 from sampwise.llm.subword import word_hashes
 
 SHINGLE, BANDS, ROWS, THRESHOLD = 5, 32, 6, 0.8
@@ -76,6 +76,18 @@ def _prints(words, doc, position, n_docs) -> np.ndarray:
     return prints
 
 
+def groups(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``PIECE`` bytes together; a longer text is a range alone."""
+    at = 0
+    while at < len(texts):
+        end, held = at, 0
+        while end < len(texts) and (end == at or held + len(texts[end]) <= PIECE):
+            held += len(texts[end])
+            end += 1
+        yield at, end
+        at = end
+
+
 def word_prints(texts: list[bytes]) -> np.ndarray:
     words, doc, _, position = _words(texts)
     return _prints(words, doc, position, len(texts))
@@ -151,12 +163,7 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     salt = np.arange(BANDS, dtype=np.uint64) * _ODD
     for batch in batches:
         ids, texts = batch.column("id"), batch.column("text").cast(pa.binary()).to_pylist()
-        at = 0
-        while at < len(texts):
-            end, held = at, 0
-            while end < len(texts) and (end == at or held + len(texts[end]) <= PIECE):
-                held += len(texts[end])
-                end += 1
+        for at, end in groups(texts):
             doc, shingle, weight, prints = shingles(texts[at:end])
             n = end - at
             registers = sketch(doc, shingle, weight, n).reshape(n, BANDS, ROWS)
@@ -181,7 +188,6 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([k if s else None for k, s in zip(key.view(np.int64), some)], pa.list_(pa.int64())),
                  pa.array(blobs, pa.binary()), pa.array(weights, pa.binary())],
                 names=["id", "item", "bands", "shingles", "weights"])
-            at = end
 
 
 def _vector(blob: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -327,24 +333,16 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     F.col("id").eqNullSafe(F.col("class_id")).alias("kept")))
 
 
-def with_item(docs: DataFrame, text_col: str, name: str) -> DataFrame:
-    """``docs`` with the print of the text's words in one more column."""
+def with_item(docs: DataFrame, text_col: str, name: str, low: str) -> DataFrame:
+    """``docs`` with the print of the text's words in one more column, ``name``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(low).cast(pa.binary()).to_pylist()
-            prints, at = [], 0
-            while at < len(texts):
-                end, held = at, 0
-                while end < len(texts) and (end == at or held + len(texts[end]) <= PIECE):
-                    held += len(texts[end])
-                    end += 1
-                prints += [p.tobytes() for p in word_prints(texts[at:end])]
-                at = end
+            prints = [p.tobytes() for at, end in groups(texts) for p in word_prints(texts[at:end])]
             own = [i for i, c in enumerate(batch.schema.names) if c != low]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in own), pa.array(prints, pa.binary())],
                 names=[*(batch.schema.names[i] for i in own), name])
-    low = name + "_text"
     schema = StructType([*docs.schema.fields, StructField(name, BinaryType())])
     return docs.withColumn(low, F.lower(text_or_empty(text_col))).mapInArrow(run, schema)
 
@@ -355,11 +353,9 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows that repeat both id and words stay or go together.
     """
-    found = near_classes(docs, id_col, text_col, threshold)
-    gone = found.where("NOT kept").select(F.col("id").alias("_near_id"), F.col("item").alias("_near_item")).distinct()
-    name = "near_item"
-    while name in docs.columns or name + "_text" in docs.columns:
-        name += "_"
-    keyed = with_item(docs, text_col, name)
-    match = (keyed[name] == gone["_near_item"]) & keyed[id_col].cast("long").eqNullSafe(gone["_near_id"])
+    name, low, gone_id, gone_item = fresh(docs, "near_item", "near_text", "near_id", "near_gone")
+    gone = (near_classes(docs, id_col, text_col, threshold).where("NOT kept")
+            .select(F.col("id").alias(gone_id), F.col("item").alias(gone_item)).distinct())
+    keyed = with_item(docs, text_col, name, low)
+    match = (keyed[name] == gone[gone_item]) & keyed[id_col].cast("long").eqNullSafe(gone[gone_id])
     return keyed.join(gone, match, "left_anti").drop(name)

@@ -1,9 +1,8 @@
-"""Helpers of the training-data operators: shared intermediate tables, row keys, packing ints."""
+"""Helpers of the training-data operators: tables, shared intermediate files, names."""
 
 from __future__ import annotations
 
 import uuid
-import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +35,12 @@ def text_or_empty(col: str):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
-def seed_of(name: str) -> int:
-    """A stable 32-bit seed for a name."""
-    return zlib.crc32(name.encode())
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out

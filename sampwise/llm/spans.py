@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sampwise.llm.near import PIECE, _mixed
+from sampwise.llm.near import _mixed, groups
 from sampwise.llm.shared import stored, text_or_empty
 from sampwise.llm.subword import word_hashes
 
@@ -92,22 +92,11 @@ def spans(texts: list[bytes], min_sentences: int = MIN_SENTENCES, min_words: int
     return owner[fits], number[fits], (end - np.arange(len(owner)))[fits], code
 
 
-def _groups(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    at = 0
-    while at < len(texts):
-        end, held = at, 0
-        while end < len(texts) and (end == at or held + len(texts[end]) <= PIECE):
-            held += len(texts[end])
-            end += 1
-        yield at, end
-        at = end
-
-
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         keys, rows = batch.column("key").to_numpy(), batch.column("row").to_numpy()
-        for at, end in _groups(texts):
+        for at, end in groups(texts):
             doc, first, n, code = spans(texts[at:end])
             if len(doc):
                 yield pa.RecordBatch.from_arrays(

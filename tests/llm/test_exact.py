@@ -1,0 +1,59 @@
+import collections
+import hashlib
+
+from sampwise.llm.exact import build_index, drop_copies, find_copies
+
+
+def brute(rows):
+    groups = collections.defaultdict(list)
+    for i, t in rows:
+        groups[t or ""].append(i)
+    out = []
+    for text, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        keep = max(known) if known else None
+        first = True
+        for i in ids:
+            kept = i == keep and first
+            first = first and not kept
+            out.append((i, keep, len(ids), kept, hashlib.sha256(text.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def test_matches_brute_force(documents):
+    rows, df = documents
+    assert sorted(map(tuple, find_copies(df).collect()), key=repr) == brute(rows)
+
+
+def test_collisions_are_chained_by_bytes(documents):
+    """Two key bits put different texts under one key; the answer must not change."""
+    rows, df = documents
+    index, directory = build_index(df, key_bits=2, capacity=1)
+    assert directory.depth <= 2
+    assert max(r["chain"] for r in index.collect()) > 0
+    got = find_copies(df, key_bits=2, capacity=1)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows)
+
+
+def test_directory_doubles_until_no_bucket_is_overfull(spark):
+    df = spark.range(2000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    index, directory = build_index(df, capacity=40)
+    sizes = collections.Counter(r["bucket"] for r in index.collect())
+    assert sum(sizes.values()) == 2000 and max(sizes.values()) <= 40
+    assert directory.depth > 5 and len(set(directory.local_depth.values())) > 1
+
+
+def test_drop_copies_keeps_columns(documents):
+    rows, df = documents
+    out = drop_copies(df)
+    assert out.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"] or "") for r in out.collect()), key=repr)
+    last = {}
+    for i, t in rows:
+        last[t or ""] = max([x for x in (last.get(t or ""), i) if x is not None], default=None)
+    assert got == sorted(((i, t) for t, i in last.items()), key=repr)
+
+
+def test_empty_table(no_documents):
+    assert find_copies(no_documents).collect() == []
+    assert drop_copies(no_documents).collect() == []
