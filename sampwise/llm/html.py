@@ -101,6 +101,7 @@ class Tree:
         root = self.node(-1, "html", "")
         stack: list[tuple[str, int]] = [("", root)]
         pieces: list[tuple[int, str]] = []
+        plain: set[int] = set()  # nodes of div elements without class, id or role
         at, in_link, length = 0, False, len(page)
 
         def text(part: str) -> None:
@@ -160,7 +161,13 @@ class Tree:
                     stack.pop()
                 if tag in CLOSES:
                     close(CLOSES[tag], BARRIERS)
-                stack.append((tag, self.node(stack[-1][1], tag, attributes)))
+                marked = attributes and _MARKS.search(attributes)
+                if tag == "div" and not marked and stack[-1][0] == "div" and stack[-1][1] in plain:
+                    stack.append(stack[-1])  # a bare wrapper in a bare wrapper is the same part
+                else:
+                    stack.append((tag, self.node(stack[-1][1], tag, attributes)))
+                    if tag == "div" and not marked:
+                        plain.add(stack[-1][1])
             elif attributes and tag != "a" and _MARKS.search(attributes):
                 stack.append((tag, self.node(stack[-1][1], tag, attributes)))
             elif tag == "a":

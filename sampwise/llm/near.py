@@ -19,10 +19,18 @@ which is the plain Jaccard index when no shingle repeats.
 4. *Classes* are the connected components of the links.
 
 Texts with equal word sequences are one item throughout, so copies cost one row.
-Inside a band bucket pairs are made in rounds: the next pivots of the bucket (one, then
-``PIVOTS`` a round) meet the later members that are not yet in the pivot's class.  A
-round's pairs are linear in the bucket; the rounds end when every bucket is one class or
-every pair in it has been compared, so no candidate is lost and no bucket is capped.
+Inside a band bucket pairs are made in steps, each linear in the bucket: first every
+member with the bucket's first; then, where two classes are left, all pairs of buckets of
+at most ``PIVOTS`` members.  In larger ones a bound comes first: with u the weight of a
+text's shingles that no other candidate has, and s = u / (weight - u),
+
+    J_P(a, b) <= 1 / (1 + s_a + s_b),
+
+because g(x, y) = 1 / (max(1/x, 1/y) + s_a/x + s_b/y) is concave and homogeneous, so its
+sum over common shingles is at most g(1, 1).  Members with s above 1/threshold - 1 can
+link to nobody; the others are ordered by s, so that the text the others derive from
+leads, and rounds of pivots go on until every bucket is one class or every pair that
+the bound allows has been compared.  No candidate is lost and no bucket is capped.
 
 Defined cases: texts without words (null, empty, white space) are similar to nothing
 and are classes of their own; a null id takes part in classes whose number is the least
@@ -38,9 +46,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, StructField
 
-from sampwise.llm.shared import fresh, stored, text_or_empty
+from sampwise.llm.shared import extend, fresh, stored, text_or_empty
 from sampwise.llm.subword import word_hashes
 
 SHINGLE, BANDS, ROWS, THRESHOLD = 5, 32, 6, 0.8
@@ -235,72 +243,133 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def _relabelled(label: DataFrame, links: DataFrame) -> DataFrame:
-    """``label`` after links between labels: those of new components, and new nodes."""
-    merged = components(links)
-    moved = (label.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
+def _merged(label: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """Labels (node, label) after more links (a, b) between items."""
+    if links.isEmpty():
+        return label
+    if label is None:
+        return stored(components(links), "near-labels")
+    name = lambda x, y: label.select(F.col("node").alias(x), F.col("label").alias(y))
+    named = stored(links.join(name("a", "la"), "a", "left").join(name("b", "lb"), "b", "left")
+                   .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+                   .where("a <> b").distinct(), "near-named")
+    if named.isEmpty():
+        return label
+    new = components(named)
+    moved = (label.join(new.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
              .select("node", F.coalesce("to", "label").alias("label")))
-    fresh = merged.join(label.select("node"), "node", "left_anti")
-    return stored(moved.unionByName(fresh), "near-labels")
+    fresh_nodes = new.join(label.select("node"), "node", "left_anti")
+    return stored(moved.unionByName(fresh_nodes), "near-labels")
 
 
-def link_classes(items: DataFrame, threshold: float = THRESHOLD) -> DataFrame | None:
-    """Rows (node, label) of the items that have a link; None if there is no candidate.
+def _open_members(members: DataFrame, label: DataFrame | None, done: int) -> DataFrame:
+    """Members beyond rank ``done`` of buckets that still hold two classes there, with
+    their class and the bucket's last rank."""
+    if label is None:
+        now = members.withColumn("label", F.col("item"))
+    else:
+        now = (members.join(label, members["item"] == label["node"], "left")
+               .withColumn("label", F.coalesce("label", "item")).drop("node"))
+    now = now.where(F.col("rank") > done)
+    buckets = (now.groupBy("key").agg(F.max("rank").alias("last"), F.min("label").alias("low"),
+                                      F.max("label").alias("high"))
+               .where((F.col("last") > done + 1) & (F.col("low") != F.col("high"))).select("key", "last"))
+    return stored(now.join(stored(buckets, "near-buckets"), "key"), "near-open")
+
+
+def _pairs(members: DataFrame, upto: int, bound: float) -> DataFrame:
+    """Different pairs of a pivot, of rank ``upto`` at most, with a later member of another class."""
+    pivots = members.where(F.col("rank") <= upto).select(
+        "key", F.col("item").alias("p"), F.col("rank").alias("p_rank"), F.col("label").alias("p_label"),
+        F.col("alone").alias("p_alone"))
+    return stored(members.join(pivots, "key")
+                  .where((F.col("rank") > F.col("p_rank")) & (F.col("label") != F.col("p_label"))
+                         & (F.col("alone") + F.col("p_alone") <= bound))
+                  .select(F.least("p", "item").alias("a"), F.greatest("p", "item").alias("b"))
+                  .distinct(), "near-pairs")
+
+
+def _shares_alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        items, h, w = [], [], []
+        for item, blob, weights in zip(*(batch.column(c).to_pylist() for c in ("item", "s", "w"))):
+            hashes, counts = _vector(blob, weights)
+            items += [item] * len(hashes)
+            h.append(hashes.astype(np.int64))
+            w.append(counts.astype(np.int64))
+        if items:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(items, pa.binary()), pa.array(np.concatenate(h)), pa.array(np.concatenate(w))],
+                names=["item", "h", "w"])
+
+
+def _alone(vectors: DataFrame) -> DataFrame:
+    """Rows (item, alone): weight in shingles that no other of the items has, over the rest."""
+    weights = vectors.mapInArrow(_shares_alone, "item binary, h long, w long")
+    common = stored(weights.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "near-common")
+    whole = vectors.mapInArrow(_total, "item binary, total long")
+    kept = weights.join(common, "h").groupBy("item").agg(F.sum("w").alias("kept"))
+    both = whole.join(kept, "item", "left")
+    return stored(both.select("item", ((F.col("total") - F.col("kept")) / F.col("kept")).alias("alone"))
+                  .na.fill(float("inf"), ["alone"]), "near-alone")
+
+
+def _total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        totals = [int(_vector(s, w)[1].sum()) for s, w in
+                  zip(batch.column("s").to_pylist(), batch.column("w").to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column("item"), pa.array(totals, pa.int64())],
+                                         names=["item", "total"])
+
+
+def link_classes(items: DataFrame, threshold: float = THRESHOLD, pivots: int = PIVOTS) -> DataFrame | None:
+    """Rows (node, label) of the items that have a link; None if there is none.
 
     ``items`` is the stored table of ``_items``.
     """
-    one_each = items.where("bands IS NOT NULL").groupBy("item").agg(F.first("bands").alias("bands"))
-    order = Window.partitionBy("key").orderBy(F.xxhash64("item", "key"), "item")
-    ranked = (one_each.select("item", F.explode("bands").alias("key"))
+    words = items.where("bands IS NOT NULL")
+    # one order of the items for all bands: a group has the same pivot in each
+    order = Window.partitionBy("key").orderBy("hash", "item")
+    ranked = (words.groupBy("item").agg(F.first("bands").alias("bands"))
+              .select("item", F.xxhash64("item").alias("hash"), F.explode("bands").alias("key"))
               .withColumn("rank", F.row_number().over(order))
               .withColumn("more", F.lead("item").over(order).isNotNull())
-              .where("rank > 1 OR more").drop("more"))
+              .where("rank > 1 OR more").select("key", "item", "rank", F.lit(0.0).alias("alone")))
     members = stored(ranked, "near-members")
     if members.isEmpty():
         return None
-    wanted = members.select("item").distinct()
-    vectors = stored(items.where("bands IS NOT NULL").groupBy("item")
-                     .agg(F.first("shingles").alias("s"), F.first("weights").alias("w"))
-                     .join(wanted, "item", "left_semi"), "near-vectors")
+    vectors = stored(words.groupBy("item").agg(F.first("shingles").alias("s"), F.first("weights").alias("w"))
+                     .join(members.select("item").distinct(), "item", "left_semi"), "near-vectors")
+    bound = 1 / threshold - 1
 
-    def similar(pairs: DataFrame) -> DataFrame:
+    def linked(pairs: DataFrame, label: DataFrame | None) -> DataFrame | None:
         side = lambda x: vectors.select(F.col("item").alias(x), F.col("s").alias(f"s{x}"),
                                         F.col("w").alias(f"w{x}"))
-        full = pairs.join(side("a"), "a").join(side("b"), "b")
-        return full.select("a", "b", "sa", "wa", "sb", "wb").mapInArrow(_verify(threshold), "a binary, b binary")
-
-    label = None
+        full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "wa", "sb", "wb")
+        return _merged(label, stored(full.mapInArrow(_verify(threshold), "a binary, b binary"), "near-links"))
+
+    # every member with its bucket's first
+    label = linked(_pairs(members.withColumn("label", F.col("item")), 1, bound), None)
+    # small buckets: what is left of their pairs
+    still = _open_members(members, label, 1)
+    label = linked(_pairs(still.where(F.col("last") <= pivots), pivots, bound), label)
+    # large buckets: members with too much of their own can link to nobody
+    large = still.where(F.col("last") > pivots).select("item").distinct()
+    if large.isEmpty():
+        return label
+    alone = _alone(vectors.join(large, "item", "left_semi"))
+    by_share = Window.partitionBy("key").orderBy("alone", "item")
+    members = stored(members.drop("alone").join(still.where(F.col("last") > pivots).select("key").distinct(), "key")
+                     .join(alone.where(F.col("alone") <= bound), "item")
+                     .withColumn("rank", F.row_number().over(by_share)), "near-members")
     done, width = 0, 1
     while True:
-        if label is None:
-            now = members.withColumn("label", F.col("item"))
-        else:
-            now = (members.join(label, members["item"] == label["node"], "left")
-                   .withColumn("label", F.coalesce("label", "item")).drop("node"))
-        now = now.where(F.col("rank") > done)
-        open_buckets = (now.groupBy("key").agg(F.max("rank").alias("last"), F.min("label").alias("low"),
-                                               F.max("label").alias("high"))
-                        .where((F.col("last") > done + 1) & (F.col("low") != F.col("high"))).select("key"))
-        members_now = stored(now.join(open_buckets, "key", "left_semi"), "near-open")
-        if members_now.isEmpty():
+        still = _open_members(members, label, done)
+        if still.isEmpty():
             return label
-        pivots = members_now.where(F.col("rank") <= done + width).select(
-            "key", F.col("item").alias("p"), F.col("rank").alias("p_rank"), F.col("label").alias("p_label"))
-        pairs = stored(
-            members_now.join(pivots, "key").where("rank > p_rank AND label <> p_label")
-            .select(F.least("p", "item").alias("a"), F.greatest("p", "item").alias("b")).distinct(), "near-pairs")
-        links = stored(similar(pairs), "near-links")
-        if not links.isEmpty():
-            if label is None:
-                label = stored(components(links), "near-labels")
-            else:
-                name = lambda x, y: label.select(F.col("node").alias(x), F.col("label").alias(y))
-                named = (links.join(name("a", "la"), "a", "left").join(name("b", "lb"), "b", "left")
-                         .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
-                         .where("a <> b").distinct())
-                label = _relabelled(label, stored(named, "near-named"))
-        members = members_now.select("item", "key", "rank")
-        done, width = done + width, PIVOTS
+        label = linked(_pairs(still, done + width, bound), label)
+        members = still.select("key", "item", "rank", "alone")
+        done, width = done + width, pivots
 
 
 def make_items(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -309,13 +378,13 @@ def make_items(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 threshold: float = THRESHOLD) -> DataFrame:
+                 threshold: float = THRESHOLD, pivots: int = PIVOTS) -> DataFrame:
     """Rows (id, item, class_id, class_size, kept), one per input row.
 
     ``class_id`` is the least id of the class; the first row with that id is kept.
     """
     items = make_items(docs, id_col, text_col)
-    label = link_classes(items, threshold)
+    label = link_classes(items, threshold, pivots)
     rows = items.select("id", "item", F.col("bands").isNull().alias("no_words"))
     if label is None:
         named = rows.withColumn("class", F.col("item"))
@@ -333,18 +402,13 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     F.col("id").eqNullSafe(F.col("class_id")).alias("kept")))
 
 
-def with_item(docs: DataFrame, text_col: str, name: str, low: str) -> DataFrame:
+def with_item(docs: DataFrame, text_col: str, name: str) -> DataFrame:
     """``docs`` with the print of the text's words in one more column, ``name``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(low).cast(pa.binary()).to_pylist()
-            prints = [p.tobytes() for at, end in groups(texts) for p in word_prints(texts[at:end])]
-            own = [i for i, c in enumerate(batch.schema.names) if c != low]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in own), pa.array(prints, pa.binary())],
-                names=[*(batch.schema.names[i] for i in own), name])
-    schema = StructType([*docs.schema.fields, StructField(name, BinaryType())])
-    return docs.withColumn(low, F.lower(text_or_empty(text_col))).mapInArrow(run, schema)
+    def prints(column: pa.Array) -> list[pa.Array]:
+        texts = column.cast(pa.binary()).to_pylist()
+        return [pa.array([p.tobytes() for at, end in groups(texts) for p in word_prints(texts[at:end])],
+                         pa.binary())]
+    return extend(docs, F.lower(text_or_empty(text_col)), [StructField(name, BinaryType())], prints)
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -353,9 +417,9 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows that repeat both id and words stay or go together.
     """
-    name, low, gone_id, gone_item = fresh(docs, "near_item", "near_text", "near_id", "near_gone")
+    name, gone_id, gone_item = fresh(docs, "near_item", "near_id", "near_gone")
     gone = (near_classes(docs, id_col, text_col, threshold).where("NOT kept")
             .select(F.col("id").alias(gone_id), F.col("item").alias(gone_item)).distinct())
-    keyed = with_item(docs, text_col, name, low)
+    keyed = with_item(docs, text_col, name)
     match = (keyed[name] == gone[gone_item]) & keyed[id_col].cast("long").eqNullSafe(gone[gone_id])
     return keyed.join(gone, match, "left_anti").drop(name)

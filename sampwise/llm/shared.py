@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from sampwise.session import checkpoint_dir
 
@@ -44,3 +47,23 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
             name += "_"
         out.append(name)
     return out
+
+
+def extend(docs: DataFrame, given: Column, fields: list[StructField],
+           compute: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
+    """``docs`` with ``fields`` added, computed in Arrow batches from the column ``given``.
+
+    Columns travel by position, so no name in ``docs`` can clash or need quoting.
+    """
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    types = [StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields)]
+    added = [StructField(f"x{k}", f.dataType) for k, f in enumerate(fields)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in names), *compute(batch.column("given"))],
+                names=[*names, *(f.name for f in added)])
+
+    flat = docs.withColumn(fresh(docs, "given")[0], given).toDF(*names, "given")
+    return flat.mapInArrow(run, StructType([*types, *added])).toDF(*docs.columns, *(f.name for f in fields))

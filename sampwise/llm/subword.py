@@ -28,9 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField
 
-from sampwise.llm.shared import text_or_empty
+from sampwise.llm.shared import extend, text_or_empty
 
 BITS = 16
 PIECE = 1 << 20
@@ -173,16 +173,11 @@ class SubwordModel:
 
     def annotate(self, docs: DataFrame, text_col: str, p_name: str, n_name: str) -> DataFrame:
         """``docs`` with the probabilities and the word count in two more columns."""
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                column = batch.column(text_col).cast(pa.string()).cast(pa.binary())
-                p, n = self.probabilities([t or b"" for t in column.to_pylist()])
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(list(p), pa.list_(pa.float64())), pa.array(n)],
-                    names=[*batch.schema.names, p_name, n_name])
-        schema = StructType([*docs.schema.fields, StructField(p_name, ArrayType(DoubleType())),
-                             StructField(n_name, LongType())])
-        return docs.mapInArrow(run, schema)
+        def compute(column: pa.Array) -> list[pa.Array]:
+            p, n = self.probabilities(column.cast(pa.binary()).to_pylist())
+            return [pa.array(list(p), pa.list_(pa.float64())), pa.array(n)]
+        return extend(docs, text_or_empty(text_col), [StructField(p_name, ArrayType(DoubleType())),
+                                                      StructField(n_name, LongType())], compute)
 
 
 _SAMPLE = pa.schema([("id", pa.int64()), ("y", pa.int32()), ("idx", pa.binary()),
