@@ -1,6 +1,6 @@
 """sampwise: counting, systematic sampling and sample-wise model comparison on Spark."""
 
-from .operators.counts import (count_by, field_count, head, row_counts, spread, tokenize,
+from .operators.counts import (count_by, field_count, head, row_counts, tokenize,
                                top_k, word_count)
 from .operators.features import (assemble, feature_pipeline, index_columns, scale_columns,
                                  vector_columns)
@@ -20,7 +20,7 @@ __all__ = [
     "from_rows", "hash_split", "head", "index_columns", "interval_sample", "linear_svm",
     "random_forest", "random_split", "read_delimited", "read_iris", "read_lines",
     "row_counts", "run_experiments", "run_per_part", "sampling_interval", "scale_columns",
-    "spread", "summarise", "systematic_partition", "systematic_sample", "table", "to_typed",
+    "summarise", "systematic_partition", "systematic_sample", "table", "to_typed",
     "tokenize", "top_k", "train_and_score", "train_test_split", "vector_columns",
     "with_row_index", "with_unique_id", "word_count",
 ]

@@ -30,6 +30,11 @@ def tokens(c: str | Column, lower: bool = True) -> Column:
     return F.filter(F.split(text, WHITESPACE_RUN), lambda t: t != F.lit(""))
 
 
+def fixed_decimal(c: str | Column, places: int) -> Column:
+    """A number as text with exactly ``places`` decimals (``12.50``)."""
+    return F.format_string(f"%.{int(places)}f", _col(c).cast("double"))
+
+
 def field_at(c: str | Column, sep: str, index: int, on_missing: str = "error") -> Column:
     """The ``index``-th (0-based) field of ``c`` split on the literal ``sep``.
 

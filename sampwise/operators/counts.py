@@ -15,19 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col as col_of
 from ..functions.text import WHITESPACE_RUN, field_at
-from ..session import default_parallelism, num_splits
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows when the scan has fewer partitions than there are cores.
-
-    Large inputs already arrive in many splits and pass through untouched (no
-    shuffle); a one-file input is spread so the per-row work runs on every core.
-    Only for order-free operators: it discards the file order.
-    """
-    target = min_partitions or default_parallelism(df.sparkSession)
-    splits = num_splits(df)
-    return df.repartition(target) if splits is not None and splits < target else df
 
 
 def tokenize(df: DataFrame, col: str = "value", *, lower: bool = True,
@@ -50,7 +37,8 @@ def word_count(df: DataFrame, col: str = "value", *, lower: bool = True) -> Data
 
 def count_by(df: DataFrame, *keys: str | Column) -> DataFrame:
     """Row count per key value: grouping columns plus ``count``."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
+    named = [col_of(k).alias(k) if isinstance(k, str) else k for k in keys]
+    return df.groupBy(*named).agg(F.count(F.lit(1)).alias("count"))
 
 
 def field_count(df: DataFrame, sep: str = ",", index: int = 3, *, col: str = "value",
@@ -73,8 +61,8 @@ def top_k(df: DataFrame, k: int, by: str = "count", *, tie_break: Sequence[str]
         tie_break = [c for c in df.columns if c != by]
     elif isinstance(tie_break, str):
         tie_break = [tie_break]
-    main = F.asc(by) if ascending else F.desc(by)
-    return df.orderBy(main, *[F.asc(c) for c in tie_break]).limit(k)
+    main = col_of(by).asc() if ascending else col_of(by).desc()
+    return df.orderBy(main, *[col_of(c).asc() for c in tie_break]).limit(k)
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -91,5 +79,5 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def head(df: DataFrame, n: int, order_by: Sequence[str] | str | None = None) -> DataFrame:
     """First ``n`` rows; with ``order_by`` the choice is stable."""
     if order_by is not None:
-        df = df.orderBy(*([order_by] if isinstance(order_by, str) else order_by))
+        df = df.orderBy(*[col_of(c) for c in ([order_by] if isinstance(order_by, str) else order_by)])
     return df.limit(n)

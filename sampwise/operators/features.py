@@ -1,8 +1,8 @@
 """Feature preparation: label/category indexing, vector assembly, scaling.
 
-Spark ML stages, fitted on training rows only.  Fitting a StringIndexer is one
-distributed aggregation (partial counts per split); only the distinct levels
-reach the driver, and they are the model itself.
+``index_columns`` codes levels with DataFrames only.  ``feature_pipeline`` is Spark ML,
+fitted on training rows only; its indexers bring the levels to the driver, where they
+are the model, so callers bound their number first (``most_levels``).
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col as col_of, cols as by_name
+from .index import with_row_index
 
 
 def indexed_name(col: str) -> str:
@@ -24,17 +25,31 @@ def indexed_name(col: str) -> str:
 
 def index_columns(df: DataFrame, input_cols: Sequence[str],
                   output_cols: Sequence[str] | None = None, *,
-                  handle_invalid: str = "keep",
-                  order: str = "frequencyDesc") -> DataFrame:
+                  handle_invalid: str = "keep") -> DataFrame:
     """Category -> double code per column, most frequent level = 0.0, ties by value.
 
-    Several columns are fitted in one pass.  ``handle_invalid="keep"`` maps
-    levels unseen at fit time (and NULL) to one extra code instead of failing.
+    The values StringIndexer gives, as DataFrames throughout: the levels are counted,
+    numbered in (count descending, value) order by the distributed row index and joined
+    back, so any number of levels works and none reaches the driver.  NULL gets the code
+    after the last level (``"keep"``), fails (``"error"``) or drops the row (``"skip"``).
     """
+    if handle_invalid not in ("keep", "error", "skip"):
+        raise ValueError("handle_invalid must be 'keep', 'error' or 'skip'")
     outs = list(output_cols) if output_cols else [indexed_name(c) for c in input_cols]
-    model = StringIndexer(inputCols=list(input_cols), outputCols=outs,
-                          handleInvalid=handle_invalid, stringOrderType=order).fit(df)
-    return model.transform(df)
+    out, level, less, code = df, "_sw_level", "_sw_less", "_sw_code"
+    for c, name in zip(input_cols, outs):
+        counts = (df.where(col_of(c).isNotNull()).groupBy(col_of(c).cast("string").alias(level))
+                  .agg((-F.count(F.lit(1))).alias(less)))
+        levels = with_row_index(counts, [less, level], name=code).select(level, code)
+        if handle_invalid == "skip":
+            out = out.where(col_of(c).isNotNull())
+        joined = out.join(levels, col_of(c).cast("string") == F.col(level), "left")
+        missing = (F.lit(levels.count()) if handle_invalid == "keep"
+                   else F.raise_error(F.lit(f"NULL in {c}")))
+        value = F.when(col_of(c).isNull(), missing).otherwise(F.col(code)).cast("double")
+        out = joined.withColumn("_sw_out", value).drop(level, code)
+        out = out.select(*by_name([x for x in out.columns if x != "_sw_out"]), F.col("_sw_out").alias(name))
+    return out
 
 
 def assemble(df: DataFrame, input_cols: Sequence[str], output_col: str = "features", *,
@@ -63,7 +78,7 @@ def scale_columns(df: DataFrame, input_cols: Sequence[str], output_cols: Sequenc
     """
     aggs = []
     for i, c in enumerate(input_cols):
-        aggs += [F.stddev_samp(c).alias(f"s{i}"), F.avg(c).alias(f"m{i}")]
+        aggs += [F.stddev_samp(col_of(c)).alias(f"s{i}"), F.avg(col_of(c)).alias(f"m{i}")]
     stats = df.agg(*aggs).first()
     outs = {}
     for i, (c, o) in enumerate(zip(input_cols, output_cols)):
@@ -108,3 +123,13 @@ def max_category_levels(model: PipelineModel) -> int:
             for labels in stage.labelsArray:
                 most = max(most, len(labels) + 1)
     return most
+
+
+def most_levels(df: DataFrame, columns: Sequence[str]) -> int:
+    """The largest number of different values of any column, counted exactly before any
+    level leaves the executors (one row reaches the driver)."""
+    most = 0
+    for c in columns:
+        n = df.select(col_of(c).alias("v")).where("v IS NOT NULL").distinct().count()
+        most = max(most, n)
+    return most

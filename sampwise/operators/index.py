@@ -2,307 +2,111 @@
 
 An unpartitioned ``row_number() OVER (ORDER BY ...)`` sends every row through
 one task (``Exchange SinglePartition``).  Here the index is
-``offset(group) + position inside group``:
+``offset(partition) + position inside partition``:
 
-* **scan order** (``order_by=None``, the order ``zipWithIndex`` gives): the group
-  is the input split, the position comes from ``monotonically_increasing_id``.
-  No data shuffle; per-split counts (one row per split) are summed into offsets
-  and broadcast back.
-* **numeric, date or timestamp key order**: groups are key ranges whose bounds
-  are literals taken from a bounded sample, so the count pass and the data pass
-  agree by construction (nothing is materialised, a lost executor recomputes the same
-  values).  A key value that would overfill a range (a hot or duplicated key,
-  or NULL) gets its own range, spread over several groups by the row's scan
-  position; ties have no order, so this keeps the index exact.
-* **other keys** (strings, several columns): range-partition on the key
-  plus a scan-position tie-break, checkpoint to the shared checkpoint folder,
-  then number the checkpoint in scan order.
+* **key order** (any sortable columns): rows are range-partitioned and sorted on
+  the key plus a scan-position tie-break, so a value that fills many partitions
+  (a hot key, NULL, NaN, an outlier's neighbours) is spread over them;
+* **scan order** (``order_by=None``, the order ``zipWithIndex`` gives): the
+  partitions are the input's own.
 
-Up to ``rows_per_bucket`` rows the key ranges are equal-width slices of
-``[min, max]`` (a few per core, from one count/min/max aggregate) instead of
-sampled quantiles: no sampling job, and still no task sees the whole table.
+The placed rows are written once under ``spark.checkpoint.dir`` and numbered from
+that table: the count pass (one narrow column) and the data pass read the same
+files, so they agree whatever produced the rows, and a lost executor only rereads
+files.  There is one plan for every size, type and distribution.
 
-Both counting passes read only the columns they need.  The broadcast sides hold
-one row per group and the group count is bounded by ``max_buckets`` (key order)
-or by the number of input splits (scan order); past ``BROADCAST_GROUP_LIMIT``
-groups the offsets are joined with a shuffle instead.
+A bare scan may skip the copy with ``deterministic_input=True`` (scan order only);
+a plan with an exchange is then refused, and rows that the count pass did not see
+raise an error instead of vanishing.
+
+The only broadcast is the offsets table: one row per partition.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ByteType, DateType, DecimalType, DoubleType, FloatType,
-                               IntegerType, LongType, ShortType, StructField, StructType,
-                               TimestampNTZType, TimestampType)
 
-from ..functions.columns import col as col_of, cols as by_name
-from ..session import checkpoint_dir, default_parallelism, num_splits
-from ..sources.rows import from_literals
+from ..functions.columns import cols as by_name
+from ..session import stored_table
 
-POS_BITS = 33  # monotonically_increasing_id = split index << 33 | position in split
-BROADCAST_GROUP_LIMIT = 2_000_000
-SMALL_RANGE_ROWS = 4096  # small inputs: at least this many rows per key range
-RANGES_PER_CORE = 4  # several ranges per core so uneven ranges still balance
+POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | position in it
 
 _MID = "_sw_mid"
 _GRP = "_sw_grp"
-_BKT = "_sw_b"
-_TIE = "_sw_t"
-_KEYD = "_sw_kd"
 _CNT = "_sw_n"
 _OFF = "_sw_off"
-_RN = "_sw_rn"
-_HOT = "_sw_h"
-_WID = "_sw_w"
-
-_NUMERIC = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DecimalType)
 
 
 def with_row_index(df: DataFrame, order_by: str | Sequence[str] | None = None, *,
                    base: int = 0, name: str = "row_index",
-                   deterministic_input: bool = True,
-                   rows_per_bucket: int = 1 << 20, max_buckets: int = 1 << 16,
-                   sample_per_bucket: int = 64, seed: int = 17) -> DataFrame:
+                   deterministic_input: bool = False,
+                   partitions: int | None = None) -> DataFrame:
     """``df`` with a consecutive ``name`` column first, starting at ``base``.
 
-    ``order_by=None`` numbers rows in input order (split by split, as
+    ``order_by=None`` numbers rows in input order (partition by partition, as
     ``zipWithIndex``); otherwise in ascending key order, NULLs first.  Equal
-    keys get consecutive indexes in no fixed order, so give a unique key when
-    the exact rows per index matter.
+    keys get consecutive indexes in scan order, so give a unique key when the
+    exact rows per index matter.
 
-    ``deterministic_input`` states that ``df`` re-reads the same rows in the same
-    splits (a file/table scan plus narrow transformations).  Pass ``False`` for
-    anything after a shuffle; the input is then checkpointed first.
+    ``partitions`` is the number of key ranges (default: ``spark.sql.shuffle.partitions``).
+    ``deterministic_input=True`` states that ``df`` is a bare scan that re-reads the
+    same rows in the same splits; only scan order uses it.
     """
     if name in df.columns:
         raise ValueError(f"column {name!r} already exists")
+    flat = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # names cannot clash or need quoting
     if order_by is None:
-        src = df if deterministic_input else _materialize(df)
-        return _scan_order_index(src, base, name)
+        if deterministic_input:
+            _refuse_exchange(df)
+            placed = flat.withColumn(_MID, F.monotonically_increasing_id())
+            return _numbered(placed, df.columns, base, name)
+        return _numbered(_placed(flat), df.columns, base, name)
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     if not keys:
         raise ValueError("order_by must name at least one column")
     for k in keys:
         if k not in df.columns:
             raise ValueError(f"order_by column {k!r} not in {df.columns}")
-    if len(keys) == 1 and _projection(df, keys[0]) is not None:
-        src = df if deterministic_input else _materialize(df)
-        return _bucketed_index(src, keys[0], base, name, rows_per_bucket, max_buckets,
-                               sample_per_bucket, seed)
-    return _ranged_index(df, keys, base, name, rows_per_bucket, max_buckets)
-
-
-# --------------------------------------------------------------------------- helpers
-
-def _materialize(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def _projection(df: DataFrame, key: str) -> Column | None:
-    """A double that never decreases as the key increases, or None for other types.
-
-    Ties are allowed (e.g. longs beyond 2^53); the exact key still orders rows
-    within a range.  TIMESTAMP_NTZ is projected from its date and time-of-day
-    fields, never through a session time zone (DST gaps would break the order).
-    """
-    t = df.schema[key].dataType
-    c = col_of(key)
-    if isinstance(t, _NUMERIC):
-        return c.cast("double")
-    if isinstance(t, DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(t, TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(t, TimestampNTZType):
-        day = F.unix_date(F.to_date(c)).cast("double") * F.lit(86400.0)
-        clock = (F.hour(c) * 3600 + F.minute(c) * 60).cast("double")
-        return day + clock + F.date_part(F.lit("SECOND"), c).cast("double")
-    return None
-
-
-def _bucket_count(n: int, rows_per_bucket: int, max_buckets: int) -> int:
-    """Key ranges needed for size alone (at least one)."""
-    return int(max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket)))))
-
-
-def _ranges_for_cores(spark, n: int) -> int:
-    """Ranges that keep every core busy: a few per core, each with enough rows."""
-    return max(1, min(RANGES_PER_CORE * default_parallelism(spark), n // SMALL_RANGE_ROWS))
-
-
-def _offsets(counts: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Exclusive running sum of ``_sw_n`` in ``order``: one row per group.
-
-    The window has no partition key on purpose: its input is the per-group
-    counts table (bounded, see module doc), not the data.
-    """
-    w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(*order, F.coalesce(F.sum(_CNT).over(w), F.lit(0)).alias(_OFF))
-
-
-def _join_offsets(data: DataFrame, offsets: DataFrame, keys: Sequence[str],
-                  groups_bound: int) -> DataFrame:
-    side = F.broadcast(offsets) if groups_bound <= BROADCAST_GROUP_LIMIT else offsets
-    return data.join(side, list(keys), "inner")
-
-
-def _scan_order_index(df: DataFrame, base: int, name: str) -> DataFrame:
-    cols = df.columns
-    tagged = (df.withColumn(_MID, F.monotonically_increasing_id())
-              .withColumn(_GRP, F.shiftright(F.col(_MID), POS_BITS)))
-    counts = tagged.groupBy(_GRP).agg(F.count(F.lit(1)).alias(_CNT))
-    offsets = _offsets(counts, [_GRP])
-    splits = num_splits(df)
-    joined = _join_offsets(tagged, offsets, [_GRP],
-                           BROADCAST_GROUP_LIMIT + 1 if splits is None else splits)
-    pos = F.col(_MID).bitwiseAND(F.lit((1 << POS_BITS) - 1))
-    return joined.select((F.col(_OFF) + pos + F.lit(base)).alias(name), *by_name(cols))
-
-
-def _bucketed_index(df: DataFrame, key: str, base: int, name: str, rows_per_bucket: int,
-                    max_buckets: int, sample_per_bucket: int, seed: int) -> DataFrame:
-    spark = df.sparkSession
-    cols = df.columns
-    proj = _projection(df, key)
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.min(proj).alias("lo"),
-                   F.max(proj).alias("hi")).first()
-    n = stats["n"]
-    nb = _bucket_count(n, rows_per_bucket, max_buckets)
-    tagged = df.withColumn(_MID, F.monotonically_increasing_id())
-    if nb == 1:
-        tagged, bound = _equal_width_ranges(df, tagged, key, proj, n, stats["lo"], stats["hi"])
-        hot_rows, null_width = [], 1
-    else:
-        nb = min(max_buckets, max(nb, _ranges_for_cores(spark, n)))
-        # bounded sample of the key (about sample_per_bucket x nb values) to the driver
-        frac = min(1.0, sample_per_bucket * nb / max(n, 1))
-        sample = (df.select(col_of(key).alias("k"), proj.alias("d"))
-                  .sample(False, frac, seed).toArrow())
-        splits, hot_rows, null_width = _plan_ranges(sample, nb, sample_per_bucket)
-        tagged = tagged.withColumn(_KEYD, F.coalesce(proj, F.lit(0.0)))
-        if len(splits) > 2:
-            tagged = Bucketizer(splits=splits, inputCol=_KEYD, outputCol=_BKT,
-                                handleInvalid="keep").transform(tagged)
-        else:
-            tagged = tagged.withColumn(_BKT, F.lit(0.0))
-        bound = (len(splits) + 2 * len(hot_rows) + sum(r[2] for r in hot_rows)
-                 + null_width + 1)
-    k = col_of(key)
-    tie = F.lit(0).cast("long")
-    if hot_rows:
-        # rows of a hot value: spread over `width` groups by scan position; other
-        # rows of the same range go before (-1) or after (width) them
-        hot = from_literals(spark, hot_rows, StructType([
-            StructField(_BKT, DoubleType(), False),
-            StructField(_HOT, df.schema[key].dataType, False),
-            StructField(_WID, LongType(), False)]))
-        tagged = tagged.join(F.broadcast(hot), [_BKT], "left")
-        tie = (F.when(F.col(_HOT).isNull(), F.lit(0))
-               .when(k < F.col(_HOT), F.lit(-1))
-               .when(k > F.col(_HOT), F.col(_WID))
-               .otherwise(F.pmod(F.xxhash64(F.col(_MID)), F.col(_WID))))
-    null_tie = (F.pmod(F.xxhash64(F.col(_MID)), F.lit(null_width)) if null_width > 1
-                else F.lit(0).cast("long"))
-    grouped = tagged.select(
-        *by_name(cols),
-        F.when(k.isNull(), F.lit(-1)).otherwise(F.col(_BKT).cast("int")).alias(_BKT),
-        F.when(k.isNull(), null_tie).otherwise(tie).cast("long").alias(_TIE))
-    return _number_groups(grouped, cols, k, base, name, bound)
-
+    order = [F.col(f"c{df.columns.index(k)}").asc_nulls_first() for k in keys]
+    width = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tie = "_sw_tie"
+    ranged = (flat.withColumn(tie, F.monotonically_increasing_id())
+              .repartitionByRange(width, *order, F.col(tie))
+              .sortWithinPartitions(*order, F.col(tie)).drop(tie))
+    return _numbered(_placed(ranged), df.columns, base, name)
 
-def _equal_width_ranges(df: DataFrame, tagged: DataFrame, key: str, proj: Column, n: int,
-                        lo: float | None, hi: float | None) -> tuple[DataFrame, int]:
-    """Small input: ``_sw_b`` = slice of ``[lo, hi]``; an uneven slice holds <= n rows."""
-    parts = _ranges_for_cores(df.sparkSession, n)
-    if lo is None or hi is None or not (math.isfinite(lo) and math.isfinite(hi)) or hi <= lo:
-        parts = 1
-    if parts == 1:
-        slot = F.lit(0)
-    else:
-        scaled = F.floor((proj - F.lit(lo)) * F.lit(float(parts)) / F.lit(hi - lo))
-        slot = F.least(F.lit(parts - 1), scaled.cast("int"))
-    if isinstance(df.schema[key].dataType, (FloatType, DoubleType)):
-        slot = F.when(F.isnan(proj), F.lit(parts)).otherwise(slot)  # NaN sorts last
-    return tagged.withColumn(_BKT, slot.cast("double")), parts + 2
 
+def _placed(df: DataFrame) -> DataFrame:
+    """The rows with their place, written once and read back."""
+    return stored_table(df.withColumn(_MID, F.monotonically_increasing_id()), "row-index")
 
-def _number_groups(grouped: DataFrame, cols: Sequence[str], k, base: int, name: str,
-                   groups: int) -> DataFrame:
-    """Index rows whose group ``(_sw_b, _sw_t)`` is a deterministic, ordered key range.
 
-    ``row_number`` per group (one hash exchange on the group, a sort by key
-    inside it) plus the group's offset: the rows of all earlier groups, from a
-    per-group count table broadcast back (``groups`` bounds its size).
-    """
-    keys = [_BKT, _TIE]
-    counts = grouped.groupBy(*keys).agg(F.count(F.lit(1)).alias(_CNT))
-    offsets = _offsets(counts, keys)
-    w = Window.partitionBy(*keys).orderBy(k.asc_nulls_first())
-    numbered = grouped.withColumn(_RN, F.row_number().over(w))
-    joined = _join_offsets(numbered, offsets, keys, groups)
-    return joined.select((F.col(_OFF) + F.col(_RN) - 1 + F.lit(base)).cast("long").alias(name),
-                         *by_name(cols))
+def _refuse_exchange(df: DataFrame) -> None:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan:
+        raise ValueError("the input shuffles rows, so it is not a bare scan: "
+                         "leave deterministic_input=False")
 
 
-def _plan_ranges(sample: pa.Table, nb: int, per_bucket: int):
-    """Split points and hot values from a key sample (driver side, bounded size).
+def _numbered(placed: DataFrame, names: Sequence[str], base: int, name: str) -> DataFrame:
+    """Offsets of the partitions (an exclusive running sum over one row each) plus positions.
 
-    ``sample`` has the exact key ``k`` and its projection ``d``.  Returns
-    Bucketizer splits (strictly increasing, infinite ends), rows
-    ``(bucket, hot_value, width)`` for values that alone fill two or more
-    ranges, and how many groups the NULL keys are spread over.
+    The window has no partition key on purpose: its input is the per-partition
+    counts, not the data.
     """
-    keys = sample.column("k")
-    null_count = keys.null_count
-    null_width = max(1, math.ceil(null_count / per_bucket)) if null_count >= 2 * per_bucket else 1
-    valid = sample.filter(pc.is_valid(sample.column("k")))
-    proj = pc.cast(valid.column("d"), pa.float64()).to_numpy(zero_copy_only=False)
-    ordered = np.sort(proj[np.isfinite(proj)])
-    points: set[float] = set()
-    if len(ordered):
-        for i in range(1, nb):
-            points.add(float(ordered[min(len(ordered) - 1, (i * len(ordered)) // nb)]))
-    hot_values: list[tuple[object, float, int]] = []
-    if valid.num_rows:
-        grouped = valid.group_by("k").aggregate([("k", "count"), ("d", "min")])
-        for row in grouped.filter(pc.greater_equal(grouped.column("k_count"),
-                                                   2 * per_bucket)).to_pylist():
-            d = row["d_min"]
-            if d is None or not math.isfinite(d):
-                continue
-            hot_values.append((row["k"], float(d), math.ceil(row["k_count"] / per_bucket)))
-            points.add(float(d))
-            points.add(float(np.nextafter(d, math.inf)))
-    splits = [-math.inf] + sorted(p for p in points if math.isfinite(p)) + [math.inf]
-    hot_rows = []
-    for v, d, width in hot_values:
-        bucket = int(np.searchsorted(splits, d, side="right")) - 1
-        hot_rows.append((float(bucket), v, int(width)))
-    return splits, hot_rows, null_width
-
-
-def _ranged_index(df: DataFrame, keys: list[str], base: int, name: str,
-                  rows_per_bucket: int, max_buckets: int) -> DataFrame:
-    cols = df.columns
-    n = df.count()
-    nb = min(max_buckets, max(_bucket_count(n, rows_per_bucket, max_buckets),
-                              _ranges_for_cores(df.sparkSession, n)))
-    checkpoint_dir(df.sparkSession)
-    tie = "_sw_tie"
-    ranged = (df.withColumn(tie, F.monotonically_increasing_id())
-              .repartitionByRange(nb, *[col_of(k).asc_nulls_first() for k in keys], F.col(tie))
-              .sortWithinPartitions(*[col_of(k).asc_nulls_first() for k in keys], F.col(tie)))
-    stored = ranged.checkpoint(eager=True)
-    return _scan_order_index(stored.select(*by_name(cols)), base, name)
+    grouped = placed.withColumn(_GRP, F.shiftright(_MID, POS_BITS))
+    counts = grouped.groupBy(_GRP).agg(F.count(F.lit(1)).alias(_CNT))
+    before = Window.orderBy(_GRP).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_GRP, _CNT, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
+    position = F.col(_MID).bitwiseAND(F.lit((1 << POS_BITS) - 1))
+    joined = grouped.join(F.broadcast(offsets), _GRP, "left")
+    index = F.when(position < F.col(_CNT), F.col(_OFF) + position + F.lit(base)).otherwise(
+        F.raise_error(F.lit("the input changed between two reads: leave deterministic_input=False")))
+    return joined.select(index.cast("long").alias(name),
+                         *[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
 
 
 def with_unique_id(df: DataFrame, name: str = "uid") -> DataFrame:

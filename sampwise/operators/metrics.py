@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import col as col_of
 from ..functions.predicates import correct
 
 
@@ -30,6 +31,6 @@ def accuracy_value(predictions: DataFrame, label: str = "label",
 def confusion(predictions: DataFrame, label: str = "label",
               prediction: str = "prediction") -> DataFrame:
     """``(label, prediction, count)`` for every observed pair."""
-    return (predictions.groupBy(F.col(label).alias("label"),
-                                F.col(prediction).alias("prediction"))
+    return (predictions.groupBy(col_of(label).alias("label"),
+                                col_of(prediction).alias("prediction"))
             .agg(F.count(F.lit(1)).alias("count")))

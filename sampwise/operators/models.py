@@ -14,7 +14,8 @@ from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC,
                                        RandomForestClassifier)
 from pyspark.sql import DataFrame
 
-from .features import feature_pipeline, label_levels, max_category_levels
+from ..functions.columns import col as col_of
+from .features import feature_pipeline, label_levels, max_category_levels, most_levels
 from .metrics import accuracy_value
 
 
@@ -36,9 +37,11 @@ def decision_tree(max_depth: int = 5, max_bins: int = 32, seed: int | None = Non
 
 
 def random_forest(num_trees: int = 20, max_depth: int = 10, max_bins: int = 32,
-                  seed: int | None = None) -> ModelSpec:
+                  seed: int | None = None, bootstrap: bool = True,
+                  features_per_split: str = "auto") -> ModelSpec:
     return ModelSpec("random_forest", {"numTrees": num_trees, "maxDepth": max_depth,
-                                       "maxBins": max_bins, "seed": seed})
+                                       "maxBins": max_bins, "seed": seed, "bootstrap": bootstrap,
+                                       "featureSubsetStrategy": features_per_split})
 
 
 def linear_svm(max_iter: int = 100, reg_param: float = 0.1,
@@ -48,11 +51,16 @@ def linear_svm(max_iter: int = 100, reg_param: float = 0.1,
                                     "standardization": standardization})
 
 
-# Trees need maxBins >= the levels of every categorical feature; beyond this many
-# levels the feature should be encoded differently, so the fit is refused.
+# Trees need maxBins >= the levels of every categorical feature (maxBins is raised to
+# that where the caller's value is lower), and indexers hold all levels in memory; beyond
+# this many levels the feature should be encoded differently, so the fit is refused.
 MAX_TREE_BINS = 10_000
 
 
+class DataProblem(ValueError):
+    """The rows do not allow this fit; nothing is wrong with the cluster."""
+
+
 def _estimator(spec: ModelSpec, label_col: str, features_col: str, min_bins: int):
     params = {k: v for k, v in spec.params.items() if v is not None}
     if spec.kind == "decision_tree":
@@ -78,20 +86,23 @@ def train_and_score(train: DataFrame, test: DataFrame, spec: ModelSpec, *, label
                     on_fitted: Callable | None = None) -> Score:
     """Fit features + model on ``train``, return accuracy on ``test``.
 
-    Raises ``ValueError`` for an SVM whose training labels are not exactly two
-    classes; a label seen only in test raises Spark's unseen-label error.
+    Raises :class:`DataProblem` for too many levels of a category, an SVM whose
+    training labels are not exactly two classes, or a label seen only in test.
     """
     scale = spec.scales_features
+    levels = most_levels(train, [label, *categorical])
+    if levels >= MAX_TREE_BINS:
+        raise DataProblem(f"a categorical column has {levels} levels; at most {MAX_TREE_BINS - 1} are indexed")
     features = feature_pipeline(label, numeric, categorical, scale=scale).fit(train)
     classes = len(label_levels(features))
     if spec.kind == "linear_svm" and classes != 2:
-        raise ValueError(f"linear SVM needs exactly 2 label values, training rows have {classes}")
+        raise DataProblem(f"linear SVM needs exactly 2 label values, training rows have {classes}")
     feat_col = "scaledFeatures" if scale else "features"
-    levels = max_category_levels(features)
-    if spec.kind != "linear_svm" and levels > MAX_TREE_BINS:
-        raise ValueError(f"a categorical feature has {levels} levels; trees accept at most "
-                         f"{MAX_TREE_BINS} (maxBins)")
-    estimator = _estimator(spec, "label", feat_col, levels)
+    known = label_levels(features)
+    unseen = test.where(~col_of(label).cast("string").isin(known)).limit(1).count()
+    if unseen:
+        raise DataProblem("the test rows hold a label that the training rows do not")
+    estimator = _estimator(spec, "label", feat_col, max_category_levels(features))
     train_f = features.transform(train)
     model = estimator.fit(train_f)
     if on_fitted is not None:

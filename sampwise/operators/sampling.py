@@ -40,7 +40,7 @@ def _indexed(df: DataFrame, index_col: str, order_by, base: int,
 def systematic_sample(df: DataFrame, step: int, start: int = 0, *,
                       order_by: str | Sequence[str] | None = None, base: int = 0,
                       index_col: str = "row_index", keep_index: bool = True,
-                      deterministic_input: bool = True) -> DataFrame:
+                      deterministic_input: bool = False) -> DataFrame:
     """Rows whose index ``i`` satisfies ``(i - start) mod step == 0``.
 
     With ``base=0`` this is ``zipWithIndex`` + filter; with ``base=1`` and
@@ -58,7 +58,7 @@ def systematic_sample(df: DataFrame, step: int, start: int = 0, *,
 def systematic_partition(df: DataFrame, n_parts: int, *,
                          order_by: str | Sequence[str] | None = None, base: int = 0,
                          index_col: str = "row_index", part_col: str = "part",
-                         deterministic_input: bool = True) -> DataFrame:
+                         deterministic_input: bool = False) -> DataFrame:
     """Add ``part = (index - base) mod n_parts``: n disjoint systematic samples, one pass.
 
     Part ``j`` is exactly ``systematic_sample(step=n_parts, start=j)``; the parts
@@ -80,10 +80,11 @@ def sampling_interval(n_rows: int, n_samples: int) -> int:
 def interval_sample(df: DataFrame, n_samples: int, start: int = 0, *,
                     order_by: str | Sequence[str] | None = None, base: int = 0,
                     index_col: str = "row_index",
-                    deterministic_input: bool = True) -> DataFrame:
+                    deterministic_input: bool = False) -> DataFrame:
     """Systematic sample of about ``n_samples`` rows: step ``k = N // n_samples``."""
     idx = _indexed(df, index_col, order_by, base, deterministic_input)
-    step = sampling_interval(df.count(), n_samples)
+    last = idx.agg(F.max(index_col)).first()[0]  # one narrow column of the numbered rows
+    step = sampling_interval(0 if last is None else last - base + 1, n_samples)
     return idx.filter(residue(index_col, start, step))
 
 

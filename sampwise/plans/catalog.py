@@ -8,26 +8,28 @@ queries have no SQL form (fitting is iterative) and are checked by tests.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import HASH_HEX_DIGITS, HASH_SCALE, cumulative_bounds
-from ..functions.text import WHITESPACE_RUN
-from ..operators.counts import (count_by, field_count, head, row_counts, spread, tokenize,
-                                top_k, word_count)
+from ..functions.text import WHITESPACE_RUN, fixed_decimal, tokens
+from ..operators.counts import count_by, field_count, head, row_counts, top_k, word_count
 from ..operators.features import index_columns, scale_columns, assemble, vector_columns
 from ..operators.index import with_row_index, with_unique_id
 from ..operators.metrics import accuracy, confusion
 from ..operators.models import decision_tree, linear_svm, random_forest
 from ..operators.sampling import (draw_offsets, hash_split, interval_sample, systematic_partition,
                                   systematic_sample)
-from ..sources.delimited import clean_column_names, to_typed
+from ..session import checkpoint_dir
+from ..sources.delimited import clean_column_names, read_delimited, to_typed
+from ..sources.text import read_lines
 from ..sources.tables import TABLES, table
 from .datasets import (BANK_CATEGORICAL, BANK_KEY, BANK_LABEL, BANK_NUMERIC, events_bank)
-from .experiments import (experiment_sizes, experiment_table, run_experiments, run_per_part,
-                          summarise)
+from .experiments import (experiment_sizes, experiment_table, finished, run_experiments,
+                          run_per_part, summarise)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +49,9 @@ SPLIT_SEED_BASE = 42
 LONG_DOC_CHARS = 200
 TOP_K = 10
 RICH_ACCTBAL = 5000.0
+FLAG_PRICE = 150000.0
+EMPTY_STEP = 40
+EMPTY_OFFSETS = (3, 24, 30, 39)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,7 +66,7 @@ def experiment_offsets() -> list[int]:
 
 def q_word_count(spark, sf_dir):
     docs = _t(spark, sf_dir, "documents").select(F.col("text").alias("value"))
-    return word_count(spread(docs))
+    return word_count(docs)
 
 
 def order_lines(orders: DataFrame) -> DataFrame:
@@ -76,8 +81,10 @@ def q_field_count_top10(spark, sf_dir):
 
 
 def q_tokens_per_document(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
-    return count_by(tokenize(spread(docs), "text", keep=["doc_id"]), "doc_id")
+    """Counted inside the row: no token becomes a row of its own."""
+    docs = _t(spark, sf_dir, "documents")
+    sizes = docs.select("doc_id", F.size(tokens("text")).cast("long").alias("n")).where("n > 0")
+    return sizes.groupBy("doc_id").agg(F.sum("n").alias("count"))
 
 
 def customer_lines(customer: DataFrame) -> DataFrame:
@@ -108,13 +115,50 @@ def q_row_index(spark, sf_dir):
 
 
 def q_row_index_scan_order(spark, sf_dir):
-    """Scan-order index (``zipWithIndex``); checked by its order-free facts."""
-    idx = with_row_index(_t(spark, sf_dir, "orders"))
+    """Scan-order index (``zipWithIndex``).  ``out_of_order`` counts rows whose index does
+    not follow their file and place in it, as the reader itself reports them."""
+    orders = _t(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("place"))
+    idx = with_row_index(orders, deterministic_input=True)
+    step = Window.partitionBy("file").orderBy("place")
+    idx = idx.withColumn("before", F.lag("row_index").over(step))
+    return idx.agg(F.count(F.lit(1)).alias("n"), F.min("row_index").alias("min_index"),
+                   F.max("row_index").alias("max_index"),
+                   F.countDistinct("row_index").alias("distinct_index"),
+                   F.count_if(F.col("before") >= F.col("row_index")).alias("out_of_order"))
+
+
+def index_facts(idx: DataFrame) -> DataFrame:
     return idx.agg(F.count(F.lit(1)).alias("n"), F.min("row_index").alias("min_index"),
                    F.max("row_index").alias("max_index"),
                    F.countDistinct("row_index").alias("distinct_index"))
 
 
+def q_index_close_keys(spark, sf_dir):
+    """Two hot keys that are the same double (2^60 and 2^60 + 1), many key ranges."""
+    key = F.lit(1 << 60) + F.col("l_linenumber").cast("long") % 2
+    rows = _t(spark, sf_dir, "lineitem").select(key.alias("big_key"))
+    idx = with_row_index(rows, "big_key", partitions=50)
+    return idx.groupBy("big_key").agg(F.count(F.lit(1)).alias("n"),
+                                      F.min("row_index").alias("min_index"),
+                                      F.max("row_index").alias("max_index"))
+
+
+def q_index_after_join(spark, sf_dir):
+    """Scan-order index of rows that come out of a shuffle."""
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lines = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity")
+    return index_facts(with_row_index(lines.join(orders.hint("merge"), "o_orderkey")))
+
+
+def q_index_text_key(spark, sf_dir):
+    """Key order on a text column with NULLs and a composite tie-break."""
+    part = _t(spark, sf_dir, "customer").select(
+        F.when(F.col("c_acctbal") > RICH_ACCTBAL, F.col("c_mktsegment")).alias("segment"), "c_custkey")
+    return with_row_index(part, ["segment", "c_custkey"], base=1)
+
+
 def q_unique_ids(spark, sf_dir):
     """Unique increasing id (not consecutive); checked by its order-free facts."""
     ids = with_unique_id(_t(spark, sf_dir, "lineitem").select("l_orderkey"), "uid")
@@ -178,11 +222,35 @@ def q_label_index(spark, sf_dir):
     return index_columns(events, ["event_type"], ["label"])
 
 
+def q_name_index(spark, sf_dir):
+    """As many levels as rows."""
+    customer = _t(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return index_columns(customer, ["c_name"], ["code"])
+
+
 def q_category_index(spark, sf_dir):
     orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     return index_columns(orders, ["o_orderstatus", "o_orderpriority"])
 
 
+def q_delimited_orders(spark, sf_dir):
+    """Orders written as ``;`` lines with a header, read back with a schema."""
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    path = f"{checkpoint_dir(spark)}/sampwise-lines-{uuid.uuid4().hex}"
+    orders.write.option("sep", ";").option("header", True).csv(path)
+    back = read_delimited(spark, path, sep=";", header=True,
+                          schema="o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE")
+    return back.withColumn("price_text", fixed_decimal("o_totalprice", 4))
+
+
+def q_words_in_text_files(spark, sf_dir):
+    """Word counts of text files, one line a row."""
+    lines = _t(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("value"))
+    path = f"{checkpoint_dir(spark)}/sampwise-text-{uuid.uuid4().hex}"
+    lines.write.text(path)
+    return word_count(read_lines(spark, path))
+
+
 def q_typed_rows(spark, sf_dir):
     part = _t(spark, sf_dir, "part")
     dotted = part.toDF(*[c.replace("_", ".", 1) for c in part.columns])
@@ -287,7 +355,83 @@ def q_random_part_models(spark, sf_dir):
                         part_weights=SPLIT3_WEIGHTS)
 
 
+# Models whose result SQL can state.  A tree on one two-valued feature predicts, for each
+# value, the label that most training rows with that value have.
+
+def flagged_orders(spark, sf_dir) -> DataFrame:
+    return _t(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus",
+        (F.col("o_totalprice") > FLAG_PRICE).cast("double").alias("flag"),
+        F.when(F.col("o_totalprice") > FLAG_PRICE, 1.0).otherwise(-1.0).alias("side"),
+        F.when(F.col("o_totalprice") > FLAG_PRICE, "high").otherwise("low").alias("band"))
+
+
+def _rounded(results: DataFrame) -> DataFrame:
+    return results.withColumn("accuracy", F.round("accuracy", 10))
+
+
+def _flag_experiments(spec, label="o_orderstatus", feature="flag"):
+    def run(spark, sf_dir):
+        return _rounded(run_experiments(
+            flagged_orders(spark, sf_dir), spec, label=label, numeric=[feature], key="o_orderkey",
+            step=SAMPLE_STEP, offsets=experiment_offsets(), split_seed_base=SPLIT_SEED_BASE))
+    return run
+
+
+q_majority_tree = _flag_experiments(decision_tree(max_depth=1, seed=1))
+q_majority_forest = _flag_experiments(random_forest(num_trees=1, max_depth=1, seed=1, bootstrap=False,
+                                                    features_per_split="all"))
+q_separable_svm = _flag_experiments(linear_svm(max_iter=20), label="band", feature="side")
+
+
+def q_majority_summary(spark, sf_dir):
+    s = summarise(finished(q_majority_tree(spark, sf_dir)))
+    return s.select("planned", "finished", F.round("avg_accuracy", 9).alias("avg_accuracy"),
+                    "min_accuracy", "max_accuracy",
+                    fixed_decimal(F.lit(N_EXPERIMENTS) * F.lit(0.25), 2).alias("quarter_text"))
+
+
+def _flag_parts(method):
+    def run(spark, sf_dir):
+        return _rounded(run_per_part(
+            flagged_orders(spark, sf_dir), decision_tree(max_depth=1), label="o_orderstatus", numeric=["flag"],
+            key="o_orderkey", n_parts=N_PARTS, method=method, split_seed=1, part_seed=SPLIT3_SEED,
+            part_weights=SPLIT3_WEIGHTS if method == "random" else None))
+    return run
+
+
+q_majority_parts = _flag_parts("systematic")
+q_majority_random_parts = _flag_parts("random")
+
+
+def q_empty_samples(spark, sf_dir):
+    """A step beyond the row count: samples of one row or none, so no model anywhere."""
+    nation = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name", F.lit(1.0).alias("one"))
+    return run_experiments(nation, decision_tree(), label="n_name", numeric=["one"], key="n_nationkey",
+                           step=EMPTY_STEP, offsets=list(EMPTY_OFFSETS), split_seed_base=SPLIT_SEED_BASE)
+
+
+def q_finished_of_planned(spark, sf_dir):
+    """Experiments that finish, out of a plan in which none can."""
+    return summarise(q_empty_samples(spark, sf_dir)).select(
+        "planned", "finished", F.col("avg_accuracy").isNull().alias("no_average"))
+
+
 QUERIES: dict[str, Query] = {
+    "index_close_keys": q_index_close_keys,
+    "index_after_join": q_index_after_join,
+    "index_text_key": q_index_text_key,
+    "name_index": q_name_index,
+    "delimited_orders": q_delimited_orders,
+    "words_in_text_files": q_words_in_text_files,
+    "majority_tree": q_majority_tree,
+    "majority_forest": q_majority_forest,
+    "separable_svm": q_separable_svm,
+    "majority_summary": q_majority_summary,
+    "majority_parts": q_majority_parts,
+    "majority_random_parts": q_majority_random_parts,
+    "empty_samples": q_empty_samples,
+    "finished_of_planned": q_finished_of_planned,
     "word_count": q_word_count,
     "field_count_top10": q_field_count_top10,
     "custkey_top10": q_custkey_top10,
@@ -374,7 +518,29 @@ def _oracle() -> dict[str, str]:
     sql["row_index"] = _sql_index("orders", "o_orderkey")
     sql["row_index_scan_order"] = (
         "SELECT count(*) AS n, CAST(0 AS BIGINT) AS min_index, CAST(count(*) - 1 AS BIGINT)"
-        " AS max_index, count(*) AS distinct_index FROM orders")
+        " AS max_index, count(*) AS distinct_index, CAST(0 AS BIGINT) AS out_of_order FROM orders")
+    close = "CAST(1152921504606846976 + l_linenumber % 2 AS BIGINT)"
+    sql["index_close_keys"] = (
+        "SELECT big_key, count(*) AS n, min(i) AS min_index, max(i) AS max_index FROM ("
+        f"SELECT {close} AS big_key, row_number() OVER (ORDER BY {close}) - 1 AS i FROM lineitem"
+        ") GROUP BY big_key")
+    sql["index_after_join"] = (
+        "SELECT count(*) AS n, CAST(0 AS BIGINT) AS min_index, CAST(count(*) - 1 AS BIGINT)"
+        " AS max_index, count(*) AS distinct_index FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+    segment = f"CASE WHEN c_acctbal > {RICH_ACCTBAL!r} THEN c_mktsegment END"
+    sql["index_text_key"] = (
+        f"SELECT row_number() OVER (ORDER BY {segment} NULLS FIRST, c_custkey) AS row_index, "
+        f"{segment} AS segment, c_custkey FROM customer")
+    sql["name_index"] = (
+        f"WITH c AS ({_sql_label_codes('customer', 'c_name')}) "
+        "SELECT c_custkey, customer.c_name, c.code FROM customer JOIN c USING (c_name)")
+    sql["delimited_orders"] = (
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+        "printf('%.4f', o_totalprice) AS price_text FROM orders")
+    sql["words_in_text_files"] = (
+        "SELECT word, count(*) AS count FROM ("
+        f"SELECT unnest(regexp_split_to_array(lower(concat_ws(' ', p_name, p_type)), '{ws}')) AS word FROM part"
+        ") WHERE word <> '' GROUP BY word")
     sql["unique_ids"] = "SELECT count(*) AS n, count(*) AS distinct_ids FROM lineitem"
     sql["systematic_sample"] = (
         f"SELECT * FROM ({_sql_index('orders', 'o_orderkey')}) "
@@ -414,6 +580,61 @@ def _oracle() -> dict[str, str]:
         f"CAST(count(i.event_id) - coalesce(sum({flag}), 0) AS BIGINT) AS num_test "
         f"FROM e LEFT JOIN i ON i.row_index % {SAMPLE_STEP} = e.start_offset "
         "GROUP BY e.experiment_id, e.start_offset")
+    flagged = (f"SELECT o_orderkey, o_orderstatus, CASE WHEN o_totalprice > {FLAG_PRICE!r} THEN 1 ELSE 0 END"
+               " AS flag FROM orders")
+
+    def majority(samples: str, by: str) -> str:
+        """Sizes and accuracy by ``by`` of ``samples`` (by columns, o_orderstatus, flag, is_train)."""
+        return (
+            f"s AS ({samples}), "
+            f"n AS (SELECT {by}, flag, o_orderstatus AS guess, count(*) AS here FROM s WHERE is_train = 1 "
+            f"GROUP BY {by}, flag, o_orderstatus), "
+            f"o AS (SELECT *, sum(here) OVER (PARTITION BY {by}, guess) AS overall FROM n), "
+            f"m AS (SELECT {by}, flag, guess FROM o QUALIFY row_number() OVER "  # ties as the label codes go
+            f"(PARTITION BY {by}, flag ORDER BY here DESC, overall DESC, guess) = 1), "
+            f"r AS (SELECT {by}, count(*) AS num_samples, sum(is_train)::BIGINT AS num_train, "
+            "sum(1 - is_train)::BIGINT AS num_test, "
+            "round(avg(CASE WHEN is_train = 0 THEN (o_orderstatus = guess)::INT END), 10) AS accuracy "
+            f"FROM s JOIN m USING ({by}, flag) GROUP BY {by})")
+
+    train = (f"CASE WHEN {_sql_uniform('i.o_orderkey', 'e.seed')} < "
+             f"CAST({TRAIN_WEIGHTS[0]!r} AS DOUBLE) THEN 1 ELSE 0 END AS is_train")
+    orders_at = _sql_index(f"({flagged})", "o_orderkey")
+    drawn = (f"SELECT e.experiment_id, e.start_offset, i.o_orderstatus, i.flag, {train} "
+             f"FROM e JOIN i ON i.row_index % {SAMPLE_STEP} = e.start_offset")
+    plan = f"WITH e(experiment_id, start_offset, seed) AS (VALUES {values}), i AS ({orders_at}), "
+    experiments = plan + majority(drawn, "experiment_id, start_offset")
+    sql["majority_tree"] = sql["majority_forest"] = (
+        experiments + " SELECT *, CAST(NULL AS VARCHAR) AS error FROM r")
+    sql["separable_svm"] = (
+        experiments + " SELECT * REPLACE (1.0::DOUBLE AS accuracy), CAST(NULL AS VARCHAR) AS error FROM r")
+    sql["majority_summary"] = (
+        experiments + " SELECT count(*) AS planned, count(accuracy) AS finished, "
+        "round(avg(accuracy), 9) AS avg_accuracy, min(accuracy) AS min_accuracy, max(accuracy) AS max_accuracy, "
+        f"printf('%.2f', {N_EXPERIMENTS * 0.25!r}) AS quarter_text FROM r")
+    part_train = (f"CASE WHEN {_sql_uniform('o_orderkey', '1')} < "
+                  f"CAST({TRAIN_WEIGHTS[0]!r} AS DOUBLE) THEN 1 ELSE 0 END AS is_train")
+    for key, source, part in (
+            ("majority_parts", orders_at, f"CAST(row_index % {N_PARTS} AS INT)"),
+            ("majority_random_parts", flagged,
+             _sql_bucket(_sql_uniform("o_orderkey", str(SPLIT3_SEED)), SPLIT3_WEIGHTS))):
+        drawn = f"SELECT {part} AS part, o_orderstatus, flag, {part_train} FROM ({source})"
+        sql[key] = "WITH " + majority(drawn, "part") + " SELECT *, CAST(NULL AS VARCHAR) AS error FROM r"
+    empty = ", ".join(f"({i + 1}, {o}, {SPLIT_SEED_BASE + i})" for i, o in enumerate(EMPTY_OFFSETS))
+    is_train = (f"CASE WHEN {_sql_uniform('i.n_nationkey', 'e.seed')} < "
+                f"CAST({TRAIN_WEIGHTS[0]!r} AS DOUBLE) THEN 1 ELSE 0 END")
+    sql["empty_samples"] = (
+        f"WITH e(experiment_id, start_offset, seed) AS (VALUES {empty}), "
+        f"i AS ({_sql_index('nation', 'n_nationkey')}) "
+        "SELECT e.experiment_id, e.start_offset, count(i.n_nationkey) AS num_samples, "
+        f"coalesce(sum({is_train}) FILTER (WHERE i.n_nationkey IS NOT NULL), 0)::BIGINT AS num_train, "
+        f"coalesce(sum(1 - {is_train}) FILTER (WHERE i.n_nationkey IS NOT NULL), 0)::BIGINT AS num_test, "
+        "CAST(NULL AS DOUBLE) AS accuracy, CASE WHEN count(i.n_nationkey) = 0 THEN 'empty sample' "
+        "ELSE 'empty train or test part' END AS error "
+        f"FROM e LEFT JOIN i ON i.row_index % {EMPTY_STEP} = e.start_offset "
+        "GROUP BY e.experiment_id, e.start_offset")
+    sql["finished_of_planned"] = (
+        f"SELECT {len(EMPTY_OFFSETS)}::BIGINT AS planned, 0::BIGINT AS finished, true AS no_average")
     sql["label_index"] = (
         f"WITH c AS ({_sql_label_codes('events', 'event_type')}) "
         "SELECT ev.event_id, ev.event_type, c.code AS label FROM events ev "

@@ -7,38 +7,35 @@ test with a per-experiment seed, fit and score one model per experiment.
 Data flow:
 
 * only the key, label and feature columns are read (column pruning);
-* the index is computed once; rows tagged with their residue class ``part``
-  are kept for the experiments that need them: persisted (memory, spilling to
-  disk; the index is deterministic, so a lost block is recomputed identically)
-  for small inputs, written as a table partitioned by ``part`` under
-  ``spark.checkpoint.dir`` for large ones, so hours of model fitting never
-  depend on lineage and each experiment reads only its own partition;
+* the index is computed once; rows tagged with their residue class ``part`` are
+  written as a table partitioned by ``part`` under ``spark.checkpoint.dir``, so hours of
+  model fitting never depend on lineage and each experiment reads only its own partition;
 * all sample/train/test sizes come from ONE grouped aggregate over ``part``;
 * experiments run as concurrent Spark jobs from a small driver thread pool;
   results do not depend on the order they finish in.
 
-An experiment whose sample, training or test part is empty, or whose fit
-fails, gets a NULL accuracy and a message; the others are unaffected.
+An experiment whose sample, training or test part is empty, or whose rows do not allow
+the fit, gets a NULL accuracy and a message; the others are unaffected.  Failures of the
+cluster are raised.
 """
 
 from __future__ import annotations
 
-import math
 import os
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace as with_changes
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
-from ..functions.columns import cols as by_name
+from ..functions.columns import col as col_of, cols as by_name
 from ..functions.hashing import bucket_of, uniform
-from ..operators.models import ModelSpec, train_and_score
+from ..operators.models import DataProblem, ModelSpec, train_and_score
 from ..operators.sampling import draw_offsets, systematic_partition
 from ..session import checkpoint_dir
 from ..sources.rows import from_literals
@@ -76,65 +73,50 @@ def _train_flag(key_col: str, seed, train_fraction: float, hash_fn: str = "md5")
     return uniform(key_col, seed, hash_fn=hash_fn) < F.lit(float(train_fraction))
 
 
-# Rows per task when fitting: iterative learners run one Spark job per
-# iteration, so a small sample spread over many tasks pays the task overhead
-# on every iteration.  Large samples keep (at least) their partitioning.
-ROWS_PER_FIT_PARTITION = 250_000
-DEFAULT_PARALLELISM = 8
-# Inputs above this many rows keep their samples as a written table.
-TABLE_ROWS = 50_000_000
+# Tasks per fit.  Iterative learners run a job per iteration and forests draw their
+# bootstrap per partition, so the training rows get a layout that depends on the split
+# key and this number only: same rows, same seed, same model on any cluster.
+FIT_PARTITIONS = 8
+DEFAULT_PARALLELISM = 4
 
 
-def choose_keep(source: DataFrame, how: str = "auto") -> str:
-    """``"auto"`` -> ``"table"`` when ``source`` (a cheap-to-count input) has more
-    than ``TABLE_ROWS`` rows, else ``"persist"``; other values pass through."""
-    if how != "auto":
-        return how
-    return "table" if source.count() > TABLE_ROWS else "persist"
-
-
-def keep(df: DataFrame, part_col: str, how: str) -> tuple[DataFrame, callable]:
+def keep(df: DataFrame, part_col: str) -> tuple[DataFrame, callable]:
     """Keep ``df`` for repeated use; returns the kept frame and a release function.
 
-    ``how="persist"``: cache (memory, spilling to disk).  ``"table"``: write
-    parquet partitioned by ``part_col`` under the shared checkpoint folder and
-    read it back (lineage cut; filters on ``part_col`` prune partitions).
+    A table partitioned by ``part_col`` under the shared checkpoint folder: the lineage
+    is cut, filters on ``part_col`` read only their partition, and the folder is removed
+    if the write fails.
     """
-    if how == "persist":
-        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-        return kept, kept.unpersist
-    if how != "table":
-        raise ValueError("how must be 'persist' or 'table'")
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), f"sampwise-samples-{uuid.uuid4().hex}")
-    df.write.partitionBy(part_col).parquet(path)
-    return spark.read.parquet(path), (lambda: _delete_path(spark, path))
+    try:
+        df.write.partitionBy(part_col).parquet(path)
+    except BaseException:
+        _delete_path(spark, path)
+        raise
+    return spark.read.schema(df.schema).parquet(path), (lambda: _delete_path(spark, path))
 
 
 def _delete_path(spark, path: str) -> None:
     """Remove a folder this module wrote, on whatever file system holds it."""
-    try:
-        jvm = spark._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
-    except Exception:  # cleanup is best effort; the folder is under the checkpoint dir
-        pass
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
-def right_size(df: DataFrame, n_rows: int) -> DataFrame:
-    """Merge partitions (no shuffle) down to about ``ROWS_PER_FIT_PARTITION`` rows each."""
-    return df.coalesce(max(1, math.ceil(n_rows / ROWS_PER_FIT_PARTITION)))
+def fixed_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """Rows dealt and sorted by ``key``, whatever layout they come in."""
+    return df.repartition(partitions, col_of(key)).sortWithinPartitions(col_of(key))
 
 
 def _score(train: DataFrame, test: DataFrame, spec: ModelSpec, label, numeric,
-           categorical, n_train: int, n_test: int) -> tuple[float | None, str | None]:
-    train, test = right_size(train, n_train), right_size(test, n_test)
+           categorical, key: str, partitions: int) -> tuple[float | None, str | None]:
+    """Accuracy, or NULL and the message of a known data problem; anything else is raised."""
     try:
-        score = train_and_score(train, test, spec, label=label, numeric=numeric,
-                                categorical=categorical)
+        score = train_and_score(fixed_layout(train, key, partitions), test, spec, label=label,
+                                numeric=numeric, categorical=categorical)
         return score.accuracy, None
-    except Exception as exc:  # noqa: BLE001 - isolated per experiment on purpose
-        return None, f"{type(exc).__name__}: {str(exc).splitlines()[0][:300]}"
+    except DataProblem as exc:
+        return None, f"{type(exc).__name__}: {exc}"
 
 
 EXPERIMENT_SCHEMA = StructType([
@@ -178,14 +160,15 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
                     offsets: Sequence[int] | None = None, split_seed_base: int = 42,
                     train_fraction: float = 0.8, replace: bool = True,
                     parallelism: int = DEFAULT_PARALLELISM,
-                    materialize: str = "auto", hash_fn: str = "md5",
-                    seed_models: bool = True) -> DataFrame:
+                    fit_partitions: int = FIT_PARTITIONS, hash_fn: str = "md5",
+                    deterministic_input: bool = False, seed_models: bool = True) -> DataFrame:
     """One result row per experiment (``RESULT_SCHEMA``), ``experiment_id`` from 1.
 
     ``key`` orders the index and seeds the train/test hash; without it rows are
     numbered in input order and the index itself is the split key.
-    ``materialize`` is passed to :func:`keep`; ``hash_fn`` picks the train/test
-    draw (see :func:`uniform`).  With ``seed_models`` a seeded model (tree,
+    ``deterministic_input`` is passed to the index; ``fit_partitions`` is the number of
+    tasks a fit uses (about the cores per experiment on a large cluster); ``hash_fn``
+    picks the train/test draw (see :func:`uniform`).  With ``seed_models`` a seeded model (tree,
     forest) gets its experiment's split seed ``split_seed_base + i``.
     """
     spark = df.sparkSession
@@ -198,11 +181,9 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
 
     narrow = _needed(df, key, label, numeric, categorical)
     indexed = systematic_partition(narrow, step, order_by=key, index_col="_sw_idx",
-                                   part_col="_sw_part")
+                                   part_col="_sw_part", deterministic_input=deterministic_input)
     split_key = key or "_sw_idx"
-    how = choose_keep(narrow, materialize)
-    work, release = keep(indexed.filter(F.col("_sw_part").isin(sorted(set(offsets)))),
-                         "_sw_part", how)
+    work, release = keep(indexed.filter(F.col("_sw_part").isin(sorted(set(offsets)))), "_sw_part")
     try:
         plan = experiment_table(spark, offsets, seeds)
         sizes = {r["experiment_id"]: (r["num_samples"], r["num_train"], r["num_test"])
@@ -222,7 +203,7 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
             if seed_models and "seed" in spec.params:
                 spec_i = with_changes(spec, params={**spec.params, "seed": seed})
             acc, err = _score(sample.filter(flag), sample.filter(~flag), spec_i, label,
-                              numeric, categorical, n_train, n_test)
+                              numeric, categorical, split_key, fit_partitions)
             return (i + 1, off, n, n_train, n_test, acc, err)
 
         rows = _run_all(spark, one, len(offsets), parallelism)
@@ -237,7 +218,8 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
                  part_weights: Sequence[float] | None = None,
                  train_fraction: float = 0.8,
                  parallelism: int = DEFAULT_PARALLELISM,
-                 materialize: str = "auto", hash_fn: str = "md5") -> DataFrame:
+                 fit_partitions: int = FIT_PARTITIONS, hash_fn: str = "md5",
+                 deterministic_input: bool = False) -> DataFrame:
     """Cut the table into ``n_parts`` disjoint parts, one model per part.
 
     ``method="systematic"``: part = index mod n_parts.  ``"random"``: hash split
@@ -247,7 +229,7 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
     narrow = _needed(df, key, label, numeric, categorical)
     if method == "systematic":
         parted = systematic_partition(narrow, n_parts, order_by=key, index_col="_sw_idx",
-                                      part_col="_sw_part")
+                                      part_col="_sw_part", deterministic_input=deterministic_input)
         split_key = key or "_sw_idx"
     elif method == "random":
         if key is None:
@@ -260,7 +242,7 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
         split_key = key
     else:
         raise ValueError("method must be 'systematic' or 'random'")
-    parted, release = keep(parted, "_sw_part", choose_keep(narrow, materialize))
+    parted, release = keep(parted, "_sw_part")
     try:
         flag = _train_flag(split_key, split_seed, train_fraction, hash_fn)
         sizes = {r["_sw_part"]: (int(r["n"]), int(r["t"] or 0)) for r in
@@ -276,7 +258,7 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
                 return (p, n, n_train, n_test, None, "empty train or test part")
             part = parted.filter(F.col("_sw_part") == p)
             acc, err = _score(part.filter(flag), part.filter(~flag), spec, label, numeric,
-                              categorical, n_train, n_test)
+                              categorical, split_key, fit_partitions)
             return (p, n, n_train, n_test, acc, err)
 
         rows = _run_all(spark, one, n_parts, parallelism)

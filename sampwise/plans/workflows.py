@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.counts import field_count, spread, top_k, word_count
+from ..operators.counts import field_count, top_k, word_count
 from ..operators.index import with_row_index
 from ..operators.models import ModelSpec, decision_tree, linear_svm, random_forest
 from ..operators.sampling import draw_offsets, systematic_sample
@@ -32,7 +32,7 @@ RANDOM_PART_WEIGHTS = (0.33, 0.33, 0.34)
 
 def words_in_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(word, count)`` of a text file: lower-cased whitespace tokens."""
-    return word_count(spread(read_lines(spark, path)))
+    return word_count(read_lines(spark, path))
 
 
 def top_fields_in_file(spark: SparkSession, path: str | list[str], *, sep: str = ",",
@@ -52,14 +52,15 @@ def read_bank(spark: SparkSession, path: str | list[str], *, sep: str = ";",
 
 
 def sample_file(spark: SparkSession, path: str | list[str], *, step: int = 5,
-                seed: int | None = None, sep: str = ";", n_show: int = 5
-                ) -> tuple[int, DataFrame, DataFrame]:
+                seed: int | None = None, sep: str = ";", n_show: int = 5,
+                schema=None) -> tuple[int, DataFrame, DataFrame]:
     """1-in-``step`` systematic sample of a delimited file in file order (1-based index).
 
     Returns ``(start_offset, sample, first_rows)``; the offset is drawn from
     ``seed`` and the first rows are ordered by the index.
     """
-    df = read_delimited(spark, path, sep=sep, header=True, infer_schema=True)
+    df = read_delimited(spark, path, sep=sep, header=True, schema=schema,
+                        infer_schema=schema is None)
     offset = draw_offsets(step, 1, seed)[0]
     sample = systematic_sample(df, step, offset, base=1)
     return offset, sample, sample.orderBy("row_index").limit(n_show)
@@ -81,12 +82,12 @@ def bank_experiments(spark: SparkSession, path: str | list[str], kind: str = "dt
                      split_seed_base: int = 42, key: str | None = None,
                      numeric: Sequence[str] = BANK_NUMERIC,
                      categorical: Sequence[str] = BANK_CATEGORICAL,
-                     label: str = BANK_LABEL) -> tuple[DataFrame, DataFrame]:
+                     label: str = BANK_LABEL, schema=None) -> tuple[DataFrame, DataFrame]:
     """Repeated systematic-sample experiments on the bank CSV; ``(results, summary)``.
 
     Without ``key`` rows are numbered in file order, as the studied job does.
     """
-    df = read_bank(spark, path)
+    df = read_bank(spark, path, schema=schema)
     results = run_experiments(df, model_spec(kind), label=label, numeric=numeric,
                               categorical=categorical, key=key,
                               n_experiments=n_experiments, step=step,

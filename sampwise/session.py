@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
@@ -51,17 +52,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    """Cores the cluster offers (falls back to the shuffle partition count)."""
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # no SparkContext on this client
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+def stored_table(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written as Parquet under the shared checkpoint folder and read back.
 
-
-def num_splits(df) -> int | None:
-    """Partitions the physical plan of ``df`` produces, or None if unknown here."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # no RDD access on this client
-        return None
+    Cuts the lineage and fixes the rows: every later read sees the same files.  The
+    files stay in that scratch folder until the cluster clears it.
+    """
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), f"sampwise-{tag}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

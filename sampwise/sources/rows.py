@@ -8,9 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Literal tables are planned as one expression; keep them to parameter size.
-MAX_LITERAL_ROWS = 1000
-
 
 def from_rows(spark: SparkSession, rows: Iterable, schema: StructType | str) -> DataFrame:
     """``createDataFrame`` with an explicit schema; only for bounded, small inputs."""
@@ -20,10 +17,9 @@ def from_rows(spark: SparkSession, rows: Iterable, schema: StructType | str) ->
 def from_literals(spark: SparkSession, rows: Sequence[Sequence], schema: StructType) -> DataFrame:
     """A few rows as literals evaluated in the JVM: one partition, no Python data path.
 
-    For parameter tables (a handful of rows); falls back to ``from_rows`` when
-    empty or larger than ``MAX_LITERAL_ROWS``.
+    For parameter tables (a handful of rows, planned as one expression).
     """
-    if not rows or len(rows) > MAX_LITERAL_ROWS:
+    if not rows:
         return from_rows(spark, rows, schema)
     structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
                           for v, f in zip(row, schema.fields)]) for row in rows]

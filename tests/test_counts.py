@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sampwise.operators.counts import (count_by, field_count, head, row_counts, spread, top_k,
+from sampwise.operators.counts import (count_by, field_count, head, row_counts, top_k,
                                        word_count)
 from sampwise.sources.text import read_lines
 
@@ -49,13 +49,11 @@ def test_read_lines_then_count(spark, tmp_dir):
     assert got["spark"] == 2 and len(got) == 11
 
 
-def test_spread_keeps_rows(spark):
-    df = lines(spark, D1 * 10).coalesce(1)
-    out = spread(df, 4)
-    assert out.rdd.getNumPartitions() == 4
-    assert out.count() == 20
-    big = spark.range(100).repartition(6)
-    assert spread(big, 4).rdd.getNumPartitions() == 6
+def test_dotted_names(spark):
+    df = spark.createDataFrame([("a", 2), ("b", 1), ("a", 3)], "k string, n int").toDF("the.key", "the.n")
+    assert count_by(df, "the.key").orderBy("count").collect()[1]["the.key"] == "a"
+    assert top_k(df, 1, "the.n").first()["the.n"] == 3
+    assert head(df, 1, "the.n").first()["the.n"] == 1
 
 
 # Order lines (fixture D2): 12 keys in field 4, a tie at the 10th place.

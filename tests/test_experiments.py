@@ -1,5 +1,6 @@
 import pytest
 
+from sampwise.operators.index import with_row_index
 from sampwise.operators.models import decision_tree, linear_svm, random_forest
 from sampwise.plans.experiments import (RESULT_SCHEMA, finished, run_experiments,
                                         run_per_part, summarise)
@@ -79,14 +80,28 @@ def test_random_forest_and_parts(spark):
     assert all(r["num_samples"] == 50 for r in rf)
 
 
-def test_table_materialisation_same_results(spark):
-    df = spark.createDataFrame(iris_like_rows(), IRIS_SCHEMA).coalesce(1)
+def test_results_do_not_depend_on_the_layout(spark):
+    """Same rows in other partitions, same key: the whole result rows are equal, forests too."""
+    rows = spark.createDataFrame(iris_like_rows(), IRIS_SCHEMA).coalesce(1)
+    keyed = with_row_index(rows, name="rid").select("rid", "species", "sepal_length", "petal_length")
     kw = dict(label="species", numeric=["sepal_length", "petal_length"], offsets=[0, 2],
-              step=3, parallelism=1)
-    cached = run_experiments(df, decision_tree(seed=1), materialize="persist", **kw).collect()
-    table = run_experiments(df, decision_tree(seed=1), materialize="table", **kw).collect()
-    assert [tuple(r)[:5] for r in cached] == [tuple(r)[:5] for r in table]
-    assert all(r["accuracy"] is not None for r in table)
+              step=3, parallelism=1, key="rid")
+    spec = random_forest(num_trees=5, max_depth=3, seed=1)
+    one = run_experiments(keyed.coalesce(1), spec, **kw).collect()
+    many = run_experiments(keyed.repartition(7, "species"), spec, **kw).collect()
+    assert [tuple(r) for r in one] == [tuple(r) for r in many]
+
+
+def test_other_failures_are_raised(spark, monkeypatch):
+    import sampwise.plans.experiments as E
+
+    def lost(*args, **kwargs):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(E, "train_and_score", lost)
+    df = spark.createDataFrame(iris_like_rows(), IRIS_SCHEMA).coalesce(1)
+    with pytest.raises(RuntimeError, match="executor lost"):
+        run_experiments(df, decision_tree(), label="species", numeric=["sepal_length"], offsets=[0], step=3)
 
 
 def test_table_materialisation_is_removed(spark):
@@ -97,7 +112,7 @@ def test_table_materialisation_is_removed(spark):
     from sampwise.session import checkpoint_dir
 
     df = spark.range(100).selectExpr("id", "id % 3 AS p")
-    kept, release = keep(df, "p", "table")
+    kept, release = keep(df, "p")
     assert kept.filter("p = 1").count() == 33
     root = checkpoint_dir(spark).replace("file:", "")
     before = set(glob.glob(os.path.join(root, "sampwise-samples-*")))
@@ -125,18 +140,3 @@ def test_random_parts_weights(spark):
     with pytest.raises(ValueError):
         run_per_part(df, decision_tree(), label="y", numeric=["x"], key="id", n_parts=3,
                      method="random", part_weights=[1, 1])
-
-
-def test_auto_materialisation_switches_to_table(spark, monkeypatch):
-    import sampwise.plans.experiments as E
-
-    df = spark.range(100)
-    assert E.choose_keep(df, "auto") == "persist"
-    monkeypatch.setattr(E, "TABLE_ROWS", 50)
-    assert E.choose_keep(df, "auto") == "table"
-    assert E.choose_keep(df, "persist") == "persist"
-    iris = spark.createDataFrame(iris_like_rows(), IRIS_SCHEMA).coalesce(1)
-    rows = run_experiments(iris, decision_tree(seed=1), label="species",
-                           numeric=["sepal_length", "petal_length"], offsets=[0], step=3,
-                           parallelism=1).collect()
-    assert rows[0]["num_samples"] == 50 and rows[0]["accuracy"] is not None

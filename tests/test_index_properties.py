@@ -28,8 +28,7 @@ def test_index_is_ordered_permutation(spark, values, parts, per_bucket):
                          StructField("pos", LongType(), False)])
     df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], schema)
     df = df.repartition(parts) if values else df
-    out = with_row_index(df, "k", rows_per_bucket=25, sample_per_bucket=per_bucket,
-                         deterministic_input=False).collect()
+    out = with_row_index(df, "k", partitions=per_bucket).collect()
     assert sorted(r["row_index"] for r in out) == list(range(len(values)))
     assert sorted(r["pos"] for r in out) == list(range(len(values)))
     ordered = [r["k"] for r in sorted(out, key=lambda r: r["row_index"])]

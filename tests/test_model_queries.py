@@ -5,6 +5,8 @@ import pytest
 from sampwise.plans.catalog import N_EXPERIMENTS, N_PARTS, QUERIES, experiment_offsets
 from tests.conftest import SF_SMALL
 
+# The noisy signal decides most rows but not all: no model can be near 1 without a leak.
+LOW, HIGH = 0.6, 0.97
 RESULT_COLS = ["experiment_id", "start_offset", "num_samples", "num_train", "num_test",
                "accuracy", "error"]
 
@@ -20,7 +22,7 @@ def test_experiment_queries(spark, name):
     for r, s in zip(rows, sizes):
         assert (r["num_samples"], r["num_train"], r["num_test"]) == \
             (s["num_samples"], s["num_train"], s["num_test"])
-        assert r["accuracy"] is not None and 0.5 <= r["accuracy"] <= 1.0, r["error"]
+        assert r["accuracy"] is not None and LOW <= r["accuracy"] <= HIGH, r["error"]
 
 
 def test_summary_query(spark):

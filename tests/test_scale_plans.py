@@ -10,7 +10,7 @@ import pytest
 from sampwise.plans.catalog import ORACLE_SQL, QUERIES
 from tests.conftest import SF_SMALL
 
-ALLOWED = ("_sw_", "count#", "sum#", "min#", "max#", "avg#")
+ALLOWED = ("_sw_", "count#", "sum#", "min#", "max#", "avg#", "planned#", "finished#")
 
 
 def single_partition_inputs(df):
