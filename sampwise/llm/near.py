@@ -21,16 +21,18 @@ which is the plain Jaccard index when no shingle repeats.
 Texts with equal word sequences are one item throughout, so copies cost one row.
 Inside a band bucket pairs are made in steps, each linear in the bucket: first every
 member with the bucket's first; then, where two classes are left, all pairs of buckets of
-at most ``PIVOTS`` members.  In larger ones a bound comes first: with u the weight of a
-text's shingles that no other candidate has, and s = u / (weight - u),
+at most ``SMALL`` members.  In larger ones bounds come first.  With A the weight of a text, U the weight of its
+shingles that no other candidate of such buckets has, C = A - U and s = U / C,
 
-    J_P(a, b) <= 1 / (1 + s_a + s_b),
+    J_P(a, b) <= 1 / (1 + s_a + s_b)                       for any weights,
+    J_P(a, b) <= m / (A_a + A_b - m), m = min(C_a, C_b)    if no shingle repeats,
 
-because g(x, y) = 1 / (max(1/x, 1/y) + s_a/x + s_b/y) is concave and homogeneous, so its
-sum over common shingles is at most g(1, 1).  Members with s above 1/threshold - 1 can
-link to nobody; the others are ordered by s, so that the text the others derive from
-leads, and rounds of pivots go on until every bucket is one class or every pair that
-the bound allows has been compared.  No candidate is lost and no bucket is capped.
+the first because g(x, y) = 1 / (max(1/x, 1/y) + s_a/x + s_b/y) is concave and
+homogeneous, so its sum over common shingles is at most g(1, 1).  Members with s above
+1/threshold - 1 can link to nobody; the others are ordered by s, so that the text the
+others derive from leads, and rounds of pivots go on until every bucket is one class or
+every pair that the bounds allow has been compared.  No candidate is lost and no bucket
+is capped.
 
 Defined cases: texts without words (null, empty, white space) are similar to nothing
 and are classes of their own; a null id takes part in classes whose number is the least
@@ -44,7 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField
 
@@ -52,7 +54,7 @@ from sampwise.llm.shared import extend, fresh, stored, text_or_empty
 from sampwise.llm.subword import word_hashes
 
 SHINGLE, BANDS, ROWS, THRESHOLD = 5, 32, 6, 0.8
-PIVOTS = 64
+SMALL, PIVOTS = 8, 64
 PIECE = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -164,7 +166,8 @@ def _general(wa, wb, ia, ib) -> float:
     return float((1.0 / (sum_a / ca[order] + rest_b / cb[order])).sum())
 
 
-_ITEM_SQL = "id long, item binary, bands array<long>, shingles binary, weights binary"
+_ITEM_SQL = ("id long, item binary, bands array<long>, total long, ones boolean, shingles binary, "
+             "weights binary")
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,6 +185,7 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some = np.diff(cuts) > 0
             short = (shingle >> np.uint64(32)).astype("<u4")
             blobs, weights = [], []
+            total = np.bincount(doc, weights=weight, minlength=n).astype(np.int64)
             for i in range(n):
                 # 32 bits a shingle: hashes of one text that fall together add up
                 h, w = short[cuts[i]:cuts[i + 1]], weight[cuts[i]:cuts[i + 1]]
@@ -194,8 +198,9 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(at, n), pa.array([p.tobytes() for p in prints], pa.binary()),
                  pa.array([k if s else None for k, s in zip(key.view(np.int64), some)], pa.list_(pa.int64())),
+                 pa.array(total), pa.array([not w for w in weights], pa.bool_()),
                  pa.array(blobs, pa.binary()), pa.array(weights, pa.binary())],
-                names=["id", "item", "bands", "shingles", "weights"])
+                names=["id", "item", "bands", "total", "ones", "shingles", "weights"])
 
 
 def _vector(blob: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -277,19 +282,28 @@ def _open_members(members: DataFrame, label: DataFrame | None, done: int) -> Dat
     return stored(now.join(stored(buckets, "near-buckets"), "key"), "near-open")
 
 
-def _pairs(members: DataFrame, upto: int, bound: float) -> DataFrame:
+def _may_link(threshold: float) -> Column:
+    """The bounds of the module text for a member and the pivot (``p_`` columns)."""
+    def alone(prefix: str) -> Column:
+        return F.col(f"{prefix}total") / F.col(f"{prefix}kept") - 1
+    least = F.least("kept", "p_kept")
+    plain = least / (F.col("total") + F.col("p_total") - least)
+    weighted = 1 / (1 + alone("") + alone("p_"))
+    return F.when(F.col("ones") & F.col("p_ones"), plain).otherwise(weighted) >= F.lit(threshold - 1e-9)
+
+
+def _pairs(members: DataFrame, upto: int, threshold: float) -> DataFrame:
     """Different pairs of a pivot, of rank ``upto`` at most, with a later member of another class."""
     pivots = members.where(F.col("rank") <= upto).select(
-        "key", F.col("item").alias("p"), F.col("rank").alias("p_rank"), F.col("label").alias("p_label"),
-        F.col("alone").alias("p_alone"))
+        "key", *[F.col(c).alias(f"p_{c}") for c in ("item", "rank", "label", "total", "kept", "ones")])
     return stored(members.join(pivots, "key")
                   .where((F.col("rank") > F.col("p_rank")) & (F.col("label") != F.col("p_label"))
-                         & (F.col("alone") + F.col("p_alone") <= bound))
-                  .select(F.least("p", "item").alias("a"), F.greatest("p", "item").alias("b"))
+                         & _may_link(threshold))
+                  .select(F.least("p_item", "item").alias("a"), F.greatest("p_item", "item").alias("b"))
                   .distinct(), "near-pairs")
 
 
-def _shares_alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         items, h, w = [], [], []
         for item, blob, weights in zip(*(batch.column(c).to_pylist() for c in ("item", "s", "w"))):
@@ -303,26 +317,15 @@ def _shares_alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 names=["item", "h", "w"])
 
 
-def _alone(vectors: DataFrame) -> DataFrame:
-    """Rows (item, alone): weight in shingles that no other of the items has, over the rest."""
-    weights = vectors.mapInArrow(_shares_alone, "item binary, h long, w long")
+def _kept(vectors: DataFrame) -> DataFrame:
+    """Rows (item, kept): the weight of the shingles that another of the items has too."""
+    weights = vectors.mapInArrow(_weights, "item binary, h long, w long")
     common = stored(weights.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "near-common")
-    whole = vectors.mapInArrow(_total, "item binary, total long")
-    kept = weights.join(common, "h").groupBy("item").agg(F.sum("w").alias("kept"))
-    both = whole.join(kept, "item", "left")
-    return stored(both.select("item", ((F.col("total") - F.col("kept")) / F.col("kept")).alias("alone"))
-                  .na.fill(float("inf"), ["alone"]), "near-alone")
-
-
-def _total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        totals = [int(_vector(s, w)[1].sum()) for s, w in
-                  zip(batch.column("s").to_pylist(), batch.column("w").to_pylist())]
-        yield pa.RecordBatch.from_arrays([batch.column("item"), pa.array(totals, pa.int64())],
-                                         names=["item", "total"])
+    return stored(weights.join(common, "h").groupBy("item").agg(F.sum("w").alias("kept")), "near-kept")
 
 
-def link_classes(items: DataFrame, threshold: float = THRESHOLD, pivots: int = PIVOTS) -> DataFrame | None:
+def link_classes(items: DataFrame, threshold: float = THRESHOLD, small: int = SMALL,
+                 pivots: int = PIVOTS) -> DataFrame | None:
     """Rows (node, label) of the items that have a link; None if there is none.
 
     ``items`` is the stored table of ``_items``.
@@ -330,18 +333,17 @@ def link_classes(items: DataFrame, threshold: float = THRESHOLD, pivots: int = P
     words = items.where("bands IS NOT NULL")
     # one order of the items for all bands: a group has the same pivot in each
     order = Window.partitionBy("key").orderBy("hash", "item")
-    ranked = (words.groupBy("item").agg(F.first("bands").alias("bands"))
-              .select("item", F.xxhash64("item").alias("hash"), F.explode("bands").alias("key"))
+    facts = ("total", "ones")
+    ranked = (words.groupBy("item").agg(*[F.first(c).alias(c) for c in ("bands", *facts)])
+              .select("item", *facts, F.xxhash64("item").alias("hash"), F.explode("bands").alias("key"))
               .withColumn("rank", F.row_number().over(order))
               .withColumn("more", F.lead("item").over(order).isNotNull())
-              .where("rank > 1 OR more").select("key", "item", "rank", F.lit(0.0).alias("alone")))
+              .where("rank > 1 OR more").select("key", "item", "rank", *facts, F.col("total").alias("kept")))
     members = stored(ranked, "near-members")
     if members.isEmpty():
         return None
     vectors = stored(words.groupBy("item").agg(F.first("shingles").alias("s"), F.first("weights").alias("w"))
                      .join(members.select("item").distinct(), "item", "left_semi"), "near-vectors")
-    bound = 1 / threshold - 1
-
     def linked(pairs: DataFrame, label: DataFrame | None) -> DataFrame | None:
         side = lambda x: vectors.select(F.col("item").alias(x), F.col("s").alias(f"s{x}"),
                                         F.col("w").alias(f"w{x}"))
@@ -349,26 +351,28 @@ def link_classes(items: DataFrame, threshold: float = THRESHOLD, pivots: int = P
         return _merged(label, stored(full.mapInArrow(_verify(threshold), "a binary, b binary"), "near-links"))
 
     # every member with its bucket's first
-    label = linked(_pairs(members.withColumn("label", F.col("item")), 1, bound), None)
+    label = linked(_pairs(members.withColumn("label", F.col("item")), 1, threshold), None)
     # small buckets: what is left of their pairs
     still = _open_members(members, label, 1)
-    label = linked(_pairs(still.where(F.col("last") <= pivots), pivots, bound), label)
-    # large buckets: members with too much of their own can link to nobody
-    large = still.where(F.col("last") > pivots).select("item").distinct()
+    label = linked(_pairs(still.where(F.col("last") <= small), small, threshold), label)
+    # large buckets: bounds from what the members share, then rounds
+    still = still.where(F.col("last") > small)
+    large = stored(still.select("item").distinct(), "near-large")
     if large.isEmpty():
         return label
-    alone = _alone(vectors.join(large, "item", "left_semi"))
-    by_share = Window.partitionBy("key").orderBy("alone", "item")
-    members = stored(members.drop("alone").join(still.where(F.col("last") > pivots).select("key").distinct(), "key")
-                     .join(alone.where(F.col("alone") <= bound), "item")
+    kept = _kept(vectors.join(large, "item", "left_semi"))
+    alone = F.col("total") / F.col("kept") - 1
+    by_share = Window.partitionBy("key").orderBy(alone, "item")
+    members = stored(members.drop("kept").join(stored(still.select("key").distinct(), "near-keys"), "key")
+                     .join(kept, "item").where(alone <= 1 / threshold - 1 + 1e-9)
                      .withColumn("rank", F.row_number().over(by_share)), "near-members")
     done, width = 0, 1
     while True:
         still = _open_members(members, label, done)
         if still.isEmpty():
             return label
-        label = linked(_pairs(still, done + width, bound), label)
-        members = still.select("key", "item", "rank", "alone")
+        label = linked(_pairs(still, done + width, threshold), label)
+        members = still.drop("label", "last")
         done, width = done + width, pivots
 
 
@@ -378,13 +382,13 @@ def make_items(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 threshold: float = THRESHOLD, pivots: int = PIVOTS) -> DataFrame:
+                 threshold: float = THRESHOLD, small: int = SMALL, pivots: int = PIVOTS) -> DataFrame:
     """Rows (id, item, class_id, class_size, kept), one per input row.
 
     ``class_id`` is the least id of the class; the first row with that id is kept.
     """
     items = make_items(docs, id_col, text_col)
-    label = link_classes(items, threshold, pivots)
+    label = link_classes(items, threshold, small, pivots)
     rows = items.select("id", "item", F.col("bands").isNull().alias("no_words"))
     if label is None:
         named = rows.withColumn("class", F.col("item"))
