@@ -13,15 +13,16 @@ which is the plain Jaccard index when no shingle repeats.
    stops once its next arrival is later than every register's (early termination).  Two
    documents agree in a register with probability J_P.
 2. *Banding.*  ``BANDS`` bands of ``ROWS`` registers; a pair at 0.8 misses all with
-   probability (1 - 0.8^6)^32 < 1e-4.
+   probability (1 - 0.8^5)^24 < 1e-4.
 3. *Verification.*  J_P is computed exactly from the full shingle vectors of candidate
    pairs; links are pairs at ``threshold`` or more.
 4. *Classes* are the connected components of the links.
 
 Texts with equal word sequences are one item throughout, so copies cost one row.
-Inside a band bucket pairs are made in steps, each linear in the bucket: first every
-member with the bucket's first; then, where two classes are left, all pairs of buckets of
-at most ``SMALL`` members.  In larger ones bounds come first.  With A the weight of a text, U the weight of its
+Inside a band bucket pairs are made in steps: all pairs of buckets of at most ``SMALL``
+members; in larger ones every member with the bucket's first, and then, where two
+classes are left, rounds of pivots, each linear in the bucket.
+For these rounds there are bounds.  With A the weight of a text, U the weight of its
 shingles that no other candidate of such buckets has, C = A - U and s = U / C,
 
     J_P(a, b) <= 1 / (1 + s_a + s_b)                       for any weights,
@@ -53,8 +54,9 @@ from pyspark.sql.types import BinaryType, StructField
 from sampwise.llm.shared import extend, fresh, stored, text_or_empty
 from sampwise.llm.subword import word_hashes
 
-SHINGLE, BANDS, ROWS, THRESHOLD = 5, 32, 6, 0.8
-SMALL, PIVOTS = 8, 64
+SHINGLE, BANDS, ROWS, THRESHOLD = 5, 24, 5, 0.8
+SMALL, PIVOTS = 4, 64
+BROADCAST_ITEMS = 1_000_000  # prints of 16 bytes
 PIECE = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -268,18 +270,17 @@ def _merged(label: DataFrame | None, links: DataFrame) -> DataFrame | None:
 
 
 def _open_members(members: DataFrame, label: DataFrame | None, done: int) -> DataFrame:
-    """Members beyond rank ``done`` of buckets that still hold two classes there, with
-    their class and the bucket's last rank."""
+    """Members beyond rank ``done`` of buckets that still hold two classes there, with their class."""
+    now = members.where(F.col("rank") > done)
     if label is None:
-        now = members.withColumn("label", F.col("item"))
+        now = now.withColumn("label", F.col("item"))
     else:
-        now = (members.join(label, members["item"] == label["node"], "left")
+        now = (now.join(label, now["item"] == label["node"], "left")
                .withColumn("label", F.coalesce("label", "item")).drop("node"))
-    now = now.where(F.col("rank") > done)
-    buckets = (now.groupBy("key").agg(F.max("rank").alias("last"), F.min("label").alias("low"),
-                                      F.max("label").alias("high"))
-               .where((F.col("last") > done + 1) & (F.col("low") != F.col("high"))).select("key", "last"))
-    return stored(now.join(stored(buckets, "near-buckets"), "key"), "near-open")
+    bucket = Window.partitionBy("key")
+    return stored(now.withColumn("top", F.max("rank").over(bucket))
+                  .withColumn("mixed", F.min("label").over(bucket) != F.max("label").over(bucket))
+                  .where((F.col("top") > done + 1) & F.col("mixed")).drop("top", "mixed"), "near-open")
 
 
 def _may_link(threshold: float) -> Column:
@@ -292,9 +293,9 @@ def _may_link(threshold: float) -> Column:
     return F.when(F.col("ones") & F.col("p_ones"), plain).otherwise(weighted) >= F.lit(threshold - 1e-9)
 
 
-def _pairs(members: DataFrame, upto: int, threshold: float) -> DataFrame:
-    """Different pairs of a pivot, of rank ``upto`` at most, with a later member of another class."""
-    pivots = members.where(F.col("rank") <= upto).select(
+def _pairs(members: DataFrame, pivot: Column, threshold: float) -> DataFrame:
+    """Different pairs of a member that is a pivot and a later one of another class in its bucket."""
+    pivots = members.where(pivot).select(
         "key", *[F.col(c).alias(f"p_{c}") for c in ("item", "rank", "label", "total", "kept", "ones")])
     return stored(members.join(pivots, "key")
                   .where((F.col("rank") > F.col("p_rank")) & (F.col("label") != F.col("p_label"))
@@ -331,39 +332,43 @@ def link_classes(items: DataFrame, threshold: float = THRESHOLD, small: int = SM
     ``items`` is the stored table of ``_items``.
     """
     words = items.where("bands IS NOT NULL")
-    # one order of the items for all bands: a group has the same pivot in each
-    order = Window.partitionBy("key").orderBy("hash", "item")
+    # one order of the items for all bands: a group has the same pivot in each, its least
+    order = Window.partitionBy("key").orderBy("item")
     facts = ("total", "ones")
     ranked = (words.groupBy("item").agg(*[F.first(c).alias(c) for c in ("bands", *facts)])
-              .select("item", *facts, F.xxhash64("item").alias("hash"), F.explode("bands").alias("key"))
+              .select("item", *facts, F.explode("bands").alias("key"))
               .withColumn("rank", F.row_number().over(order))
-              .withColumn("more", F.lead("item").over(order).isNotNull())
-              .where("rank > 1 OR more").select("key", "item", "rank", *facts, F.col("total").alias("kept")))
+              .withColumn("last", F.count("*").over(Window.partitionBy("key"))).where("last > 1")
+              .select("key", "item", "rank", "last", *facts, F.col("total").alias("kept")))
     members = stored(ranked, "near-members")
     if members.isEmpty():
         return None
-    vectors = stored(words.groupBy("item").agg(F.first("shingles").alias("s"), F.first("weights").alias("w"))
-                     .join(members.select("item").distinct(), "item", "left_semi"), "near-vectors")
+    wanted = members.select("item").distinct()
+    if wanted.count() <= BROADCAST_ITEMS:
+        wanted = F.broadcast(wanted)
+    vectors = stored(words.select("item", "shingles", "weights").join(wanted, "item", "left_semi")
+                     .groupBy("item").agg(F.first("shingles").alias("s"), F.first("weights").alias("w")),
+                     "near-vectors")
     def linked(pairs: DataFrame, label: DataFrame | None) -> DataFrame | None:
         side = lambda x: vectors.select(F.col("item").alias(x), F.col("s").alias(f"s{x}"),
                                         F.col("w").alias(f"w{x}"))
-        full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "wa", "sb", "wb")
+        # always by a shuffle: one plan at every size, and a hot pivot is an ordinary skewed join
+        full = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").select("a", "b", "sa", "wa", "sb", "wb")
         return _merged(label, stored(full.mapInArrow(_verify(threshold), "a binary, b binary"), "near-links"))
 
-    # every member with its bucket's first
-    label = linked(_pairs(members.withColumn("label", F.col("item")), 1, threshold), None)
-    # small buckets: what is left of their pairs
-    still = _open_members(members, label, 1)
-    label = linked(_pairs(still.where(F.col("last") <= small), small, threshold), label)
-    # large buckets: bounds from what the members share, then rounds
-    still = still.where(F.col("last") > small)
+    # small buckets: all pairs; larger ones: every member with the first
+    first = _pairs(members.withColumn("label", F.col("item")),
+                   (F.col("rank") == 1) | (F.col("last") <= small), threshold)
+    label = linked(first, None)
+    # what is left of large buckets: bounds from what their members share, then rounds
+    still = _open_members(members.where(F.col("last") > small), label, 1)
     large = stored(still.select("item").distinct(), "near-large")
     if large.isEmpty():
         return label
     kept = _kept(vectors.join(large, "item", "left_semi"))
     alone = F.col("total") / F.col("kept") - 1
     by_share = Window.partitionBy("key").orderBy(alone, "item")
-    members = stored(members.drop("kept").join(stored(still.select("key").distinct(), "near-keys"), "key")
+    members = stored(members.drop("kept").join(still.select("key").distinct(), "key")
                      .join(kept, "item").where(alone <= 1 / threshold - 1 + 1e-9)
                      .withColumn("rank", F.row_number().over(by_share)), "near-members")
     done, width = 0, 1
@@ -371,9 +376,13 @@ def link_classes(items: DataFrame, threshold: float = THRESHOLD, small: int = SM
         still = _open_members(members, label, done)
         if still.isEmpty():
             return label
-        label = linked(_pairs(still, done + width, threshold), label)
-        members = still.drop("label", "last")
-        done, width = done + width, pivots
+        pairs = _pairs(still, F.col("rank") <= done + width, threshold)
+        members, done = still.drop("label"), done + width
+        if pairs.isEmpty():
+            width = max(pivots, 16 * width)  # the bounds leave nothing: take longer strides
+        else:
+            label = linked(pairs, label)
+            width = pivots
 
 
 def make_items(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
