@@ -295,8 +295,8 @@ def labelled_pages(n: int = 240, seed: int = 11) -> list[str]:
         items = "".join(f'<li><a href="/x">{words(1, 3)}</a></li>' for _ in range(rng.integers(2, 6)))
         return shape.format(items=items, words=words(2, 40), word=words(1, 3)).replace(">", ' data-main="0">', 1)
 
-    def paragraph() -> str:
-        shape = rng.choice(["<p>{}</p>", "<p>{}", "<p><b>{}<br>", "<h2>{}</h2>", "<ul><li>{}</li></ul>",
+    def paragraph(plain: bool) -> str:
+        shape = "<div>{}</div>" if plain else rng.choice(["<p>{}</p>", "<p>{}", "<p><b>{}<br>", "<h2>{}</h2>", "<ul><li>{}</li></ul>",
                             "<blockquote><p>{}</p></blockquote>", "<div>{}</div>", "<pre>{}</pre>",
                             "<table><tr><td>{}</td></tr></table>", "<section><p>{}</p></section>"],
                            p=[.5, .1, .1, .08, .05, .03, .06, .02, .03, .03])
@@ -305,7 +305,9 @@ def labelled_pages(n: int = 240, seed: int = 11) -> list[str]:
     pages = []
     for _ in range(n):
         body = [part(rng.choice(_OTHER)) for _ in range(rng.integers(0, 4))]
-        inner = [f"<h1>{words(1, 12)}</h1>"] + [paragraph() for _ in range(rng.integers(1, 9))]
+        plain = rng.random() < 0.3  # pages whose paragraphs are bare div elements
+        inner = [f"<h1>{words(1, 12)}</h1>"] if rng.random() < 0.75 else []
+        inner += [paragraph(plain) for _ in range(rng.integers(1, 9 if rng.random() < 0.7 else 3))]
         if rng.random() < 0.35:  # parts that are not content may stand inside it
             inner.insert(int(rng.integers(1, len(inner) + 1)), part(rng.choice(_OTHER)))
         start = rng.choice(_CONTENT)
