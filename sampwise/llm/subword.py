@@ -72,9 +72,10 @@ def _features(buf: np.ndarray) -> tuple[np.ndarray, ...]:
     solid = buf != _SPACE
     wide = buf.astype(np.uint32)
     g3 = wide[:-2] | wide[1:-1] << np.uint32(8) | wide[2:] << np.uint32(16)
-    f3 = np.where(solid[1:-1], _hash32(g3, 2654435761), none)
-    f4 = np.where(solid[1:-2] & solid[2:-1],
-                  _hash32(g3[:-1] | wide[3:] << np.uint32(24), 2246822519), none)
+    f3, f4 = np.full(len(buf), none, dtype=np.uint32), np.full(len(buf), none, dtype=np.uint32)
+    f3[:-2] = np.where(solid[1:-1], _hash32(g3, 2654435761), none)
+    f4[:-3] = np.where(solid[1:-2] & solid[2:-1],
+                       _hash32(g3[:-1] | wide[3:] << np.uint32(24), 2246822519), none)
     words, starts = word_hashes(buf)
     pairs = np.zeros_like(words)  # of each word with the one before
     pairs[1:] = np.where(words[1:] == words[:-1], np.uint64(1), words[1:] * _BASE + words[:-1])
@@ -147,7 +148,7 @@ class SubwordModel:
             for c in range(1, k):
                 column = np.ascontiguousarray(self.table[:, c])
                 got = np.bincount(doc_of_word, weights=column[words] + column[pairs],
-                                  minlength=len(owner))
+                                  minlength=len(owner)).astype(float)  # no words: whole numbers
                 for f in (f3, f4):
                     got += np.add.reduceat(column[f], starts, dtype=np.float64)
                 np.add.at(sums[:, c], owner, got)
