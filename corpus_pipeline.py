@@ -16,6 +16,8 @@ from sampwise.llm.shared import fresh, read, stored
 
 #: Target shares of tokens for (clean, toxic) documents.
 MIX_SHARES = (0.97, 0.03)
+#: No document stands in the mix more often.
+MOST_COPIES = 4
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows repeated so that clean and toxic texts meet their shares of the tokens."""
     label = F.when(F.col("toxic").isin(0, 1), F.col("toxic"))
-    return mixing.mix(docs, read(spark, sf_dir, "labels"), MIX_SHARES, label)
+    return mixing.mix(docs, read(spark, sf_dir, "labels"), MIX_SHARES, label, most=MOST_COPIES)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

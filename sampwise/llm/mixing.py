@@ -16,8 +16,8 @@ The work is distributed: a step needs one or two aggregates of K + K*K sums over
 stored posteriors.  A document's rate is a fold over the steps' K-vectors, so no rate is ever
 stored or sent; the driver holds one K-vector per step.
 
-Defined cases: null and empty texts have no tokens and change no total; their rates
-follow the same fold.  With no tokens at all every rate is 1.  A domain without mass
+Defined cases: null and empty texts have no tokens and change no total; their rate is 1.
+With no tokens at all every rate is 1.  A domain without mass
 cannot be met; the remaining misfit is the least one.  Repeated rows are
 documents of their own; other columns are ignored (or passed through by ``mix``).
 """
@@ -50,17 +50,20 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
-def rate_of(p: Column, steps: list[np.ndarray]) -> Column:
-    """The rate after all steps: a fold from 1 with projection to >= 0."""
+def rate_of(p: Column, n_words: Column, steps: list[np.ndarray], most: float = float("inf")) -> Column:
+    """The rate after all steps: a fold from 1 with projection to 0..most; 1 without tokens."""
     if not steps:
         return F.lit(1.0)
     rows = F.array(*[_vector(s) for s in steps])
-    return F.aggregate(rows, F.lit(1.0), lambda r, s: F.greatest(r - _dot(p, s), F.lit(0.0)))
+    rate = F.aggregate(rows, F.lit(1.0), lambda r, s: F.least(
+        F.greatest(r - _dot(p, s), F.lit(0.0)), F.lit(float(most))))
+    return F.when(n_words == 0, F.lit(1.0)).otherwise(rate)
 
 
 def fit_rates(members: DataFrame, shares: tuple[float, ...], total: float | None = None,
-              tolerance: float = 1e-7, max_steps: int = 40) -> list[np.ndarray]:
-    """Steps that bring the domain totals to ``shares`` of ``total`` tokens (all tokens).
+              most: float = float("inf"), tolerance: float = 1e-7, max_steps: int = 40) -> list[np.ndarray]:
+    """Steps that bring the domain totals to ``shares`` of ``total`` tokens (all tokens), or as
+    near as rates up to ``most`` allow.
 
     ``members`` has columns p (posteriors) and n_words (tokens).
     """
@@ -70,8 +73,8 @@ def fit_rates(members: DataFrame, shares: tuple[float, ...], total: float | None
     def sums(steps):
         """Tokens in all, the domain totals A and the Gram matrix over rows with a rate above 0."""
         own, rate = F.col("n_words"), F.col("rate")
-        live = F.when(rate > 0, own).otherwise(0)
-        row = members.withColumn("rate", rate_of(F.col("p"), steps)).agg(
+        live = F.when((rate > 0) & (rate < most), own).otherwise(0)
+        row = members.withColumn("rate", rate_of(F.col("p"), own, steps, most)).agg(
             F.sum(own), *[F.sum(own * rate * x) for x in p],
             *[F.sum(live * x * y) for x in p for y in p]).first()
         values = np.array([x or 0 for x in row], dtype=float)
@@ -106,7 +109,7 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, shares: tuple[float, ...],
     label = domain_label() if label is None else label
     model = train(docs, labels, label, len(shares), id_col=id_col, text_col=text_col, **TRAINING)
     members = stored(model.score(docs, id_col, text_col), "mixing-members")
-    return members.withColumn("rate", rate_of(F.col("p"), fit_rates(members, shares)))
+    return members.withColumn("rate", rate_of(F.col("p"), F.col("n_words"), fit_rates(members, shares)))
 
 
 def copies_of(rate: Column, id_col: Column, seed: int = 1) -> Column:
@@ -116,8 +119,9 @@ def copies_of(rate: Column, id_col: Column, seed: int = 1) -> Column:
 
 
 def mix(docs: DataFrame, labels: DataFrame, shares: tuple[float, ...], label: Column | None = None,
-        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with every row repeated as its rate says, columns unchanged, without a shuffle.
+        id_col: str = "doc_id", text_col: str = "text", most: float = float("inf")) -> DataFrame:
+    """``docs`` with every row repeated as its rate (``most`` at most) says, columns
+    unchanged, without a shuffle.
 
     The rows are stored once together with their posteriors, so the documents are
     scored once and the rates are applied in the scan that reads them back.
@@ -127,6 +131,7 @@ def mix(docs: DataFrame, labels: DataFrame, shares: tuple[float, ...], label: Co
     p, n = fresh(docs, "mix_p", "mix_words")
     scored = stored(model.annotate(docs, text_col, p, n), "mixing-rows")
     members = scored.select(F.col(p).alias("p"), F.col(n).alias("n_words"))
-    copies = copies_of(rate_of(F.col(p), fit_rates(members, shares)), F.col(id_col))
+    steps = fit_rates(members, shares, most=most)
+    copies = copies_of(rate_of(F.col(p), F.col(n), steps, most), F.col(id_col))
     times = F.explode(F.array_repeat(F.lit(0), copies)).alias(n)
     return scored.select(*[F.col(f"`{c}`") for c in docs.columns], times).drop(n)
