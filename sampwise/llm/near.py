@@ -378,11 +378,9 @@ def link_classes(items: DataFrame, threshold: float = THRESHOLD, small: int = SM
             return label
         pairs = _pairs(still, F.col("rank") <= done + width, threshold)
         members, done = still.drop("label"), done + width
-        if pairs.isEmpty():
-            width = max(pivots, 16 * width)  # the bounds leave nothing: take longer strides
-        else:
-            label = linked(pairs, label)
-            width = pivots
+        label = linked(pairs, label)
+        # longer strides while the bounds leave fewer pairs than there are members
+        width = max(pivots, 16 * width if pairs.count() <= still.count() else 0)
 
 
 def make_items(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
