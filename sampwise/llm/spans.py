@@ -2,7 +2,8 @@
 
 A text is cut into sentences after ``.``, ``!`` or ``?`` before white space, and after
 line ends.  A *span* starts at every sentence: the shortest run of at least
-``MIN_SENTENCES`` consecutive sentences that has at least ``MIN_WORDS`` words.  The
+``MIN_SENTENCES`` consecutive sentences that has at least ``MIN_WORDS`` words.  A
+sentence of at least ``LONG_SENTENCE`` words is a span by itself, too.  The
 extent of a span depends on its own content only, so a passage that many documents
 share has the same spans in each, wherever it stands.
 
@@ -35,6 +36,7 @@ from sampwise.llm.shared import stored, text_or_empty
 from sampwise.llm.subword import word_hashes
 
 MIN_SENTENCES, MIN_WORDS = 2, 16
+LONG_SENTENCE = 50  # words that make one sentence a span
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 LEAST = -(1 << 63)  # where a null id is placed
 _STOPS = np.zeros(256, dtype=bool)
@@ -58,7 +60,8 @@ def sentence_starts(text: bytes) -> np.ndarray:
     return out
 
 
-def spans(texts: list[bytes], min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS):
+def spans(texts: list[bytes], min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS,
+          long_sentence: int = LONG_SENTENCE):
     """(text number, first sentence, sentences covered, hash) of every span of the texts."""
     buf = np.frombuffer(b" " + b" ".join(texts) + b" ", dtype=np.uint8).copy()
     low = np.where((buf >= 65) & (buf <= 90), buf + 32, buf)
@@ -76,12 +79,14 @@ def spans(texts: list[bytes], min_sentences: int = MIN_SENTENCES, min_words: int
     owner = np.repeat(np.arange(len(texts)), count)
     number = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
     border = np.append(first_word, len(words))  # words before sentence s
+    here = np.arange(len(owner))
     # the least end e (a sentence index) with enough sentences and enough words
-    end = np.maximum(np.arange(len(owner)) + min_sentences,
-                     np.searchsorted(border, first_word + min_words, side="left"))
+    end = np.maximum(here + min_sentences, np.searchsorted(border, first_word + min_words, side="left"))
     last = np.cumsum(count)[owner]  # one past the text's last sentence
     fits = end <= last
-    begin, stop = first_word[fits], border[end[fits]]
+    alone = here[np.diff(border) >= long_sentence]
+    head, tail = np.concatenate([here[fits], alone]), np.concatenate([end[fits], alone + 1])
+    begin, stop = border[head], border[tail]
     # an order-dependent hash of words[begin:stop] from running sums
     powers = np.cumprod(np.append(np.uint64(1), np.full(len(words), _ODD, dtype=np.uint64)), dtype=np.uint64)
     inverse = np.cumprod(np.append(np.uint64(1), np.full(len(words), pow(int(_ODD), -1, 1 << 64), dtype=np.uint64)),
@@ -89,7 +94,7 @@ def spans(texts: list[bytes], min_sentences: int = MIN_SENTENCES, min_words: int
     total = np.append(np.uint64(0), np.cumsum(words * powers[:-1], dtype=np.uint64))
     code = (total[stop] - total[begin]) * inverse[begin]
     code = _mixed(code ^ _mixed((stop - begin).astype(np.uint64)))
-    return owner[fits], number[fits], (end - np.arange(len(owner)))[fits], code
+    return owner[head], number[head], tail - head, code
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

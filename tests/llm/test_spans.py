@@ -67,3 +67,44 @@ def test_hostile_rows(documents):
 
 def test_empty_table(no_documents):
     assert remove_repeated_spans(no_documents).collect() == []
+
+
+def all_runs(rows, words=16, alone=50):
+    """As ``brute``, from every run of at least two sentences and ``words`` words, and every
+    sentence of ``alone`` words; for small texts."""
+    docs = sorted({(i, t or "") for i, t in rows}, key=lambda x: (x[0] is not None, x[0] or 0))
+    cut = {d: [m.group(0) for m in SENTENCE.finditer(d[1])] for d in docs}
+    places = collections.defaultdict(list)
+    for d in docs:
+        each = [tuple(s.translate(LOWER).split()) for s in cut[d]]
+        for k in range(len(each)):
+            for end in range(k + 1, len(each) + 1):
+                n = sum(map(len, each[k:end]))
+                if n >= (alone if end == k + 1 else words):
+                    places[tuple(each[k:end])].append((d, k, end))
+    gone = collections.defaultdict(set)
+    for seen in places.values():
+        for d, k, end in seen[1:]:
+            gone[d] |= set(range(k, end))
+    return {d: "".join(s for k, s in enumerate(cut[d]) if k not in gone[d]) if gone[d] else d[1] for d in docs}
+
+
+def check_all_runs(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {(r["id"], t): r["text"] for r in remove_repeated_spans(df).collect()
+           for t in [dict(rows)[r["id"]]]}
+    assert out == all_runs(rows)
+    return {i: t for (i, _), t in out.items()}
+
+
+def test_one_long_sentence(spark):
+    """A text of one sentence, and a long passage without stops between different neighbours."""
+    alone = " ".join(f"word{k}" for k in range(50))
+    short = " ".join(f"term{k}" for k in range(49))
+    rows = [(1, alone), (2, alone.upper()), (3, short), (4, short),
+            (5, f"It opens so.\n{alone}\nIt goes on."), (6, f"Another opening! {alone}.\nAnd another end."),
+            (7, f"Here is a third one.\n{alone}.\nIt ends."), (8, f"{alone}\n{alone}")]
+    out = check_all_runs(spark, rows)
+    assert out[1] == alone and out[2] == "" and out[8] == "" and out[3] == out[4] == short
+    assert out[5] == "It opens so.\nIt goes on." and out[7] == "Here is a third one.\nIt ends."
+    assert out[6] == rows[5][1]  # the first with a stop after the last word
