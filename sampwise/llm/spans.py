@@ -1,11 +1,13 @@
 """Substring duplicates by sliding sentence spans.
 
 A text is cut into sentences after ``.``, ``!`` or ``?`` before white space, and after
-line ends.  A *span* starts at every sentence: the shortest run of at least
+line ends.  A *span* starts and one ends at every sentence: the shortest run of at least
 ``MIN_SENTENCES`` consecutive sentences that has at least ``MIN_WORDS`` words.  A
 sentence of at least ``LONG_SENTENCE`` words is a span by itself, too.  The
 extent of a span depends on its own content only, so a passage that many documents
-share has the same spans in each, wherever it stands.
+share has the same spans in each, wherever it stands.  Together they cover every longer
+run: where the span that starts at a sentence leaves the run, the one that ends with the
+run contains the sentence.
 
 Every span is hashed (words only, lower case) and the spans of all documents meet in
 one global aggregation that finds, per repeated hash, its first place (smallest
@@ -84,8 +86,14 @@ def spans(texts: list[bytes], min_sentences: int = MIN_SENTENCES, min_words: int
     end = np.maximum(here + min_sentences, np.searchsorted(border, first_word + min_words, side="left"))
     last = np.cumsum(count)[owner]  # one past the text's last sentence
     fits = end <= last
+    # the greatest begin of a run that ends with sentence s; runs found forward are not repeated
+    back = np.minimum(here + 1 - min_sentences,
+                      np.searchsorted(border, border[1:] - min_words, side="right") - 1)
+    other = back >= (np.cumsum(count) - count)[owner]
+    other[other] = end[back[other]] != here[other] + 1
     alone = here[np.diff(border) >= long_sentence]
-    head, tail = np.concatenate([here[fits], alone]), np.concatenate([end[fits], alone + 1])
+    head = np.concatenate([here[fits], back[other], alone])
+    tail = np.concatenate([end[fits], here[other] + 1, alone + 1])
     begin, stop = border[head], border[tail]
     # an order-dependent hash of words[begin:stop] from running sums
     powers = np.cumprod(np.append(np.uint64(1), np.full(len(words), _ODD, dtype=np.uint64)), dtype=np.uint64)

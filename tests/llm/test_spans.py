@@ -1,4 +1,5 @@
 import collections
+import random
 import re
 
 from sampwise.llm.spans import MIN_SENTENCES, MIN_WORDS, remove_repeated_spans
@@ -108,3 +109,33 @@ def test_one_long_sentence(spark):
     assert out[1] == alone and out[2] == "" and out[8] == "" and out[3] == out[4] == short
     assert out[5] == "It opens so.\nIt goes on." and out[7] == "Here is a third one.\nIt ends."
     assert out[6] == rows[5][1]  # the first with a stop after the last word
+
+
+def test_end_of_a_shared_passage(spark):
+    """The span from the 20-word sentence stops before the last one, the next needs foreign words."""
+    passage = " ".join(f"{w}{k}" + "." * (k == n - 1) for w, n in (("a", 20), ("b", 8), ("c", 5)) for k in range(n))
+    rows = [(k, f"Own opening {k} of this text. {passage} Then text {k} goes its own way. And ends {k}.")
+            for k in range(4)]
+    out = check_all_runs(spark, rows)
+    assert out[0] == rows[0][1] and all("c0" not in out[k] for k in (1, 2, 3))
+
+
+def test_all_runs_of_random_texts(spark):
+    rng = random.Random(3)
+    pool = [" ".join(f"s{k}w{j}" for j in range(rng.choice([1, 2, 5, 9, 17, 30, 49, 50, 70]))) + rng.choice(".!?\n")
+            for k in range(40)]
+    rows = []
+    for i in range(60):
+        text = []
+        while len(text) < 20:
+            at = rng.randrange(len(pool))
+            text += pool[at:at + rng.randrange(1, 6)] + [f"own{i}x{len(text)}."] * rng.randrange(2)
+        rows.append((i, " ".join(text)))
+    check_all_runs(spark, rows)
+
+
+def test_all_runs_of_the_given_documents(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in df.collect()]
+    out = {(r["id"], dict(rows)[r["id"]] or ""): r["text"] for r in remove_repeated_spans(df).collect()}
+    assert out == all_runs(rows)
