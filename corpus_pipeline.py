@@ -39,9 +39,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows repeated so that clean and toxic texts meet their shares of the tokens."""
+    """Rows repeated so that clean and toxic texts meet their shares of the tokens; the mix
+    grows rather than lose a clean text."""
     label = F.when(F.col("toxic").isin(0, 1), F.col("toxic"))
-    return mixing.mix(docs, read(spark, sf_dir, "labels"), MIX_SHARES, label, most=MOST_COPIES)
+    return mixing.mix(docs, read(spark, sf_dir, "labels"), MIX_SHARES, label, most=MOST_COPIES, keep=0)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,10 @@ starts from r = 1.  G^-1 makes one the safe step length: a step is
 ``r_i <- max(0, r_i - p_i . G^-1 (A - T))``.  The Gram matrix of only the rows whose rate
 is above zero gives a longer step, which is taken when it lowers the misfit.
 
+``mix`` can hold one domain: rows that are at least half of it have rates of 1 or more,
+so none of them is dropped.  Where the shares cannot be met so with the tokens there
+are, the total grows (``GROWTH``) until they are, or to the total that comes nearest.
+
 The work is distributed: a step needs one or two aggregates of K + K*K sums over the
 stored posteriors.  A document's rate is a fold over the steps' K-vectors, so no rate is ever
 stored or sent; the driver holds one K-vector per step.
@@ -34,6 +38,9 @@ from sampwise.llm.subword import train
 DOMAINS = ("low_quality", "clean", "toxic")
 #: More steps than the default: a toxic text differs from a clean one by a few words.
 TRAINING = {"epochs": 12, "rate": 4.0}
+#: Totals, as multiples of all tokens, tried in turn when the rows of one domain must stay.
+GROWTH = (1, 1.5, 2, 3)
+MET = 1e-3  # a smaller misfit of the shares counts as none
 
 
 def domain_label() -> Column:
@@ -50,31 +57,53 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
-def rate_of(p: Column, n_words: Column, steps: list[np.ndarray], most: float = float("inf")) -> Column:
-    """The rate after all steps: a fold from 1 with projection to 0..most; 1 without tokens."""
+def least_rate(p: Column, keep: int | None) -> Column:
+    """1 for rows that are at least half of domain ``keep``, else 0."""
+    return F.lit(0.0) if keep is None else F.when(F.get(p, F.lit(keep)) >= 0.5, 1.0).otherwise(0.0)
+
+
+def rate_of(p: Column, n_words: Column, steps: list[np.ndarray], most: float = float("inf"),
+            keep: int | None = None) -> Column:
+    """The rate after all steps: a fold from 1 with projection to least_rate..most; 1 without tokens."""
     if not steps:
         return F.lit(1.0)
     rows = F.array(*[_vector(s) for s in steps])
     rate = F.aggregate(rows, F.lit(1.0), lambda r, s: F.least(
-        F.greatest(r - _dot(p, s), F.lit(0.0)), F.lit(float(most))))
+        F.greatest(r - _dot(p, s), least_rate(p, keep)), F.lit(float(most))))
     return F.when(n_words == 0, F.lit(1.0)).otherwise(rate)
 
 
 def fit_rates(members: DataFrame, shares: tuple[float, ...], total: float | None = None,
-              most: float = float("inf"), tolerance: float = 1e-7, max_steps: int = 40) -> list[np.ndarray]:
+              most: float = float("inf"), tolerance: float = 1e-7, max_steps: int = 40,
+              keep: int | None = None) -> list[np.ndarray]:
     """Steps that bring the domain totals to ``shares`` of ``total`` tokens (all tokens), or as
-    near as rates up to ``most`` allow.
+    near as rates up to ``most`` allow; with ``keep``, as near as rates from 1 for that
+    domain's rows allow, at the least total of ``GROWTH`` that meets the shares, or the nearest.
 
     ``members`` has columns p (posteriors) and n_words (tokens).
     """
+    if keep is None or total is not None:
+        return _fit(members, shares, total, 1, most, tolerance, max_steps, keep)[0]
+    best = None
+    for growth in GROWTH:
+        trial = _fit(members, shares, None, growth, most, tolerance, max_steps, keep)
+        if best is None or trial[1] < best[1]:
+            best = trial
+        if best[1] <= MET:
+            break
+    return best[0]
+
+
+def _fit(members, shares, total, growth, most, tolerance, max_steps, keep) -> tuple[list[np.ndarray], float]:
+    """The steps, and how far the shares that they reach are from those wanted."""
     k = len(shares)
     p = [F.get("p", F.lit(i)) for i in range(k)]
 
     def sums(steps):
         """Tokens in all, the domain totals A and the Gram matrix over rows with a rate above 0."""
         own, rate = F.col("n_words"), F.col("rate")
-        live = F.when((rate > 0) & (rate < most), own).otherwise(0)
-        row = members.withColumn("rate", rate_of(F.col("p"), own, steps, most)).agg(
+        live = F.when((rate > least_rate(F.col("p"), keep)) & (rate < most), own).otherwise(0)
+        row = members.withColumn("rate", rate_of(F.col("p"), own, steps, most, keep)).agg(
             F.sum(own), *[F.sum(own * rate * x) for x in p],
             *[F.sum(live * x * y) for x in p for y in p]).first()
         values = np.array([x or 0 for x in row], dtype=float)
@@ -82,8 +111,8 @@ def fit_rates(members: DataFrame, shares: tuple[float, ...], total: float | None
 
     tokens, got, gram = sums([])
     if not tokens:
-        return []
-    target = np.array(shares, dtype=float) / sum(shares) * (tokens if total is None else total)
+        return [], 0.0
+    target = np.array(shares, dtype=float) / sum(shares) * (tokens * growth if total is None else total)
     safe = np.linalg.pinv(gram)
     steps, miss, active = [], got - target, gram
     for _ in range(max_steps):
@@ -100,7 +129,8 @@ def fit_rates(members: DataFrame, shares: tuple[float, ...], total: float | None
         if after >= misfit * (1 - 1e-6):
             break  # the least misfit that rates >= 0 allow
         steps, miss, active = trial, got - target, gram
-    return steps
+    got = target + miss
+    return steps, np.abs(got / max(got.sum(), 1e-9) - target / target.sum()).sum()
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, shares: tuple[float, ...], label: Column | None = None,
@@ -119,9 +149,10 @@ def copies_of(rate: Column, id_col: Column, seed: int = 1) -> Column:
 
 
 def mix(docs: DataFrame, labels: DataFrame, shares: tuple[float, ...], label: Column | None = None,
-        id_col: str = "doc_id", text_col: str = "text", most: float = float("inf")) -> DataFrame:
+        id_col: str = "doc_id", text_col: str = "text", most: float = float("inf"),
+        keep: int | None = None) -> DataFrame:
     """``docs`` with every row repeated as its rate (``most`` at most) says, columns
-    unchanged, without a shuffle.
+    unchanged, without a shuffle.  Rows that are at least half of domain ``keep`` stay.
 
     The rows are stored once together with their posteriors, so the documents are
     scored once and the rates are applied in the scan that reads them back.
@@ -131,7 +162,7 @@ def mix(docs: DataFrame, labels: DataFrame, shares: tuple[float, ...], label: Co
     p, n = fresh(docs, "mix_p", "mix_words")
     scored = stored(model.annotate(docs, text_col, p, n), "mixing-rows")
     members = scored.select(F.col(p).alias("p"), F.col(n).alias("n_words"))
-    steps = fit_rates(members, shares, most=most)
-    copies = copies_of(rate_of(F.col(p), F.col(n), steps, most), F.col(id_col))
+    steps = fit_rates(members, shares, most=most, keep=keep)
+    copies = copies_of(rate_of(F.col(p), F.col(n), steps, most, keep), F.col(id_col))
     times = F.explode(F.array_repeat(F.lit(0), copies)).alias(n)
     return scored.select(*[F.col(f"`{c}`") for c in docs.columns], times).drop(n)

@@ -60,3 +60,12 @@ def test_run(spark):
     assert all(whole[i] % tokens[i] == 0 for i in whole) and set(whole) <= set(text)
     copies = [(i, text[i]) for i in whole for _ in range(whole[i] // tokens[i])]
     check_pieces(rows, copies)
+
+
+def test_mixing_keeps_clean_documents(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    labels = {r["doc_id"]: r for r in spark.read.parquet(f"{SF_SMALL}/labels.parquet").collect()}
+    rows = {r["doc_id"] for r in docs.select("doc_id").collect()}
+    times = collections.Counter(r["doc_id"] for r in pipeline.source_mixing(spark, docs, SF_SMALL).collect())
+    clean = [i for i, r in labels.items() if i in rows and not r["toxic"] and r["quality"] == 1]
+    assert sum(times[i] >= 1 for i in clean) >= 0.97 * len(clean)

@@ -101,3 +101,21 @@ def test_mix_of_nothing(no_documents, labels):
     label = F.when(F.col("toxic").isin(0, 1), F.col("toxic"))
     assert mixing.mix(no_documents, labels, (0.9, 0.1), label).collect() == []
     assert mixing.mixing_rates(no_documents, labels, (0.1, 0.8, 0.1)).collect() == []
+
+
+def test_the_mix_grows_rather_than_drop(spark):
+    """Toxic posteriors of clean rows alone are above the share: more of the cleanest, none dropped."""
+    rows = [([0.995, 0.005], 100)] * 30 + [([0.9, 0.1], 100)] * 30 + [([0.1, 0.9], 100)] * 4
+    df = spark.createDataFrame(rows, "p array<double>, n_words long")
+    p, n = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+
+    def rates(keep):
+        steps = mixing.fit_rates(df, (0.97, 0.03), keep=keep)
+        rate = mixing.rate_of(F.col("p"), F.col("n_words"), steps, keep=keep)
+        return np.array([r[0] for r in df.select(rate).collect()])
+
+    assert (rates(None)[:60] < 1).any()
+    rate = rates(0)
+    got = (p * (n * rate)[:, None]).sum(axis=0)
+    assert (rate[:60] >= 1).all() and got[1] / got.sum() == pytest.approx(0.03, abs=1e-3)
+    assert got.sum() > 1.4 * n.sum()
