@@ -2,9 +2,10 @@
 
 Index: the vectors, as whole numbers, are cut into blocks of ``block_rows``.  In a
 block every component is a posting (dimension, row, value); the postings are put into
-*segments* by quantised impact, the power of two that bounds the value's size.  A
-block row of the index table holds its segments from the highest impact down, each
-with, per vector, the norm of everything in lower segments.
+*segments* by quantised impact, the power of two that bounds the value's size.  The
+stored block row holds ids and plain vectors only: its segments, from the highest
+impact down, each with, per vector, the norm of everything in lower segments, are made
+anew as dense matrices for every pair of a query block and an index block.
 
 Search: a block of queries meets a block of the index and processes the segments by
 descending impact.  After a segment, the true score of every row lies within
