@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampwise.llm import chat, exact, html, mixing, near, packing, spans, subword, topk, urls
+from sampwise.llm import (ann, chat, exact, hardneg, html, mixing, near, packing, spans, spelling, subword,
+                          topk, urls)
 from sampwise.llm.shared import read
 
 #: The rules of the URL query: (host, path, verdict).
@@ -104,6 +105,19 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_source_mixing": op2_source_mixing,
@@ -115,6 +129,9 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _URL_VERDICTS = """
@@ -175,7 +192,76 @@ WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY rank <= 5
 """
 
+_HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+o AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, v) = 1),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM o a JOIN o c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+_SPELLING = """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, i)) AS t),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  GROUP BY doc_id, run),
+bytes AS (
+  SELECT *, hex(encode(id || ':' || run)) AS h FROM runs, crc),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_transform(range(length(h) // 2),
+      lambda j: ('0x' || substr(h, 2 * j + 1, 2))::BIGINT),
+    lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8), 4294967295)) AS h
+  FROM bytes),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                   ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (
+  SELECT word, n, length(word) AS size, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM words, unnest(range(1, length(word) + 1)) AS r(i)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b
+    ON a.size = b.size AND a.i = b.i AND a.rest = b.rest WHERE a.word <> b.word
+  UNION SELECT cut.word, w.word, w.n FROM cut JOIN words w ON w.word = rest
+  UNION SELECT w.word, cut.word, cut.n FROM cut JOIN words w ON w.word = rest),
+best AS (
+  SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN near_n >= 2 * n THEN near END AS form,
+         CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+paths AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT p.word, f.form FROM paths p JOIN formed f ON f.word = p.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, p.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN paths p USING (word) JOIN formed e ON e.word = p.at WHERE e.form IS NULL
+"""
+
 ORACLE_SQL = {
+    "op11_spelling_variants": _SPELLING,
+    "op13_hard_negatives": _HARD_NEGATIVES,
     "op5_url_filters": _URL_VERDICTS,
     "op6_exact_dedup": _COPIES,
     "op9_chat_formatting": _CHATS,

@@ -1,0 +1,119 @@
+import zlib
+from collections import Counter
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sampwise.llm import spelling
+from tests.llm.conftest import with_clashes
+
+LETTERS = {chr(c) for c in [*range(65, 91), *range(97, 123), *range(0xC0, 0x100)]}
+
+
+def one_edit(a, b):
+    """At exactly one insertion, deletion or replacement."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:k] + b[k + 1:] == a for k in range(len(b)))
+
+
+def brute_words(rows):
+    n = Counter()
+    for i, text in rows:
+        run = ""
+        for ch in (text or "") + " ":
+            if ch in LETTERS:
+                run += ch.lower() if ch < "[" else ch
+            elif run:
+                h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+                k = h % len(run)
+                n[run[:k] + run[k + 1:] if h % 97 == 0 else run] += 1
+                run = ""
+    return {w: m for w, m in n.items() if len(w) >= 5 and m >= 3}
+
+
+def brute(rows):
+    n = brute_words(rows)
+    out = {}
+    for w in n:
+        near = [v for v in n if v != w and abs(len(v) - len(w)) < 2 and one_edit(w, v)]
+        best = min(near, key=lambda v: (-n[v], v.encode()), default=None)
+        form = best if best is not None and n[best] >= 2 * n[w] else None
+        out[w] = [form, n[w], len(near), n[form] if form else None]
+    for w, x in out.items():
+        root = w
+        while out[root][0]:
+            root = out[root][0]
+        x.insert(1, root)
+    return sorted((w, *x) for w, x in out.items())
+
+
+def run(spark, rows):
+    df = with_clashes(spark.createDataFrame(rows, "doc_id long, text string"))
+    out = spelling.spelling_variants(df)
+    assert out.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    return sorted((tuple(r) for r in out.collect()))
+
+
+def texts(seed, n_words=40):
+    rng = np.random.default_rng(seed)
+    letters = list("abcdefgßéÿ")
+    words = ["".join(rng.choice(letters, rng.integers(5, 9))) for _ in range(n_words)]
+    for _ in range(3):  # misspellings of misspellings
+        for w in words[-n_words:]:
+            k = int(rng.integers(0, len(w)))
+            words.append([w[:k] + w[k + 1:], w[:k] + str(rng.choice(letters)) + w[k:],
+                          w[:k] + str(rng.choice(letters)) + w[k + 1:]][int(rng.integers(0, 3))])
+    often = np.repeat([27.0, 9.0, 3.0, 1.0], n_words)
+    return [(int(i), " ".join(rng.choice(words, 400, p=often / often.sum()))) for i in range(12)]
+
+
+def test_equals_brute_force(spark):
+    rows = texts(1) + [(20, "aaaaaa aaaaa aaaaaaa " * 9), (21, "AAAAA Aaaaa ÀÀÀÀÀ ààààà " * 5)]
+    want = brute(rows)
+    assert run(spark, rows) == want
+    assert sum(x[1] is not None for x in want) > 20
+    assert any(x[2] != (x[1] or x[0]) for x in want)
+
+
+def test_hostile_texts(spark):
+    long = "wörter würter, wxrter3wörter\n" * 40_000
+    rows = [(1, None), (2, ""), (3, " \n"), (None, "hallo hallo hallo hallp"), (4, long), (4, long), (5, "漢字 🙂 x×÷yzab "*3),
+            (6, "hello " * 7 + "hell hullo hullo hullo"), (6, "helloo " * 4)]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_no_rows(spark):
+    assert run(spark, []) == []
+    assert run(spark, [(1, "one two three")]) == []
+
+
+def test_noise_removes_a_letter():
+    hits = [w for w in (f"word{'abcdefghij'[k % 10]}{chr(97 + k // 10 % 26)}" for k in range(260))
+            if zlib.crc32(f"7:{w}".encode()) % 97 == 0]
+    runs, noisy = spelling.document_words("7", " ".join(hits * 2))
+    assert len(runs) == 2 * len(hits) and {a for a, _ in noisy} == set(hits)
+    assert all(one_edit(a, b) and len(b) == len(a) - 1 for a, b in noisy)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("abcdefghijklmnopqrstuvwxyzéÿ", min_size=5, max_size=12), st.integers(0, 11), st.integers(0, 2),
+       st.sampled_from("abcxyzé"))
+def test_every_edit_is_met_once(word, at, kind, letter):
+    at %= len(word)
+    other = [word[:at] + word[at + 1:], word[:at] + letter + word[at + 1:], word[:at] + letter + word[at:]][kind]
+    if other == word or len(other) < 5:
+        return
+    points = lambda w: np.array([[ord(c) for c in w]], dtype=np.uint64)
+
+    def met(a, b):
+        heads = a[:3] == b[:3]
+        gives = spelling.offers(points(b))
+        own = [s for s, key in enumerate(spelling.offers(points(a))) if key[0] == gives[s][0] and (s == 0) == heads]
+        found = [(k, s) for rows, keys, s in spelling.neighbours(points(a)) for k in keys
+                 if k == gives[s][0] and (s == 0) == heads]
+        return (len(own) if a < b else 0) + len(found)
+
+    assert met(word, other) + met(other, word) == 1
