@@ -13,13 +13,13 @@ the order by distance.
 3. *Posting lists.*  Every vector goes to its nearest list; a boundary vector also to lists
    whose centroids are within ``REPLICA_RATIO`` of the nearest distance and closer to the vector than
    to a list chosen before (at most ``REPLICAS``).  Lists that follow each other along the graph
-   make a lane; lanes are cut into pieces of about ``PIECE_ROWS`` postings, so a long list is
+   make a lane; lanes are cut into pieces of about ``PIECE_BYTES`` of vectors, so a long list is
    many pieces.
 4. *Search.*  Every different query vector walks the centroid graph best first.  Its base is the distance
    at which the lists found hold ``BASE_ROWS`` times k rows; it takes every list
    within ``PROBE_RATIO`` of the base (distance-ratio pruning: few lists where the data are
    clustered, most of them where nothing is near).  There is no limit of lists.
-5. *Scan.*  Queries meet the pieces of their lanes, in pieces of at most about ``QUERY_ROWS``;
+5. *Scan.*  Queries meet the pieces of their lanes, in pieces of about ``QUERY_BYTES``;
    scores are inner products of the original vectors in double precision, added up in the
    order of the components.  Each piece gives its best ``k + 1``, merged per query.
 
@@ -49,7 +49,7 @@ FIT_ROWS, MOST_LISTS, LLOYD_STEPS = 65_536, 4_096, 8
 REPLICAS, REPLICA_RATIO = 4, 1.02
 DEGREE, FAR_LINKS, ENTRIES = 16, 4, 8
 BASE_ROWS, PROBE_RATIO = 25, 1.18
-PIECE_ROWS, QUERY_ROWS = 2_048, 4_096
+PIECE_BYTES, QUERY_BYTES = 4 << 20, 2 << 20
 
 
 def distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -319,10 +319,11 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
     sizes = np.zeros(n_lists, dtype=np.int64)
     for r in posts.groupBy("list").count().collect():  # a row per list, at most MOST_LISTS
         sizes[r["list"]] = r["count"]
+    post_rows, ask_rows = (max(256, size // (8 * dims)) for size in (PIECE_BYTES, QUERY_BYTES))
     place = chain(graph)
     along = np.argsort(place, kind="stable")
     lane_of = np.zeros(n_lists, dtype=np.int32)
-    lane_of[along] = (np.cumsum(sizes[along]) - sizes[along]) // PIECE_ROWS
+    lane_of[along] = (np.cumsum(sizes[along]) - sizes[along]) // post_rows
     lane_rows = np.bincount(lane_of, weights=sizes).astype(int)
 
     queries = rows.where("is_query").select(F.col("id").alias("query_id"), "v")
@@ -336,8 +337,8 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
     # pieces of a lane: every posting meets every query piece, every query every posting piece
     spark = vectors.sparkSession
     lane_list = F.array(*[F.lit(int(x)) for x in lane_of])
-    pieces_p = F.array(*[F.lit(int(max(1, -(-x // PIECE_ROWS)))) for x in lane_rows])
-    pieces_q = F.array(*[F.lit(int(max(1, -(-x // QUERY_ROWS)))) for x in asked_rows])
+    pieces_p = F.array(*[F.lit(int(max(1, -(-x // post_rows)))) for x in lane_rows])
+    pieces_q = F.array(*[F.lit(int(max(1, -(-x // ask_rows)))) for x in asked_rows])
     lane = F.element_at(lane_list, F.col("list") + 1)
     all_of = lambda pieces, at: F.explode(F.sequence(F.lit(0), F.element_at(pieces, at + 1) - 1))
     one_of = lambda pieces, at: F.pmod(F.xxhash64("entry"), F.element_at(pieces, at + 1))
