@@ -19,21 +19,22 @@ which is the plain Jaccard index when no shingle repeats.
 4. *Classes* are the connected components of the links.
 
 Texts with equal word sequences are one item throughout, so copies cost one row.
-Inside a band bucket pairs are made in steps: all pairs of buckets of at most ``SMALL``
-members; in larger ones every member with the bucket's first, and then, where two
-classes are left, rounds of pivots, each linear in the bucket.
-For these rounds there are bounds.  With A the weight of a text, U the weight of its
-shingles that no other candidate of such buckets has, C = A - U and s = U / C,
-
-    J_P(a, b) <= 1 / (1 + s_a + s_b)                       for any weights,
-    J_P(a, b) <= m / (A_a + A_b - m), m = min(C_a, C_b)    if no shingle repeats,
-
-the first because g(x, y) = 1 / (max(1/x, 1/y) + s_a/x + s_b/y) is concave and
-homogeneous, so its sum over common shingles is at most g(1, 1).  Members with s above
-1/threshold - 1 can link to nobody; the others are ordered by s, so that the text the
-others derive from leads, and rounds of pivots go on until every bucket is one class or
-every pair that the bounds allow has been compared.  No candidate is lost and no bucket
-is capped.
+Inside a band bucket pairs are made for all members of buckets of at most ``SMALL``, and in larger
+ones for every member with the bucket's first.  Buckets that still hold several classes go on in
+tiles: their members, cut into blocks of about ``TILE`` shingles, those outside the bucket's largest class
+against all.  A task compares two blocks with matrix products over their common shingles,
+which give for every pair the weights I_a, I_b of what is common in either text, and
+
+    J_P(a, b) <= 1 / (1 + (A_a - I_a) / I_a + (A_b - I_b) / I_b)
+
+with the texts' weights A: g(x, y) = 1 / (max(1/x, 1/y) + s_a/x + s_b/y) is concave and homogeneous, so its sum
+over the common shingles is at most g(1, 1).  Where no shingle repeats this is J_P itself; other pairs
+that reach the threshold are computed exactly.  A tile hands on a link only where it joins two
+classes, so its output is at most its rows, and a bucket with a third of all texts is many
+tiles of bounded size.  No candidate is lost and no bucket is capped.
+
+Shingles are compared by 32 bits of their hash: two texts of 1,000 shingles hold a pair that
+falls together by chance in one case of 4,000, which moves their similarity by under 0.001.
 
 Defined cases: texts without words (null, empty, white space) are similar to nothing
 and are classes of their own; a null id takes part in classes whose number is the least
@@ -55,8 +56,7 @@ from sampwise.llm.shared import extend, fresh, stored, text_or_empty
 from sampwise.llm.subword import word_hashes
 
 SHINGLE, BANDS, ROWS, THRESHOLD = 5, 24, 5, 0.8
-SMALL, PIVOTS = 4, 64
-BROADCAST_ITEMS = 1_000_000  # prints of 16 bytes
+SMALL, TILE = 4, 1 << 20
 PIECE = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -168,8 +168,7 @@ def _general(wa, wb, ia, ib) -> float:
     return float((1.0 / (sum_a / ca[order] + rest_b / cb[order])).sum())
 
 
-_ITEM_SQL = ("id long, item binary, bands array<long>, total long, ones boolean, shingles binary, "
-             "weights binary")
+_ITEM_SQL = "id long, item binary, bands array<long>, shingles binary, weights binary"
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +186,6 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             some = np.diff(cuts) > 0
             short = (shingle >> np.uint64(32)).astype("<u4")
             blobs, weights = [], []
-            total = np.bincount(doc, weights=weight, minlength=n).astype(np.int64)
             for i in range(n):
                 # 32 bits a shingle: hashes of one text that fall together add up
                 h, w = short[cuts[i]:cuts[i + 1]], weight[cuts[i]:cuts[i + 1]]
@@ -200,9 +198,8 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(at, n), pa.array([p.tobytes() for p in prints], pa.binary()),
                  pa.array([k if s else None for k, s in zip(key.view(np.int64), some)], pa.list_(pa.int64())),
-                 pa.array(total), pa.array([not w for w in weights], pa.bool_()),
                  pa.array(blobs, pa.binary()), pa.array(weights, pa.binary())],
-                names=["id", "item", "bands", "total", "ones", "shingles", "weights"])
+                names=["id", "item", "bands", "shingles", "weights"])
 
 
 def _vector(blob: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -269,118 +266,165 @@ def _merged(label: DataFrame | None, links: DataFrame) -> DataFrame | None:
     return stored(moved.unionByName(fresh_nodes), "near-labels")
 
 
-def _open_members(members: DataFrame, label: DataFrame | None, done: int) -> DataFrame:
-    """Members beyond rank ``done`` of buckets that still hold two classes there, with their class."""
-    now = members.where(F.col("rank") > done)
+def _open_members(members: DataFrame, label: DataFrame | None) -> DataFrame:
+    """Members (key, item, label, side) of buckets that hold two classes or more; ``side``: not
+    of the bucket's largest class."""
     if label is None:
-        now = now.withColumn("label", F.col("item"))
+        now = members.withColumn("label", F.col("item"))
     else:
-        now = (now.join(label, now["item"] == label["node"], "left")
+        now = (members.join(label, members["item"] == label["node"], "left")
                .withColumn("label", F.coalesce("label", "item")).drop("node"))
-    bucket = Window.partitionBy("key")
-    return stored(now.withColumn("top", F.max("rank").over(bucket))
-                  .withColumn("mixed", F.min("label").over(bucket) != F.max("label").over(bucket))
-                  .where((F.col("top") > done + 1) & F.col("mixed")).drop("top", "mixed"), "near-open")
-
-
-def _may_link(threshold: float) -> Column:
-    """The bounds of the module text for a member and the pivot (``p_`` columns)."""
-    def alone(prefix: str) -> Column:
-        return F.col(f"{prefix}total") / F.col(f"{prefix}kept") - 1
-    least = F.least("kept", "p_kept")
-    plain = least / (F.col("total") + F.col("p_total") - least)
-    weighted = 1 / (1 + alone("") + alone("p_"))
-    return F.when(F.col("ones") & F.col("p_ones"), plain).otherwise(weighted) >= F.lit(threshold - 1e-9)
-
-
-def _pairs(members: DataFrame, pivot: Column, threshold: float) -> DataFrame:
-    """Different pairs of a member that is a pivot and a later one of another class in its bucket."""
-    pivots = members.where(pivot).select(
-        "key", *[F.col(c).alias(f"p_{c}") for c in ("item", "rank", "label", "total", "kept", "ones")])
-    return stored(members.join(pivots, "key")
-                  .where((F.col("rank") > F.col("p_rank")) & (F.col("label") != F.col("p_label"))
-                         & _may_link(threshold))
-                  .select(F.least("p_item", "item").alias("a"), F.greatest("p_item", "item").alias("b"))
-                  .distinct(), "near-pairs")
-
-
-def _weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        items, h, w = [], [], []
-        for item, blob, weights in zip(*(batch.column(c).to_pylist() for c in ("item", "s", "w"))):
-            hashes, counts = _vector(blob, weights)
-            items += [item] * len(hashes)
-            h.append(hashes.astype(np.int64))
-            w.append(counts.astype(np.int64))
-        if items:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(items, pa.binary()), pa.array(np.concatenate(h)), pa.array(np.concatenate(w))],
-                names=["item", "h", "w"])
+    now = stored(now.select("key", "item", "label"), "near-open")
+    main = (now.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("key").agg(F.max(F.struct("n", "label")).alias("m"), F.count(F.lit(1)).alias("classes"))
+            .where("classes > 1").select("key", F.col("m.label").alias("main")))
+    return now.join(main, "key").withColumn("side", F.col("label") != F.col("main")).drop("main")
+
+
+def _common_weights(left: list, right: list) -> tuple[np.ndarray, np.ndarray]:
+    """For every pair the weight in the left and in the right vector of their common shingles."""
+    lrow, rrow = (np.repeat(np.arange(len(side)), [len(h) for h, _ in side]) for side in (left, right))
+    lh, lw, rh, rw = (np.concatenate([v[k] for v in side]) for side in (left, right) for k in (0, 1))
+    common = np.intersect1d(lh, rh)
+    kind = np.float32 if max(lw.sum(), rw.sum(), 1) < 1 << 24 else np.float64  # sums stay exact
+    lin, rin = np.isin(lh, common), np.isin(rh, common)
+    lrow, lw, lat = lrow[lin], lw[lin], np.searchsorted(common, lh[lin])
+    rrow, rw, rat = rrow[rin], rw[rin], np.searchsorted(common, rh[rin])
+    in_left = np.zeros((len(left), len(right)))
+    in_right = np.zeros_like(in_left)
+    plain = len(lw) == 0 or (lw.max() == 1 and rw.max() == 1)
+
+    def matrix(n, row, at, value, start, width):
+        some = (at >= start) & (at < start + width)
+        out = np.zeros((n, width), dtype=kind)
+        out[row[some], at[some] - start] = value if np.isscalar(value) else value[some]
+        return out
+
+    for start in range(0, len(common), 2048):
+        width = min(2048, len(common) - start)
+        has_left, has_right = (matrix(len(side), row, at, 1, start, width)
+                               for side, row, at in ((left, lrow, lat), (right, rrow, rat)))
+        if plain:
+            in_left += has_left @ has_right.T
+        else:
+            in_left += matrix(len(left), lrow, lat, lw, start, width) @ has_right.T
+            in_right += has_left @ matrix(len(right), rrow, rat, rw, start, width).T
+    return in_left, (in_left if plain else in_right)
+
+
+def tile_links(left: list[tuple], right: list[tuple], threshold: float) -> list[tuple[bytes, bytes]]:
+    """Links (item, item) that join all classes of a tile that have a linked pair across it.
 
+    A side is a list of (item, label, hashes, weights).
+    """
+    lv, rv = ([(h, w) for _, _, h, w in side] for side in (left, right))
+    in_left, in_right = _common_weights(lv, rv)
+    weight = lambda side: np.array([w.sum() for _, w in side], dtype=float)
+    al, ar = weight(lv)[:, None], weight(rv)[None, :]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        most = 1 / (1 + (al - in_left) / in_left + (ar - in_right) / in_right)
+    names = {label: k for k, label in enumerate({x[1] for x in [*left, *right]})}
+    cl, cr = (np.array([names[x[1]] for x in side]) for side in (left, right))
+    close = (in_left > 0) & (most >= threshold - 1e-9) & (cl[:, None] != cr[None, :])
+    one_l, one_r = (np.array([w.max() == 1 for _, w in side]) for side in (lv, rv))
+    plain = one_l[:, None] & one_r[None, :]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        sure = close & plain & (in_left / (al + ar - in_left) >= threshold)
+    top = list(range(len(names)))
+
+    def find(x):
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    out = []
+
+    def joined(i, j) -> bool:
+        x, y = find(cl[i]), find(cr[j])
+        if x != y:
+            top[x] = y
+            out.append((left[i][0], right[j][0]))
+        return x != y
+
+    i, j = np.nonzero(sure)
+    _, first = np.unique(cl[i] * len(names) + cr[j], return_index=True)
+    for k in first:
+        joined(i[k], j[k])
+    for i, j in zip(*np.nonzero(close & ~plain)):
+        if find(cl[i]) != find(cr[j]) and probability_jaccard(*lv[i], *rv[j]) >= threshold:
+            joined(i, j)
+    return out
+
+
+def _tiles(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one in range(batch.num_rows):
+                row = batch.slice(one, 1).to_pylist()[0]
+                left, right = ([(x["item"], x["label"], *_vector(x["s"], x["w"])) for x in row[side]]
+                               for side in ("left", "right"))
+                links = tile_links(left, right, threshold)
+                if links:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([min(x) for x in links], pa.binary()),
+                         pa.array([max(x) for x in links], pa.binary())], names=["a", "b"])
+    return run
 
-def _kept(vectors: DataFrame) -> DataFrame:
-    """Rows (item, kept): the weight of the shingles that another of the items has too."""
-    weights = vectors.mapInArrow(_weights, "item binary, h long, w long")
-    common = stored(weights.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "near-common")
-    return stored(weights.join(common, "h").groupBy("item").agg(F.sum("w").alias("kept")), "near-kept")
+
+def _tile_rows(still: DataFrame, vectors: DataFrame, tile: int) -> DataFrame:
+    """Rows (left, right): every block of a bucket's side members with every block of its members."""
+    size = F.length("s") / 4 + F.lit(tile // 1024)
+    before = Window.partitionBy("key").orderBy("item").rowsBetween(Window.unboundedPreceding, 0)
+    block = lambda x: F.floor(F.sum(x).over(before) / F.lit(tile)).cast("int")
+    rows = stored(still.join(vectors, "item").withColumn("block", block(size))
+                  .withColumn("side_block", block(F.when(F.col("side"), size).otherwise(0))), "near-blocks")
+    held = F.collect_list(F.struct("item", "label", "s", "w"))
+    right = rows.groupBy("key", "block").agg(held.alias("right"))
+    last = rows.groupBy("key").agg(F.max("block").alias("last"))
+    left = (rows.where("side").groupBy("key", "side_block").agg(held.alias("left")).join(last, "key")
+            .select("key", "left", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("block")))
+    return left.join(right, ["key", "block"]).select("left", "right")
 
 
 def link_classes(items: DataFrame, threshold: float = THRESHOLD, small: int = SMALL,
-                 pivots: int = PIVOTS) -> DataFrame | None:
+                 tile: int = TILE) -> DataFrame | None:
     """Rows (node, label) of the items that have a link; None if there is none.
 
     ``items`` is the stored table of ``_items``.
     """
     words = items.where("bands IS NOT NULL")
-    # one order of the items for all bands: a group has the same pivot in each, its least
+    # one order of the items for all bands: a group has the same first member in each, its least
     order = Window.partitionBy("key").orderBy("item")
-    facts = ("total", "ones")
-    ranked = (words.groupBy("item").agg(*[F.first(c).alias(c) for c in ("bands", *facts)])
-              .select("item", *facts, F.explode("bands").alias("key"))
+    ranked = (words.groupBy("item").agg(F.first("bands").alias("bands"))
+              .select("item", F.explode("bands").alias("key"))
               .withColumn("rank", F.row_number().over(order))
               .withColumn("last", F.count("*").over(Window.partitionBy("key"))).where("last > 1")
-              .select("key", "item", "rank", "last", *facts, F.col("total").alias("kept")))
+              .select("key", "item", "rank", "last"))
     members = stored(ranked, "near-members")
     if members.isEmpty():
         return None
     wanted = members.select("item").distinct()
-    if wanted.count() <= BROADCAST_ITEMS:
-        wanted = F.broadcast(wanted)
-    vectors = stored(words.select("item", "shingles", "weights").join(wanted, "item", "left_semi")
+    vectors = stored(words.select("item", "shingles", "weights").join(wanted.hint("merge"), "item", "left_semi")
                      .groupBy("item").agg(F.first("shingles").alias("s"), F.first("weights").alias("w")),
                      "near-vectors")
-    def linked(pairs: DataFrame, label: DataFrame | None) -> DataFrame | None:
-        side = lambda x: vectors.select(F.col("item").alias(x), F.col("s").alias(f"s{x}"),
-                                        F.col("w").alias(f"w{x}"))
-        # always by a shuffle: one plan at every size, and a hot pivot is an ordinary skewed join
-        full = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").select("a", "b", "sa", "wa", "sb", "wb")
-        return _merged(label, stored(full.mapInArrow(_verify(threshold), "a binary, b binary"), "near-links"))
-
     # small buckets: all pairs; larger ones: every member with the first
-    first = _pairs(members.withColumn("label", F.col("item")),
-                   (F.col("rank") == 1) | (F.col("last") <= small), threshold)
-    label = linked(first, None)
-    # what is left of large buckets: bounds from what their members share, then rounds
-    still = _open_members(members.where(F.col("last") > small), label, 1)
-    large = stored(still.select("item").distinct(), "near-large")
-    if large.isEmpty():
+    pivots = (members.where((F.col("rank") == 1) | (F.col("last") <= small))
+              .select("key", F.col("item").alias("p_item"), F.col("rank").alias("p_rank")))
+    pairs = stored(members.join(pivots, "key").where(F.col("rank") > F.col("p_rank"))
+                   .select(F.least("p_item", "item").alias("a"), F.greatest("p_item", "item").alias("b"))
+                   .distinct(), "near-pairs")
+    side = lambda x: vectors.select(F.col("item").alias(x), F.col("s").alias(f"s{x}"),
+                                    F.col("w").alias(f"w{x}"))
+    # always by a shuffle: one plan at every size, and a hot first member is an ordinary skewed join
+    full = (pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
+            .select("a", "b", "sa", "wa", "sb", "wb"))
+    label = _merged(None, stored(full.mapInArrow(_verify(threshold), "a binary, b binary"), "near-links"))
+    still = stored(_open_members(members.where(F.col("last") > small), label), "near-still")
+    if still.isEmpty():
         return label
-    kept = _kept(vectors.join(large, "item", "left_semi"))
-    alone = F.col("total") / F.col("kept") - 1
-    by_share = Window.partitionBy("key").orderBy(alone, "item")
-    members = stored(members.drop("kept").join(still.select("key").distinct(), "key")
-                     .join(kept, "item").where(alone <= 1 / threshold - 1 + 1e-9)
-                     .withColumn("rank", F.row_number().over(by_share)), "near-members")
-    done, width = 0, 1
-    while True:
-        still = _open_members(members, label, done)
-        if still.isEmpty():
-            return label
-        pairs = _pairs(still, F.col("rank") <= done + width, threshold)
-        members, done = still.drop("label"), done + width
-        label = linked(pairs, label)
-        # longer strides while the bounds leave fewer pairs than there are members
-        width = max(pivots, 16 * width if pairs.count() <= still.count() else 0)
+    links = _tile_rows(still, vectors, tile).mapInArrow(_tiles(threshold), "a binary, b binary")
+    return _merged(label, stored(links, "near-tile-links"))
 
 
 def make_items(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -389,13 +433,13 @@ def make_items(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 threshold: float = THRESHOLD, small: int = SMALL, pivots: int = PIVOTS) -> DataFrame:
+                 threshold: float = THRESHOLD, small: int = SMALL, tile: int = TILE) -> DataFrame:
     """Rows (id, item, class_id, class_size, kept), one per input row.
 
     ``class_id`` is the least id of the class; the first row with that id is kept.
     """
     items = make_items(docs, id_col, text_col)
-    label = link_classes(items, threshold, small, pivots)
+    label = link_classes(items, threshold, small, tile)
     rows = items.select("id", "item", F.col("bands").isNull().alias("no_words"))
     if label is None:
         named = rows.withColumn("class", F.col("item"))

@@ -5,7 +5,8 @@ import random
 import numpy as np
 import pytest
 
-from sampwise.llm.near import (components, drop_near, near_classes, probability_jaccard, shingles, sketch)
+from sampwise.llm.near import (components, drop_near, near_classes, probability_jaccard, shingles, sketch,
+                               tile_links)
 
 
 def bag(text):
@@ -18,6 +19,21 @@ def j_p(a, b):
     return sum(1 / sum(max(a[j] / a[i], b[j] / b[i]) for j in keys) for i in set(a) & set(b))
 
 
+def linked_pairs(bags):
+    """Index pairs at a probability Jaccard of 0.8; pairs that share less than 0.7 of either side cannot be."""
+    at = {w: k for k, w in enumerate(sorted({w for b in bags for w in b}))}
+    held = np.zeros((len(bags), len(at)))
+    for x, b in enumerate(bags):
+        held[x, [at[w] for w in b]] = list(b.values())
+    shared = (held @ (held > 0).T) / np.maximum(held.sum(axis=1), 1)[:, None]
+    for x, y in zip(*np.nonzero(np.triu(np.minimum(shared, shared.T) >= 0.7, 1))):
+        some = np.flatnonzero(held[x] + held[y])
+        a, b = held[x, some], held[y, some]
+        i = np.flatnonzero(a * b)
+        if (1 / np.maximum(a[None] / a[i, None], b[None] / b[i, None]).sum(axis=1)).sum() >= 0.8 - 1e-12:
+            yield x, y
+
+
 def brute_classes(rows):
     bags = [bag(t) for _, t in rows]
     top = list(range(len(rows)))
@@ -27,10 +43,10 @@ def brute_classes(rows):
             x = top[x]
         return x
 
-    for x, y in itertools.combinations(range(len(rows)), 2):
-        if bags[x] and bags[y] and j_p(bags[x], bags[y]) >= 0.8:
-            top[find(y)] = find(x)
-        elif not bags[x] and not bags[y] and rows[x][0] == rows[y][0]:
+    for x, y in linked_pairs(bags):
+        top[find(y)] = find(x)
+    for x, y in itertools.combinations([k for k, b in enumerate(bags) if not b], 2):
+        if rows[x][0] == rows[y][0]:
             top[find(y)] = find(x)
     groups = collections.defaultdict(list)
     for x, (i, _) in enumerate(rows):
@@ -86,7 +102,9 @@ def test_planted_groups(spark):
     for k in range(40):
         rows.append((i + k, " ".join(f"u{rng.randrange(9999)}" for _ in range(60)) + " " + shared))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert classes(df, small=2, pivots=40) == brute_classes(rows)  # most buckets are large
+    want = brute_classes(rows)
+    assert classes(df) == want
+    assert classes(df, small=1, tile=4000) == want  # most buckets are large, of several blocks
 
 
 def test_many_copies_of_one_text(spark):
@@ -94,7 +112,7 @@ def test_many_copies_of_one_text(spark):
     rng = random.Random(9)
     words = [f"w{k}" for k in range(150)]
     rows = [(500, " ".join(words))]
-    for k in range(80):
+    for k in range(150):
         copy = list(words)
         for _ in range(rng.randrange(1, 9)):
             copy[rng.randrange(150)] = f"x{rng.randrange(10 ** 6)}"
@@ -103,18 +121,59 @@ def test_many_copies_of_one_text(spark):
     assert classes(df) == brute_classes(rows)
 
 
-def test_large_bucket_needs_several_rounds(spark):
-    """Neighbours in a chain: no single pivot links them all."""
+def test_chain_in_a_large_bucket(spark):
+    """A hundred neighbours in a chain: no single text links them all."""
     words = [f"w{k}" for k in range(120)]
     rows = []
-    for k in range(40):
+    for k in range(100):
         rows.append((k, " ".join(words)))
         words = words[1:] + [f"n{k}"]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = classes(df, small=2, pivots=20)
+    got = classes(df, small=2, tile=6000)
     assert got == brute_classes(rows) and {c for _, c, _, _ in got} == {0}
 
 
+def test_large_group_at_production_parameters(spark):
+    """Copies of one text at 0.6 to 1 of it, some of them copies of copies, words repeated or not."""
+    rng = random.Random(3)
+    for text in ([f"w{k}" for k in range(140)], [f"w{k % 35}" for k in range(140)]):
+        rows, made = [], [text]
+        for k in range(500):
+            copy = list(text if rng.random() < 0.9 else rng.choice(made))
+            for _ in range(rng.randrange(1, 10)):
+                copy[rng.randrange(140)] = f"x{rng.randrange(40 if k % 2 else 10 ** 6)}"
+            made.append(copy)
+            rows.append((k, " ".join(copy)))
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        assert classes(df) == brute_classes(rows)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_tile_joins_what_is_linked(seed):
+    rng = np.random.default_rng(seed)
+
+    def member(k):
+        keep = rng.choice(40, 30 + int(rng.integers(0, 10)), replace=False)
+        w = rng.integers(1, 1 + (seed % 3 + 1), len(keep)).astype(np.uint32)
+        return str(k).encode(), str(k % 7).encode(), np.sort(keep).astype("<u4"), w
+
+    left, right = [member(k) for k in range(12)], [member(k + 100) for k in range(15)]
+    linked = {(a[1], b[1]) for a in left for b in right
+              if a[1] != b[1] and probability_jaccard(*a[2:], *b[2:]) >= 0.8}
+    label = {x[0]: x[1] for x in left + right}
+
+    def parts(pairs):
+        top = {x: x for x in label.values()}
+        find = lambda x: x if top[x] == x else find(top[x])
+        for a, b in pairs:
+            top[find(a)] = find(b)
+        return {frozenset(y for y in top if find(y) == find(x)) for x in top}
+
+    got = tile_links(left, right, 0.8)
+    assert parts(linked) == parts((label[a], label[b]) for a, b in got)
+    assert len(got) < len(label)
+
+
 def test_sketch_estimates_probability_jaccard():
     rng = random.Random(1)
     a = " ".join(rng.choice("abcdefgh") for _ in range(300))
@@ -133,8 +192,8 @@ def test_exact_similarity(seed):
 
 
 def test_components_of_a_path_and_a_star(spark):
-    edges = [(f"{k:03}", f"{k + 1:03}") for k in range(20)] + [("900", f"{k}") for k in range(901, 930)]
+    edges = [(f"{k:03}", f"{k + 1:03}") for k in range(60)] + [("900", f"{k}") for k in range(901, 930)]
     df = spark.createDataFrame([(a.encode(), b.encode()) for a, b in edges], "a binary, b binary")
     label = {bytes(r["node"]): bytes(r["label"]) for r in components(df).collect()}
-    assert {label[f"{k:03}".encode()] for k in range(21)} == {b"000"}
+    assert {label[f"{k:03}".encode()] for k in range(61)} == {b"000"}
     assert {label[f"{k}".encode()] for k in range(900, 930)} == {b"900"}
