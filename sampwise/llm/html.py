@@ -13,7 +13,8 @@ passing).  The labelled pages come from ``labelled_pages``: layouts drawn from a
 grammar of page parts with and without telling tags and class names.
 
 Blocks: text between block-level tags.  Character references are decoded, white space
-is collapsed, blocks are joined by one space.  Nothing is dropped by length or number.
+is collapsed, blocks are joined by one space.  Nothing is dropped by length or number; the text
+of formulas, drawings and ``noscript`` is judged as all other text is.
 
 Defined cases: null or empty html and pages without content give an empty text;
 unclosed tags, comments and quotes end at the page's end or at the next tag; rows
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from sampwise.llm.shared import text_or_empty
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg math select".split())
+RAW = frozenset("script style title textarea template iframe select".split())
 BLOCK = ("html head body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tbody thead "
          "tfoot tr td th caption blockquote pre figure figcaption nav header footer aside form fieldset "
          "button label address details summary dialog menu center option").split()
@@ -59,14 +61,20 @@ N_FEATURES = _INLINE_AT + 1
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S)
-_MARKS = re.compile(r"(?:^|\s)(class|id|role|data-main)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
+_MARKS = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
+_LABEL = re.compile(r' data-main="([01])"')  # only in pages of ``labelled_pages``
+_OPEN_END = re.compile(r"<[!?].*|(?!)()()()", re.S)  # an unclosed comment or declaration
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Tree:
-    """Nodes of many pages: parents, depths, features, labels; text pieces by page."""
+    """Nodes of many pages: parents, depths, features, labels; text pieces by page.
 
-    def __init__(self):
+    Labels are read from pages only where ``labelled``: a page's own attributes mean nothing here.
+    """
+
+    def __init__(self, labelled: bool = False):
+        self.labelled = labelled
         self.parent: list[int] = []
         self.depth: list[int] = []
         self.label: list[int] = []
@@ -86,23 +94,28 @@ class Tree:
         self.rows.append(me)
         self.features.append(_TAG_AT.get(tag, _INLINE_AT))
         if attributes:
-            for name, value in _MARKS.findall(attributes):
-                if name == "data-main":
-                    self.label[me] = int(value.strip("\"'"))
-                    continue
+            label = _LABEL.search(attributes) if self.labelled else None
+            if label:
+                self.label[me] = int(label.group(1))
+            for value in _MARKS.findall(attributes):
                 for word in set(w.lower() for w in _WORD.findall(value)):
                     if word in _HINT_AT:
                         self.rows.append(me)
                         self.features.append(_HINT_AT[word])
         return me
 
+    def marked(self, attributes: str) -> bool:
+        return bool(_MARKS.search(attributes) or self.labelled and _LABEL.search(attributes))
+
     def add(self, page: str) -> None:
         """Parse one page; its root is a node of its own."""
         root = self.node(-1, "html", "")
         stack: list[tuple[str, int]] = [("", root)]
         pieces: list[tuple[int, str]] = []
         plain: set[int] = set()  # nodes of div elements without class, id or role
+        opened: Counter = Counter()  # open elements by name
         at, in_link, length = 0, False, len(page)
+        last = page.rfind(">")  # no tag can end behind it
 
         def text(part: str) -> None:
             if not part:
@@ -115,16 +128,26 @@ class Tree:
             if in_link:
                 self.linked[here] += n
 
+        def pop() -> None:
+            opened[stack.pop()[0]] -= 1
+
+        def push(name: str, node: int) -> None:
+            stack.append((name, node))
+            opened[name] += 1
+
         def close(names, barriers) -> None:
+            if not any(opened[x] for x in names):
+                return
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] in names:
-                    del stack[i:]
+                    while len(stack) > i:
+                        pop()
                     return
                 if stack[i][0] in barriers:
                     return
 
         while at < length:
-            token = _TOKEN.search(page, at)
+            token = _TOKEN.search(page, at) if at <= last else _OPEN_END.search(page, at)
             if token is None:
                 text(page[at:])
                 break
@@ -158,18 +181,18 @@ class Tree:
                 # an open paragraph ends, inline elements left open end with it
                 close(("p",), _BLOCK - {"p"})
                 while stack[-1][0] and stack[-1][0] not in _BLOCK:
-                    stack.pop()
+                    pop()
                 if tag in CLOSES:
                     close(CLOSES[tag], BARRIERS)
-                marked = attributes and _MARKS.search(attributes)
+                marked = attributes and self.marked(attributes)
                 if tag == "div" and not marked and stack[-1][0] == "div" and stack[-1][1] in plain:
-                    stack.append(stack[-1])  # a bare wrapper in a bare wrapper is the same part
+                    push(*stack[-1])  # a bare wrapper in a bare wrapper is the same part
                 else:
-                    stack.append((tag, self.node(stack[-1][1], tag, attributes)))
+                    push(tag, self.node(stack[-1][1], tag, attributes))
                     if tag == "div" and not marked:
                         plain.add(stack[-1][1])
-            elif attributes and tag != "a" and _MARKS.search(attributes):
-                stack.append((tag, self.node(stack[-1][1], tag, attributes)))
+            elif attributes and tag != "a" and self.marked(attributes):
+                push(tag, self.node(stack[-1][1], tag, attributes))
             elif tag == "a":
                 in_link = True
         self.pieces.append(pieces)
@@ -239,7 +262,7 @@ class TreeModel:
 
 def train(pages: list[str], rounds: int = 250, rate: float = 0.5, decay: float = 1e-3) -> TreeModel:
     """Gradient ascent on pages whose elements say ``data-main="0|1"`` (inherited when absent)."""
-    tree = Tree()
+    tree = Tree(labelled=True)
     for page in pages:
         tree.add(page)
     parent, depth, rows, features = tree.arrays()

@@ -20,6 +20,7 @@ sequence are cut freely; an empty table gives an empty result; other columns are
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -34,6 +35,8 @@ from sampwise.llm.shared import shuffle_width, stored, text_or_empty
 DIMS, BITS = 3, 10
 HASHED = 4096
 SPECIAL = "<|endoftext|>"
+#: Longer runs of white space overflow the fast coder's stack.
+LONG_SPACE = 100_000
 
 _CODERS: dict = {}
 
@@ -57,13 +60,19 @@ def _coders(vocabulary: str, ranks: str):
 
 def token_ids(text: str, vocabulary: str, ranks: str) -> list[int]:
     """Ids of a text.  The rank file codes ordinary text to the same ids, several times
-    as fast; a text that holds the special token's string goes to the tokenizer itself."""
+    as fast; a text that holds the special token's string or a very long run of white space
+    goes to the tokenizer itself."""
     exact, fast = _coders(vocabulary, ranks)
-    if SPECIAL in text:
+    if SPECIAL in text or _long_space(text):
         return exact.encode(text, add_special_tokens=False).ids
     return fast.encode_ordinary(text)
 
 
+def _long_space(text: str) -> bool:
+    return len(text) >= LONG_SPACE and any(
+        m.end() - m.start() >= LONG_SPACE for m in re.finditer(r"\s+", text))
+
+
 def projection(seed: int = 7) -> np.ndarray:
     """A fixed random map from hashed tokens to ``DIMS`` dimensions."""
     return np.random.default_rng(seed).normal(size=(HASHED, DIMS)).astype(np.float32)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,19 +18,45 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SCRATCH: list[list[str]] = []
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     Cuts the lineage: executors that are lost later cost no recomputation, and
-    values that a rerun could order differently are fixed once.  The files stay
-    for the session's lifetime (the folder is the cluster's scratch space).
+    values that a rerun could order differently are fixed once.  Files written inside a
+    ``scratch`` block go at its end; others stay until the cluster clears the folder.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    path = new_folder(spark, tag)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def new_folder(spark: SparkSession, tag: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this library's own, on whatever file system holds it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What ``stored`` writes inside the block is deleted at its end, also after an error."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            delete(spark, path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

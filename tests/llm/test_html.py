@@ -1,6 +1,7 @@
 import html as references
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -52,7 +53,7 @@ def test_marginals_equal_enumeration(seed):
 
 
 def test_held_out_layouts(model):
-    tree = Tree()
+    tree = Tree(labelled=True)
     pages = labelled_pages(150, seed=77)
     for page in pages:
         tree.add(page)
@@ -82,3 +83,24 @@ def test_hostile_pages(spark, model):
     assert by[0] == by[1] == "" and by[7] == "a b" and by[10] == "deep" and by[13] == "x y"
     assert by[12] == " ".join(["long text."] * 50_000)
     assert extract(df.limit(0), model=model).collect() == []
+
+
+def test_labels_of_the_training_pages_mean_nothing_in_others(spark, model):
+    page = '<body><article><p data-main="{}">The text of an article that is long enough to be one.</p></article>'
+    rows = [(k, None, page.format(v)) for k, v in enumerate(("app.js", "0", "1", "x"))]
+    got = extract(spark.createDataFrame(rows, "page_id long, url string, html string"), model=model).collect()
+    assert {r["text"] for r in got} == {"The text of an article that is long enough to be one."}
+
+
+def test_formulas_and_drawings_are_text(model):
+    page = ("<article><p>Where the sum <math><mi>x</mi><mo>+</mo><mi>y</mi></math> is meant, as <svg><text>drawn"
+            "</text></svg> here <noscript>without a script</noscript>, it ends.</p></article>")
+    assert model.texts([page]) == ["Where the sum x+y is meant, as drawn here without a script, it ends."]
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<div>" * 50_000 + "</p>" * 50_000, "<a '" * 250_000,
+                                  "<p>text <!-- open " + "<a " * 300_000, "<li><div>" * 30_000 + "</b>" * 30_000])
+def test_long_broken_markup_is_linear(model, page):
+    began = time.monotonic()
+    model.texts([page])
+    assert time.monotonic() - began < 20

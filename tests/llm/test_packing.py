@@ -73,3 +73,9 @@ def test_similar_documents_are_neighbours(spark):
     got = pack(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     line = [r["id"] % 2 for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"]))]
     assert sum(a == b for a, b in zip(line, line[1:])) / (len(line) - 1) > 0.85
+
+
+def test_very_long_white_space(spark):
+    rows = [(1, "a" + " " * 2_000_000 + "b"), (2, "\n" * 1_200_000), (3, "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check_pieces(pack(df).collect(), rows)

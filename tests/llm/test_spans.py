@@ -2,7 +2,7 @@ import collections
 import random
 import re
 
-from sampwise.llm.spans import MIN_SENTENCES, MIN_WORDS, remove_repeated_spans
+from sampwise.llm.spans import remove_repeated_spans
 from tests.conftest import SF_SMALL
 
 GAP = "[\x00-\x20]"
@@ -10,29 +10,8 @@ SENTENCE = re.compile(f"{GAP}*[^\x00-\x20].*?(?:(?<=[.!?]){GAP}+|{GAP}*\n{GAP}*|
 LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def brute(rows):
-    """Text and removed sentences per distinct row, in the order of (id, null first)."""
-    docs = sorted({(i, t or "") for i, t in rows}, key=lambda x: (x[0] is not None, x[0] or 0))
-    cut = {d: [m.group(0) for m in SENTENCE.finditer(d[1])] for d in docs}
-    places = collections.defaultdict(list)
-    for d in docs:
-        words = [re.split(f"{GAP}+", s.translate(LOWER).strip("".join(map(chr, range(33))))) for s in cut[d]]
-        for k in range(len(words)):
-            end = k + MIN_SENTENCES
-            while end <= len(words) and sum(map(len, words[k:end])) < MIN_WORDS:
-                end += 1
-            if end <= len(words):
-                places[tuple(w for x in words[k:end] for w in x)].append((d, k, end))
-    gone = collections.defaultdict(set)
-    for seen in places.values():
-        for d, k, end in seen[1:]:
-            gone[d] |= set(range(k, end))
-    return {d: ("".join(s for k, s in enumerate(cut[d]) if k not in gone[d]) if gone[d] else d[1], len(gone[d]))
-            for d in docs}
-
-
 def check(df, rows):
-    want = brute(rows)
+    want = all_runs(rows)
     got = remove_repeated_spans(df).collect()
     assert sorted(((r["id"], r["text"], r["n_removed"]) for r in got), key=repr) == sorted(
         ((i, *want[i, t or ""]) for i, t in rows), key=repr)
@@ -71,8 +50,8 @@ def test_empty_table(no_documents):
 
 
 def all_runs(rows, words=16, alone=50):
-    """As ``brute``, from every run of at least two sentences and ``words`` words, and every
-    sentence of ``alone`` words; for small texts."""
+    """Text and removed sentences per distinct row, in the order of (id, null first), from every run
+    of at least two sentences and ``words`` words, and every sentence of ``alone`` words."""
     docs = sorted({(i, t or "") for i, t in rows}, key=lambda x: (x[0] is not None, x[0] or 0))
     cut = {d: [m.group(0) for m in SENTENCE.finditer(d[1])] for d in docs}
     places = collections.defaultdict(list)
@@ -87,14 +66,15 @@ def all_runs(rows, words=16, alone=50):
     for seen in places.values():
         for d, k, end in seen[1:]:
             gone[d] |= set(range(k, end))
-    return {d: "".join(s for k, s in enumerate(cut[d]) if k not in gone[d]) if gone[d] else d[1] for d in docs}
+    return {d: ("".join(s for k, s in enumerate(cut[d]) if k not in gone[d]) if gone[d] else d[1], len(gone[d]))
+            for d in docs}
 
 
 def check_all_runs(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     out = {(r["id"], t): r["text"] for r in remove_repeated_spans(df).collect()
            for t in [dict(rows)[r["id"]]]}
-    assert out == all_runs(rows)
+    assert out == {d: text for d, (text, _) in all_runs(rows).items()}
     return {i: t for (i, _), t in out.items()}
 
 
@@ -138,4 +118,4 @@ def test_all_runs_of_the_given_documents(spark):
     df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in df.collect()]
     out = {(r["id"], dict(rows)[r["id"]] or ""): r["text"] for r in remove_repeated_spans(df).collect()}
-    assert out == all_runs(rows)
+    assert out == {d: text for d, (text, _) in all_runs(rows).items()}

@@ -103,19 +103,32 @@ def test_mix_of_nothing(no_documents, labels):
     assert mixing.mixing_rates(no_documents, labels, (0.1, 0.8, 0.1)).collect() == []
 
 
-def test_the_mix_grows_rather_than_drop(spark):
-    """Toxic posteriors of clean rows alone are above the share: more of the cleanest, none dropped."""
-    rows = [([0.995, 0.005], 100)] * 30 + [([0.9, 0.1], 100)] * 30 + [([0.1, 0.9], 100)] * 4
+def _rates(spark, rows, keep):
     df = spark.createDataFrame(rows, "p array<double>, n_words long")
-    p, n = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    steps = mixing.fit_rates(df, (0.97, 0.03), keep=keep)
+    rate = mixing.rate_of(F.col("p"), F.col("n_words"), steps, keep=keep)
+    return np.array([r[0] for r in df.select(rate).collect()])
 
-    def rates(keep):
-        steps = mixing.fit_rates(df, (0.97, 0.03), keep=keep)
-        rate = mixing.rate_of(F.col("p"), F.col("n_words"), steps, keep=keep)
-        return np.array([r[0] for r in df.select(rate).collect()])
 
-    assert (rates(None)[:60] < 1).any()
-    rate = rates(0)
+def test_anchored_rows_stay_once_and_the_others_shrink(spark):
+    rows = [([0.999, 0.001], 100)] * 60 + [([0.3, 0.7], 50)] * 4 + [([0.05, 0.95], 200)] * 9
+    p, n = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    assert (_rates(spark, rows, None)[:60] != 1).all()
+    rate = _rates(spark, rows, 0)
     got = (p * (n * rate)[:, None]).sum(axis=0)
-    assert (rate[:60] >= 1).all() and got[1] / got.sum() == pytest.approx(0.03, abs=1e-3)
-    assert got.sum() > 1.4 * n.sum()
+    assert (rate[:60] == 1).all() and (rate >= 0).all()
+    assert got[1] / got.sum() == pytest.approx(0.03, abs=1e-5) and got.sum() < n.sum()
+
+
+def test_shares_out_of_reach_give_the_nearest(spark, caplog):
+    rows = [([0.9, 0.1], 100)] * 60 + [([0.1, 0.9], 100)] * 9
+    with caplog.at_level("WARNING"):
+        rate = _rates(spark, rows, 0)
+    assert (rate[:60] == 1).all() and np.allclose(rate[60:], 0)
+    assert "wanted" in caplog.text
+
+
+def test_rare_others_grow(spark):
+    rows = [([1.0, 0.0], 1000)] * 60 + [([0.0, 1.0], 100)] * 3
+    rate = _rates(spark, rows, 0)
+    assert (rate[:60] == 1).all() and rate[60:] * 300 == pytest.approx(np.full(3, 60_000 * 3 / 97), rel=1e-4)
