@@ -2,7 +2,13 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each
 stage's rows as Parquet in the shared folder and reads them back as the next stage's
-documents.  All stages but the last return the columns of ``documents``.
+documents; a stage's own files go when its rows are written, and its input with them.  All
+stages but the last return the columns of ``documents``.
+
+Defined cases: null and empty texts have the quality of the model's bias, are equal to each other (the
+largest id stays), similar to no other text, mixed in once, and packed as the end id alone; a
+null id has no label; rows that repeat are copies; without labelled rows every text has the same
+quality and rates are 1; an empty table gives empty results; extra columns pass through every stage but the last.
 """
 
 from __future__ import annotations
@@ -12,12 +18,10 @@ from pyspark.sql import functions as F
 
 from sampwise.llm import exact, mixing, near, packing
 from sampwise.llm.queries import QUALITY_THRESHOLD, quality_model
-from sampwise.llm.shared import fresh, read, stored
+from sampwise.llm.shared import delete, fresh, new_folder, read, scratch
 
 #: Target shares of tokens for (clean, toxic) documents.
 MIX_SHARES = (0.97, 0.03)
-#: No document stands in the mix more often.
-MOST_COPIES = 4
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,10 +43,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows repeated so that clean and toxic texts meet their shares of the tokens; the mix
-    grows rather than lose a clean text."""
+    """Rows repeated so that clean and toxic texts meet their shares of the tokens; clean texts stand
+    in the mix once, so the toxic ones are what changes."""
     label = F.when(F.col("toxic").isin(0, 1), F.col("toxic"))
-    return mixing.mix(docs, read(spark, sf_dir, "labels"), MIX_SHARES, label, most=MOST_COPIES, keep=0)
+    return mixing.mix(docs, read(spark, sf_dir, "labels"), MIX_SHARES, label, keep=0)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +62,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{k}")
+        path = new_folder(spark, f"pipeline-{k}")
+        with scratch(spark):
+            rows = stage(spark, docs, sf_dir)
+            rows.write.parquet(path)
+        docs = spark.read.schema(rows.schema).parquet(path)
+        if before is not None:
+            delete(spark, before)
+        before = path
     return docs
