@@ -25,6 +25,7 @@ The only broadcast is the offsets table: one row per partition.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,10 +41,31 @@ _CNT = "_sw_n"
 _OFF = "_sw_off"
 
 
+@dataclass(frozen=True)
+class Indexed:
+    """Numbered rows, and the counts that number them, stored beside the placed rows."""
+
+    frame: DataFrame
+    counts: DataFrame  # one row per partition of the placed rows
+
+    def size(self) -> int:
+        """The number of rows, from the stored counts: no pass over the rows."""
+        return int(self.counts.agg(F.coalesce(F.sum(_CNT), F.lit(0))).first()[0])
+
+
 def with_row_index(df: DataFrame, order_by: str | Sequence[str] | None = None, *,
                    base: int = 0, name: str = "row_index",
                    deterministic_input: bool = False,
                    partitions: int | None = None) -> DataFrame:
+    """The rows of :func:`indexed`."""
+    return indexed(df, order_by, base=base, name=name, deterministic_input=deterministic_input,
+                   partitions=partitions).frame
+
+
+def indexed(df: DataFrame, order_by: str | Sequence[str] | None = None, *,
+            base: int = 0, name: str = "row_index",
+            deterministic_input: bool = False,
+            partitions: int | None = None) -> Indexed:
     """``df`` with a consecutive ``name`` column first, starting at ``base``.
 
     ``order_by=None`` numbers rows in input order (partition by partition, as
@@ -91,7 +113,7 @@ def _refuse_exchange(df: DataFrame) -> None:
                          "leave deterministic_input=False")
 
 
-def _numbered(placed: DataFrame, names: Sequence[str], base: int, name: str) -> DataFrame:
+def _numbered(placed: DataFrame, names: Sequence[str], base: int, name: str) -> Indexed:
     """Offsets of the partitions (an exclusive running sum over one row each) plus positions.
 
     The window has no partition key on purpose: its input is the per-partition
@@ -100,13 +122,14 @@ def _numbered(placed: DataFrame, names: Sequence[str], base: int, name: str) ->
     grouped = placed.withColumn(_GRP, F.shiftright(_MID, POS_BITS))
     counts = grouped.groupBy(_GRP).agg(F.count(F.lit(1)).alias(_CNT))
     before = Window.orderBy(_GRP).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_GRP, _CNT, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
+    offsets = stored_table(counts.select(_GRP, _CNT, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF)),
+                           "row-counts")
     position = F.col(_MID).bitwiseAND(F.lit((1 << POS_BITS) - 1))
     joined = grouped.join(F.broadcast(offsets), _GRP, "left")
     index = F.when(position < F.col(_CNT), F.col(_OFF) + position + F.lit(base)).otherwise(
         F.raise_error(F.lit("the input changed between two reads: leave deterministic_input=False")))
-    return joined.select(index.cast("long").alias(name),
-                         *[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
+    return Indexed(joined.select(index.cast("long").alias(name),
+                                 *[F.col(f"c{i}").alias(n) for i, n in enumerate(names)]), offsets)
 
 
 def with_unique_id(df: DataFrame, name: str = "uid") -> DataFrame:

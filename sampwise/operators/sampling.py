@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import bucket_of, cumulative_bounds, uniform
 from ..functions.predicates import residue
-from .index import with_row_index
+from .index import indexed, with_row_index
 
 
 def _indexed(df: DataFrame, index_col: str, order_by, base: int,
@@ -82,10 +82,13 @@ def interval_sample(df: DataFrame, n_samples: int, start: int = 0, *,
                     index_col: str = "row_index",
                     deterministic_input: bool = False) -> DataFrame:
     """Systematic sample of about ``n_samples`` rows: step ``k = N // n_samples``."""
-    idx = _indexed(df, index_col, order_by, base, deterministic_input)
-    last = idx.agg(F.max(index_col)).first()[0]  # one narrow column of the numbered rows
-    step = sampling_interval(0 if last is None else last - base + 1, n_samples)
-    return idx.filter(residue(index_col, start, step))
+    if index_col in df.columns:
+        last = df.agg(F.max(index_col)).first()[0]
+        rows, size = df, 0 if last is None else last - base + 1
+    else:
+        numbered = indexed(df, order_by, base=base, name=index_col, deterministic_input=deterministic_input)
+        rows, size = numbered.frame, numbered.size()  # from the counts kept with the index
+    return rows.filter(residue(index_col, start, sampling_interval(size, n_samples)))
 
 
 def draw_offsets(step: int, n: int, seed: int | None = None, *,

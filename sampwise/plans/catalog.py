@@ -19,6 +19,7 @@ from ..functions.text import WHITESPACE_RUN, fixed_decimal, tokens
 from ..operators.counts import count_by, field_count, head, row_counts, top_k, word_count
 from ..operators.features import index_columns, scale_columns, assemble, vector_columns
 from ..operators.index import with_row_index, with_unique_id
+from ..operators.locators import located_sample, scan_order_index
 from ..operators.metrics import accuracy, confusion
 from ..operators.models import decision_tree, linear_svm, random_forest
 from ..operators.sampling import (draw_offsets, hash_split, interval_sample, systematic_partition,
@@ -115,12 +116,12 @@ def q_row_index(spark, sf_dir):
 
 
 def q_row_index_scan_order(spark, sf_dir):
-    """Scan-order index (``zipWithIndex``).  ``out_of_order`` counts rows whose index does
+    """Scan-order index (``zipWithIndex``) without a copy.  ``out_of_order`` counts rows whose index does
     not follow their file and place in it, as the reader itself reports them."""
     orders = _t(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("place"))
-    idx = with_row_index(orders, deterministic_input=True)
+    idx = scan_order_index(orders)
     step = Window.partitionBy("file").orderBy("place")
     idx = idx.withColumn("before", F.lag("row_index").over(step))
     return idx.agg(F.count(F.lit(1)).alias("n"), F.min("row_index").alias("min_index"),
@@ -166,13 +167,26 @@ def q_unique_ids(spark, sf_dir):
 
 
 def q_systematic_sample(spark, sf_dir):
-    return systematic_sample(_t(spark, sf_dir, "orders"), SAMPLE_STEP, SAMPLE_START,
-                             order_by="o_orderkey")
+    return located_sample(_t(spark, sf_dir, "orders"), SAMPLE_STEP, SAMPLE_START, order_by="o_orderkey")
 
 
 def q_systematic_sample_1based(spark, sf_dir):
-    return systematic_sample(_t(spark, sf_dir, "events"), SAMPLE_STEP, ONE_BASED_OFFSET,
-                             order_by="event_id", base=1)
+    return located_sample(_t(spark, sf_dir, "events"), SAMPLE_STEP, ONE_BASED_OFFSET,
+                          order_by="event_id", base=1)
+
+
+def q_moved_sample(spark, sf_dir):
+    """A key-order sample of rows that are no bare scan, the index dropped."""
+    events = _t(spark, sf_dir, "events").where("event_type IS NOT NULL").select("event_id", "event_type")
+    return systematic_sample(events, SAMPLE_STEP, SAMPLE_START, order_by="event_id", keep_index=False)
+
+
+def q_scan_order_sample(spark, sf_dir):
+    """Every fifth row in file order, as a filter of the scan: facts that do not depend on the order
+    of keys in the files, and the index against the reader's own places."""
+    sample = located_sample(_t(spark, sf_dir, "lineitem"), SAMPLE_STEP, SAMPLE_START)
+    return sample.agg(F.count(F.lit(1)).alias("n"), F.min("row_index").alias("min_index"),
+                      F.max("row_index").alias("max_index"), F.countDistinct("row_index").alias("distinct_index"))
 
 
 def q_sample_head5(spark, sf_dir):
@@ -181,19 +195,27 @@ def q_sample_head5(spark, sf_dir):
 
 
 def q_systematic_partition(spark, sf_dir):
-    parts = systematic_partition(_t(spark, sf_dir, "orders"), N_PARTS, order_by="o_orderkey")
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    parts = systematic_partition(orders, N_PARTS, order_by="o_orderkey")
     return parts.select("part", "row_index", "o_orderkey", "o_custkey")
 
 
 def q_systematic_partition_sizes(spark, sf_dir):
-    parts = systematic_partition(_t(spark, sf_dir, "orders"), N_PARTS, order_by="o_orderkey")
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey")
+    parts = systematic_partition(orders, N_PARTS, order_by="o_orderkey")
     return parts.groupBy("part").agg(F.count(F.lit(1)).alias("num_rows"),
                                      F.min("o_orderkey").alias("min_orderkey"),
                                      F.max("o_orderkey").alias("max_orderkey"))
 
 
 def q_interval_sample(spark, sf_dir):
-    return interval_sample(_t(spark, sf_dir, "events"), INTERVAL_TARGET, 0, order_by="event_id")
+    return located_sample(_t(spark, sf_dir, "events"), n_samples=INTERVAL_TARGET, order_by="event_id")
+
+
+def q_interval_sample_scan(spark, sf_dir):
+    """As many rows as A7's interval gives, from the counts kept with the index, no pass over the rows."""
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return interval_sample(orders, INTERVAL_TARGET, 1, order_by="o_orderkey")
 
 
 def q_random_split_3way(spark, sf_dir):
@@ -447,6 +469,9 @@ QUERIES: dict[str, Query] = {
     "systematic_partition": q_systematic_partition,
     "systematic_partition_sizes": q_systematic_partition_sizes,
     "interval_sample": q_interval_sample,
+    "interval_sample_scan": q_interval_sample_scan,
+    "moved_sample": q_moved_sample,
+    "scan_order_sample": q_scan_order_sample,
     "random_split_3way": q_random_split_3way,
     "train_test_split": q_train_test_split,
     "experiment_sizes": q_experiment_sizes,
@@ -560,6 +585,16 @@ def _oracle() -> dict[str, str]:
         f"SELECT i.* FROM ({_sql_index('events', 'event_id')}) i, "
         f"(SELECT greatest(1, count(*) // {INTERVAL_TARGET}) AS k FROM events) s "
         "WHERE i.row_index % s.k = 0")
+    sql["interval_sample_scan"] = (
+        f"SELECT i.row_index, i.o_orderkey, i.o_custkey FROM ({_sql_index('orders', 'o_orderkey')}) i, "
+        f"(SELECT greatest(1, count(*) // {INTERVAL_TARGET}) AS k FROM orders) s WHERE (i.row_index - 1) % s.k = 0")
+    sql["moved_sample"] = (
+        f"SELECT event_id, event_type FROM ({_sql_index('(FROM events WHERE event_type IS NOT NULL)', 'event_id')}) "
+        f"WHERE row_index % {SAMPLE_STEP} = {SAMPLE_START}")
+    sql["scan_order_sample"] = (
+        "SELECT count(*) AS n, min(i) AS min_index, max(i) AS max_index, count(DISTINCT i) AS distinct_index FROM ("
+        "SELECT row_number() OVER () - 1 AS i FROM lineitem) "
+        f"WHERE i % {SAMPLE_STEP} = {SAMPLE_START}")
     sql["random_split_3way"] = (
         "SELECT o_orderkey, o_custkey, "
         f"{_sql_bucket(_sql_uniform('o_orderkey', str(SPLIT3_SEED)), SPLIT3_WEIGHTS)} AS split "

@@ -11,9 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.counts import field_count, top_k, word_count
-from ..operators.index import with_row_index
+from ..operators.locators import located_sample, scan_order_index
 from ..operators.models import ModelSpec, decision_tree, linear_svm, random_forest
-from ..operators.sampling import draw_offsets, systematic_sample
+from ..operators.sampling import draw_offsets
 from ..sources.delimited import clean_column_names, read_delimited, read_iris
 from ..sources.text import read_lines
 from .experiments import run_experiments, run_per_part, summarise
@@ -62,7 +62,7 @@ def sample_file(spark: SparkSession, path: str | list[str], *, step: int = 5,
     df = read_delimited(spark, path, sep=sep, header=True, schema=schema,
                         infer_schema=schema is None)
     offset = draw_offsets(step, 1, seed)[0]
-    sample = systematic_sample(df, step, offset, base=1)
+    sample = located_sample(df, step, offset, base=1)  # a filter of the scan: nothing is copied
     return offset, sample, sample.orderBy("row_index").limit(n_show)
 
 
@@ -106,7 +106,7 @@ def iris_parts(spark: SparkSession, path: str, *, method: str = "systematic",
     df = read_iris(spark, path)
     key = None
     if method == "random":
-        df = with_row_index(df, name="row_id")
+        df = scan_order_index(df, name="row_id")
         key = "row_id"
         if part_weights is None and n_parts == 3:
             part_weights = RANDOM_PART_WEIGHTS
