@@ -24,10 +24,12 @@ from ..operators.metrics import accuracy, confusion
 from ..operators.models import decision_tree, linear_svm, random_forest
 from ..operators.sampling import (draw_offsets, hash_split, interval_sample, systematic_partition,
                                   systematic_sample)
+from ..operators.trees import grow
 from ..session import checkpoint_dir
 from ..sources.delimited import clean_column_names, read_delimited, to_typed
 from ..sources.text import read_lines
 from ..sources.tables import TABLES, table
+from .batched import experiment_rows, run_tree_experiments
 from .datasets import (BANK_CATEGORICAL, BANK_KEY, BANK_LABEL, BANK_NUMERIC, events_bank)
 from .experiments import (experiment_sizes, experiment_table, finished, run_experiments,
                           run_per_part, summarise)
@@ -52,6 +54,8 @@ TOP_K = 10
 RICH_ACCTBAL = 5000.0
 FLAG_PRICE = 150000.0
 EMPTY_STEP = 40
+FEW_STEP = 12
+CUT_LEVELS = 20
 EMPTY_OFFSETS = (3, 24, 30, 39)
 
 
@@ -380,6 +384,14 @@ def q_random_part_models(spark, sf_dir):
 # Models whose result SQL can state.  A tree on one two-valued feature predicts, for each
 # value, the label that most training rows with that value have.
 
+def _levelwise(**options):
+    def run(spark, sf_dir):
+        return run_tree_experiments(bank(spark, sf_dir), label=BANK_LABEL, numeric=BANK_NUMERIC,
+                                    categorical=BANK_CATEGORICAL, key=BANK_KEY, offsets=experiment_offsets(),
+                                    step=SAMPLE_STEP, split_seed_base=SPLIT_SEED_BASE, **options)
+    return run
+
+
 def flagged_orders(spark, sf_dir) -> DataFrame:
     return _t(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus",
@@ -426,6 +438,51 @@ q_majority_parts = _flag_parts("systematic")
 q_majority_random_parts = _flag_parts("random")
 
 
+def q_levelwise_tree(spark, sf_dir):
+    """Depth 2 on two two-valued features, all experiments in one job per level: the majority of each cell."""
+    orders = _t(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", (F.col("o_totalprice") > FLAG_PRICE).cast("double").alias("flag"),
+        F.when(F.col("o_custkey") % 3 == 0, "third").otherwise("other").alias("kind"))
+    return _rounded(run_tree_experiments(orders, label="o_orderstatus", numeric=["flag"], categorical=["kind"],
+                                         key="o_orderkey", offsets=experiment_offsets(), step=SAMPLE_STEP,
+                                         split_seed_base=SPLIT_SEED_BASE, depth=2))
+
+
+def q_level_cut(spark, sf_dir):
+    """The root's best cut of a category with many levels, per experiment: the gain and the weight left of it."""
+    customer = _t(spark, sf_dir, "customer").select(
+        "c_custkey", F.pmod(F.col("c_custkey"), F.lit(CUT_LEVELS)).cast("string").alias("group"),
+        (F.col("c_acctbal") > RICH_ACCTBAL).cast("string").alias("rich"))
+    rows, n = experiment_rows(customer, label="rich", numeric=[], categorical=["group"], key="c_custkey",
+                              offsets=list(range(SAMPLE_STEP)), step=SAMPLE_STEP, split_seed_base=SPLIT_SEED_BASE)
+    nodes, _ = grow(rows, n_classes=n, numeric=[], categorical=["z0"], depth=1)
+    root = nodes.where("node = 1").select("experiment", F.round("gain", 9).alias("gain"),
+                                          F.size("levels").cast("long").alias("levels_left"))
+    total = nodes.where("node = 2").select("experiment", F.aggregate("classes", F.lit(0.0), lambda a, x: a + x)
+                                           .cast("long").alias("rows_left"))
+    return root.join(total, "experiment")
+
+
+def q_name_tree(spark, sf_dir):
+    """A feature with as many levels as rows: no level of a test row is known, so all go right."""
+    customer = _t(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", F.when(F.col("c_acctbal") > RICH_ACCTBAL, "rich").otherwise("not").alias("rich"))
+    out = run_tree_experiments(customer, label="rich", numeric=[], categorical=["c_name"], key="c_custkey",
+                               offsets=experiment_offsets(), step=SAMPLE_STEP, split_seed_base=SPLIT_SEED_BASE, depth=1)
+    return _rounded(out)
+
+
+def q_finished_experiments(spark, sf_dir):
+    """Tiny samples: some experiments end with an accuracy, the others are left out by ``finished``."""
+    nation = _t(spark, sf_dir, "nation").select("n_nationkey", F.lit("one").alias("label"), F.lit(1.0).alias("x"))
+    return finished(run_tree_experiments(nation, label="label", numeric=["x"], key="n_nationkey", step=FEW_STEP,
+                                         offsets=list(range(FEW_STEP)), split_seed_base=SPLIT_SEED_BASE, depth=1))
+
+
+q_levelwise_dt = _levelwise(depth=10)
+q_levelwise_rf = _levelwise(depth=6, trees=10, bootstrap=True, subset=3, seed=SPLIT_SEED_BASE)
+
+
 def q_empty_samples(spark, sf_dir):
     """A step beyond the row count: samples of one row or none, so no model anywhere."""
     nation = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name", F.lit(1.0).alias("one"))
@@ -452,6 +509,12 @@ QUERIES: dict[str, Query] = {
     "majority_summary": q_majority_summary,
     "majority_parts": q_majority_parts,
     "majority_random_parts": q_majority_random_parts,
+    "levelwise_tree": q_levelwise_tree,
+    "level_cut": q_level_cut,
+    "name_tree": q_name_tree,
+    "finished_experiments": q_finished_experiments,
+    "levelwise_dt": q_levelwise_dt,
+    "levelwise_rf": q_levelwise_rf,
     "empty_samples": q_empty_samples,
     "finished_of_planned": q_finished_of_planned,
     "word_count": q_word_count,
@@ -655,6 +718,51 @@ def _oracle() -> dict[str, str]:
              _sql_bucket(_sql_uniform("o_orderkey", str(SPLIT3_SEED)), SPLIT3_WEIGHTS))):
         drawn = f"SELECT {part} AS part, o_orderstatus, flag, {part_train} FROM ({source})"
         sql[key] = "WITH " + majority(drawn, "part") + " SELECT *, CAST(NULL AS VARCHAR) AS error FROM r"
+    two = ("SELECT o_orderkey, o_orderstatus, (CASE WHEN o_totalprice > "
+           f"{FLAG_PRICE!r} THEN 1 ELSE 0 END) * 2 + (o_custkey % 3 = 0)::INT AS flag FROM orders")
+    drawn = (f"SELECT e.experiment_id, e.start_offset, i.o_orderstatus, i.flag, {train} "
+             f"FROM e JOIN i ON i.row_index % {SAMPLE_STEP} = e.start_offset")
+    sql["levelwise_tree"] = (
+        f"WITH e(experiment_id, start_offset, seed) AS (VALUES {values}), "
+        f"i AS ({_sql_index(f'({two})', 'o_orderkey')}), " + majority(drawn, "experiment_id, start_offset")
+        + " SELECT *, CAST(NULL AS VARCHAR) AS error FROM r")
+    all_offsets = ", ".join(f"({i + 1}, {i}, {SPLIT_SEED_BASE + i})" for i in range(SAMPLE_STEP))
+    in_train = _sql_uniform("i.c_custkey", "e.seed") + f" < CAST({TRAIN_WEIGHTS[0]!r} AS DOUBLE)"
+    sql["level_cut"] = (
+        f"WITH e(experiment, start_offset, seed) AS (VALUES {all_offsets}), i AS ({_sql_index('customer', 'c_custkey')}), "
+        f"s AS (SELECT e.experiment, c_custkey % {CUT_LEVELS} AS g, (c_acctbal > {RICH_ACCTBAL!r})::INT AS rich "
+        f"FROM e JOIN i ON i.row_index % {SAMPLE_STEP} = e.start_offset WHERE {in_train}), "
+        "c AS (SELECT experiment, g, count(*)::DOUBLE AS n, sum(rich)::DOUBLE AS r FROM s GROUP BY ALL), "
+        "t AS (SELECT *, sum(n) OVER x AS tn, sum(r) OVER x AS tr FROM c WINDOW x AS (PARTITION BY experiment)), "
+        "o AS (SELECT *, CASE WHEN 2 * tr > tn THEN -r / n ELSE r / n - 1 END AS rank FROM t), "
+        "p AS (SELECT *, sum(n) OVER x AS ln, sum(r) OVER x AS lr, row_number() OVER x AS k FROM o "
+        "WINDOW x AS (PARTITION BY experiment ORDER BY rank, g::VARCHAR)), "
+        "q AS (SELECT *, round(2 * (tr / tn * (1 - tr / tn) - ln / tn * (lr / ln) * (1 - lr / ln) - (tn - ln) / tn * "
+        "((tr - lr) / (tn - ln)) * (1 - (tr - lr) / (tn - ln))), 9) AS gain FROM p WHERE ln < tn) "
+        "SELECT experiment, gain, k AS levels_left, ln::BIGINT AS rows_left FROM q "
+        "QUALIFY row_number() OVER (PARTITION BY experiment ORDER BY gain DESC, rank, g::VARCHAR DESC) = 1")
+    sql["name_tree"] = (  # all known levels of the main class go left; unknown ones meet the other class
+        f"WITH e(experiment_id, start_offset, seed) AS (VALUES {values}), i AS ({_sql_index('customer', 'c_custkey')}), "
+        f"s AS (SELECT e.experiment_id, e.start_offset, (c_acctbal > {RICH_ACCTBAL!r})::INT AS rich, "
+        f"({in_train})::INT AS t FROM e JOIN i ON i.row_index % {SAMPLE_STEP} = e.start_offset), "
+        f"f AS (SELECT (count(*) FILTER (WHERE c_acctbal > {RICH_ACCTBAL!r}) * 2 > count(*))::INT AS rich_first, "
+        f"(count(*) FILTER (WHERE c_acctbal > {RICH_ACCTBAL!r}) * 2 = count(*)) AS even FROM customer), "
+        "m AS (SELECT experiment_id, start_offset, count(*) AS num_samples, sum(t)::BIGINT AS num_train, "
+        "sum(1 - t)::BIGINT AS num_test, sum(t * rich) AS tr, avg(CASE WHEN t = 0 THEN rich END) AS test_rich "
+        "FROM s GROUP BY ALL) "
+        "SELECT experiment_id, start_offset, num_samples, num_train, num_test, "
+        "round(CASE WHEN 2 * tr > num_train OR 2 * tr = num_train AND rich_first = 1 THEN 1 - test_rich "
+        "ELSE test_rich END, 10) AS accuracy, CAST(NULL AS VARCHAR) AS error FROM m, f")
+    few = ", ".join(f"({i + 1}, {i}, {SPLIT_SEED_BASE + i})" for i in range(FEW_STEP))
+    few_train = (f"CASE WHEN {_sql_uniform('i.n_nationkey', 'e.seed')} < "
+                 f"CAST({TRAIN_WEIGHTS[0]!r} AS DOUBLE) THEN 1 ELSE 0 END")
+    sql["finished_experiments"] = (
+        f"WITH e(experiment_id, start_offset, seed) AS (VALUES {few}), i AS ({_sql_index('nation', 'n_nationkey')}), "
+        f"s AS (SELECT e.experiment_id, e.start_offset, {few_train} AS t FROM e JOIN i "
+        f"ON i.row_index % {FEW_STEP} = e.start_offset) "
+        "SELECT experiment_id, start_offset, count(*) AS num_samples, sum(t)::BIGINT AS num_train, "
+        "sum(1 - t)::BIGINT AS num_test, 1.0::DOUBLE AS accuracy, CAST(NULL AS VARCHAR) AS error FROM s "
+        "GROUP BY ALL HAVING sum(t) BETWEEN 1 AND count(*) - 1")
     empty = ", ".join(f"({i + 1}, {o}, {SPLIT_SEED_BASE + i})" for i, o in enumerate(EMPTY_OFFSETS))
     is_train = (f"CASE WHEN {_sql_uniform('i.n_nationkey', 'e.seed')} < "
                 f"CAST({TRAIN_WEIGHTS[0]!r} AS DOUBLE) THEN 1 ELSE 0 END")
