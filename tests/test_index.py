@@ -136,7 +136,7 @@ def test_no_single_partition_exchange_over_data(spark):
     df = spark.range(0, 100000, 1, 8).select(F.col("id").alias("k"), F.lit("x").alias("p"))
     for out in (with_row_index(df, "k", partitions=10), with_row_index(df)):
         text, inputs = single_partition_inputs(out)
-        assert "Window" in text
+        assert "Window" not in text  # the counts are numbered once, when the rows are placed
         for line in inputs:
             cols = line.split("[", 2)[2].rstrip("]").split(", ")
             # only the per-group counts table is gathered in one task
