@@ -52,6 +52,39 @@ def index_columns(df: DataFrame, input_cols: Sequence[str],
     return out
 
 
+def level_codes(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """(by.., column number, level, code, levels): the codes of :func:`index_columns`, fitted in every
+    group of ``by`` on the rows of ``df`` and held as a table; ``levels`` is the group's number of levels.
+
+    Counted, numbered by the distributed index over (group, column, count, level) and shifted by the
+    first number of the group, so a column may have as many levels as rows.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("column"), col_of(c).cast("string").alias("level"))
+                                for k, c in enumerate(columns)])).alias("_sw_pair")
+    group = [*by, "column"]
+    counts = (df.select(*by_name(by), pairs).select(*by_name(by), "_sw_pair.*").where("level IS NOT NULL")
+              .groupBy(*group, "level").agg((-F.count(F.lit(1))).alias("_sw_less")))
+    placed = with_row_index(counts, [*group, "_sw_less", "level"], name="_sw_at")
+    first = placed.groupBy(*group).agg(F.min("_sw_at").alias("_sw_first"), F.count(F.lit(1)).alias("levels"))
+    return (placed.join(first, group)
+            .select(*group, "level", (F.col("_sw_at") - F.col("_sw_first")).alias("code"), "levels"))
+
+
+def with_level_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str], outs: Sequence[str],
+                     by: Sequence[str]) -> DataFrame:
+    """``df`` with the codes of ``columns``; a NULL or a level the codes do not know gets the code after
+    the last (0.0 where the group has none), by the missing match of an outer join."""
+    for k, (c, name) in enumerate(zip(columns, outs)):
+        mine = codes.where(F.col("column") == k)
+        sizes = mine.groupBy(*by).agg(F.max("levels").alias("_sw_levels"))
+        level = mine.select(*by, F.col("level").alias("_sw_level"), F.col("code").alias("_sw_code"))
+        df = (df.withColumn("_sw_level", col_of(c).cast("string")).join(level, [*by, "_sw_level"], "left")
+              .join(sizes, list(by), "left")
+              .withColumn(name, F.coalesce("_sw_code", "_sw_levels", F.lit(0)).cast("double"))
+              .drop("_sw_level", "_sw_code", "_sw_levels"))
+    return df
+
+
 def assemble(df: DataFrame, input_cols: Sequence[str], output_col: str = "features", *,
              handle_invalid: str = "error") -> DataFrame:
     """Numeric columns -> one ML vector column."""

@@ -1,10 +1,13 @@
-"""Repeated tree experiments as one set of jobs.
+"""Repeated tree and SVM experiments as one set of jobs.
 
 The same experiments as :func:`run_experiments` (systematic sample, seeded split, fit, accuracy),
 with the trees of all experiments grown together by :mod:`sampwise.operators.trees`: the
 sampled rows are tagged with their experiment, stored once, and every level of every tree is one
 aggregate.  Sizes and accuracies come from one grouped aggregate over the joint prediction table.
 Nothing is collected but the number of label values.
+
+SVM experiments (:mod:`sampwise.operators.svm`) share every pass of the rows, too: category codes are
+tables fitted on the training rows, the scaled rows are stored once and read once per iteration.
 """
 
 from __future__ import annotations
@@ -16,11 +19,13 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col as col_of
 from ..functions.hashing import uniform
-from ..operators.features import index_columns
+from ..operators.features import index_columns, level_codes, with_level_codes
 from ..operators.sampling import draw_offsets, systematic_partition
+from ..operators.svm import fit_svms, margin, scaled, scales
 from ..operators.trees import grow
 from ..session import stored_table
-from .experiments import experiment_table
+from ..sources.rows import from_literals, from_rows
+from .experiments import RESULT_SCHEMA, experiment_table, keep
 
 
 def experiment_rows(df: DataFrame, *, label: str, numeric: Sequence[str], categorical: Sequence[str] = (),
@@ -81,3 +86,87 @@ def run_tree_experiments(df: DataFrame, *, label: str, numeric: Sequence[str], c
             .select("experiment_id", "start_offset", n.alias("num_samples"), t.alias("num_train"),
                     (n - t).alias("num_test"), F.when(error.isNull(), F.col("accuracy")).alias("accuracy"),
                     error.alias("error")))
+
+
+def run_svm_experiments(df: DataFrame, *, label: str, numeric: Sequence[str], categorical: Sequence[str] = (),
+                        key: str, step: int = 5, n_experiments: int = 5, offset_seed: int | None = None,
+                        offsets: Sequence[int] | None = None, split_seed_base: int = 42,
+                        train_fraction: float = 0.8, max_iter: int = 100, reg_param: float = 0.1,
+                        tol: float = 1e-6, hash_fn: str = "md5") -> DataFrame:
+    """One row per experiment, the columns of ``RESULT_SCHEMA``.
+
+    An experiment without samples, training or test rows, with a NULL label, with a NULL or non-finite
+    feature, without exactly two labels in its training rows, or with a test label unknown to them has a
+    NULL accuracy and a message.  The driver gets one row per experiment (and pass).
+    """
+    spark = df.sparkSession
+    if offsets is None:
+        offsets = draw_offsets(step, n_experiments, offset_seed)
+    offsets = [int(o) for o in offsets]
+    rows, _ = experiment_rows(df, label=label, numeric=numeric, categorical=categorical, key=key, offsets=offsets,
+                              step=step, split_seed_base=split_seed_base, train_fraction=train_fraction,
+                              hash_fn=hash_fn)
+    levels, coded = [f"z{k}" for k in range(len(categorical))], [f"c{k}" for k in range(len(categorical))]
+    given = [f"x{k}" for k in range(len(numeric))]
+    if categorical:
+        codes = stored_table(level_codes(rows.where("is_train"), levels, ["experiment"]), "level-codes")
+        rows = with_level_codes(rows, codes, levels, coded, ["experiment"])
+    features = [*given, *coded]
+    rows = rows.select("experiment", "is_train", "y", *[F.col(c).cast("double").alias(c) for c in features])
+
+    finite = F.lit(True)
+    for c in features:
+        finite = finite & F.coalesce(F.abs(c) < float("inf"), F.lit(False))
+    classes = (rows.groupBy("experiment", "y").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("is_train").alias("t"), F.count_if(~finite).alias("bad"))
+        .groupBy("experiment").agg(
+            F.sum("n").alias("n"), F.sum("t").alias("t"), F.sum("bad").alias("bad"),
+            F.sum(F.when(F.col("y").isNull(), F.col("n")).otherwise(0)).alias("unlabelled"),
+            F.min(F.when(F.col("t") > 0, F.col("y"))).alias("low"),
+            F.max(F.when(F.col("t") > 0, F.col("y"))).alias("high"),
+            F.count_if((F.col("t") > 0) & F.col("y").isNotNull()).alias("labels"),
+            F.count_if((F.col("t") == 0) & F.col("y").isNotNull()).alias("unknown")))
+    seen = {r["experiment"]: r for r in classes.collect()}
+
+    def problem(e: int) -> str | None:
+        r = seen.get(e)
+        if r is None:
+            return "empty sample"
+        if r["t"] in (0, r["n"]):
+            return "empty train or test part"
+        if r["unlabelled"]:
+            return "NULL label"
+        if r["bad"]:
+            return "NULL or non-finite feature"
+        if r["labels"] != 2:
+            return f"linear SVM needs exactly 2 label values, training rows have {r['labels']}"
+        return "the test rows hold a label that the training rows do not" if r["unknown"] else None
+
+    errors = {i + 1: problem(i + 1) for i in range(len(offsets))}
+    fit = [e for e, error in errors.items() if error is None]
+    accuracies = {}
+    if fit:
+        high = from_rows(spark, [(e, seen[e]["high"]) for e in fit], "experiment int, high int")
+        sided = (rows.join(F.broadcast(high), "experiment")
+                 .withColumn("side", F.when(F.col("y") == F.col("high"), 1.0).otherwise(-1.0)).drop("y", "high"))
+        by = scales(sided.where("is_train"), features)
+        kept, release = keep(scaled(sided, features, by), "experiment")
+        try:
+            models = fit_svms(kept.where("is_train").drop("is_train"), features, by, max_iter=max_iter,
+                              reg_param=reg_param, tol=tol)
+            planes = []
+            for e, m in models.items():
+                mean, std, _ = by[e]
+                planes.append((e, [*(m.coefficients * std).tolist(), m.intercept + float(m.coefficients @ mean)]))
+            table = from_rows(spark, planes, "experiment int, plane array<double>")
+            hit = (margin(features, "plane") > 0) == (F.col("side") > 0)
+            scored = (kept.where("NOT is_train").join(F.broadcast(table), "experiment")
+                      .groupBy("experiment").agg(F.avg(hit.cast("double")).alias("accuracy")))
+            accuracies = {r["experiment"]: r["accuracy"] for r in scored.collect()}
+        finally:
+            release()
+    out = []
+    for i, offset in enumerate(offsets):
+        n, t = (int(seen[i + 1]["n"]), int(seen[i + 1]["t"])) if i + 1 in seen else (0, 0)
+        out.append((i + 1, offset, n, t, n - t, accuracies.get(i + 1), errors[i + 1]))
+    return from_literals(spark, out, RESULT_SCHEMA)

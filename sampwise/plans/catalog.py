@@ -29,7 +29,7 @@ from ..session import checkpoint_dir
 from ..sources.delimited import clean_column_names, read_delimited, to_typed
 from ..sources.text import read_lines
 from ..sources.tables import TABLES, table
-from .batched import experiment_rows, run_tree_experiments
+from .batched import experiment_rows, run_svm_experiments, run_tree_experiments
 from .datasets import (BANK_CATEGORICAL, BANK_KEY, BANK_LABEL, BANK_NUMERIC, events_bank)
 from .experiments import (experiment_sizes, experiment_table, finished, run_experiments,
                           run_per_part, summarise)
@@ -418,6 +418,27 @@ q_majority_forest = _flag_experiments(random_forest(num_trees=1, max_depth=1, se
 q_separable_svm = _flag_experiments(linear_svm(max_iter=20), label="band", feature="side")
 
 
+
+
+def q_batched_svm(spark, sf_dir):
+    """The SVM of every experiment in shared passes of the rows."""
+    return run_svm_experiments(bank(spark, sf_dir), label=BANK_LABEL, numeric=BANK_NUMERIC,
+                               categorical=BANK_CATEGORICAL, key=BANK_KEY, offsets=experiment_offsets(),
+                               step=SAMPLE_STEP, split_seed_base=SPLIT_SEED_BASE)
+
+
+def q_majority_svm(spark, sf_dir):
+    """Classes that no plane separates: one order in five has the label of the other side.  With little
+    regularisation the plane takes the majority of each side."""
+    orders = _t(spark, sf_dir, "orders").select(
+        "o_orderkey", (F.col("o_totalprice") > FLAG_PRICE).cast("double").alias("flag"),
+        F.when((F.col("o_totalprice") > FLAG_PRICE) == (F.col("o_custkey") % 5 != 0), "up").otherwise("down")
+        .alias("turn"))
+    return _rounded(run_svm_experiments(orders, label="turn", numeric=["flag"], key="o_orderkey", step=SAMPLE_STEP,
+                                        offsets=experiment_offsets(), split_seed_base=SPLIT_SEED_BASE,
+                                        reg_param=0.001))
+
+
 def q_majority_summary(spark, sf_dir):
     s = summarise(finished(q_majority_tree(spark, sf_dir)))
     return s.select("planned", "finished", F.round("avg_accuracy", 9).alias("avg_accuracy"),
@@ -506,6 +527,8 @@ QUERIES: dict[str, Query] = {
     "majority_tree": q_majority_tree,
     "majority_forest": q_majority_forest,
     "separable_svm": q_separable_svm,
+    "batched_svm": q_batched_svm,
+    "majority_svm": q_majority_svm,
     "majority_summary": q_majority_summary,
     "majority_parts": q_majority_parts,
     "majority_random_parts": q_majority_random_parts,
@@ -706,6 +729,12 @@ def _oracle() -> dict[str, str]:
         experiments + " SELECT *, CAST(NULL AS VARCHAR) AS error FROM r")
     sql["separable_svm"] = (
         experiments + " SELECT * REPLACE (1.0::DOUBLE AS accuracy), CAST(NULL AS VARCHAR) AS error FROM r")
+    turned = ("SELECT o_orderkey, CASE WHEN (o_totalprice > {0!r}) = (o_custkey % 5 <> 0) THEN 'up' ELSE 'down' END "
+              "AS o_orderstatus, CASE WHEN o_totalprice > {0!r} THEN 1 ELSE 0 END AS flag FROM orders").format(FLAG_PRICE)
+    sql["majority_svm"] = (
+        f"WITH e(experiment_id, start_offset, seed) AS (VALUES {values}), "
+        f"i AS ({_sql_index(f'({turned})', 'o_orderkey')}), " + majority(drawn, "experiment_id, start_offset")
+        + " SELECT *, CAST(NULL AS VARCHAR) AS error FROM r")
     sql["majority_summary"] = (
         experiments + " SELECT count(*) AS planned, count(accuracy) AS finished, "
         "round(avg(accuracy), 9) AS avg_accuracy, min(accuracy) AS min_accuracy, max(accuracy) AS max_accuracy, "

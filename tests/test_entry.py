@@ -30,5 +30,5 @@ def test_contract_keys(spark):
     assert set(o) <= set(q)
     missing = set(q) - set(o)
     # only model fits lack a SQL form
-    assert missing == {"dt_experiments", "rf_experiments", "levelwise_dt", "levelwise_rf", "svm_experiments",
+    assert missing == {"dt_experiments", "rf_experiments", "levelwise_dt", "levelwise_rf", "svm_experiments", "batched_svm",
                        "experiment_summary", "per_part_models", "random_part_models"}
