@@ -26,7 +26,8 @@ from ..operators.sampling import (draw_offsets, hash_split, interval_sample, sys
                                   systematic_sample)
 from ..operators.trees import grow
 from ..session import checkpoint_dir
-from ..sources.delimited import clean_column_names, read_delimited, to_typed
+from ..sources.delimited import clean_column_names, read_delimited, read_iris, to_typed
+from ..sources.infer import infer_delimited
 from ..sources.text import read_lines
 from ..sources.tables import TABLES, table
 from .batched import experiment_rows, run_svm_experiments, run_tree_experiments
@@ -56,6 +57,8 @@ FLAG_PRICE = 150000.0
 EMPTY_STEP = 40
 FEW_STEP = 12
 CUT_LEVELS = 20
+WIDE_FACTOR = 10_000_000_000
+BAD_EVERY = 50
 EMPTY_OFFSETS = (3, 24, 30, 39)
 
 
@@ -269,6 +272,43 @@ def q_delimited_orders(spark, sf_dir):
     return back.withColumn("price_text", fixed_decimal("o_totalprice", 4))
 
 
+def _mixed_lines(spark, sf_dir) -> str:
+    """Orders as ``;`` lines without types: whole numbers of two widths, a date, a yes or no, gaps, text among numbers."""
+    orders = _t(spark, sf_dir, "orders")
+    path = f"{checkpoint_dir(spark)}/sampwise-mixed-{uuid.uuid4().hex}"
+    (orders.select(F.col("o_orderkey").alias("key"), (F.col("o_orderkey") * WIDE_FACTOR).alias("wide"),
+                   F.col("o_totalprice").alias("price"), F.lit("1999-12-31").alias("day"),
+                   (F.col("o_custkey") % 2 == 0).alias("even"), F.lit(None).cast("string").alias("none"),
+                   F.when(F.col("o_orderkey") % 3 > 0, F.col("o_custkey")).alias("gaps"),
+                   F.when(F.col("o_orderkey") % BAD_EVERY == 0, F.concat(F.lit("n/a "), "o_orderkey"))
+                   .otherwise(F.col("o_custkey").cast("string")).alias("mixed"))
+     .write.option("sep", ";").option("header", True).csv(path))
+    return path
+
+
+def q_inferred_types(spark, sf_dir):
+    return infer_delimited(spark, _mixed_lines(spark, sf_dir), sep=";").types
+
+
+def q_inferred_misfits(spark, sf_dir):
+    """Values among numbers that are none, where nine in ten of a column must fit its type."""
+    return infer_delimited(spark, _mixed_lines(spark, sf_dir), sep=";", share=0.9).misfits.drop("line")
+
+
+def q_iris_file(spark, sf_dir):
+    """A file with the iris columns, read by name; averages per species."""
+    path = f"{checkpoint_dir(spark)}/sampwise-iris-{uuid.uuid4().hex}"
+    tenth = lambda n: (F.col("c_custkey") % n).cast("double") / 8
+    (_t(spark, sf_dir, "customer").select(
+        F.col("c_mktsegment").alias("Species"), tenth(80).alias("SepalLengthCm"), tenth(40).alias("SepalWidthCm"),
+        tenth(70).alias("PetalLengthCm"), tenth(24).alias("PetalWidthCm"), F.col("c_custkey").alias("Id"))
+     .select("Id", "SepalLengthCm", "SepalWidthCm", "PetalLengthCm", "PetalWidthCm", "Species")
+     .write.option("header", True).csv(path))
+    iris = read_iris(spark, path)
+    return iris.groupBy("species").agg(F.count(F.lit(1)).alias("n"), *[
+        F.sum(c).alias(c) for c in ("sepal_length", "sepal_width", "petal_length", "petal_width")])
+
+
 def q_words_in_text_files(spark, sf_dir):
     """Word counts of text files, one line a row."""
     lines = _t(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("value"))
@@ -523,6 +563,9 @@ QUERIES: dict[str, Query] = {
     "index_text_key": q_index_text_key,
     "name_index": q_name_index,
     "delimited_orders": q_delimited_orders,
+    "inferred_types": q_inferred_types,
+    "inferred_misfits": q_inferred_misfits,
+    "iris_file": q_iris_file,
     "words_in_text_files": q_words_in_text_files,
     "majority_tree": q_majority_tree,
     "majority_forest": q_majority_forest,
@@ -648,6 +691,19 @@ def _oracle() -> dict[str, str]:
     sql["delimited_orders"] = (
         "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
         "printf('%.4f', o_totalprice) AS price_text FROM orders")
+    sql["inferred_types"] = (
+        "SELECT v.column, v.type, CAST(CASE v.column WHEN 'none' THEN 0 WHEN 'gaps' THEN n - thirds ELSE n END AS BIGINT) "
+        "AS n_values, CAST(CASE v.column WHEN 'none' THEN n WHEN 'gaps' THEN thirds ELSE 0 END AS BIGINT) AS n_null, "
+        "CAST(0 AS BIGINT) AS n_misfit FROM (VALUES ('key', 'int'), ('wide', 'bigint'), ('price', 'double'), "
+        "('day', 'date'), ('even', 'boolean'), ('none', 'string'), ('gaps', 'int'), ('mixed', 'string')) "
+        "AS v(\"column\", type), (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 3 = 0) AS thirds FROM orders)")
+    sql["inferred_misfits"] = (
+        "SELECT 'mixed' AS \"column\", 'n/a ' || o_orderkey AS value FROM orders "
+        f"WHERE o_orderkey % {BAD_EVERY} = 0")
+    sql["iris_file"] = (
+        "SELECT c_mktsegment AS species, count(*) AS n, sum((c_custkey % 80) / 8.0::DOUBLE) AS sepal_length, "
+        "sum((c_custkey % 40) / 8.0::DOUBLE) AS sepal_width, sum((c_custkey % 70) / 8.0::DOUBLE) AS petal_length, "
+        "sum((c_custkey % 24) / 8.0::DOUBLE) AS petal_width FROM customer GROUP BY c_mktsegment")
     sql["words_in_text_files"] = (
         "SELECT word, count(*) AS count FROM ("
         f"SELECT unnest(regexp_split_to_array(lower(concat_ws(' ', p_name, p_type)), '{ws}')) AS word FROM part"
