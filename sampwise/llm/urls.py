@@ -1,7 +1,7 @@
 """URL rules by host-suffix and path-prefix expressions, in DataFrame operations only.
 
-Every URL becomes a few expressions: each suffix of its host on label borders, with
-each prefix of its path that has the length of some rule's path.  The expressions
+Every URL becomes a few expressions: each suffix of its host that has as many labels as
+some rule's host, with each prefix of its path that has the length of some rule's path.  The expressions
 meet the rules in an equi-join on a short hash prefix; a full digest then confirms
 the match, and the longest confirmed rule decides.
 
@@ -45,10 +45,11 @@ def judge_urls(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_c
                broadcast_rules: int = BROADCAST_RULES, salts: int = 32) -> DataFrame:
     """Rows (id, host, path, rule, verdict, n_rules), one per input row.
 
-    The path lengths of the rules are read first (as many values as there are
-    different lengths).  Up to ``broadcast_rules`` rules, a counted bound, the
-    rules are broadcast; beyond it each rule is copied to ``salts`` lanes, so that
-    an expression shared by a third of all URLs is joined by many tasks.
+    The path lengths and label counts of the rules are read first (as many values as there
+    are different ones), so a long host costs no more expressions than a short one.  Up to
+    ``broadcast_rules`` rules, a counted bound, the rules are broadcast; beyond it each rule
+    is copied to ``salts`` lanes, so that an expression shared by a third of all URLs is
+    joined by many tasks.
     """
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     known = (rules.select(text("host").alias("rule_host"), text("path").alias("rule_path"),
@@ -56,8 +57,9 @@ def judge_urls(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_c
              .groupBy("rule_host", "rule_path").agg(F.max("rule_verdict").alias("rule_verdict"))
              .withColumn("digest", _key(F.col("rule_host"), F.col("rule_path")))
              .withColumn("short", F.substring("digest", 1, prefix_chars)))
-    shape = known.groupBy(F.length("rule_path").alias("n")).count().collect()
-    lengths = sorted(r["n"] for r in shape)
+    shape = (known.groupBy(F.length("rule_path").alias("n"), F.size(F.split("rule_host", r"\.", -1)).alias("labels"))
+             .count().collect())
+    lengths, depths = sorted({r["n"] for r in shape}), sorted({r["labels"] for r in shape})
     n_rules = sum(r["count"] for r in shape)
 
     pages = urls.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
@@ -65,10 +67,13 @@ def judge_urls(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_c
                         url_path(F.col(url_col)).alias("path"))
     labels = F.split("host", r"\.", -1)
     n = F.size(labels)
-    suffixes = F.transform(F.sequence(F.lit(1), n),
-                           lambda i: F.array_join(F.slice(labels, i, n), "."))
-    wanted = F.array(*[F.lit(x) for x in lengths]) if lengths else F.array().cast("array<int>")
-    prefixes = F.transform(F.filter(wanted, lambda x: x <= F.length("path")),
+
+    def numbers(values):
+        return F.array(*[F.lit(x) for x in values]).cast("array<int>")
+
+    suffixes = F.transform(F.filter(numbers(depths), lambda x: x <= n),
+                           lambda x: F.array_join(F.slice(labels, n - x + 1, x), "."))
+    prefixes = F.transform(F.filter(numbers(lengths), lambda x: x <= F.length("path")),
                            lambda x: F.substring("path", F.lit(1), x))
     expressions = F.flatten(F.transform(suffixes, lambda h: F.transform(prefixes, lambda p: _key(h, p))))
     exploded = (pages.withColumn("expression", F.explode_outer(expressions))

@@ -38,6 +38,17 @@ def test_urls_match_brute_force(spark, broadcast):
     assert sorted(((r["id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got), key=repr) == want
 
 
+def test_long_hosts(spark):
+    """Hosts of thousands of labels: only suffixes as long as a rule's host are built."""
+    urls = ["http://" + "a." * n + tail for n in (0, 1, 9000) for tail in ("b/pre", "example.com/en/", "net/es/", "")]
+    rows = list(enumerate(urls))
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    rules = [*RULES, ("a." * 40 + "b", "/", "block"), (".b", "", "allow")]
+    got = judge_urls(df, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()
+    assert sorted((r["id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got) == sorted(
+        (i, *brute(u, rules)) for i, u in rows)
+
+
 def test_no_rules_and_no_urls(spark):
     df = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
