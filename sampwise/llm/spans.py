@@ -9,7 +9,7 @@ share has the same spans in each, wherever it stands.  Together they cover every
 run: where the span that starts at a sentence leaves the run, the one that ends with the
 run contains the sentence.
 
-Every span is hashed (words only, lower case) and the spans of all documents meet in
+Every span is hashed to 128 bits (words only, lower case) and the spans of all documents meet in
 one global aggregation that finds, per repeated hash, its first place (smallest
 document key, then position).  Sentences covered by any other occurrence are removed;
 the rest of the text stays byte for byte.
@@ -39,7 +39,8 @@ from sampwise.llm.subword import word_hashes
 
 MIN_SENTENCES, MIN_WORDS = 2, 16
 LONG_SENTENCE = 50  # words that make one sentence a span
-_ODD = np.uint64(0x9E3779B97F4A7C15)
+# Two odd bases; a span's code has 64 bits from each.
+_ODD, _ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 LEAST = -(1 << 63)  # where a null id is placed
 _STOPS = np.zeros(256, dtype=bool)
 _STOPS[[ord(c) for c in ".!?"]] = True
@@ -64,14 +65,15 @@ def sentence_starts(text: bytes) -> np.ndarray:
 
 def spans(texts: list[bytes], min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS,
           long_sentence: int = LONG_SENTENCE):
-    """(text number, first sentence, sentences covered, hash) of every span of the texts."""
+    """(text number, first sentence, sentences covered, two hashes) of every span of the texts."""
     buf = np.frombuffer(b" " + b" ".join(texts) + b" ", dtype=np.uint8).copy()
     low = np.where((buf >= 65) & (buf <= 90), buf + 32, buf)
     low[low <= 32] = 32
     text_at = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
     words, at = word_hashes(low)
     if not len(words):
-        return tuple(np.zeros(0, dtype=np.int64) for _ in range(3)) + (np.zeros(0, dtype=np.uint64),)
+        return tuple(np.zeros(0, dtype=np.int64) for _ in range(3)) + tuple(
+            np.zeros(0, dtype=np.uint64) for _ in range(2))
     words = _mixed(words)
     heads = [sentence_starts(t) for t in texts]
     count = np.array([len(h) for h in heads])
@@ -95,14 +97,19 @@ def spans(texts: list[bytes], min_sentences: int = MIN_SENTENCES, min_words: int
     head = np.concatenate([here[fits], back[other], alone])
     tail = np.concatenate([end[fits], here[other] + 1, alone + 1])
     begin, stop = border[head], border[tail]
-    # an order-dependent hash of words[begin:stop] from running sums
-    powers = np.cumprod(np.append(np.uint64(1), np.full(len(words), _ODD, dtype=np.uint64)), dtype=np.uint64)
-    inverse = np.cumprod(np.append(np.uint64(1), np.full(len(words), pow(int(_ODD), -1, 1 << 64), dtype=np.uint64)),
+    return (owner[head], number[head], tail - head, _run_hash(words, begin, stop, _ODD),
+            _run_hash(_mixed(words ^ _ODD2), begin, stop, _ODD2))
+
+
+def _run_hash(words: np.ndarray, begin: np.ndarray, stop: np.ndarray, base: np.uint64) -> np.ndarray:
+    """An order-dependent 64-bit hash of every ``words[begin:stop]``, from running sums."""
+    one = np.uint64(1)
+    powers = np.cumprod(np.append(one, np.full(len(words), base, dtype=np.uint64)), dtype=np.uint64)
+    inverse = np.cumprod(np.append(one, np.full(len(words), pow(int(base), -1, 1 << 64), dtype=np.uint64)),
                          dtype=np.uint64)
     total = np.append(np.uint64(0), np.cumsum(words * powers[:-1], dtype=np.uint64))
     code = (total[stop] - total[begin]) * inverse[begin]
-    code = _mixed(code ^ _mixed((stop - begin).astype(np.uint64)))
-    return owner[head], number[head], tail - head, code
+    return _mixed(code ^ _mixed((stop - begin).astype(np.uint64)))
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,12 +117,13 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         keys, rows = batch.column("key").to_numpy(), batch.column("row").to_numpy()
         for at, end in groups(texts):
-            doc, first, n, code = spans(texts[at:end])
+            doc, first, n, code, code2 = spans(texts[at:end])
             if len(doc):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(code.view(np.int64)), pa.array(keys[at:end][doc]), pa.array(rows[at:end][doc]),
+                    [pa.array(code.view(np.int64)), pa.array(code2.view(np.int64)),
+                     pa.array(keys[at:end][doc]), pa.array(rows[at:end][doc]),
                      pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32))],
-                    names=["code", "key", "row", "first", "n"])
+                    names=["code", "code2", "key", "row", "first", "n"])
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,11 +154,11 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = (rows.withColumn("key", F.coalesce("id", F.lit(LEAST)))
             .withColumn("row", F.xxhash64("id", "text")))
     found = stored(rows.select("key", "row", "text")
-                   .mapInArrow(_emit, "code long, key long, row long, first int, n int"), "spans-all")
+                   .mapInArrow(_emit, "code long, code2 long, key long, row long, first int, n int"), "spans-all")
     place = F.struct("key", "row", "first")
-    repeated = stored(found.groupBy("code").agg(F.min(place).alias("keep"), F.max(place).alias("last"))
-                      .where("keep <> last").select("code", "keep"), "spans-repeated")
-    covered = (found.join(repeated, "code").where(place != F.col("keep"))
+    repeated = stored(found.groupBy("code", "code2").agg(F.min(place).alias("keep"), F.max(place).alias("last"))
+                      .where("keep <> last").select("code", "code2", "keep"), "spans-repeated")
+    covered = (found.join(repeated, ["code", "code2"]).where(place != F.col("keep"))
                .groupBy("key", "row").agg(F.collect_set(F.struct("first", "n")).alias("gone")))
     return (rows.join(stored(covered, "spans-covered"), ["key", "row"], "left")
             .select("id", "text", "gone")
