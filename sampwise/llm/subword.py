@@ -17,7 +17,8 @@ their id, so the sample does not depend on the layout of the tables.
 Defined cases: null and empty texts have no features and get the probabilities of the
 bias alone; labels that are null, or that contradict each other for one id, are not
 used; with no usable label every class is equally likely; rows that repeat are scored
-one by one; other columns are ignored, whatever their names.
+one by one, but an id trains once, on the text with the least (hash, text); other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -220,7 +221,7 @@ def train(docs: DataFrame, labels: DataFrame, label: Column, n_classes: int,
     """Fit on at most ``max_train`` rows of ``docs`` whose id has one label in ``labels``.
 
     ``label`` gives the class 0..n_classes-1 of a row of ``labels`` (null: none);
-    ``where`` restricts the usable rows.  The features are made by tasks; the driver
+    ``where`` restricts the usable rows.  An id with several texts counts once.  The features are made by tasks; the driver
     gets the bucket counts of the sample only.
     """
     usable = labels.select(F.col(id_col).cast("long").alias("id"), label.cast("int").alias("y"),
@@ -239,7 +240,9 @@ def train(docs: DataFrame, labels: DataFrame, label: Column, n_classes: int,
                     schema=_SAMPLE)
 
     texts = (docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-             .join(F.broadcast(sample), "id").dropDuplicates(["id"]))
+             .join(F.broadcast(sample), "id").groupBy("id", "y")
+             .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+             .select("id", "y", "least.text"))
     got = texts.mapInArrow(run, "id long, y int, idx binary, counts binary").collect()
     rows = [(np.frombuffer(r["idx"], np.uint32), np.frombuffer(r["counts"], np.float32), r["y"])
             for r in sorted(got, key=lambda r: r["id"])]

@@ -56,6 +56,15 @@ def test_no_labels_and_no_rows(spark, documents, no_documents, labels):
     assert model.score(no_documents).collect() == []
 
 
+def test_repeated_ids_give_one_model_in_any_layout(spark):
+    rows = [(k % 30, f"good words {k} here" if k % 2 else f"bad text {k * k} there") for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(30)], "doc_id long, quality int")
+    one, two = (train(d, labels, F.col("quality"), 2) for d in
+                (docs.coalesce(1), docs.orderBy(F.desc("text")).repartition(7)))
+    assert np.array_equal(one.table, two.table) and np.array_equal(one.bias, two.bias)
+
+
 def test_fit_is_repeatable():
     rows = [(*bucket_counts(b"good fine text %d" % i), 1) for i in range(20)]
     rows += [(*bucket_counts(b"junk junk %d" % i), 0) for i in range(20)]
