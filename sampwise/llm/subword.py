@@ -221,8 +221,8 @@ def train(docs: DataFrame, labels: DataFrame, label: Column, n_classes: int,
     """Fit on at most ``max_train`` rows of ``docs`` whose id has one label in ``labels``.
 
     ``label`` gives the class 0..n_classes-1 of a row of ``labels`` (null: none);
-    ``where`` restricts the usable rows.  An id with several texts counts once.  The features are made by tasks; the driver
-    gets the bucket counts of the sample only.
+    ``where`` restricts the usable rows.  An id with several texts counts once.  The
+    features are made by tasks; the driver gets the bucket counts of the sample only.
     """
     usable = labels.select(F.col(id_col).cast("long").alias("id"), label.cast("int").alias("y"),
                            (F.lit(True) if where is None else where).alias("w"))
