@@ -8,11 +8,14 @@ gives class probabilities.  Vectors and layer are trained together in numpy.
 
 Because the layer is linear in the average, a trained model is applied through one
 table of per-bucket class scores: the mean of a document's table rows equals the layer
-applied to its mean vector.  Texts are read whole, in pieces of ``PIECE`` bytes cut at a
-space, so that memory does not depend on a text's length.
+applied to its mean vector.  Texts are read whole, in pieces of ``PIECE`` bytes cut at
+white space, so that memory does not depend on a text's length; a piece repeats the last
+word before it as context, so no feature is lost at a cut.  A run of more than
+``LONGEST_WORD`` bytes without white space counts as several words, cut every
+``LONGEST_WORD`` bytes from its start.
 
-Training reads at most ``max_train`` labelled rows, those with the smallest hash of
-their id, so the sample does not depend on the layout of the tables.
+Training reads at most ``max_train`` labelled rows whose document is there, those with the
+smallest hash of their id, so the sample does not depend on the layout of the tables.
 
 Defined cases: null and empty texts have no features and get the probabilities of the
 bias alone; labels that are null, or that contradict each other for one id, are not
@@ -35,6 +38,7 @@ from sampwise.llm.shared import extend, text_or_empty
 
 BITS = 16
 PIECE = 1 << 20
+LONGEST_WORD = 1 << 16
 MAX_TRAIN = 2400
 _SPACE = 32
 _FIRST = 0  # the pair bucket of a text's first word
@@ -85,40 +89,78 @@ def _features(buf: np.ndarray) -> tuple[np.ndarray, ...]:
             ((pairs * _ODD + _ODD) >> shift).astype(np.uint32), starts)
 
 
-def _pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(buffer, document numbers, their starts in it); long texts come in several pieces."""
-    parts, owners, held = [], [], 0
+def _with_short_words(text: bytes) -> bytes:
+    """``text`` with a space after every ``LONGEST_WORD`` bytes of a longer word."""
+    if len(text) <= LONGEST_WORD:
+        return text
+    edges = np.flatnonzero(np.diff(np.frombuffer(text, dtype=np.uint8) > _SPACE, prepend=False, append=False))
+    cuts = [c for start, end in edges.reshape(-1, 2) if end - start > LONGEST_WORD
+            for c in range(start + LONGEST_WORD, end, LONGEST_WORD)]
+    return b" ".join(text[x:y] for x, y in zip([0, *cuts], [*cuts, len(text)])) if cuts else text
+
+
+def _last_word(part: bytes) -> bytes:
+    """The last word and a space; nothing where there is no word."""
+    solid = np.flatnonzero(np.frombuffer(part, dtype=np.uint8) > _SPACE)
+    if not len(solid):
+        return b""
+    gaps = np.flatnonzero(np.diff(solid) > 1)
+    return part[solid[gaps[-1] + 1] if len(gaps) else solid[0]:solid[-1] + 1] + b" "
+
+
+def _pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(buffer, document numbers, their starts in it, bytes of context that each begins with);
+    long texts come in several pieces, cut before white space."""
+    parts, owners, context, held = [], [], [], 0
 
     def flush():
         starts = np.cumsum([0] + [len(p) + 1 for p in parts[:-1]])
         buf = np.frombuffer(b" " + b" ".join(parts) + b" ", dtype=np.uint8).copy()
         buf[buf <= _SPACE] = _SPACE
-        return buf, np.array(owners), starts
+        return buf, np.array(owners), starts, np.array(context)
 
-    for i, text in enumerate(texts):
-        at = 0
+    for i, text in enumerate(map(_with_short_words, texts)):
+        at, before = 0, b""
         while at < len(text):
             end = min(len(text), at + PIECE)
-            if end < len(text):
-                end = text.rfind(b" ", at + 1, end) if text.rfind(b" ", at + 1, end) > 0 else end
-            parts.append(text[at:end])
+            if end < len(text):  # words are shorter than pieces, so there is white space
+                near = np.frombuffer(text, np.uint8, LONGEST_WORD + 1, end - LONGEST_WORD)
+                end += int(np.flatnonzero(near <= _SPACE)[-1]) - LONGEST_WORD
+            parts.append(before + text[at:end])
             owners.append(i)
+            context.append(len(before))
             held += end - at
+            if end < len(text):
+                before = _last_word(parts[-1]) or before
             at = end
             if held >= PIECE:
                 yield flush()
-                parts, owners, held = [], [], 0
+                parts, owners, context, held = [], [], [], 0
     if parts:
         yield flush()
 
 
+def _document_features(buf: np.ndarray, starts: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Buckets of 3-grams and 4-grams by position, of words and of pairs by word, and the words'
+    place among ``starts``.  What lies in the context has no bucket and no place (-1)."""
+    none = 1 << BITS
+    f3, f4, words, pairs, at = _features(buf)
+    place = np.searchsorted(starts, at, side="right") - 1
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    pairs[first] = _FIRST  # never a pair across texts
+    for k in np.flatnonzero(context):
+        f3[starts[k]:starts[k] + context[k]] = none
+        f4[starts[k]:starts[k] + context[k]] = none
+    known = first[context[place[first]] > 0]
+    words[known], pairs[known], place[known] = none, none, -1
+    return f3, f4, words, pairs, place
+
+
 def bucket_counts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The different buckets of one text and how often each occurs."""
     counts = np.zeros((1 << BITS) + 1, dtype=np.int64)
-    for buf, _, _ in _pieces([text]):
-        *grams, pairs, _ = _features(buf)
-        pairs[:1] = _FIRST
-        for f in (*grams, pairs):
+    for buf, _, starts, context in _pieces([text]):
+        for f in _document_features(buf, starts, context)[:4]:
             counts += np.bincount(f, minlength=len(counts))
     idx = np.flatnonzero(counts[:-1])
     return idx.astype(np.uint32), counts[idx].astype(np.float32)
@@ -137,13 +179,11 @@ class SubwordModel:
         sums, seen = np.zeros((len(texts), k)), np.zeros(len(texts))
         n_words = np.zeros(len(texts), dtype=np.int64)
         # only differences to the first class matter: its column is zero
-        for buf, owner, starts in _pieces(texts):
-            f3, f4, words, pairs, at = _features(buf)
-            doc_of_word = np.searchsorted(starts, at, side="right") - 1
+        for buf, owner, starts, context in _pieces(texts):
+            f3, f4, words, pairs, place = _document_features(buf, starts, context)
+            words, pairs, doc_of_word = (x[place >= 0] for x in (words, pairs, place))
             word_n = np.bincount(doc_of_word, minlength=len(owner))
             total = 2.0 * word_n
-            first = np.flatnonzero(np.diff(doc_of_word, prepend=-1))
-            pairs[first] = _FIRST  # never a pair across texts
             for f in (f3, f4):
                 total += np.add.reduceat(f != 1 << BITS, starts, dtype=np.int64)
             for c in range(1, k):
@@ -228,7 +268,9 @@ def train(docs: DataFrame, labels: DataFrame, label: Column, n_classes: int,
                            (F.lit(True) if where is None else where).alias("w"))
     one = (usable.where("w AND y IS NOT NULL AND id IS NOT NULL").groupBy("id")
            .agg(F.min("y").alias("y"), F.max("y").alias("other")).where("y = other"))
-    sample = one.orderBy(F.xxhash64("id"), "id").limit(max_train).select("id", "y")
+    here = docs.select(F.col(id_col).cast("long").alias("id")).distinct()
+    sample = (one.join(here, "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(max_train)
+              .select("id", "y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sampwise.llm import mixing
 from sampwise.llm.queries import op1_quality_classifier, op2_source_mixing, quality_model
+from sampwise.llm import subword
 from sampwise.llm.subword import PIECE, SubwordModel, bucket_counts, fit, train
 from tests.conftest import SF_SMALL
 
@@ -25,10 +26,39 @@ def test_batches_equal_single_texts():
              b" ".join(b"w%d" % (i % 313) for i in range(PIECE // 3))]
     logits, n = model.logits(texts)
     assert n.tolist() == [len(t.split()) for t in texts]
-    for row, text in zip(logits[:-1], texts):
+    for row, text in zip(logits, texts):
         assert np.allclose(row, plain_logits(model, text), atol=1e-4)
-    # a text longer than a piece loses only the features that cross a cut
-    assert np.allclose(logits[-1], plain_logits(model, texts[-1]), atol=1e-3)
+
+
+def test_pieces_lose_no_feature(monkeypatch):
+    """Small pieces give the features of the whole text; long words are cut from their start."""
+    monkeypatch.setattr(subword, "LONGEST_WORD", 9)
+    rng = np.random.default_rng(8)
+    texts = [b"", b"   ", b" " * 300 + b"a", b"a" + b"\n" * 300 + b"b c", b"abcdefghijk" * 30]
+    for _ in range(60):
+        words = [bytes(rng.choice(list(b"abc"), rng.integers(1, 16)).tolist()) for _ in range(rng.integers(60))]
+        texts.append(b"".join(w + bytes(rng.choice(list(b" \n\t"), rng.integers(1, 30)).tolist()) for w in words))
+    whole = [bucket_counts(t) for t in texts]
+    model = SubwordModel(np.hstack([np.zeros((1 << 16, 1)), rng.normal(size=(1 << 16, 1))]), np.zeros(2))
+    logits, n = model.logits(texts)
+    cut = bytearray()
+    for k, b in enumerate(texts[4]):
+        cut += (b" " if k and k % 9 == 0 else b"") + bytes([b])
+    assert np.array_equal(whole[4][0], bucket_counts(bytes(cut))[0])
+    monkeypatch.setattr(subword, "PIECE", 24)
+    for (idx, counts), text in zip(whole, texts):
+        got = bucket_counts(text)
+        assert np.array_equal(idx, got[0]) and np.array_equal(counts, got[1])
+    again, n_again = model.logits(texts)
+    assert np.allclose(logits, again, atol=1e-6) and np.array_equal(n, n_again)
+
+
+def test_labels_without_documents_do_not_use_up_the_sample(spark):
+    docs = spark.createDataFrame([(k, f"text {k % 2} of {k}") for k in range(20)], "doc_id long, text string")
+    few = spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, quality int")
+    many = spark.createDataFrame([(k, k % 2) for k in range(500)], "doc_id long, quality int")
+    one, two = (train(docs, labels, F.col("quality"), 2, max_train=20) for labels in (few, many))
+    assert np.array_equal(one.table, two.table) and one.table.any()
 
 
 def test_held_out_accuracy(spark):
