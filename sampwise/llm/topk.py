@@ -1,14 +1,14 @@
 """Exact top-k inner products by an impact-ordered, score-at-a-time index.
 
 Index: the vectors, as whole numbers, are cut into blocks of ``block_rows``.  In a
-block every component is a posting (dimension, row, value); the postings are put into
-*segments* by quantised impact, the power of two that bounds the value's size.  The
-stored block row holds ids and plain vectors only: its segments, from the highest
-impact down, each with, per vector, the norm of everything in lower segments, are made
-anew as dense matrices for every pair of a query block and an index block.
-
-Search: a block of queries meets a block of the index and processes the segments by
-descending impact.  After a segment, the true score of every row lies within
+block every component that is not zero is a posting (dimension, row, value); the
+postings are put into *segments* by quantised impact, the power of two above the
+value's size.  A stored block row holds the ids and its segments from the highest
+impact down: the postings in order of dimension and row, and per row the norm of
+everything in lower segments.  The vectors themselves are not stored.
+
+Search: a block of queries meets a block of the index and adds the segments' postings to
+the scores by descending impact.  After a segment, the true score of every row lies within
 ``accumulated +- |query| * |rest of row|`` (Cauchy-Schwarz).  Rows whose upper end is
 below the k-th best lower end cannot be members.  Processing stops only when this
 proof leaves few rows for each query, or all segments are done; the rows left are
@@ -49,7 +49,8 @@ def _matrix(column: pa.ListArray, dims: int) -> np.ndarray:
     return out
 
 
-def _blocks(dims: int, block_rows: int):
+def _blocks(dims: int, block_rows: int, content, schema: pa.Schema):
+    """Rows cut into blocks in id order; ``content`` makes a block's column from its matrix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, ids, rows = 0, [], []
 
@@ -58,8 +59,8 @@ def _blocks(dims: int, block_rows: int):
             ids, values = ids[order], rows[order]
             name = (TaskContext.get().partitionId() << 32) + made
             return pa.RecordBatch.from_pylist(
-                [{"block": name, "ids": ids.astype("<i8").tobytes(),
-                  "vectors": values.astype("<f8").tobytes()}], schema=_BLOCK)
+                [{"block": name, "ids": ids.astype("<i8").tobytes(), schema.names[2]: content(values)}],
+                schema=schema)
 
         for batch in batches:
             ids.append(batch.column("id").to_numpy())
@@ -74,55 +75,78 @@ def _blocks(dims: int, block_rows: int):
     return run
 
 
-_BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary())])
-_BLOCK_SQL = "block long, ids binary, vectors binary"
+_SEGMENT = pa.struct([("impact", pa.int32()), ("at", pa.binary()), ("values", pa.binary()),
+                      ("rests", pa.binary())])
+_INDEX = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("segments", pa.list_(_SEGMENT))])
+_INDEX_SQL = ("block long, ids binary, "
+              "segments array<struct<impact:int,at:binary,values:binary,rests:binary>>")
+_ASKED = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary())])
+_ASKED_SQL = "block long, ids binary, vectors binary"
 _HITS = pa.schema([("query_id", pa.int64()), ("score", pa.int64()), ("vec_id", pa.int64())])
 _HITS_SQL = "query_id long, score long, vec_id long"
 
 
-def impact_segments(vectors: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Segments from the highest impact down, and the norms of what lies below each.
+def _value_type(impact: int) -> str:
+    """The narrowest type for whole numbers below 2^impact in size."""
+    return "<i2" if impact <= 15 else "<i4" if impact <= 31 else "<f8"
 
-    A segment's level is the exponent of the power of two above the value's size;
-    levels between 2^level / 2 and 2^level hold the postings with that impact.
+
+def impact_segments(vectors: np.ndarray) -> list[dict]:
+    """The postings of a block from the highest impact down.
+
+    ``impact`` is the exponent of the power of two above the values' size, ``at`` the place
+    dimension * rows + row of each posting, ``rests`` the norm per row of all lower segments.
     """
-    _, level = np.frexp(np.abs(vectors))
-    level[vectors == 0] = -1
-    levels = [x for x in np.unique(level)[::-1] if x >= 0]
-    # the low levels matter little each: they are one last segment
-    cuts = levels[:4] if len(levels) > 5 else levels
-    parts, rests, rest = [], [], vectors.copy()
-    for k, x in enumerate(cuts):
-        last = k == len(cuts) - 1
-        part = rest.copy() if last else np.where(level == x, vectors, 0.0)
-        rest = rest - part
-        parts.append(part)
-        rests.append(np.sqrt((rest * rest).sum(axis=1)))
-    return parts, rests
-
-
-def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray,
+    rows = len(vectors)
+    flat = vectors.T.ravel()
+    at = np.flatnonzero(flat)
+    _, impact = np.frexp(np.abs(flat[at]))
+    below, out = np.zeros(rows), []
+    for x in np.unique(impact):
+        mine = at[impact == x]
+        out.append({"impact": int(x), "at": mine.astype("<i4").tobytes(),
+                    "values": flat[mine].astype(_value_type(x)).tobytes(),
+                    "rests": np.sqrt(below).astype("<f8").tobytes()})
+        below = below + np.bincount(mine % rows, weights=flat[mine] ** 2, minlength=rows)
+    return out[::-1]
+
+
+def postings(segment: dict, dims: int, rows: int) -> np.ndarray:
+    """A segment's postings in place, one row per dimension."""
+    out = np.zeros(dims * rows)
+    out[np.frombuffer(segment["at"], "<i4")] = np.frombuffer(segment["values"],
+                                                            _value_type(segment["impact"]))
+    return out.reshape(dims, rows)
+
+
+def search_block(queries: np.ndarray, query_ids: np.ndarray, segments: list[dict],
                  ids: np.ndarray, k: int, stop_at: int = 8) -> list[tuple[int, int, int]]:
     """The k best (query id, score, id) of one block for every query, exactly.
 
     ``ids`` ascend, so the first of equal scores is the smaller id.
     """
-    parts, rests = impact_segments(vectors)
+    dims, rows_n = queries.shape[1], len(ids)
     size = np.sqrt((queries * queries).sum(axis=1))[:, None]
-    got = np.zeros((len(queries), len(vectors)))
+    got = np.zeros((len(queries), rows_n))
     own = query_ids[:, None] == ids[None, :]
     got[own] = -np.inf
-    kth = min(k, len(ids))
-    possible = ~own
-    for part, rest in zip(parts, rests):
-        got += queries @ part.T
-        slack = size * rest[None, :] * (1 + 1e-12)
-        floor = np.partition(got - slack, len(ids) - kth, axis=1)[:, len(ids) - kth]
+    kth = min(k, rows_n)
+    possible, done = ~own, 0
+    for segment in segments:
+        got += queries @ postings(segment, dims, rows_n)
+        done += 1
+        slack = size * np.frombuffer(segment["rests"], "<f8")[None, :] * (1 + 1e-12)
+        floor = np.partition(got - slack, rows_n - kth, axis=1)[:, rows_n - kth]
         possible = (got + slack >= floor[:, None]) & ~own
         if possible.sum() <= stop_at * k * len(queries):
             break  # proven: every member is among the possible rows
     rows, cols = np.nonzero(possible)
-    exact = np.einsum("ij,ij->i", queries[rows], vectors[cols]) if len(rows) else np.zeros(0)
+    exact = got[rows, cols]
+    if done < len(segments) and len(rows):
+        left = np.zeros((rows_n, dims))
+        for segment in segments[done:]:
+            left += postings(segment, dims, rows_n).T
+        exact = exact + np.einsum("ij,ij->i", queries[rows], left[cols])
     order = np.lexsort((ids[cols], -exact, rows))
     rows, cols, exact = rows[order], cols[order], exact[order]
     rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
@@ -134,12 +158,12 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
 def _search(dims: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(len(batch)):  # one pair of blocks in memory at a time
+                row = batch.slice(at, 1).to_pylist()[0]
                 q_ids = np.frombuffer(row["q_ids"], "<i8")
-                ids = np.frombuffer(row["ids"], "<i8")
                 hits = search_block(
                     np.frombuffer(row["q_vectors"], "<f8").reshape(len(q_ids), dims), q_ids,
-                    np.frombuffer(row["vectors"], "<f8").reshape(len(ids), dims), ids, k)
+                    row["segments"], np.frombuffer(row["ids"], "<i8"), k)
                 if hits:
                     q, s, i = zip(*hits)
                     yield pa.RecordBatch.from_arrays(
@@ -167,17 +191,18 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     dims, n, n_asked = rows.agg(F.coalesce(F.max(F.size("v")), F.lit(1)), F.count("*"),
                                 F.count_if("is_query")).first()
 
-    def in_blocks(part, n, tag):
+    def in_blocks(part, n, content, schema, sql, tag):
         few = part.select("id", "v").coalesce(max(1, -(-n // block_rows)))  # whole blocks
-        return stored(few.mapInArrow(_blocks(dims, block_rows), _BLOCK_SQL), tag)
+        return stored(few.mapInArrow(_blocks(dims, block_rows, content, schema), sql), tag)
 
-    index = in_blocks(rows, n, "topk-index")
-    asked = in_blocks(rows.where("is_query"), n_asked, "topk-queries")
+    index = in_blocks(rows, n, impact_segments, _INDEX, _INDEX_SQL, "topk-index")
+    asked = in_blocks(rows.where("is_query"), n_asked, lambda m: m.astype("<f8").tobytes(),
+                      _ASKED, _ASKED_SQL, "topk-queries")
     lanes = shuffle_width(spark)
     left = asked.select(F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"),
                         F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
     right = index.select(F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int").alias("lane"),
-                         "ids", "vectors")
+                         "ids", "segments")
     hits = left.join(right, "lane").drop("lane").mapInArrow(_search(dims, k), _HITS_SQL)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

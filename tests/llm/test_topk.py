@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sampwise.llm.topk import impact_segments, search_block, top_k
+from sampwise.llm.topk import impact_segments, postings, search_block, top_k
 from tests.llm.conftest import with_clashes
 
 
@@ -53,16 +53,37 @@ def test_stopping_keeps_every_member(seed):
     rng = np.random.default_rng(seed)
     vectors = np.floor(rng.standard_t(2, size=(400, 16)) * 40)
     queries, ids = vectors[::40], np.arange(400)
-    got = search_block(queries, ids[::40], vectors, ids, 5)
+    got = search_block(queries, ids[::40], impact_segments(vectors), ids, 5)
     scores = queries @ vectors.T
     for row, q in enumerate(ids[::40].tolist()):
         best = sorted((-s, i) for i, s in enumerate(scores[row]) if i != q)[:5]
         assert [(-s, i) for a, s, i in got if a == q] == [(s, i) for s, i in best]
 
 
-def test_segments_add_up():
-    vectors = np.floor(np.random.default_rng(0).normal(size=(50, 8)) * 100)
-    parts, rests = impact_segments(vectors)
+@pytest.mark.parametrize("scale", [0.5, 100, 3e4, 1e12])
+def test_segments_hold_every_posting_by_impact(scale):
+    vectors = np.floor(np.random.default_rng(0).normal(size=(50, 8)) * scale)
+    segments = impact_segments(vectors)
+    parts = [postings(s, 8, 50).T for s in segments]
     assert np.array_equal(sum(parts), vectors)
-    assert not rests[-1].any()
-    assert all((a >= b - 1e-9).all() for a, b in zip(rests, rests[1:]))
+    assert sum(np.count_nonzero(p) for p in parts) == np.count_nonzero(vectors)
+    impacts = [s["impact"] for s in segments]
+    assert impacts == sorted(set(impacts), reverse=True)
+    for k, (s, part) in enumerate(zip(segments, parts)):
+        sizes = np.abs(part[part != 0])
+        assert (sizes < 2.0 ** s["impact"]).all() and (sizes >= 2.0 ** (s["impact"] - 1)).all()
+        below = sum(parts[k + 1:], np.zeros_like(vectors))
+        assert np.allclose(np.frombuffer(s["rests"], "<f8"), np.sqrt((below ** 2).sum(axis=1)))
+
+
+def test_the_proof_stops_before_the_low_impacts():
+    """Segments behind the proof are read for the rows left only; the result is whole."""
+    rng = np.random.default_rng(5)
+    vectors = np.floor(rng.normal(size=(300, 16)))
+    vectors[:40, 0] = 1000 * np.arange(40, 0, -1)
+    segments = impact_segments(vectors)
+    got = search_block(vectors[:1], np.array([0]), segments, np.arange(300), 5)
+    scores = vectors @ vectors[0]
+    assert [(s, i) for _, s, i in got] == [(scores[i], i) for i in range(1, 6)]
+    top = segments[:6]  # what lies below cannot change the order, only the scores
+    assert [i for _, _, i in search_block(vectors[:1], np.array([0]), top, np.arange(300), 5)] == [1, 2, 3, 4, 5]
