@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace as with_changes
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
@@ -73,10 +73,10 @@ def _train_flag(key_col: str, seed, train_fraction: float, hash_fn: str = "md5")
     return uniform(key_col, seed, hash_fn=hash_fn) < F.lit(float(train_fraction))
 
 
-# Tasks per fit.  Iterative learners run a job per iteration and forests draw their
-# bootstrap per partition, so the training rows get a layout that depends on the split
-# key and this number only: same rows, same seed, same model on any cluster.
-FIT_PARTITIONS = 8
+# Training rows per task of a fit.  Iterative learners run a job per iteration and forests
+# draw their bootstrap per partition, so the training rows get a layout that depends on the
+# split key and their number only: same rows, same seed, same model on any cluster.
+FIT_ROWS_PER_TASK = 200_000
 DEFAULT_PARALLELISM = 4
 
 
@@ -103,6 +103,11 @@ def _delete_path(spark, path: str) -> None:
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def fit_tasks(n_train: int, fixed: int | None = None) -> int:
+    """Tasks of a fit over ``n_train`` rows: ``fixed``, or as many as the rows ask for."""
+    return fixed or max(1, -(-n_train // FIT_ROWS_PER_TASK))
+
+
 def fixed_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
     """Rows dealt and sorted by ``key``, whatever layout they come in."""
     return df.repartition(partitions, col_of(key)).sortWithinPartitions(col_of(key))
@@ -110,13 +115,21 @@ def fixed_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
 
 def _score(train: DataFrame, test: DataFrame, spec: ModelSpec, label, numeric,
            categorical, key: str, partitions: int) -> tuple[float | None, str | None]:
-    """Accuracy, or NULL and the message of a known data problem; anything else is raised."""
+    """Accuracy, or NULL and the message of a known data problem; anything else is raised.
+
+    The training rows are dealt once and held on the executors (memory, then disk) while the
+    encoders, the scaler and the learner pass over them; parts of a lost executor are dealt
+    again from the kept table.
+    """
+    dealt = fixed_layout(train, key, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        score = train_and_score(fixed_layout(train, key, partitions), test, spec, label=label,
-                                numeric=numeric, categorical=categorical)
+        score = train_and_score(dealt, test, spec, label=label, numeric=numeric,
+                                categorical=categorical)
         return score.accuracy, None
     except DataProblem as exc:
         return None, f"{type(exc).__name__}: {exc}"
+    finally:
+        dealt.unpersist()
 
 
 EXPERIMENT_SCHEMA = StructType([
@@ -160,14 +173,14 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
                     offsets: Sequence[int] | None = None, split_seed_base: int = 42,
                     train_fraction: float = 0.8, replace: bool = True,
                     parallelism: int = DEFAULT_PARALLELISM,
-                    fit_partitions: int = FIT_PARTITIONS, hash_fn: str = "md5",
+                    fit_partitions: int | None = None, hash_fn: str = "md5",
                     deterministic_input: bool = False, seed_models: bool = True) -> DataFrame:
     """One result row per experiment (``RESULT_SCHEMA``), ``experiment_id`` from 1.
 
     ``key`` orders the index and seeds the train/test hash; without it rows are
     numbered in input order and the index itself is the split key.
-    ``deterministic_input`` is passed to the index; ``fit_partitions`` is the number of
-    tasks a fit uses (about the cores per experiment on a large cluster); ``hash_fn``
+    ``deterministic_input`` is passed to the index; ``fit_partitions`` fixes the number of
+    tasks of a fit (else one per ``FIT_ROWS_PER_TASK`` training rows); ``hash_fn``
     picks the train/test draw (see :func:`uniform`).  With ``seed_models`` a seeded model (tree,
     forest) gets its experiment's split seed ``split_seed_base + i``.
     """
@@ -203,7 +216,7 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
             if seed_models and "seed" in spec.params:
                 spec_i = with_changes(spec, params={**spec.params, "seed": seed})
             acc, err = _score(sample.filter(flag), sample.filter(~flag), spec_i, label,
-                              numeric, categorical, split_key, fit_partitions)
+                              numeric, categorical, split_key, fit_tasks(n_train, fit_partitions))
             return (i + 1, off, n, n_train, n_test, acc, err)
 
         rows = _run_all(spark, one, len(offsets), parallelism)
@@ -218,7 +231,7 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
                  part_weights: Sequence[float] | None = None,
                  train_fraction: float = 0.8,
                  parallelism: int = DEFAULT_PARALLELISM,
-                 fit_partitions: int = FIT_PARTITIONS, hash_fn: str = "md5",
+                 fit_partitions: int | None = None, hash_fn: str = "md5",
                  deterministic_input: bool = False) -> DataFrame:
     """Cut the table into ``n_parts`` disjoint parts, one model per part.
 
@@ -258,7 +271,7 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
                 return (p, n, n_train, n_test, None, "empty train or test part")
             part = parted.filter(F.col("_sw_part") == p)
             acc, err = _score(part.filter(flag), part.filter(~flag), spec, label, numeric,
-                              categorical, split_key, fit_partitions)
+                              categorical, split_key, fit_tasks(n_train, fit_partitions))
             return (p, n, n_train, n_test, acc, err)
 
         rows = _run_all(spark, one, n_parts, parallelism)

@@ -140,3 +140,22 @@ def test_random_parts_weights(spark):
     with pytest.raises(ValueError):
         run_per_part(df, decision_tree(), label="y", numeric=["x"], key="id", n_parts=3,
                      method="random", part_weights=[1, 1])
+
+
+def test_tasks_of_a_fit_grow_with_its_rows():
+    from sampwise.plans.experiments import FIT_ROWS_PER_TASK, fit_tasks
+
+    assert [fit_tasks(n) for n in (1, FIT_ROWS_PER_TASK, FIT_ROWS_PER_TASK + 1, 10 ** 11)] == [1, 1, 2, 500_000]
+    assert fit_tasks(10, 8) == 8
+
+
+@pytest.mark.parametrize("spec", [random_forest(num_trees=5, max_depth=3), linear_svm(max_iter=5)])
+def test_a_fit_depends_on_its_rows_only_and_frees_them(spark, spec):
+    """The same rows in two layouts give the same results; nothing stays cached."""
+    df = spark.range(600).selectExpr("id", "cast(id % 2 AS string) AS y", "cast((id * 37) % 101 + 20 * (id % 2) AS double) AS x",
+                                     "concat('c', id % 5) AS c")
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    one, two = (run_experiments(d, spec, label="y", numeric=["x"], categorical=["c"], key="id", offsets=[0, 3],
+                                fit_partitions=3).collect() for d in (df.repartition(1), df.repartition(9)))
+    assert one == two and all(r["accuracy"] is not None for r in one)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
