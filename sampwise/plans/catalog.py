@@ -60,6 +60,7 @@ CUT_LEVELS = 20
 WIDE_FACTOR = 10_000_000_000
 BAD_EVERY = 50
 EMPTY_OFFSETS = (3, 24, 30, 39)
+STRETCH_ROWS = 1 << 16  # rows of a file that one window compares
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -128,13 +129,30 @@ def q_row_index_scan_order(spark, sf_dir):
     orders = _t(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("place"))
-    idx = scan_order_index(orders)
-    step = Window.partitionBy("file").orderBy("place")
-    idx = idx.withColumn("before", F.lag("row_index").over(step))
-    return idx.agg(F.count(F.lit(1)).alias("n"), F.min("row_index").alias("min_index"),
-                   F.max("row_index").alias("max_index"),
-                   F.countDistinct("row_index").alias("distinct_index"),
-                   F.count_if(F.col("before") >= F.col("row_index")).alias("out_of_order"))
+    return scan_order_facts(scan_order_index(orders))
+
+
+def scan_order_facts(idx: DataFrame, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
+    """Facts of ``idx`` (row_index, file, place).  Each row is compared with the one before it in its file:
+    inside a stretch of places by a window, across stretches by their first and last index, one row
+    per stretch.  A long file is many tasks' work, and so are the distinct indexes."""
+    width = int(idx.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = (idx.select("row_index", "file", "place", F.floor(F.col("place") / F.lit(stretch_rows)).alias("stretch"))
+            .repartition(width, "file", "stretch"))
+    inside = rows.withColumn("before", F.lag("row_index").over(Window.partitionBy("file", "stretch").orderBy("place")))
+    stretches = inside.groupBy("file", "stretch").agg(
+        F.count(F.lit(1)).alias("n"), F.min("row_index").alias("low"), F.max("row_index").alias("high"),
+        F.min_by("row_index", "place").alias("first"), F.max_by("row_index", "place").alias("last"),
+        F.count_if(F.col("before") >= F.col("row_index")).alias("wrong"))
+    across = stretches.withColumn("before", F.lag("last").over(Window.partitionBy("file").orderBy("stretch")))
+    zero = F.lit(0).cast("long")
+    order = across.agg(F.coalesce(F.sum("n"), zero).alias("n"), F.min("low").alias("min_index"),
+                       F.max("high").alias("max_index"),
+                       (F.coalesce(F.sum("wrong"), zero) + F.count_if(F.col("before") >= F.col("first")))
+                       .alias("out_of_order"))
+    distinct = (idx.select("row_index").repartition(width, "row_index")
+                .agg(F.countDistinct("row_index").alias("distinct_index")))
+    return order.crossJoin(distinct).select("n", "min_index", "max_index", "distinct_index", "out_of_order")
 
 
 def index_facts(idx: DataFrame) -> DataFrame:

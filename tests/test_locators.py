@@ -3,11 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sampwise.operators.index import indexed
 from sampwise.operators.locators import located_sample, require_bare_scan, scan_order_index
 from sampwise.operators.sampling import interval_sample, systematic_sample
+from sampwise.plans.catalog import QUERIES, scan_order_facts
 from tests.conftest import SF_SMALL
 
 
@@ -124,3 +126,28 @@ def test_size_comes_from_the_stored_counts(spark):
     numbered = indexed(orders, "o_orderkey")
     assert numbered.size() == orders.count() == numbered.frame.count()
     assert "o_orderkey" not in numbered.counts.columns
+
+
+def test_scan_order_facts_see_every_pair_of_neighbours(spark):
+    """Wrong steps inside a stretch and on its edge, in two files; the one-window form is the reference."""
+    places = spark.range(40).select(F.col("id").alias("place"))
+    file = F.explode(F.array(F.lit("a"), F.lit("b"))).alias("file")
+    index = F.col("place") + F.when(F.col("file") == "b", 40).otherwise(0)
+    idx = places.select(file, "place").withColumn(
+        "row_index", F.when(index.isin(7, 8, 43), F.lit(70)).when(index == 61, F.lit(0)).otherwise(index))
+    step = Window.partitionBy("file").orderBy("place")
+    seen = idx.withColumn("before", F.lag("row_index").over(step))
+    want = seen.agg(F.count(F.lit(1)), F.min("row_index"), F.max("row_index"), F.countDistinct("row_index"),
+                    F.count_if(F.col("before") >= F.col("row_index"))).first()
+    assert want[4] == 4
+    for stretch in (1, 2, 8, 1000):
+        assert tuple(scan_order_facts(idx, stretch).first()) == tuple(want)
+    assert tuple(scan_order_facts(idx.where("place < 0"), 8).first()) == (0, None, None, 0, 0)
+
+
+def test_scan_order_query_compares_a_file_in_many_tasks(spark):
+    """No window takes the rows of a file as one group: rows meet by stretch, only stretches by file."""
+    plan = QUERIES["row_index_scan_order"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    groups = re.findall(r"Window \[lag\(row_index.*?\], \[([^\]]*)\], \[place", plan)
+    assert groups and all("stretch" in g for g in groups)
+    assert not re.search(r"keys=\[row_index#\w+\].*partial_count\(1\)", plan)
