@@ -30,6 +30,11 @@ class ModelSpec:
     def scales_features(self) -> bool:
         return self.kind == "linear_svm"
 
+    @property
+    def holds_trees_per_row(self) -> bool:
+        """A fit keeps a count and a node per tree with each training row."""
+        return self.kind == "random_forest"
+
 
 def decision_tree(max_depth: int = 5, max_bins: int = 32, seed: int | None = None) -> ModelSpec:
     """Spark's defaults: depth 5, 32 bins."""
@@ -68,6 +73,9 @@ def _estimator(spec: ModelSpec, label_col: str, features_col: str, min_bins: int
         return DecisionTreeClassifier(labelCol=label_col, featuresCol=features_col, **params)
     if spec.kind == "random_forest":
         params["maxBins"] = max(params.get("maxBins", 32), min_bins)
+        # Each row keeps its node in every tree, so a level does not walk all trees from the root again.
+        # A fit of one pass per level ends before the first checkpoint; more passes cut their lineage.
+        params = {"cacheNodeIds": True, "checkpointInterval": 2 * params.get("maxDepth", 5) + 2, **params}
         return RandomForestClassifier(labelCol=label_col, featuresCol=features_col, **params)
     if spec.kind == "linear_svm":
         return LinearSVC(labelCol=label_col, featuresCol=features_col, **params)

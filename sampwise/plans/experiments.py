@@ -11,8 +11,8 @@ Data flow:
   written as a table partitioned by ``part`` under ``spark.checkpoint.dir``, so hours of
   model fitting never depend on lineage and each experiment reads only its own partition;
 * all sample/train/test sizes come from ONE grouped aggregate over ``part``;
-* experiments run as concurrent Spark jobs from a small driver thread pool;
-  results do not depend on the order they finish in.
+* experiments run as concurrent Spark jobs from a small driver thread pool, as many at a time
+  as the cores ask for; results do not depend on the order they finish in.
 
 An experiment whose sample, training or test part is empty, or whose rows do not allow
 the fit, gets a NULL accuracy and a message; the others are unaffected.  Failures of the
@@ -77,7 +77,12 @@ def _train_flag(key_col: str, seed, train_fraction: float, hash_fn: str = "md5")
 # draw their bootstrap per partition, so the training rows get a layout that depends on the
 # split key and their number only: same rows, same seed, same model on any cluster.
 FIT_ROWS_PER_TASK = 200_000
-DEFAULT_PARALLELISM = 4
+# Fits run together until every core has so many tasks: small fits leave no core idle, and the rows
+# that forests hold at a time follow the cores, not the number of experiments.  Other learners hold
+# little beside the rows and run many short jobs: at least LEAST_FITS of them run together.
+FIT_TASKS_PER_CORE = 3
+LEAST_FITS = 4
+MOST_FITS = 16  # threads of the driver
 
 
 def keep(df: DataFrame, part_col: str) -> tuple[DataFrame, callable]:
@@ -108,6 +113,12 @@ def fit_tasks(n_train: int, fixed: int | None = None) -> int:
     return fixed or max(1, -(-n_train // FIT_ROWS_PER_TASK))
 
 
+def fits_at_once(tasks: Sequence[int], cores: int, spec: ModelSpec) -> int:
+    """Fits to run together, given the tasks of each."""
+    wanted = -(-FIT_TASKS_PER_CORE * cores * len(tasks) // max(1, sum(tasks)))
+    return min(max(1 if spec.holds_trees_per_row else LEAST_FITS, wanted), MOST_FITS)
+
+
 def fixed_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
     """Rows dealt and sorted by ``key``, whatever layout they come in."""
     return df.repartition(partitions, col_of(key)).sortWithinPartitions(col_of(key))
@@ -172,7 +183,7 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
                     n_experiments: int = 5, step: int = 5, offset_seed: int | None = None,
                     offsets: Sequence[int] | None = None, split_seed_base: int = 42,
                     train_fraction: float = 0.8, replace: bool = True,
-                    parallelism: int = DEFAULT_PARALLELISM,
+                    parallelism: int | None = None,
                     fit_partitions: int | None = None, hash_fn: str = "md5",
                     deterministic_input: bool = False, seed_models: bool = True) -> DataFrame:
     """One result row per experiment (``RESULT_SCHEMA``), ``experiment_id`` from 1.
@@ -180,7 +191,8 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
     ``key`` orders the index and seeds the train/test hash; without it rows are
     numbered in input order and the index itself is the split key.
     ``deterministic_input`` is passed to the index; ``fit_partitions`` fixes the number of
-    tasks of a fit (else one per ``FIT_ROWS_PER_TASK`` training rows); ``hash_fn``
+    tasks of a fit (else one per ``FIT_ROWS_PER_TASK`` training rows); ``parallelism`` the number
+    of fits at a time (else :func:`fits_at_once`); ``hash_fn``
     picks the train/test draw (see :func:`uniform`).  With ``seed_models`` a seeded model (tree,
     forest) gets its experiment's split seed ``split_seed_base + i``.
     """
@@ -219,7 +231,9 @@ def run_experiments(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequ
                               numeric, categorical, split_key, fit_tasks(n_train, fit_partitions))
             return (i + 1, off, n, n_train, n_test, acc, err)
 
-        rows = _run_all(spark, one, len(offsets), parallelism)
+        tasks = [fit_tasks(sizes[i + 1][1], fit_partitions) for i in range(len(offsets))]
+        rows = _run_all(spark, one, len(offsets),
+                        parallelism or fits_at_once(tasks, spark.sparkContext.defaultParallelism, spec))
     finally:
         release()
     return from_literals(spark, rows, RESULT_SCHEMA)
@@ -230,7 +244,7 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
                  method: str = "systematic", split_seed: int = 1, part_seed: int = 42,
                  part_weights: Sequence[float] | None = None,
                  train_fraction: float = 0.8,
-                 parallelism: int = DEFAULT_PARALLELISM,
+                 parallelism: int | None = None,
                  fit_partitions: int | None = None, hash_fn: str = "md5",
                  deterministic_input: bool = False) -> DataFrame:
     """Cut the table into ``n_parts`` disjoint parts, one model per part.
@@ -274,7 +288,9 @@ def run_per_part(df: DataFrame, spec: ModelSpec, *, label: str, numeric: Sequenc
                               categorical, split_key, fit_tasks(n_train, fit_partitions))
             return (p, n, n_train, n_test, acc, err)
 
-        rows = _run_all(spark, one, n_parts, parallelism)
+        tasks = [fit_tasks(sizes.get(p, (0, 0))[1], fit_partitions) for p in range(n_parts)]
+        rows = _run_all(spark, one, n_parts,
+                        parallelism or fits_at_once(tasks, spark.sparkContext.defaultParallelism, spec))
     finally:
         release()
     return from_literals(spark, rows, PART_RESULT_SCHEMA)

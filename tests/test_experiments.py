@@ -159,3 +159,14 @@ def test_a_fit_depends_on_its_rows_only_and_frees_them(spark, spec):
                                 fit_partitions=3).collect() for d in (df.repartition(1), df.repartition(9)))
     assert one == two and all(r["accuracy"] is not None for r in one)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+
+
+def test_fits_at_once_follow_the_cores():
+    """Small fits fill the cores; the rows that forests hold together do not grow with the input."""
+    from sampwise.plans.experiments import MOST_FITS, fits_at_once
+
+    forest, tree = random_forest(), decision_tree()
+    assert [fits_at_once([t] * 5, 12, forest) for t in (1, 5, 29, 1000)] == [MOST_FITS, 8, 2, 1]
+    assert [fits_at_once([t] * 5, 12, tree) for t in (1, 5, 29, 1000)] == [MOST_FITS, 8, 4, 4]
+    assert fits_at_once([], 12, forest) == 1
+    assert max(t * fits_at_once([t] * 50, 12, forest) for t in range(3, 30)) < 3 * 12 + 30

@@ -2,6 +2,7 @@ import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
+from sampwise.operators.features import feature_pipeline
 from sampwise.operators.index import with_row_index
 from sampwise.operators.metrics import accuracy, accuracy_value, confusion
 from sampwise.operators.models import (decision_tree, linear_svm, random_forest,
@@ -85,3 +86,18 @@ def test_too_many_levels_refused(spark, monkeypatch):
     with pytest.raises(ValueError, match="levels"):
         train_and_score(train, test, decision_tree(), label="y", numeric=["x"],
                         categorical=["cat"])
+
+
+def test_forest_rows_keep_their_nodes(iris, spark):
+    """No level walks the trees from the root again, and the forest is that of the plain learner."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from sampwise.operators.models import _estimator
+
+    fit = _estimator(random_forest(num_trees=8, max_depth=6, seed=5), "label", "features", 32)
+    assert fit.getCacheNodeIds() and fit.getCheckpointInterval() > fit.getMaxDepth()
+    rows = feature_pipeline("species", NUMERIC, []).fit(iris).transform(iris)
+    plain = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=8, maxDepth=6, maxBins=32, seed=5)
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    ours, theirs = (m.fit(rows).toDebugString.split("\n", 1)[1] for m in (fit, plain))
+    assert ours == theirs and "Tree 7" in ours
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
