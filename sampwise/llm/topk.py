@@ -12,12 +12,13 @@ the scores by descending impact.  After a segment, the true score of every row l
 ``accumulated +- |query| * |rest of row|`` (Cauchy-Schwarz).  Rows whose upper end is
 below the k-th best lower end cannot be members.  Processing stops only when this
 proof leaves few rows for each query, or all segments are done; the rows left are
-rescored exactly in whole numbers.  Every block gives each query its best k, and a
-per-query merge picks the final k.  Nothing is approximate.
+rescored exactly in whole numbers.  Every block gives each query its best k; a task keeps
+the best k of its blocks so far, whose last score is one more lower end for the next block,
+and a per-query merge picks the final k.  Nothing is approximate.
 
-Every query must meet every block: queries are copied to ``lanes`` lanes, index
-blocks are dealt over the lanes, and the lanes are an equi-join.  Memory per task is
-one query block and one index block.
+Every query must meet every block: query blocks and index blocks are dealt into parts, and
+every pair of parts is a task (``every_pair``).  Blocks are not copied or broadcast.  Memory per
+task is one part of query blocks with their best rows (``HELD_BYTES``) and one index block.
 
 Defined cases: vectors that are null, empty, or hold a null or non-finite component,
 and rows with a null id, take no part; missing trailing components count as zero; rows
@@ -37,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sampwise.llm.shared import shuffle_width, stored
+from sampwise.llm.shared import every_pair, pair_grid, shuffle_width, stored
 
 
 def _matrix(column: pa.ListArray, dims: int) -> np.ndarray:
@@ -120,10 +121,12 @@ def postings(segment: dict, dims: int, rows: int) -> np.ndarray:
 
 
 def search_block(queries: np.ndarray, query_ids: np.ndarray, segments: list[dict],
-                 ids: np.ndarray, k: int, stop_at: int = 8) -> list[tuple[int, int, int]]:
+                 ids: np.ndarray, k: int, stop_at: int = 8,
+                 reached: np.ndarray | None = None) -> list[tuple[int, int, int]]:
     """The k best (query id, score, id) of one block for every query, exactly.
 
-    ``ids`` ascend, so the first of equal scores is the smaller id.
+    ``ids`` ascend, so the first of equal scores is the smaller id.  ``reached`` is a score per
+    query that k rows of other blocks have; rows below it are left out.
     """
     dims, rows_n = queries.shape[1], len(ids)
     size = np.sqrt((queries * queries).sum(axis=1))[:, None]
@@ -137,6 +140,8 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, segments: list[dict
         done += 1
         slack = size * np.frombuffer(segment["rests"], "<f8")[None, :] * (1 + 1e-12)
         floor = np.partition(got - slack, rows_n - kth, axis=1)[:, rows_n - kth]
+        if reached is not None:
+            floor = np.maximum(floor, reached)
         possible = (got + slack >= floor[:, None]) & ~own
         if possible.sum() <= stop_at * k * len(queries):
             break  # proven: every member is among the possible rows
@@ -155,19 +160,38 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, segments: list[dict
                     ids[cols[best]].tolist()))
 
 
+def best_hits(hits: np.ndarray, k: int) -> np.ndarray:
+    """Of rows (query id, score, id) the k best of each query, queries ascending."""
+    hits = hits[np.lexsort((hits[:, 2], -hits[:, 1], hits[:, 0]))]
+    return hits[np.arange(len(hits)) - np.searchsorted(hits[:, 0], hits[:, 0]) < k]
+
+
+def reached_scores(best: np.ndarray, query_ids: np.ndarray, k: int) -> np.ndarray:
+    """The k-th best score of each query so far, or minus infinity."""
+    first = np.searchsorted(best[:, 0], query_ids)
+    full = np.searchsorted(best[:, 0], query_ids, side="right") - first == k
+    out = np.full(len(query_ids), -np.inf)
+    out[full] = best[first[full] + k - 1, 1]
+    return out
+
+
 def _search(dims: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, np.ndarray] = {}  # by query block
+        held = None
         for batch in batches:
             for at in range(len(batch)):  # one pair of blocks in memory at a time
-                row = batch.slice(at, 1).to_pylist()[0]
-                q_ids = np.frombuffer(row["q_ids"], "<i8")
-                hits = search_block(
-                    np.frombuffer(row["q_vectors"], "<f8").reshape(len(q_ids), dims), q_ids,
-                    row["segments"], np.frombuffer(row["ids"], "<i8"), k)
+                value = lambda c: batch.column(c)[at].as_py()  # noqa: B023, E731
+                if held != value("block"):  # an index block meets the query blocks one after another
+                    held, ids, segments = value("block"), np.frombuffer(value("ids"), "<i8"), value("segments")
+                asked, q_ids = value("q_block"), np.frombuffer(value("q_ids"), "<i8")
+                old = best.get(asked, np.zeros((0, 3), dtype=np.int64))
+                hits = search_block(np.frombuffer(value("q_vectors"), "<f8").reshape(len(q_ids), dims), q_ids,
+                                    segments, ids, k, reached=reached_scores(old, q_ids, k))
                 if hits:
-                    q, s, i = zip(*hits)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(q), pa.array(s), pa.array(i)], schema=_HITS)
+                    best[asked] = best_hits(np.concatenate([old, np.array(hits, dtype=np.int64)]), k)
+        for rows in best.values():
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], schema=_HITS)
     return run
 
 
@@ -198,12 +222,10 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     index = in_blocks(rows, n, impact_segments, _INDEX, _INDEX_SQL, "topk-index")
     asked = in_blocks(rows.where("is_query"), n_asked, lambda m: m.astype("<f8").tobytes(),
                       _ASKED, _ASKED_SQL, "topk-queries")
-    lanes = shuffle_width(spark)
-    left = asked.select(F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"),
-                        F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    right = index.select(F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int").alias("lane"),
-                         "ids", "segments")
-    hits = left.join(right, "lane").drop("lane").mapInArrow(_search(dims, k), _HITS_SQL)
+    n_blocks = lambda n: -(-n // block_rows)
+    parts = pair_grid(n_blocks(n_asked), n_blocks(n), 8 * (dims + 1 + 3 * k) * block_rows, shuffle_width(spark))
+    queries = asked.select(*[F.col(c).alias(f"q_{c}") for c in asked.columns])
+    hits = every_pair(queries, index, parts).mapInArrow(_search(dims, k), _HITS_SQL)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

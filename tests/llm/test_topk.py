@@ -1,9 +1,11 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from sampwise.llm import shared, topk
 from sampwise.llm.topk import impact_segments, postings, search_block, top_k
 from tests.llm.conftest import with_clashes
 
@@ -87,3 +89,57 @@ def test_the_proof_stops_before_the_low_impacts():
     assert [(s, i) for _, s, i in got] == [(scores[i], i) for i in range(1, 6)]
     top = segments[:6]  # what lies below cannot change the order, only the scores
     assert [i for _, _, i in search_block(vectors[:1], np.array([0]), top, np.arange(300), 5)] == [1, 2, 3, 4, 5]
+
+
+def test_query_blocks_are_neither_copied_nor_broadcast(spark):
+    """Copied to as many lanes as there are shuffle partitions and broadcast, they outgrew the driver."""
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(200)],
+                               "vec_id long, embedding array<float>")
+    plan = top_k(df, F.col("vec_id") % 3 == 0, block_rows=16)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Generate" not in plan and "CartesianProduct" in plan
+
+
+@pytest.mark.parametrize("n_asked,n_index,asked_bytes,width",
+                         [(0, 0, 8, 8), (1, 1, 8, 200), (15, 702, 600_000, 200), (300, 16_000, 600_000, 600), (40, 3, 64 << 20, 8)])
+def test_grid_bounds_the_asked_part(n_asked, n_index, asked_bytes, width):
+    asked, index = shared.pair_grid(n_asked, n_index, asked_bytes, width)
+    assert 1 <= asked <= max(1, n_asked) and 1 <= index <= max(1, n_index)
+    assert -(-n_asked // asked) <= max(1, shared.HELD_BYTES // asked_bytes + 1)
+    assert asked * index <= max(2 * width, n_asked)
+
+
+@pytest.mark.parametrize("parts", [(1, 1), (3, 5), (20, 2)])
+def test_every_pair_meets_once(spark, parts):
+    got = shared.every_pair(spark.range(20), spark.range(31).withColumnRenamed("id", "x"), parts).collect()
+    assert sorted((r["id"], r["x"]) for r in got) == [(i, x) for i in range(20) for x in range(31)]
+
+
+def test_rows_below_what_is_reached_are_left_out():
+    rng = np.random.default_rng(7)
+    vectors = np.floor(rng.normal(size=(300, 16)) * 60)
+    ids, scores = np.arange(300), vectors[:4] @ vectors.T
+    for reached in (-np.inf, 0.0, 1.0, 1e9):
+        at = np.array([np.sort(s)[-4] for s in scores]) if reached == 1.0 else np.full(4, reached)
+        got = search_block(vectors[:4], ids[:4], impact_segments(vectors), ids, 5, reached=at)
+        for row in range(4):
+            best = sorted((-s, i) for i, s in enumerate(scores[row]) if i != row)[:5]
+            assert [(-s, i) for q, s, i in got if q == row and s >= at[row]] == [(s, i) for s, i in best if -s >= at[row]]
+
+
+def test_a_task_gives_each_query_its_best_k_over_all_blocks():
+    """One task's tiles: two query blocks, one of an id with two vectors, against four index blocks."""
+    rng = np.random.default_rng(8)
+    vectors = np.floor(rng.normal(size=(400, 8)) * 60)
+    asked = [(0, np.arange(0, 20), vectors[:20]), (1, np.array([30, 30]), vectors[[30, 31]])]
+    rows = [{"block": b, "ids": np.arange(b, b + 100).astype("<i8").tobytes(),
+             "segments": impact_segments(vectors[b:b + 100]), "q_block": a,
+             "q_ids": q.astype("<i8").tobytes(), "q_vectors": v.astype("<f8").tobytes()}
+            for b in range(0, 400, 100) for a, q, v in asked]
+    got = [tuple(r.values()) for t in topk._search(8, 5)([pa.RecordBatch.from_pylist(rows[:3]), pa.RecordBatch.from_pylist(rows[3:])])
+           for r in t.to_pylist()]
+    want = []
+    for q in [*range(20), 30]:
+        found = [(-int(vectors[a] @ vectors[i]), i) for a in ([30, 31] if q == 30 else [q]) for i in range(400) if i != q]
+        want += [(q, -s, i) for s, i in sorted(found)[:5]]
+    assert sorted(got) == sorted(want)
