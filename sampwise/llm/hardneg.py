@@ -5,17 +5,17 @@ positive, its *hard negatives* are the best ``n_negative`` rows of another label
 lies in the window ``low * positive <= 100 * negative <= high * positive`` (per cent).
 
 1. *Tiles.*  Rows become blocks of whole-number vectors; anchors become blocks of their own.
-   Every anchor block must meet every candidate block: anchor blocks are copied to lanes,
-   candidate blocks are dealt over the lanes, and the lanes are an equi-join, so a task
-   holds one tile (an anchor block and a candidate block) at a time.
+   Every anchor block must meet every candidate block: both are dealt into parts, and every
+   pair of parts is a task (``every_pair``), which holds its part of the anchor blocks with
+   their heaps (``HELD_BYTES``) and one candidate block.  Blocks are not copied or broadcast.
 2. *Products.*  A tile's scores are one matrix product by Strassen's recursion: both sides
    are cut into quarters, padded with zero rows and columns where a side is odd, seven
    products of sums replace eight, down to ``LEAF`` columns.  All sums are int64, so every
    score is the exact inner product (as long as it fits 64 bits; sums wrap modulo 2^64 on
    the way, which the recursion survives because it only adds, subtracts and multiplies).
 3. *Heaps.*  A tile gives each anchor its best few positives, at most ``n_positive`` rows; heaps
-   of tiles merge by taking the best of their union, which Spark does map side before the
-   shuffle and once more after it, so no task ever holds an anchor's candidates.  The window
+   merge by taking the best of their union, which a task does over its tiles (``best_of_heaps``)
+   and Spark over the tasks, so no task ever holds an anchor's candidates.  The window
    heaps follow in a second pass over the same tiles, keyed by (anchor, positive), as the
    window is known only once the positives are.
 
@@ -39,10 +39,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sampwise.llm.shared import shuffle_width, stored
+from sampwise.llm.shared import every_pair, pair_grid, shuffle_width, stored
 
 LEAF = 16
 ANCHOR_ROWS, BLOCK_ROWS = 256, 1024
+#: Found rows that a task gathers before it merges its heaps.
+MERGE_ROWS = 1 << 16
 _LEAST = np.iinfo(np.int64).min
 
 
@@ -167,34 +169,46 @@ def window_bounds(scores: np.ndarray, low: int, high: int) -> tuple[np.ndarray,
     return clip(least).reshape(scores.shape), clip(most).reshape(scores.shape)
 
 
+def best_of_heaps(found: np.ndarray, k: int) -> np.ndarray:
+    """Of rows as in ``_FOUND`` the ``k`` best of each heap (anchor, positive)."""
+    found = found[np.lexsort((found[:, 3], ~found[:, 4], found[:, 1], found[:, 0]))]
+    place = np.arange(len(found))
+    new = np.r_[True, (found[1:, :2] != found[:-1, :2]).any(axis=1)][:len(found)]
+    return found[place - np.maximum.accumulate(np.where(new, place, 0)) < k]
+
+
 def _tiles(dims: int, heaps: int, k: int, window: tuple[int, int] | None):
     """Tiles to heaps: the best of the anchor's label, or the windows of its positives."""
+    def tile(num):
+        a_ids, ids = num("a_ids"), num("ids")
+        scores = strassen(num("a_vectors").reshape(len(a_ids), dims), num("vectors").reshape(len(ids), dims).T)
+        same = num("a_labels")[:, None] == num("labels")[None, :]
+        if window is None:
+            rows, cols = best_of_rows(scores, ids, same & (a_ids[:, None] != ids[None, :]), k)
+            pid = ps = np.zeros(len(rows), dtype=np.int64)
+        else:
+            h_ids, h_scores = (num(c).reshape(len(a_ids), heaps) for c in ("a_heap_ids", "a_heap_scores"))
+            low, top = window_bounds(h_scores, *window)
+            known = np.arange(heaps)[None, :] < num("a_heap_sizes")[:, None]
+            rows, h, cols = window_of_rows(scores, ~same, top, low, known, k)
+            pid, ps = h_ids[rows, h], h_scores[rows, h]
+        return np.column_stack([a_ids[rows], pid, ps, ids[cols], scores[rows, cols]])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, found = np.zeros((0, len(_FOUND)), dtype=np.int64), []
         for batch in batches:
-            for t in batch.to_pylist():
-                num = lambda c: np.frombuffer(t[c], "<i8")
-                a_ids, ids = num("a_ids"), num("ids")
-                scores = strassen(num("a_vectors").reshape(len(a_ids), dims),
-                                  num("vectors").reshape(len(ids), dims).T)
-                same = num("a_labels")[:, None] == num("labels")[None, :]
-                if window is None:
-                    rows, cols = best_of_rows(scores, ids, same & (a_ids[:, None] != ids[None, :]), k)
-                    pid = ps = np.zeros(len(rows), dtype=np.int64)
-                else:
-                    h_ids, h_scores = (num(c).reshape(len(a_ids), heaps) for c in ("a_heap_ids", "a_heap_scores"))
-                    low, top = window_bounds(h_scores, *window)
-                    known = np.arange(heaps)[None, :] < num("a_heap_sizes")[:, None]
-                    rows, h, cols = window_of_rows(scores, ~same, top, low, known, k)
-                    pid, ps = h_ids[rows, h], h_scores[rows, h]
-                if len(rows):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (a_ids[rows], pid, ps, ids[cols], scores[rows, cols])],
-                        schema=_FOUND)
+            for at in range(len(batch)):
+                found.append(tile(lambda c: np.frombuffer(batch.column(c)[at].as_py(), "<i8")))  # noqa: B023
+                if sum(map(len, found)) > MERGE_ROWS + len(best):
+                    best, found = best_of_heaps(np.concatenate([best, *found]), k), []
+        best = best_of_heaps(np.concatenate([best, *found]), k)
+        if len(best):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in best.T], schema=_FOUND)
     return run
 
 
 def _merged(found: DataFrame, by: list[str], k: int) -> DataFrame:
-    """Heaps of tiles merged: the ``k`` best rows of each key, ranked from 1."""
+    """Heaps of tasks merged: the ``k`` best rows of each key, ranked from 1."""
     order = Window.partitionBy(*by).orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -222,20 +236,20 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, label: Column, *, id_c
                              none.alias("heap_scores")), "hard-rows")
     dims, n, n_anchors = rows.agg(F.coalesce(F.max(F.size("v")), F.lit(1)), F.count("*"),
                                   F.count_if("is_anchor")).first()
-    dims, lanes = max(1, dims), shuffle_width(spark)
+    dims = max(1, dims)
 
     def in_blocks(part, n, size, heaps, tag):
         few = part.select("id", "label", "v", "heap_ids", "heap_scores").coalesce(max(1, -(-n // size)))
         return stored(few.mapInArrow(_blocks(dims, heaps, size), _BLOCK_SQL), tag)
 
-    index = in_blocks(rows, n, block_rows, 1, "hard-index").select(
-        F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int").alias("lane"), "ids", "labels", "vectors")
+    index = in_blocks(rows, n, block_rows, 1, "hard-index").select("ids", "labels", "vectors")
 
     def tiles(anchors, heaps, k, window):
         blocks = in_blocks(anchors, n_anchors, anchor_rows, heaps, "hard-anchors")
-        left = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"),
-                             *[F.col(c).alias(f"a_{c}") for c in blocks.columns if c != "block"])
-        return left.join(index, "lane").drop("lane").mapInArrow(_tiles(dims, heaps, k, window), _FOUND_SQL)
+        asked = blocks.select(*[F.col(c).alias(f"a_{c}") for c in blocks.columns if c != "block"])
+        parts = pair_grid(-(-n_anchors // anchor_rows), -(-n // block_rows),
+                          8 * (dims + 2 * heaps + 3 + 5 * heaps * k) * anchor_rows, shuffle_width(spark))
+        return every_pair(asked, index, parts).mapInArrow(_tiles(dims, heaps, k, window), _FOUND_SQL)
 
     anchors = rows.where("is_anchor")
     positives = _merged(tiles(anchors, 1, n_positive, None), ["anchor_id"], n_positive)

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,3 +85,44 @@ def test_few_rows_and_none(spark):
     assert mine(spark, [(0, [1.0], 1)]) == []
     rows = [(0, [1.0, 0.0], 1), (1, [0.9, 0.0], 2), (2, [1.0, 0.0], 2), (3, [1.0, 0.1], 1)]
     assert mine(spark, rows) == brute(rows)
+
+
+def test_anchor_blocks_are_neither_copied_nor_broadcast(spark):
+    """Copied to as many lanes as there are shuffle partitions and broadcast, they outgrew the driver."""
+    df = spark.createDataFrame(clustered(300), "vec_id long, embedding array<float>, label int")
+    out = hardneg.hard_negatives(df, F.col("vec_id") % 20 == 0, F.col("label"), block_rows=32, anchor_rows=4)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Generate" not in plan and "CartesianProduct" in plan
+
+
+def plain_heaps(found, k):
+    out = []
+    for key in sorted({(r[0], r[1]) for r in found}):
+        out += sorted((r for r in found if (r[0], r[1]) == key), key=lambda r: (-r[4], r[3]))[:k]
+    return out
+
+
+def test_heaps_keep_the_best_of_their_union():
+    rng = np.random.default_rng(3)
+    found = np.column_stack([rng.integers(0, 4, 500), rng.integers(0, 3, 500), np.zeros(500, np.int64),
+                             np.arange(500), rng.integers(-5, 5, 500)]).astype(np.int64)
+    found[:2, 4] = -2**63, 2**63 - 1
+    got = hardneg.best_of_heaps(found, 5)
+    assert [tuple(r) for r in got.tolist()] == plain_heaps([tuple(r) for r in found.tolist()], 5)
+    assert hardneg.best_of_heaps(found[:0], 5).shape == (0, 5)
+
+
+@pytest.mark.parametrize("merge_rows", [0, 1 << 16])
+def test_a_task_gives_each_anchor_its_heap_over_all_tiles(monkeypatch, merge_rows):
+    monkeypatch.setattr(hardneg, "MERGE_ROWS", merge_rows)
+    rng = np.random.default_rng(9)
+    v, label = rng.integers(-50, 50, (200, 6)), rng.integers(0, 3, 200)
+    rows = [{"ids": np.arange(b, b + 50), "labels": label[b:b + 50], "vectors": v[b:b + 50],
+             "a_ids": np.arange(a, a + 8), "a_labels": label[a:a + 8], "a_vectors": v[a:a + 8]}
+            for b in range(0, 200, 50) for a in (0, 8)]
+    rows = [{c: np.ascontiguousarray(x, dtype="<i8").tobytes() for c, x in r.items()} for r in rows]
+    batches = [pa.RecordBatch.from_pylist(rows[:3]), pa.RecordBatch.from_pylist(rows[3:])]
+    got = [tuple(r.values()) for b in hardneg._tiles(6, 1, 5, None)(batches) for r in b.to_pylist()]
+    found = [(a, 0, 0, i, int(v[a] @ v[i])) for a in range(16) for i in range(200) if i != a and label[a] == label[i]]
+    assert got == plain_heaps(found, 5)
+    assert list(hardneg._tiles(6, 1, 5, None)(iter([]))) == []
