@@ -5,9 +5,10 @@ positive, its *hard negatives* are the best ``n_negative`` rows of another label
 lies in the window ``low * positive <= 100 * negative <= high * positive`` (per cent).
 
 1. *Tiles.*  Rows become blocks of whole-number vectors; anchors become blocks of their own.
-   Every anchor block must meet every candidate block: both are dealt into parts, and every
-   pair of parts is a task (``every_pair``), which holds its part of the anchor blocks with
-   their heaps (``HELD_BYTES``) and one candidate block.  Blocks are not copied or broadcast.
+   Every anchor block must meet every candidate block: each part of the anchor blocks is a task
+   with each part of the stored candidate blocks, which are read in place (``every_pair``).  Blocks
+   are not copied or broadcast.  A task holds its anchor blocks with their heaps (a block, or
+   ``HELD_BYTES``) and what the reader holds of the candidates.
 2. *Products.*  A tile's scores are one matrix product by Strassen's recursion: both sides
    are cut into quarters, padded with zero rows and columns where a side is odd, seven
    products of sums replace eight, down to ``LEAF`` columns.  All sums are int64, so every
@@ -39,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sampwise.llm.shared import every_pair, pair_grid, shuffle_width, stored
+from sampwise.llm.shared import asked_parts, every_pair, shuffle_width, stored
 
 LEAF = 16
 ANCHOR_ROWS, BLOCK_ROWS = 256, 1024
@@ -247,8 +248,8 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, label: Column, *, id_c
     def tiles(anchors, heaps, k, window):
         blocks = in_blocks(anchors, n_anchors, anchor_rows, heaps, "hard-anchors")
         asked = blocks.select(*[F.col(c).alias(f"a_{c}") for c in blocks.columns if c != "block"])
-        parts = pair_grid(-(-n_anchors // anchor_rows), -(-n // block_rows),
-                          8 * (dims + 2 * heaps + 3 + 5 * heaps * k) * anchor_rows, shuffle_width(spark))
+        parts = asked_parts(-(-n_anchors // anchor_rows),
+                            8 * (dims + 2 * heaps + 3 + 5 * heaps * k) * anchor_rows, shuffle_width(spark))
         return every_pair(asked, index, parts).mapInArrow(_tiles(dims, heaps, k, window), _FOUND_SQL)
 
     anchors = rows.where("is_anchor")

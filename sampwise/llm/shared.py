@@ -66,22 +66,21 @@ def shuffle_width(spark: SparkSession) -> int:
 HELD_BYTES = 16 << 20
 
 
-def pair_grid(n_asked: int, n_index: int, asked_bytes: int, width: int) -> tuple[int, int]:
-    """Parts of the asked and of the index blocks: about ``width`` pairs of parts in all, and about
-    ``HELD_BYTES`` in an asked part.  ``asked_bytes`` is the size of an asked block.  An index part more
-    is one more best list per query to merge; an asked part more reads the index once more."""
-    asked = min(n_asked, max(math.ceil(math.sqrt(width) / 2), math.ceil(n_asked * asked_bytes / HELD_BYTES)))
-    return max(1, asked), max(1, min(n_index, math.ceil(width / max(1, asked))))
+def asked_parts(blocks: int, block_bytes: int, width: int) -> int:
+    """Parts of the asked blocks: one block each, several if there are more than ``width`` blocks and
+    about ``HELD_BYTES`` hold them."""
+    return max(1, min(blocks, max(width, math.ceil(blocks * block_bytes / HELD_BYTES))))
 
 
-def every_pair(asked: DataFrame, index: DataFrame, parts: tuple[int, int]) -> DataFrame:
-    """Every row of ``asked`` beside every row of ``index``, whose columns come first.
+def every_pair(asked: DataFrame, index: DataFrame, parts: int) -> DataFrame:
+    """Every row of ``asked`` beside every row of ``index``, a stored table, whose columns come first.
 
-    A task reads one part of each: it holds the asked part and streams the index part.  No row is
-    copied and nothing goes through the driver; the hint keeps Spark from broadcasting a side that
-    its estimate calls small.  All rows of ``asked`` come one after another for each row of ``index``.
+    ``asked`` is dealt into ``parts``; each with each scan partition of ``index`` is a task, which holds
+    the asked part and streams the index rows.  No row is copied, ``index`` is read in place and
+    nothing goes through the driver; the hint keeps Spark from broadcasting a side that its estimate
+    calls small.  All rows of an asked part come one after another for each row of ``index``.
     """
-    return index.repartition(parts[1]).crossJoin(asked.repartition(parts[0]).hint("shuffle_replicate_nl"))
+    return index.crossJoin(asked.repartition(parts).hint("shuffle_replicate_nl"))
 
 
 def text_or_empty(col: str):

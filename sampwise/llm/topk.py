@@ -16,9 +16,10 @@ rescored exactly in whole numbers.  Every block gives each query its best k; a t
 the best k of its blocks so far, whose last score is one more lower end for the next block,
 and a per-query merge picks the final k.  Nothing is approximate.
 
-Every query must meet every block: query blocks and index blocks are dealt into parts, and
-every pair of parts is a task (``every_pair``).  Blocks are not copied or broadcast.  Memory per
-task is one part of query blocks with their best rows (``HELD_BYTES``) and one index block.
+Every query must meet every block: each part of the query blocks is a task with each part of
+the stored index, which is read in place (``every_pair``).  Blocks are not copied or broadcast.
+Memory per task is one part of query blocks with their best rows (a block, or ``HELD_BYTES``) and
+what the reader holds of the index.
 
 Defined cases: vectors that are null, empty, or hold a null or non-finite component,
 and rows with a null id, take no part; missing trailing components count as zero; rows
@@ -38,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sampwise.llm.shared import every_pair, pair_grid, shuffle_width, stored
+from sampwise.llm.shared import asked_parts, every_pair, shuffle_width, stored
 
 
 def _matrix(column: pa.ListArray, dims: int) -> np.ndarray:
@@ -92,6 +93,10 @@ def _value_type(impact: int) -> str:
     return "<i2" if impact <= 15 else "<i4" if impact <= 31 else "<f8"
 
 
+def _place_type(places: int) -> str:
+    return "<u2" if places <= 1 << 16 else "<i4"
+
+
 def impact_segments(vectors: np.ndarray) -> list[dict]:
     """The postings of a block from the highest impact down.
 
@@ -105,7 +110,7 @@ def impact_segments(vectors: np.ndarray) -> list[dict]:
     below, out = np.zeros(rows), []
     for x in np.unique(impact):
         mine = at[impact == x]
-        out.append({"impact": int(x), "at": mine.astype("<i4").tobytes(),
+        out.append({"impact": int(x), "at": mine.astype(_place_type(flat.size)).tobytes(),
                     "values": flat[mine].astype(_value_type(x)).tobytes(),
                     "rests": np.sqrt(below).astype("<f8").tobytes()})
         below = below + np.bincount(mine % rows, weights=flat[mine] ** 2, minlength=rows)
@@ -115,8 +120,8 @@ def impact_segments(vectors: np.ndarray) -> list[dict]:
 def postings(segment: dict, dims: int, rows: int) -> np.ndarray:
     """A segment's postings in place, one row per dimension."""
     out = np.zeros(dims * rows)
-    out[np.frombuffer(segment["at"], "<i4")] = np.frombuffer(segment["values"],
-                                                            _value_type(segment["impact"]))
+    out[np.frombuffer(segment["at"], _place_type(out.size))] = np.frombuffer(segment["values"],
+                                                                             _value_type(segment["impact"]))
     return out.reshape(dims, rows)
 
 
@@ -222,8 +227,7 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     index = in_blocks(rows, n, impact_segments, _INDEX, _INDEX_SQL, "topk-index")
     asked = in_blocks(rows.where("is_query"), n_asked, lambda m: m.astype("<f8").tobytes(),
                       _ASKED, _ASKED_SQL, "topk-queries")
-    n_blocks = lambda n: -(-n // block_rows)
-    parts = pair_grid(n_blocks(n_asked), n_blocks(n), 8 * (dims + 1 + 3 * k) * block_rows, shuffle_width(spark))
+    parts = asked_parts(-(-n_asked // block_rows), 8 * (dims + 1 + 3 * k) * block_rows, shuffle_width(spark))
     queries = asked.select(*[F.col(c).alias(f"q_{c}") for c in asked.columns])
     hits = every_pair(queries, index, parts).mapInArrow(_search(dims, k), _HITS_SQL)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

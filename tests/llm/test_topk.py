@@ -100,16 +100,14 @@ def test_query_blocks_are_neither_copied_nor_broadcast(spark):
     assert "Broadcast" not in plan and "Generate" not in plan and "CartesianProduct" in plan
 
 
-@pytest.mark.parametrize("n_asked,n_index,asked_bytes,width",
-                         [(0, 0, 8, 8), (1, 1, 8, 200), (15, 702, 600_000, 200), (300, 16_000, 600_000, 600), (40, 3, 64 << 20, 8)])
-def test_grid_bounds_the_asked_part(n_asked, n_index, asked_bytes, width):
-    asked, index = shared.pair_grid(n_asked, n_index, asked_bytes, width)
-    assert 1 <= asked <= max(1, n_asked) and 1 <= index <= max(1, n_index)
-    assert -(-n_asked // asked) <= max(1, shared.HELD_BYTES // asked_bytes + 1)
-    assert asked * index <= max(2 * width, n_asked)
+@pytest.mark.parametrize("blocks,block_bytes,width,parts",
+                         [(0, 8, 8, 1), (1, 8, 200, 1), (15, 600_000, 200, 15), (16_000, 600_000, 200, 573),
+                          (16_000, 600, 200, 200), (40, 64 << 20, 8, 40)])
+def test_asked_parts_are_bounded(blocks, block_bytes, width, parts):
+    assert shared.asked_parts(blocks, block_bytes, width) == parts
 
 
-@pytest.mark.parametrize("parts", [(1, 1), (3, 5), (20, 2)])
+@pytest.mark.parametrize("parts", [1, 3, 20])
 def test_every_pair_meets_once(spark, parts):
     got = shared.every_pair(spark.range(20), spark.range(31).withColumnRenamed("id", "x"), parts).collect()
     assert sorted((r["id"], r["x"]) for r in got) == [(i, x) for i in range(20) for x in range(31)]
@@ -143,3 +141,11 @@ def test_a_task_gives_each_query_its_best_k_over_all_blocks():
         found = [(-int(vectors[a] @ vectors[i]), i) for a in ([30, 31] if q == 30 else [q]) for i in range(400) if i != q]
         want += [(q, -s, i) for s, i in sorted(found)[:5]]
     assert sorted(got) == sorted(want)
+
+
+@pytest.mark.parametrize("rows", [1024, 1025])
+def test_places_of_small_and_large_blocks(rows):
+    vectors = np.floor(np.random.default_rng(1).normal(size=(rows, 64)) * 40)
+    segments = impact_segments(vectors)
+    assert np.array_equal(sum(postings(s, 64, rows).T for s in segments), vectors)
+    assert len(segments[0]["at"]) == (2 if rows == 1024 else 4) * np.count_nonzero(postings(segments[0], 64, rows))
